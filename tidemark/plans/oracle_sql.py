@@ -75,3 +75,214 @@ select key, business_type, date, target, ppu,
       rows between unbounded preceding and 1 preceding),
       lambda acc, v: acc * {B6} + v * {A6}), 0), 4) as EMA6_y
 from ap"""
+
+SQL["ema"] = with_("ap") + f"""
+select key, business_type, date, target, ppu,
+  round_even(coalesce(list_reduce(list(target::double) {W_KD}
+      rows between unbounded preceding and 1 preceding),
+      lambda acc, v: acc * {repr(1.0 - 2.0 / 4.0)} + v * {repr(2.0 / 4.0)}), 0), 4) as EMA3_y,
+  round_even(coalesce(list_reduce(list(target::double) {W_KD}
+      rows between unbounded preceding and 1 preceding),
+      lambda acc, v: acc * {repr(1.0 - 2.0 / 13.0)} + v * {repr(2.0 / 13.0)}), 0), 4) as EMA12_y
+from ap"""
+
+SQL["seasonality_index"] = with_("ap") + """,
+shifted as (select month(date) as m,
+                   lag(target) over (partition by month(date) order by date, key) as prev from ap),
+mavg as (select m, avg(prev) as a from shifted group by m),
+idx as (select m, round_even(a / nullif(avg(a) over (), 0), 2) as si from mavg)
+select key, business_type, date, target, ppu, coalesce(si, 1.0::double) as Seasonality_Index
+from ap left join idx on month(ap.date) = idx.m"""
+
+SQL["seasonal_means"] = with_("ap") + """,
+s as (select *,
+        lag(target) over (partition by key, month(date) order by date) as pm,
+        lag(target) over (partition by key, quarter(date) order by date) as pq from ap)
+select key, business_type, date, target, ppu,
+  round_even(avg(pm) over (partition by key, month(date)), 4) as target_seasonal_monthly,
+  round_even(avg(pq) over (partition by key, quarter(date)), 4) as target_seasonal_quarterly
+from s"""
+
+SQL["rate_of_sale"] = with_("ap") + """,
+s as (select key, year(date) as y, date, lag(target) over (partition by key order by date) as prev
+      from ap),
+g as (select key, y, sum(prev) / count(distinct date) as rate_of_sale
+      from s where prev is not null group by key, y)
+select ap.key, business_type, date, target, ppu, round_even(g.rate_of_sale, 4) as rate_of_sale
+from ap left join g on ap.key = g.key and year(ap.date) = g.y"""
+
+SQL["derivatives"] = with_("ap") + """,
+mo as (select key, date_trunc('month', date)::date as year_month, sum(target)::double as t
+       from ap group by 1, 2),
+l as (select *, lag(t, 1) over w as p1, lag(t, 2) over w as p2, lag(t, 4) over w as p4,
+             lag(t, 7) over w as p7
+      from mo window w as (partition by key order by year_month)),
+d1 as (select *, round_even((p1 - p2) / nullif(p2, 0) * 100, 2) as r1,
+              round_even((p1 - p4) / nullif(p4, 0) * 100, 2) as r3,
+              round_even((p1 - p7) / nullif(p7, 0) * 100, 2) as r6 from l),
+d2 as (select *, round_even((r1 - lag(r1) over (partition by key order by year_month))
+                  / nullif(lag(r1) over (partition by key order by year_month), 0) * 100, 2) as r2
+       from d1),
+f as (select key, year_month, coalesce(r1, 0) as deriv_1_pct, coalesce(r2, 0) as deriv_2_pct,
+             coalesce(r3, 0) as deriv_3_pct, coalesce(r6, 0) as deriv_6_pct,
+             max(p1) over (partition by key) as monthly_max_qty,
+             min(p1) over (partition by key) as monthly_min_qty from d2)
+select *, case when abs(deriv_2_pct) > 50 then 1 else 0 end as deriv_1_flag,
+       case when deriv_2_pct > 0 then 'increasing' when deriv_2_pct < 0 then 'decreasing'
+            else 'fluctuating' end as deriv_2_trend_flag
+from f"""
+
+# ---------------------------------------------------------------- calendar
+CTES["spine"] = ("""
+select unnest(generate_series(min(l_shipdate)::date, max(l_shipdate)::date, interval 1 day))::date
+       as date from lineitem""", ())
+CTES["rng"] = ("""
+select make_date(y::int, 6, 1) - (11 * (y - 1995))::int as s,
+       make_date(y::int, 6, 1) - (11 * (y - 1995))::int + 29 as e
+from range(1995, 2003) t(y)""", ())
+CTES["feast"] = ("""
+select unnest(generate_series(e + 1, e + 3, interval 1 day))::date as fd, 'feast' as ev from rng
+union all
+select unnest(generate_series(e + 70, e + 72, interval 1 day))::date as fd, 'feast2' as ev from rng""",
+                 ("rng",))
+CTES["evf"] = ("""
+select date,
+  exists(select 1 from rng where date between s and e and year(date) = year(s))::int as is_range,
+  exists(select 1 from rng where date >= s - 14 and date < s and year(date) = year(s))::int
+    as pre_range,
+  exists(select 1 from rng where date > e and date <= e + 7 and year(date) = year(s))::int
+    as post_range,
+  exists(select 1 from feast where ev = 'feast' and fd = date)::int as is_feast,
+  exists(select 1 from feast where ev = 'feast2' and fd = date)::int as is_feast2,
+  exists(select 1 from feast where ev = 'feast' and date >= fd - 7 and date < fd
+         and year(date) = year(fd))::int as pre_feast
+from spine""", ("spine", "rng", "feast"))
+_BF = ("(abs(date - (make_date(year(date), 11, 30) - "
+       "((dayofweek(make_date(year(date), 11, 30)) + 2) % 7)::int)) <= 3)::int")
+CTES["cal_a"] = (f"""
+select date, national_holiday_flag, ramadan_period, is_eid_fitr, is_eid_adha, pre_eid_shopping,
+  greatest(is_eid_fitr, is_eid_adha, national_holiday_flag) as public_holidays,
+  dubai_shopping_festival, dubai_summer_surprises, end_of_season_sales, year_end_sales,
+  black_friday_week,
+  greatest(is_eid_adha, pre_eid_shopping, dubai_summer_surprises, black_friday_week)
+    as is_high_sales_intent_flag,
+  greatest(dubai_shopping_festival, dubai_summer_surprises, end_of_season_sales, year_end_sales,
+           black_friday_week, pre_eid_shopping) as shopping_event_code,
+  (month(date) in (2, 9))::int as fashion_week_season
+from (select date,
+        (strftime(date, '%m-%d') in ('01-01', '06-05', '06-26', '11-30', '12-02', '12-03'))::int
+          as national_holiday_flag,
+        greatest(is_range, pre_range, post_range) as ramadan_period,
+        is_feast as is_eid_fitr, is_feast2 as is_eid_adha, pre_feast as pre_eid_shopping,
+        (month(date) = 12 or (month(date) = 1 and day(date) <= 15))::int as dubai_shopping_festival,
+        (month(date) in (6, 7, 8))::int as dubai_summer_surprises,
+        (month(date) in (2, 7, 11))::int as end_of_season_sales,
+        (month(date) = 12 and day(date) >= 15)::int as year_end_sales,
+        {_BF} as black_friday_week
+      from evf)""", ("evf",))
+CTES["cal_b"] = ("""
+select *, greatest(fashion_week_season, riyadh_fashion_week, jeddah_fashion_week,
+                   luxury_ramadan_eid_season, saudi_national_day_season) as luxury_season
+from (select date, ramadan_period, pre_eid_shopping,
+        greatest(is_eid_fitr, is_eid_adha, national_holiday_flag) as public_holidays,
+        (ramadan_period = 1 and month(date) in (3, 4))::int as is_high_sales_intent_flag,
+        greatest((month(date) = 9)::int, (month(date) in (3, 8))::int, (month(date) in (6, 7))::int,
+                 pre_eid_shopping) as shopping_event_code,
+        (month(date) in (2, 3, 9))::int as fashion_week_season,
+        (month(date) = 3)::int as riyadh_fashion_week,
+        (month(date) = 10)::int as jeddah_fashion_week,
+        (month(date) in (2, 3, 4))::int as luxury_ramadan_eid_season,
+        (month(date) = 9)::int as saudi_national_day_season
+      from (select date, greatest(is_range, pre_range, post_range) as ramadan_period,
+                   is_feast as is_eid_fitr, is_feast2 as is_eid_adha, pre_feast as pre_eid_shopping,
+                   (strftime(date, '%m-%d') in ('02-22', '09-23'))::int as national_holiday_flag
+            from evf))""", ("evf",))
+CTES["peak"] = ("""
+select date,
+  (month(date) in (1, 7, 12) or festive = 1 or (month(date) = 9 and day(date) = 23)
+   or (month(date) = 11 and day(date) between 20 and 30)
+   or (month(date) = 2 and day(date) between 10 and 16)
+   or (month(date) = 3 and day(date) between 15 and 25))::int as peak_flag,
+  festive as festive_peak_flag
+from (select date, greatest(is_range, is_feast, is_feast2) as festive from evf)""", ("evf",))
+CTES["pr"] = ("""
+select date_trunc('month', date)::date as date, sum(peak_flag)::bigint as peak_days,
+       count(*) as days_in_month, sum(peak_flag) / count(*) as ksa_shopping_peak_ratio
+from peak group by 1""", ("peak",))
+CTES["hol"] = ("""
+select fd as date from feast
+union
+select make_date(y::int, 2, 22) from range(1995, 2003) t(y)
+union
+select make_date(y::int, 9, 23) from range(1995, 2003) t(y)""", ("feast",))
+
+SQL["calendar_daily"] = with_("cal_a") + "select * from cal_a"
+SQL["holiday_flags"] = with_("cal_a") + """
+select date, national_holiday_flag, is_eid_fitr, is_eid_adha, public_holidays from cal_a"""
+SQL["ramadan_flags"] = with_("evf") + """
+select date, is_range as is_ramadan, pre_range as pre_ramadan, post_range as post_ramadan,
+       greatest(is_range, pre_range, post_range) as ramadan_period from evf"""
+SQL["eid_flags"] = with_("cal_a") + """
+select date, is_eid_fitr, is_eid_adha, pre_eid_shopping from cal_a"""
+SQL["shopping_events"] = with_("cal_a") + """
+select date, dubai_shopping_festival, dubai_summer_surprises, end_of_season_sales, year_end_sales,
+       black_friday_week, is_high_sales_intent_flag, shopping_event_code from cal_a"""
+SQL["black_friday"] = with_("spine") + """
+select date, make_date(year(date), 11, 30) - ((dayofweek(make_date(year(date), 11, 30)) + 2) % 7)::int
+       as black_friday
+from spine
+where abs(date - (make_date(year(date), 11, 30)
+      - ((dayofweek(make_date(year(date), 11, 30)) + 2) % 7)::int)) <= 3"""
+SQL["luxury_season"] = with_("cal_b") + """
+select date, fashion_week_season, riyadh_fashion_week, jeddah_fashion_week,
+       luxury_ramadan_eid_season, saudi_national_day_season, luxury_season,
+       is_high_sales_intent_flag, shopping_event_code, public_holidays from cal_b"""
+_SEASON = ("case when month(date) in (12, 1, 2) then 1 when month(date) in (3, 4, 5) then 2 "
+           "when month(date) in (6, 7, 8, 9) then 3 when month(date) in (10, 11) then 4 end")
+SQL["calendar_monthly"] = with_("cal_a") + f"""
+select *, day(last_day(date)) as count_of_days, {_SEASON} as uae_seasons
+from (select date_trunc('month', date)::date as date,
+        sum(ramadan_period)::bigint as ramadan_period,
+        sum(public_holidays)::bigint as public_holidays,
+        sum(is_high_sales_intent_flag)::bigint as is_high_sales_intent_flag,
+        sum(shopping_event_code)::bigint as shopping_event_code,
+        sum(fashion_week_season)::bigint as fashion_week_season
+      from cal_a group by 1)"""
+SQL["calendar_monthly_b"] = with_("cal_b") + """
+select date_trunc('month', date)::date as date, sum(ramadan_period)::bigint as ramadan_days,
+  sum(public_holidays)::bigint as public_holiday_days,
+  sum(greatest(fashion_week_season, luxury_season))::bigint as fashion_luxury_days,
+  day(last_day(date_trunc('month', date)::date)) as count_of_days
+from cal_b group by 1"""
+SQL["season_code"] = with_("ap") + f"select key, date, {_SEASON} as uae_seasons from ap"
+SQL["peak_calendar"] = with_("peak") + "select * from peak"
+SQL["peak_ratio"] = with_("pr") + """
+select date, peak_days, days_in_month, round_even(ksa_shopping_peak_ratio, 4)
+       as ksa_shopping_peak_ratio from pr"""
+SQL["peak_calendar_join"] = with_("ap", "pr") + """
+select ap.*, round_even(pr.ksa_shopping_peak_ratio, 4) as ksa_shopping_peak_ratio,
+       peak.festive_peak_flag
+from ap left join pr on date_trunc('month', ap.date) = pr.date
+        left join peak on ap.date = peak.date"""
+SQL["holiday_count"] = with_("ap", "hol") + """,
+hc as (select year(date) as y, month(date) as m, count(*)::int as n from hol group by 1, 2)
+select ap.*, coalesce(hc.n, 0) as holiday_count
+from ap left join hc on year(ap.date) = hc.y and month(ap.date) = hc.m"""
+SQL["pre_post_event_flag"] = with_("ap", "peak") + """,
+j as (select ap.*, peak.festive_peak_flag from ap left join peak on ap.date = peak.date),
+near as (select distinct d from (
+           select date - interval 1 month as d from j where festive_peak_flag = 1
+           union all
+           select date + interval 1 month from j where festive_peak_flag = 1))
+select j.*, case when j.date in (select d::date from near) then 1 else 0 end as pre_post_rm_flg
+from j"""
+_TP = "2 * pi()"
+SQL["date_features"] = with_("ap") + f"""
+select *, month(date) as month, quarter(date) as quarter, year(date) as year,
+  (day(date) = 1)::int as is_month_start, (date = last_day(date))::int as is_month_end,
+  day(last_day(date)) as days_in_month,
+  round_even(sin({_TP} * month(date) / 12), 6) + 0.0 as fourier_year_sin,
+  round_even(cos({_TP} * month(date) / 12), 6) + 0.0 as fourier_year_cos,
+  round_even(sin({_TP} * (quarter(date) - 1) / 4), 6) + 0.0 as quarter_sin,
+  round_even(cos({_TP} * (quarter(date) - 1) / 4), 6) + 0.0 as quarter_cos
+from ap"""

@@ -47,3 +47,153 @@ def q_lag_features(spark, d):
 def q_moving_stats(spark, d):
     df = WN.moving_stats(target_panel(spark, d), WINDOWS)
     return rnd(df, [f"{p}{w}_y" for w in WINDOWS for p in ("MA", "STD", "EMA")])
+
+
+@query("ema")
+def q_ema(spark, d):
+    df = WN.moving_stats(target_panel(spark, d), (3, 12), ema=True)
+    df = df.drop(*[c for c in df.columns if c.startswith(("MA", "STD"))])
+    return rnd(df, ["EMA3_y", "EMA12_y"])
+
+
+@query("seasonality_index")
+def q_seasonality_index(spark, d):
+    return WN.seasonality_index(target_panel(spark, d))
+
+
+@query("seasonal_means")
+def q_seasonal_means(spark, d):
+    return rnd(WN.seasonal_means(target_panel(spark, d)),
+               ["target_seasonal_monthly", "target_seasonal_quarterly"])
+
+
+@query("rate_of_sale")
+def q_rate_of_sale(spark, d):
+    return rnd(WN.rate_of_sale(target_panel(spark, d)), ["rate_of_sale"])
+
+
+@query("derivatives")
+def q_derivatives(spark, d):
+    return WN.derivatives(target_panel(spark, d))
+
+
+# ---------------------------------------------------------------- calendar
+from tidemark.operators import calendar as CA  # noqa: E402
+from tidemark.sources import bindings as B  # noqa: E402
+
+
+def _spine(spark, d):
+    return CA.spine_of(B.sales_lines(spark, d))
+
+
+def _cal(spark, d, variant="A"):
+    return CA.holiday_calendar(_spine(spark, d), B.event_ranges(spark), B.event_days(spark),
+                               variant)
+
+
+@query("calendar_daily")
+def q_calendar_daily(spark, d):
+    return _cal(spark, d, "A")
+
+
+@query("holiday_flags")
+def q_holiday_flags(spark, d):
+    return _cal(spark, d, "A").select("date", "national_holiday_flag", "is_eid_fitr",
+                                      "is_eid_adha", "public_holidays")
+
+
+@query("ramadan_flags")
+def q_ramadan_flags(spark, d):
+    ev = CA.with_event_flags(_spine(spark, d), B.event_ranges(spark), B.event_days(spark))
+    from pyspark.sql import functions as F
+    return ev.select("date", F.col("is_range").alias("is_ramadan"),
+                     F.col("pre_range").alias("pre_ramadan"),
+                     F.col("post_range").alias("post_ramadan"),
+                     F.greatest("is_range", "pre_range", "post_range").alias("ramadan_period"))
+
+
+@query("eid_flags")
+def q_eid_flags(spark, d):
+    return _cal(spark, d, "A").select("date", "is_eid_fitr", "is_eid_adha", "pre_eid_shopping")
+
+
+@query("shopping_events")
+def q_shopping_events(spark, d):
+    return _cal(spark, d, "A").select(
+        "date", "dubai_shopping_festival", "dubai_summer_surprises", "end_of_season_sales",
+        "year_end_sales", "black_friday_week", "is_high_sales_intent_flag", "shopping_event_code")
+
+
+@query("black_friday")
+def q_black_friday(spark, d):
+    from tidemark.functions.dates import last_friday_of_november
+    from pyspark.sql import functions as F
+    return (_spine(spark, d).withColumn("black_friday_week",
+                                        CA.D.black_friday_week("date"))
+            .filter("black_friday_week = 1")
+            .select("date", last_friday_of_november(F.year("date")).alias("black_friday")))
+
+
+@query("luxury_season")
+def q_luxury_season(spark, d):
+    return _cal(spark, d, "B").select(
+        "date", "fashion_week_season", "riyadh_fashion_week", "jeddah_fashion_week",
+        "luxury_ramadan_eid_season", "saudi_national_day_season", "luxury_season",
+        "is_high_sales_intent_flag", "shopping_event_code", "public_holidays")
+
+
+@query("calendar_monthly")
+def q_calendar_monthly(spark, d):
+    return CA.calendar_monthly(_cal(spark, d, "A"), "A")
+
+
+@query("calendar_monthly_b")
+def q_calendar_monthly_b(spark, d):
+    return CA.calendar_monthly(_cal(spark, d, "B"), "B")
+
+
+@query("season_code")
+def q_season_code(spark, d):
+    from tidemark.functions.dates import season_code
+    from pyspark.sql import functions as F
+    return target_panel(spark, d).select("key", "date", season_code(F.month("date"))
+                                         .alias("uae_seasons"))
+
+
+def _peak(spark, d):
+    return CA.peak_calendar(_spine(spark, d), B.event_ranges(spark), B.event_days(spark))
+
+
+@query("peak_calendar")
+def q_peak_calendar(spark, d):
+    return _peak(spark, d)
+
+
+@query("peak_ratio")
+def q_peak_ratio(spark, d):
+    return rnd(CA.peak_ratio(_peak(spark, d)), ["ksa_shopping_peak_ratio"])
+
+
+@query("peak_calendar_join")
+def q_peak_calendar_join(spark, d):
+    return rnd(CA.join_peak_calendar(target_panel(spark, d), _peak(spark, d)),
+               ["ksa_shopping_peak_ratio"])
+
+
+@query("holiday_count")
+def q_holiday_count(spark, d):
+    return CA.holiday_count(target_panel(spark, d), B.holidays(spark))
+
+
+@query("pre_post_event_flag")
+def q_pre_post_event_flag(spark, d):
+    p = CA.join_peak_calendar(target_panel(spark, d), _peak(spark, d)).drop(
+        "ksa_shopping_peak_ratio")
+    months = p.filter("festive_peak_flag = 1").select("date").distinct() \
+              .withColumn("flag", __import__("pyspark.sql.functions", fromlist=["lit"]).lit(1))
+    return CA.pre_post_event_flag(p, months, "flag", out_col="pre_post_rm_flg")
+
+
+@query("date_features")
+def q_date_features(spark, d):
+    return CA.date_features(target_panel(spark, d))

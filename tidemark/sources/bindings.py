@@ -170,6 +170,8 @@ EVENT_LAST_YEAR = 2002
 EVENT_RANGE_DAYS = 30
 EVENT_DRIFT_DAYS = 11
 FEAST_DAYS = 3
+# A second feast of three days starts 70 days after each range ends.
+FEAST2_OFFSET_DAYS = 70
 # Fixed-date national holidays (month-day), one per year each.
 NATIONAL_HOLIDAYS_MMDD = ("02-22", "09-23")
 
@@ -186,11 +188,16 @@ def event_ranges(spark: SparkSession, first_year: int = EVENT_FIRST_YEAR,
 
 def event_days(spark: SparkSession, first_year: int = EVENT_FIRST_YEAR,
                last_year: int = EVENT_LAST_YEAR) -> DataFrame:
-    """``event_days(event, date)``: feast days right after each festival range."""
+    """``event_days(event, date)``: ``feast`` right after each festival range, ``feast2`` later."""
     rng = event_ranges(spark, first_year, last_year)
-    return rng.select(F.lit("feast").alias("event"),
-                      F.explode(F.sequence(F.date_add("end", 1),
-                                           F.date_add("end", FEAST_DAYS))).alias("date"))
+    first = rng.select(F.lit("feast").alias("event"),
+                       F.explode(F.sequence(F.date_add("end", 1),
+                                            F.date_add("end", FEAST_DAYS))).alias("date"))
+    second = rng.select(F.lit("feast2").alias("event"),
+                        F.explode(F.sequence(F.date_add("end", FEAST2_OFFSET_DAYS),
+                                             F.date_add("end", FEAST2_OFFSET_DAYS + FEAST_DAYS - 1)))
+                        .alias("date"))
+    return first.unionByName(second)
 
 
 def holidays(spark: SparkSession, first_year: int = EVENT_FIRST_YEAR,
@@ -200,4 +207,5 @@ def holidays(spark: SparkSession, first_year: int = EVENT_FIRST_YEAR,
     fixed = years.select(F.explode(F.array(*[
         F.make_date("y", F.lit(int(md[:2])), F.lit(int(md[3:]))) for md in NATIONAL_HOLIDAYS_MMDD
     ])).alias("date"))
-    return event_days(spark, first_year, last_year).select("date").unionByName(fixed).distinct()
+    feasts = event_days(spark, first_year, last_year).select("date")
+    return feasts.unionByName(fixed).distinct()
