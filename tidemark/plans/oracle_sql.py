@@ -286,3 +286,74 @@ select *, month(date) as month, quarter(date) as quarter, year(date) as year,
   round_even(sin({_TP} * (quarter(date) - 1) / 4), 6) + 0.0 as quarter_sin,
   round_even(cos({_TP} * (quarter(date) - 1) / 4), 6) + 0.0 as quarter_cos
 from ap"""
+
+# ---------------------------------------------------------------- promotions
+from tidemark.plans.params import CUTOFF_MONTH, HORIZON_END  # noqa: E402
+
+CTES["rel"] = ("""
+select *, datediff('day', eff_from, eff_to) + 1 as promo_length
+from (select l_suppkey::varchar as locationId, l_partkey as itemId,
+        case l_returnflag when 'R' then 'RELATIVE' when 'A' then 'ABSOLUTE' else 'NONE' end
+          as strategy,
+        round(l_discount * 100)::int as amountOfDiscount,
+        l_shipdate::date as eff_from, l_shipdate::date + (l_quantity::int - 1) as eff_to
+      from lineitem)
+where strategy = 'RELATIVE'""", ())
+CTES["pm"] = ("""
+select *, unnest(generate_series(ms, eff_to, interval 1 month))::date as date
+from (select *, case when day(eff_from) = 1 then eff_from
+                     else (date_trunc('month', eff_from) + interval 1 month)::date end as ms
+      from rel)
+where ms <= eff_to""", ("rel",))
+CTES["pd"] = ("""
+select locationId, date_trunc('month', d)::date as date, count(*)::int as promo_days_in_month
+from (select distinct locationId, unnest(generate_series(eff_from, eff_to, interval 1 day))::date as d
+      from rel where eff_from <= eff_to)
+group by 1, 2""", ("rel",))
+CTES["pmon"] = ("""
+select locationId, date, count(distinct amountOfDiscount) as distinct_discount_levels,
+       avg(amountOfDiscount) as avg_discount, max(amountOfDiscount)::double as max_discount,
+       min(amountOfDiscount)::double as min_discount, avg(promo_length) as avg_promo_duration,
+       round_even(count(distinct itemId) / any_value(total) * 100, 2) as percentage_products_on_promo
+from pm join (select locationId, count(distinct itemId) as total from rel group by 1) t
+     using (locationId)
+group by locationId, date""", ("pm",))
+CTES["pf"] = ("""
+select locationId, date, distinct_discount_levels,
+       round_even(coalesce(avg_discount, 0), 2) as avg_discount,
+       round_even(coalesce(max_discount, 0), 2) as max_discount,
+       round_even(coalesce(min_discount, 0), 2) as min_discount,
+       round_even(coalesce(avg_promo_duration, 0), 2) as avg_promo_duration,
+       percentage_products_on_promo, coalesce(promo_days_in_month, 0) as promo_days_in_month
+from pmon left join pd using (locationId, date)""", ("pmon", "pd"))
+_PF_COLS = ("locationId, date, distinct_discount_levels, avg_discount, max_discount, min_discount, "
+            "avg_promo_duration, percentage_products_on_promo, promo_days_in_month")
+CTES["sply_p"] = (f"""
+select {_PF_COLS} from pf where date <= date '{CUTOFF_MONTH}'
+union all
+select {_PF_COLS.replace('date,', "(date + to_months((12 * k)::int))::date as date,", 1)}
+from (select *, unnest(generate_series(1, (datediff('month', date, date '{HORIZON_END}') // 12)::int))
+        as k
+      from (select *, max(date) over (partition by locationId) as l
+            from pf where date <= date '{CUTOFF_MONTH}')
+      where date > l - interval 12 month and datediff('month', date, date '{HORIZON_END}') >= 12)""",
+                    ("pf",))
+
+SQL["promo_length"] = with_("rel") + """
+select locationId, itemId, strategy, amountOfDiscount, eff_from, eff_to, promo_length,
+       round_even(amountOfDiscount / promo_length, 4) as discount_efficiency from rel"""
+SQL["promo_span"] = with_("rel") + """
+select locationId, min(eff_from) as min_eff_from_date, max(eff_to) as max_eff_up_to_date
+from rel group by 1"""
+SQL["promo_days"] = with_("pd") + "select * from pd"
+SQL["promo_monthly"] = with_("pmon") + """
+select locationId, date, distinct_discount_levels, round_even(avg_discount, 4) as avg_discount,
+       max_discount, min_discount, round_even(avg_promo_duration, 4) as avg_promo_duration,
+       percentage_products_on_promo from pmon"""
+SQL["promo_features"] = with_("pf") + "select * from pf"
+SQL["sply_promo"] = with_("sply_p") + "select * from sply_p"
+SQL["available_months"] = with_("sply_p") + """
+select locationId, count(distinct date) as n_months,
+       array_to_string(list_sort(list_distinct(list(strftime(date, '%Y-%m')))), ',')
+         as available_months
+from sply_p group by 1"""

@@ -7,3 +7,6 @@ HORIZON_MONTHS = 15
 LAGS = (12,)
 WINDOWS = (6,)
 ROUND = 4          # places for computed doubles in query outputs (hash-stable)
+# Promotion / marketing cutoff month and the extension horizon (cutoff + 15 months).
+CUTOFF_MONTH = "2001-06-01"
+HORIZON_END = "2002-09-01"

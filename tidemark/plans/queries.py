@@ -197,3 +197,63 @@ def q_pre_post_event_flag(spark, d):
 @query("date_features")
 def q_date_features(spark, d):
     return CA.date_features(target_panel(spark, d))
+
+
+# ---------------------------------------------------------------- promotions
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidemark.operators import extend as EX  # noqa: E402
+from tidemark.operators import intervals as IV  # noqa: E402
+from tidemark.plans.params import CUTOFF_MONTH, HORIZON_END  # noqa: E402
+
+PROMO_FEATURES = ["locationId", "date", "distinct_discount_levels", "avg_discount", "max_discount",
+                  "min_discount", "avg_promo_duration", "percentage_products_on_promo",
+                  "promo_days_in_month"]
+
+
+def _rel(spark, d):
+    return IV.relative_only(B.promotions(spark, d))
+
+
+@query("promo_length")
+def q_promo_length(spark, d):
+    return rnd(IV.with_length(_rel(spark, d)), ["discount_efficiency"])
+
+
+@query("promo_span")
+def q_promo_span(spark, d):
+    return IV.promo_span(_rel(spark, d))
+
+
+@query("promo_days")
+def q_promo_days(spark, d):
+    return IV.promo_days(_rel(spark, d))
+
+
+@query("promo_monthly")
+def q_promo_monthly(spark, d):
+    return rnd(IV.promo_monthly(_rel(spark, d)), ["avg_discount", "avg_promo_duration"])
+
+
+@query("promo_features")
+def q_promo_features(spark, d):
+    return IV.promo_features(_rel(spark, d)).select(*PROMO_FEATURES)
+
+
+def _sply_promo(spark, d):
+    f = EX.truncate_at(IV.promo_features(_rel(spark, d)).select(*PROMO_FEATURES), CUTOFF_MONTH)
+    return EX.sply_extend(f, ["locationId"], HORIZON_END)
+
+
+@query("sply_promo")
+def q_sply_promo(spark, d):
+    return _sply_promo(spark, d)
+
+
+@query("available_months")
+def q_available_months(spark, d):
+    am = IV.available_months(_sply_promo(spark, d))
+    return am.select("locationId", F.size("available_months").alias("n_months"),
+                     F.array_join(F.transform("available_months",
+                                              lambda x: F.date_format(x, "yyyy-MM")), ",")
+                     .alias("available_months"))
