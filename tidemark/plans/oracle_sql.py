@@ -357,3 +357,53 @@ select locationId, count(distinct date) as n_months,
        array_to_string(list_sort(list_distinct(list(strftime(date, '%Y-%m')))), ',')
          as available_months
 from sply_p group by 1"""
+
+# ---------------------------------------------------------------- marketing
+CTES["mkt"] = ("""
+select date, brand, campaign_name, source, total_cost_usd, impressions, clicks,
+       clicks::double / nullif(impressions, 0)::double as ctr,
+       total_cost_usd::double * 1000 / nullif(impressions, 0)::double as cpm,
+       total_cost_usd::double / nullif(clicks, 0)::double as cpc,
+       upper(nullif(regexp_extract(campaign_name, '(ASIA|EUROPE)', 1, 'i'), '')) as region
+from (select o_orderdate::date as date, c_mktsegment as brand,
+        lower(r_name) || '_' || o_orderkey as campaign_name,
+        lower(split_part(o_orderpriority, '-', 2)) as source,
+        o_totalprice::decimal(18,2) as total_cost_usd,
+        trunc(o_totalprice)::bigint as impressions, (o_custkey % 50)::bigint as clicks
+      from orders join customer on o_custkey = c_custkey
+           join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey)""", ())
+CTES["mkf"] = ("""
+select * from mkt
+where (brand, region) in (('BUILDING', 'ASIA'), ('MACHINERY', 'EUROPE'), ('AUTOMOBILE', 'ASIA'),
+                          ('HOUSEHOLD', 'EUROPE'), ('FURNITURE', 'ASIA'))""", ("mkt",))
+CTES["mm"] = ("""
+select date_trunc('month', date)::date as month, brand, region,
+       sum(total_cost_usd)::decimal(38,2) as total_cost_usd, sum(impressions)::bigint as impressions,
+       sum(clicks)::bigint as clicks,
+       round_even(avg(ctr), 4) as ctr_l, round_even(avg(cpm), 4) as cpm_l,
+       round_even(avg(cpc), 4) as cpc_l,
+       round_even(sum(total_cost_usd)::double / nullif(sum(impressions), 0)::double * 1000, 4) as CPM,
+       round_even(sum(total_cost_usd)::double / nullif(sum(clicks), 0)::double, 4) as CPC,
+       round_even(sum(clicks)::double / nullif(sum(impressions), 0)::double * 100, 4) as CTR
+from mkf group by 1, 2, 3""", ("mkf",))
+_SRC = ["high", "low", "medium", "not specified", "urgent"]
+CTES["mp"] = ("select mm.*, " + ", ".join(
+    f"coalesce(s.\"{s}\", 0)::decimal(38,2) as \"total_cost_usd_{s}\"" for s in _SRC) + """
+from mm left join (select date_trunc('month', date)::date as month, brand, region, """ + ", ".join(
+    f"sum(total_cost_usd) filter (where source = '{s}') as \"{s}\"" for s in _SRC) + """
+                   from mkf group by 1, 2, 3) s using (month, brand, region)""", ("mm",))
+
+SQL["campaign_region"] = with_("mkt") + "select date, brand, campaign_name, region from mkt"
+SQL["marketing_monthly"] = with_("mm") + "select * from mm"
+SQL["marketing_pivot"] = with_("mp") + "select * from mp"
+SQL["sply_marketing"] = with_("mp") + f""",
+base as (select * from mp where month <= date '{CUTOFF_MONTH}'),
+gen as (select * exclude (l, k) replace ((month + to_months((12 * k)::int))::date as month)
+        from (select *, unnest(generate_series(1,
+                 (datediff('month', month, date '{HORIZON_END}') // 12)::int)) as k
+              from (select *, max(month) over (partition by brand, region) as l from base)
+              where month > l - interval 12 month
+                and datediff('month', month, date '{HORIZON_END}') >= 12))
+select *, true as is_actual from base
+union all by name
+select *, false as is_actual from gen"""

@@ -10,3 +10,9 @@ ROUND = 4          # places for computed doubles in query outputs (hash-stable)
 # Promotion / marketing cutoff month and the extension horizon (cutoff + 15 months).
 CUTOFF_MONTH = "2001-06-01"
 HORIZON_END = "2002-09-01"
+# Region codes searched in campaign names, the (brand, region)
+# pairs kept for marketing features, and the pivot values of ``source``.
+REGIONS = ("ASIA", "EUROPE")
+BRAND_REGION_PAIRS = (("BUILDING", "ASIA"), ("MACHINERY", "EUROPE"), ("AUTOMOBILE", "ASIA"),
+                      ("HOUSEHOLD", "EUROPE"), ("FURNITURE", "ASIA"))
+SOURCES = ("high", "low", "medium", "not specified", "urgent")

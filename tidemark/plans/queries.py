@@ -257,3 +257,38 @@ def q_available_months(spark, d):
                      F.array_join(F.transform("available_months",
                                               lambda x: F.date_format(x, "yyyy-MM")), ",")
                      .alias("available_months"))
+
+
+# ---------------------------------------------------------------- marketing
+from tidemark.operators import marketing as MK  # noqa: E402
+from tidemark.plans.params import BRAND_REGION_PAIRS, REGIONS, SOURCES  # noqa: E402
+
+MKT_DOUBLES = ["ctr_l", "cpm_l", "cpc_l", "CPM", "CPC", "CTR"]
+
+
+def _mkt(spark, d):
+    m = MK.campaign_region(B.marketing(spark, d), REGIONS)
+    return MK.filter_pairs(m, MK.pairs_table(spark, BRAND_REGION_PAIRS))
+
+
+@query("campaign_region")
+def q_campaign_region(spark, d):
+    return MK.campaign_region(B.marketing(spark, d), REGIONS).select(
+        "date", "brand", "campaign_name", "region")
+
+
+@query("marketing_monthly")
+def q_marketing_monthly(spark, d):
+    return rnd(MK.monthly_metrics(_mkt(spark, d)), MKT_DOUBLES)
+
+
+@query("marketing_pivot")
+def q_marketing_pivot(spark, d):
+    return rnd(MK.monthly_with_sources(_mkt(spark, d), SOURCES), MKT_DOUBLES)
+
+
+@query("sply_marketing")
+def q_sply_marketing(spark, d):
+    m = EX.truncate_at(MK.monthly_with_sources(_mkt(spark, d), SOURCES), CUTOFF_MONTH, "month")
+    out = EX.sply_extend(m, ["brand", "region"], HORIZON_END, "month", actual_flag="is_actual")
+    return rnd(out.withColumn("is_actual", F.col("is_actual") == 1), MKT_DOUBLES)
