@@ -407,3 +407,68 @@ gen as (select * exclude (l, k) replace ((month + to_months((12 * k)::int))::dat
 select *, true as is_actual from base
 union all by name
 select *, false as is_actual from gen"""
+
+# ---------------------------------------------------------------- stores & encoders
+CTES["stores"] = ("""
+select s_suppkey::varchar as store, n_name as city,
+       case when s_suppkey % 5 = 0 then 1 else 0 end as is_ecom_fullfillment_loc,
+       case when s_suppkey % 5 = 0 then 'ecommerce' else 'retail' end as channel,
+       s_acctbal as total_square_ft,
+       case when s_suppkey % 7 = 0 then null else s_acctbal / 2 end as selling_square_ft,
+       r_name as store_format
+from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey""", ())
+CTES["sb"] = ("""
+select stores.* replace (coalesce(selling_square_ft, 0.0) as selling_square_ft),
+  case when total_square_ft <= q.t[1] then 1 when total_square_ft <= q.t[2] then 2
+       when total_square_ft <= q.t[3] then 3 else 4 end as total_square_ft_cat,
+  case when coalesce(selling_square_ft, 0.0) <= q.s[1] then 1
+       when coalesce(selling_square_ft, 0.0) <= q.s[2] then 2
+       when coalesce(selling_square_ft, 0.0) <= q.s[3] then 3 else 4 end as selling_square_ft_cat
+from stores, (select quantile_cont(total_square_ft, [0.25, 0.5, 0.75]) as t,
+                     quantile_cont(coalesce(selling_square_ft, 0.0), [0.25, 0.5, 0.75]) as s
+              from stores) q""", ("stores",))
+CTES["aps"] = ("""
+select ap.*, channel, store_format, city
+from ap left join (select store as key, channel, store_format, city from stores) s using (key)""",
+               ("ap", "stores"))
+
+
+def _te(col: str) -> str:
+    return f"""
+te_{col} as (select {col}, case when n = 1 then p else p * (1 - sg) + m * sg end as {col}_encode
+  from (select {col}, count(target) as n, avg(target::double) as m,
+               1.0 / (1.0 + exp(-(count(target) - 20) / 10.0)) as sg,
+               (select avg(target::double) from aps where date <= date '{TRAIN_END}') as p
+        from aps where date <= date '{TRAIN_END}' group by 1))"""
+
+
+SQL["quartile_bins"] = with_("sb") + "select * from sb"
+SQL["target_encode"] = with_("aps") + "," + ",".join(
+    _te(c) for c in ("channel", "store_format", "key")) + """
+select aps.*, round_even(channel_encode, 4) as channel_encode,
+       round_even(store_format_encode, 4) as store_format_encode,
+       round_even(key_encode, 4) as key_encode
+from aps left join te_channel using (channel) left join te_store_format using (store_format)
+         left join te_key using (key)"""
+
+
+def _ts(col: str) -> str:
+    return f"""
+ts_{col} as (select {col}, sum(target) / (select sum(target)::bigint from aps) as {col}_target_pct
+             from aps where target is not null group by 1)"""
+
+
+SQL["target_share_encode"] = with_("aps") + "," + ",".join(
+    _ts(c) for c in ("channel", "store_format", "key")) + """
+select aps.*, round_even(channel_target_pct, 6) as channel_target_pct,
+       round_even(store_format_target_pct, 6) as store_format_target_pct,
+       round_even(key_target_pct, 6) as key_target_pct
+from aps left join ts_channel using (channel) left join ts_store_format using (store_format)
+         left join ts_key using (key)"""
+SQL["one_hot"] = with_("stores") + """
+select * exclude (channel), (channel = 'retail')::int as channel_retail from stores"""
+SQL["binary_encode"] = with_("stores") + """
+select *,
+       case when city = 'GERMANY' then 1 when city = 'FRANCE' then 0 end as city_code,
+       case when channel = 'ecommerce' then 1 else 0 end as channel_code
+from stores"""

@@ -292,3 +292,48 @@ def q_sply_marketing(spark, d):
     m = EX.truncate_at(MK.monthly_with_sources(_mkt(spark, d), SOURCES), CUTOFF_MONTH, "month")
     out = EX.sply_extend(m, ["brand", "region"], HORIZON_END, "month", actual_flag="is_actual")
     return rnd(out.withColumn("is_actual", F.col("is_actual") == 1), MKT_DOUBLES)
+
+
+# ---------------------------------------------------------------- stores & encoders
+from tidemark.operators import encode as EN  # noqa: E402
+
+
+def _stores_binned(spark, d):
+    s = B.stores(spark, d).fillna(0.0, subset=["selling_square_ft"])
+    s = EN.quartile_bin(s, "total_square_ft")
+    return EN.quartile_bin(s, "selling_square_ft")
+
+
+@query("quartile_bins")
+def q_quartile_bins(spark, d):
+    return _stores_binned(spark, d)
+
+
+def _panel_stores(spark, d):
+    s = B.stores(spark, d).select(F.col("store").alias("key"), "channel", "store_format", "city")
+    return target_panel(spark, d).join(s, "key", "left")
+
+
+@query("target_encode")
+def q_target_encode(spark, d):
+    df = EN.target_encode(_panel_stores(spark, d), ["channel", "store_format", "key"],
+                          F.col("date") <= F.lit(TRAIN_END).cast("date"))
+    return rnd(df, ["channel_encode", "store_format_encode", "key_encode"])
+
+
+@query("target_share_encode")
+def q_target_share_encode(spark, d):
+    df = EN.target_share_encode(_panel_stores(spark, d), ["channel", "store_format", "key"])
+    return rnd(df, ["channel_target_pct", "store_format_target_pct", "key_target_pct"], 6)
+
+
+@query("one_hot")
+def q_one_hot(spark, d):
+    return EN.one_hot(B.stores(spark, d), "channel", ["ecommerce", "retail"])
+
+
+@query("binary_encode")
+def q_binary_encode(spark, d):
+    s = B.stores(spark, d)
+    s = EN.binary_map(s, "city", "GERMANY", "FRANCE", out="city_code")
+    return EN.binary_map(s, "channel", "ecommerce", out="channel_code")
