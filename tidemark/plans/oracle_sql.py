@@ -472,3 +472,142 @@ select *,
        case when city = 'GERMANY' then 1 when city = 'FRANCE' then 0 end as city_code,
        case when channel = 'ecommerce' then 1 else 0 end as channel_code
 from stores"""
+
+# ---------------------------------------------------------------- evaluation
+CTES["fc"] = (f"""
+select key, date, round_even(ma6, 0) as forecast_xgboost, round_even(lag12, 0) as forecast_lgbm,
+       round_even((ma6 + lag12) / 2, 0) as forecast_random_forest, target::double as target
+from (select key, date, target,
+        coalesce(lag(target, 12) over w::double,
+                 (select avg(target) from ap where date <= date '{TRAIN_END}')) as lag12,
+        coalesce(avg(target) over (w rows between 6 preceding and 1 preceding), 0) as ma6
+      from ap window w as (partition by key order by date))
+where date > (select max(date) from ap) - interval 12 month""", ("ap",))
+CTES["ra"] = ("""
+select *, abs(target - forecast_xgboost) / nullif(target, 0) * 100 as xgboost_row_mape,
+          abs(target - forecast_lgbm) / nullif(target, 0) * 100 as lgbm_row_mape,
+          abs(target - forecast_random_forest) / nullif(target, 0) * 100 as random_forest_row_mape
+from fc""", ("fc",))
+CTES["sc"] = ("""
+select * from ra where target is not null and xgboost_row_mape is not null
+  and lgbm_row_mape is not null and random_forest_row_mape is not null""", ("ra",))
+CTES["cr"] = ("""
+select * exclude (b), b.n as best_model_monthly, b.v as best_forecast_monthly, b.e as best_row_mape
+from (select *, list_sort([
+        {'e': xgboost_row_mape, 'o': 0, 'n': 'xgboost', 'v': forecast_xgboost},
+        {'e': lgbm_row_mape, 'o': 1, 'n': 'lgbm', 'v': forecast_lgbm},
+        {'e': random_forest_row_mape, 'o': 2, 'n': 'random_forest', 'v': forecast_random_forest}
+      ])[1] as b from sc)""", ("sc",))
+
+
+def _champ(src: str, four: bool = False) -> str:
+    extra = ", sum(best_forecast_monthly) as best_forecast_monthly_sum" if four else ""
+    cand4 = (""",
+        {'e': best_forecast_monthly_mape, 'o': 3, 'n': 'best_monthly',
+         'v': best_forecast_monthly_sum}""" if four else "")
+    m4 = (", abs(target - best_forecast_monthly_sum) / nullif(target, 0) * 100"
+          " as best_forecast_monthly_mape" if four else "")
+    return f"""
+select * exclude (b), b.n as best_model_store, b.v as best_forecast_store, b.e as best_mape,
+       round_even(target / (sum(target) over ()) * 100, 2) as pct_demand
+from (select *, list_sort([
+        {{'e': xgboost_mape, 'o': 0, 'n': 'xgboost', 'v': forecast_xgboost}},
+        {{'e': lgbm_mape, 'o': 1, 'n': 'lgbm', 'v': forecast_lgbm}},
+        {{'e': random_forest_mape, 'o': 2, 'n': 'random_forest', 'v': forecast_random_forest}}{cand4}
+      ])[1] as b
+      from (select *, abs(target - forecast_xgboost) / nullif(target, 0) * 100 as xgboost_mape,
+                   abs(target - forecast_lgbm) / nullif(target, 0) * 100 as lgbm_mape,
+                   abs(target - forecast_random_forest) / nullif(target, 0) * 100
+                     as random_forest_mape{m4}
+            from (select key, sum(forecast_xgboost) as forecast_xgboost,
+                         sum(forecast_lgbm) as forecast_lgbm,
+                         sum(forecast_random_forest) as forecast_random_forest{extra},
+                         sum(target) as target
+                  from {src} group by key)))"""
+
+
+CTES["cs"] = (_champ("sc"), ("sc",))
+CTES["app"] = ("""
+select sc.*, cs.best_model_store,
+  case cs.best_model_store when 'xgboost' then forecast_xgboost when 'lgbm' then forecast_lgbm
+       when 'random_forest' then forecast_random_forest end as best_forecast_by_store_model,
+  abs(sc.target - best_forecast_by_store_model) / nullif(sc.target, 0) * 100 as mape_best_model
+from sc left join (select key, best_model_store from cs) cs using (key)""", ("sc", "cs"))
+
+_R4 = "round_even({0}, 4) as {0}"
+
+
+def _r4(*cols: str) -> str:
+    return ", ".join(_R4.format(c) for c in cols)
+
+
+_APE = ("xgboost_row_mape", "lgbm_row_mape", "random_forest_row_mape")
+_STORE = ("xgboost_mape", "lgbm_mape", "random_forest_mape", "best_mape")
+
+SQL["forecast_wide"] = with_("fc") + "select * from fc"
+SQL["forecast_long"] = with_("fc") + """
+select key, date, model, forecast, key || '_' || strftime(date, '%Y-%m') as label from (
+  select key, date, 'xgboost' as model, forecast_xgboost as forecast from fc
+  union all select key, date, 'lgbm', forecast_lgbm from fc
+  union all select key, date, 'random_forest', forecast_random_forest from fc)"""
+SQL["row_mape"] = with_("ra") + f"select * replace ({_r4(*_APE)}) from ra"
+SQL["forecast_clean"] = with_("sc") + f"select * replace ({_r4(*_APE)}) from sc"
+SQL["metrics"] = with_("sc") + "select * replace (" + _r4(
+    "mape", "wmape", "mae", "rmse", "std_actual", "r2", "rmse_over_std") + ") from (" + \
+    " union all ".join(f"""
+select '{m}' as model, avg(abs(target - forecast_{m}) / nullif(target, 0) * 100) as mape,
+  sum(abs(target - forecast_{m})) / nullif(sum(target), 0) * 100 as wmape,
+  avg(abs(target - forecast_{m})) as mae,
+  sqrt(avg((target - forecast_{m}) * (target - forecast_{m}))) as rmse,
+  stddev_samp(target) as std_actual,
+  1 - sum((target - forecast_{m}) * (target - forecast_{m}))
+      / nullif(var_pop(target) * count(target), 0) as r2,
+  sqrt(avg((target - forecast_{m}) * (target - forecast_{m}))) / nullif(stddev_samp(target), 0)
+    as rmse_over_std
+from sc""" for m in ("xgboost", "lgbm", "random_forest")) + ")"
+SQL["champion_row"] = with_("cr") + f"select * replace ({_r4(*_APE, 'best_row_mape')}) from cr"
+SQL["champion_store"] = with_("cs") + f"select * replace ({_r4(*_STORE)}) from cs"
+SQL["champion_store4"] = with_("cr") + ", cs4 as (" + _champ("cr", True) + ")\n" + \
+    f"select * replace ({_r4(*_STORE, 'best_forecast_monthly_mape')}) from cs4"
+SQL["champion_filtered"] = with_("sc") + ", csf as (" + _champ(
+    "(select * from sc where month(date) in (5, 6, 7))") + ")\n" + \
+    f"select * replace ({_r4(*_STORE)}) from csf"
+SQL["champion_applied"] = with_("app") + \
+    f"select * replace ({_r4(*_APE, 'mape_best_model')}) from app"
+SQL["mape_by_month"] = with_("app") + """
+select date, sum(target) as target, sum(best_forecast_by_store_model) as best_forecast_by_store_model,
+  round_even(abs(sum(target) - sum(best_forecast_by_store_model)) / nullif(sum(target), 0) * 100, 4)
+    as mape
+from app group by date"""
+SQL["mape_overall"] = with_("cs") + """
+select """ + ", ".join(
+    f"round_even(abs(sum(target) - sum({c})) / nullif(sum(target), 0) * 100, 4) as overall_mape_{n}"
+    for c, n in (("forecast_xgboost", "xgboost"), ("forecast_lgbm", "lgbm"),
+                 ("forecast_random_forest", "random_forest"), ("best_forecast_store", "best"))) + \
+    " from cs"
+SQL["champion_compare"] = with_("cr", "app") + """
+select round_even((select avg(best_row_mape) from cr), 4) as row_wise_mape,
+       round_even((select avg(mape_best_model) from app), 4) as store_wise_mape,
+       round_even((select avg(best_mape) from cs), 4) as mean_store_best_mape"""
+SQL["model_wins"] = with_("cr") + """
+select best_model_monthly as model, count(*) as wins from cr group by 1"""
+SQL["model_summary"] = with_("cs", "stores") + """
+select store_format as brand, best_model_store, count(distinct key) as stores,
+       round_even(avg(best_mape), 4) as avg_mape
+from cs left join stores on cs.key = stores.store group by 1, 2"""
+SQL["worst_stores"] = with_("cs") + """
+select key, target, best_model_store, round_even(best_mape, 4) as best_mape
+from cs order by best_mape desc, key limit 10"""
+SQL["exclude_keys"] = with_("fc", "stores") + """
+select * from fc where key not in (select store from stores where channel = 'ecommerce')"""
+SQL["report_table"] = with_("fc", "pf", "mkf") + """
+select fc.date, fc.key::bigint as store, 'ALL' as brand, target::bigint as actual_units,
+  round_even(forecast_xgboost, 0)::bigint as forecasted_units,
+  coalesce(round_even(abs(target - forecast_xgboost) / nullif(target, 0) * 100, 0), 0)::bigint
+    as MAPE,
+  'Monthly' as frequency, coalesce(pf.avg_discount, 0.0) as promo_depth,
+  coalesce(sp.marketing_spend, 0.0) as marketing_spend
+from fc left join pf on fc.key = pf.locationId and fc.date = pf.date
+        left join (select date_trunc('month', date)::date as date,
+                          sum(total_cost_usd)::double as marketing_spend from mkf group by 1) sp
+          on fc.date = sp.date"""

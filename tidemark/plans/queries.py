@@ -337,3 +337,180 @@ def q_binary_encode(spark, d):
     s = B.stores(spark, d)
     s = EN.binary_map(s, "city", "GERMANY", "FRANCE", out="city_code")
     return EN.binary_map(s, "channel", "ecommerce", out="channel_code")
+
+
+# ---------------------------------------------------------------- evaluation
+from tidemark.operators import evaluate as EV  # noqa: E402
+
+FC_COLS = ["forecast_xgboost", "forecast_lgbm", "forecast_random_forest"]
+
+
+def _features_for_stub(spark, d):
+    p = target_panel(spark, d)
+    f = WN.moving_stats(WN.lag_features(p, (12,), train_end=TRAIN_END), (6,), ema=False)
+    return p, f.filter(F.col("date") > F.add_months(p.select(F.max("date")).scalar(), -12))
+
+
+def _model_frames(spark, d):
+    """Per-model forecast frames (stub scorers on the last 12 months) and actuals."""
+    p, f = _features_for_stub(spark, d)
+    ma, lag = F.col("MA6_y"), F.col("Lag12_y")
+    models = {
+        "xgboost": f.select("key", "date", F.bround(ma, 0).alias("forecast_xgboost")),
+        "lgbm": f.select("key", "date", F.bround(lag, 0).alias("forecast_lgbm")),
+        "random_forest": f.select("key", "date",
+                                  F.bround((ma + lag) / 2, 0).alias("forecast_random_forest")),
+    }
+    actuals = p.select("key", "date", F.col("target").cast("double").alias("target"))
+    return models, actuals
+
+
+def _forecasts(spark, d):
+    """Wide table (#33, #34, #126): inner join of model frames, left join of actuals."""
+    models, actuals = _model_frames(spark, d)
+    wide = models["xgboost"].join(models["lgbm"], ["key", "date"]).join(
+        models["random_forest"], ["key", "date"])
+    return wide.join(actuals, ["key", "date"], "left")
+
+
+def _scored(spark, d):
+    return EV.scored(EV.row_ape(_forecasts(spark, d)))
+
+
+APE_COLS = [f"{m}_row_mape" for m in EV.MODELS]
+
+
+@query("forecast_wide")
+def q_forecast_wide(spark, d):
+    return _forecasts(spark, d)
+
+
+@query("forecast_long")
+def q_forecast_long(spark, d):
+    from tidemark.functions.dates import key_month_label
+    models, _ = _model_frames(spark, d)
+    parts = [df.select("key", "date", F.lit(m).alias("model"),
+                       F.col(f"forecast_{m}").alias("forecast")) for m, df in models.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("label", key_month_label("key", "date"))
+
+
+@query("row_mape")
+def q_row_mape(spark, d):
+    return rnd(EV.row_ape(_forecasts(spark, d)), APE_COLS)
+
+
+@query("forecast_clean")
+def q_forecast_clean(spark, d):
+    return rnd(_scored(spark, d), APE_COLS)
+
+
+@query("metrics")
+def q_metrics(spark, d):
+    return rnd(EV.metrics(_scored(spark, d)),
+               ["mape", "wmape", "mae", "rmse", "std_actual", "r2", "rmse_over_std"])
+
+
+@query("champion_row")
+def q_champion_row(spark, d):
+    return rnd(EV.champion_row(_scored(spark, d)), APE_COLS + ["best_row_mape"])
+
+
+STORE_DBL = ["xgboost_mape", "lgbm_mape", "random_forest_mape", "best_mape"]
+
+
+@query("champion_store")
+def q_champion_store(spark, d):
+    return rnd(EV.champion_store(_scored(spark, d)), STORE_DBL)
+
+
+@query("champion_store4")
+def q_champion_store4(spark, d):
+    return rnd(EV.champion_store(_scored(spark, d), with_row_champion=True),
+               STORE_DBL + ["best_forecast_monthly_mape"])
+
+
+@query("champion_filtered")
+def q_champion_filtered(spark, d):
+    s = _scored(spark, d).filter(F.month("date").isin(5, 6, 7))
+    return rnd(EV.champion_store(s), STORE_DBL)
+
+
+def _applied(spark, d):
+    s = _scored(spark, d)
+    return EV.apply_store_champion(s, EV.champion_store(s))
+
+
+@query("champion_applied")
+def q_champion_applied(spark, d):
+    return rnd(_applied(spark, d), APE_COLS + ["mape_best_model"])
+
+
+@query("mape_by_month")
+def q_mape_by_month(spark, d):
+    return rnd(EV.mape_by_month(_applied(spark, d)), ["mape"])
+
+
+@query("mape_overall")
+def q_mape_overall(spark, d):
+    out = EV.mape_overall(EV.champion_store(_scored(spark, d)))
+    return rnd(out, out.columns)
+
+
+@query("champion_compare")
+def q_champion_compare(spark, d):
+    s = _scored(spark, d)
+    rw = EV.champion_row(s).agg(F.avg("best_row_mape").alias("row_wise_mape"))
+    champs = EV.champion_store(s)
+    sw = EV.apply_store_champion(s, champs).agg(F.avg("mape_best_model").alias("store_wise_mape"))
+    mean_best = champs.agg(F.avg("best_mape").alias("mean_store_best_mape"))
+    out = rw.select("row_wise_mape", sw.scalar().alias("store_wise_mape"),
+                    mean_best.scalar().alias("mean_store_best_mape"))
+    return rnd(out, out.columns)
+
+
+@query("model_wins")
+def q_model_wins(spark, d):
+    return EV.model_wins(EV.champion_row(_scored(spark, d)), "best_model_monthly")
+
+
+@query("model_summary")
+def q_model_summary(spark, d):
+    champs = EV.champion_store(_scored(spark, d))
+    brands = B.stores(spark, d).select(F.col("store").alias("key"),
+                                       F.col("store_format").alias("brand"))
+    return rnd(EV.model_summary(champs.join(brands, "key", "left"), ["brand"]), ["avg_mape"])
+
+
+@query("worst_stores")
+def q_worst_stores(spark, d):
+    champs = EV.champion_store(_scored(spark, d))
+    return rnd(champs.orderBy(F.desc("best_mape"), "key").limit(10)
+               .select("key", "target", "best_model_store", "best_mape"), ["best_mape"])
+
+
+@query("exclude_keys")
+def q_exclude_keys(spark, d):
+    excluded = B.stores(spark, d).filter(F.col("channel") == "ecommerce").select(
+        F.col("store").alias("key"))
+    return _forecasts(spark, d).join(excluded, "key", "left_anti")
+
+
+@query("report_table")
+def q_report_table(spark, d):
+    s = EV.row_ape(_forecasts(spark, d), ["xgboost"])
+    promo = IV.promo_features(_rel(spark, d)).select(
+        F.col("locationId").alias("key"), "date", F.col("avg_discount").alias("promo_depth"))
+    spend = (_mkt(spark, d).groupBy(F.trunc("date", "MM").alias("date"))
+             .agg(F.sum("total_cost_usd").cast("double").alias("marketing_spend")))
+    t = (s.join(promo, ["key", "date"], "left").join(spend, "date", "left"))
+    return t.select(
+        "date", F.col("key").cast("bigint").alias("store"), F.lit("ALL").alias("brand"),
+        F.col("target").cast("bigint").alias("actual_units"),
+        F.bround("forecast_xgboost", 0).cast("bigint").alias("forecasted_units"),
+        F.coalesce(F.bround("xgboost_row_mape", 0), F.lit(0.0)).cast("bigint").alias("MAPE"),
+        F.lit("Monthly").alias("frequency"),
+        F.coalesce("promo_depth", F.lit(0.0)).alias("promo_depth"),
+        F.coalesce("marketing_spend", F.lit(0.0)).alias("marketing_spend"))
