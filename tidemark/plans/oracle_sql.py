@@ -469,7 +469,7 @@ SQL["one_hot"] = with_("stores") + """
 select * exclude (channel), (channel = 'retail')::int as channel_retail from stores"""
 SQL["binary_encode"] = with_("stores") + """
 select *,
-       case when city = 'GERMANY' then 1 when city = 'FRANCE' then 0 end as city_code,
+       case when city = 'NATION_3' then 1 when city = 'NATION_13' then 0 end as city_code,
        case when channel = 'ecommerce' then 1 else 0 end as channel_code
 from stores"""
 
@@ -611,3 +611,65 @@ from fc left join pf on fc.key = pf.locationId and fc.date = pf.date
         left join (select date_trunc('month', date)::date as date,
                           sum(total_cost_usd)::double as marketing_spend from mkf group by 1) sp
           on fc.date = sp.date"""
+
+# ---------------------------------------------------------------- profiling & hygiene
+CTES["flag"] = (f"""
+select key, business_type, date, target, ppu,
+  round_even(coalesce(lag(target, 12) {W_KD})::double,
+                      (select avg(target) from ap where date <= date '{TRAIN_END}')), 4) as Lag12_y,
+  round_even(coalesce(avg(target) {W_KD} rows between 6 preceding and 1 preceding), 0), 4) as MA6_y,
+  round_even(coalesce(stddev_samp(target) {W_KD} rows between 6 preceding and 1 preceding), 0), 4)
+    as STD6_y,
+  round_even(coalesce(list_reduce(list(target::double) {W_KD}
+      rows between unbounded preceding and 1 preceding),
+      lambda acc, v: acc * {B6} + v * {A6}), 0), 4) as EMA6_y
+from ap""", ("ap",))
+_FLAG_COLS = ["key", "business_type", "date", "target", "ppu", "Lag12_y", "MA6_y", "STD6_y",
+              "EMA6_y"]
+SQL["profile"] = with_("flag") + " union all ".join(f"""
+select (select count(*) from flag) as rows, (select min(date) from flag) as min_date,
+       (select max(date) from flag) as max_date, '{c}' as column_name,
+       (select count_if({c} is null) from flag) as nulls, {len(_FLAG_COLS)} as columns"""
+                                                    for c in _FLAG_COLS)
+SQL["value_counts"] = with_("stores") + " union all ".join(f"""
+select '{c}' as column_name, {c}::varchar as value, count(*) as count from stores group by 2"""
+    for c in ("channel", "store_format", "city", "is_ecom_fullfillment_loc"))
+_FEAT = ["target", "ppu", "Lag12_y", "MA6_y", "STD6_y", "EMA6_y"]
+SQL["corr_pairs"] = with_("flag") + " union all ".join(
+    f"select '{a}' as feature_a, '{b}' as feature_b, "
+    f"round_even(corr({a}::double, {b}::double), 4) as corr from flag"
+    for i, a in enumerate(_FEAT) for b in _FEAT[i + 1:])
+SQL["dup_report"] = """
+select l_orderkey as tran_seq_no, l_linenumber as line, count(*) as n from lineitem
+group by 1, 2 having count(*) > 1"""
+SQL["dedup_first"] = with_("rel") + """
+select locationId, eff_from, itemId, strategy, amountOfDiscount, eff_to from rel
+qualify row_number() over (partition by locationId, eff_from
+                           order by itemId, eff_to, amountOfDiscount) = 1"""
+
+# ---------------------------------------------------------------- scans & sinks
+SQL["scan_sales"] = """
+select l_suppkey::varchar as key, l_shipdate::date as date, l_orderkey as tran_seq_no,
+       l_partkey as item, l_extendedprice as amount, l_quantity as quantity,
+       n_name as country, r_name as business_type, p_brand as brand
+from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
+     join region on n_regionkey = r_regionkey join part on l_partkey = p_partkey
+where p_brand in ('Brand#1', 'Brand#2', 'Brand#3') and n_name in ('NATION_3', 'NATION_13', 'NATION_8')
+  and l_shipdate::date between date '1997-01-01' and date '1998-12-31'"""
+CTES["active_ids"] = ("""
+select distinct key from panel where date = (select max(date) from panel)""", ("panel",))
+SQL["scan_promos"] = with_("active_ids") + """
+select * from (select l_suppkey::varchar as locationId, l_partkey as itemId,
+        case l_returnflag when 'R' then 'RELATIVE' when 'A' then 'ABSOLUTE' else 'NONE' end
+          as strategy,
+        round(l_discount * 100)::int as amountOfDiscount,
+        l_shipdate::date as eff_from, l_shipdate::date + (l_quantity::int - 1) as eff_to
+      from lineitem)
+where eff_to >= date '1998-01-01' and eff_from <= date '1998-03-31'
+  and locationId in (select key from active_ids)"""
+SQL["scan_stores"] = with_("active_ids", "stores") + """
+select * from stores where store in (select key from active_ids)"""
+SQL["scan_marketing"] = with_("mkt") + """
+select * exclude (region)
+from mkt where brand = 'BUILDING' and date between date '1998-01-01' and date '1998-12-31'"""
+SQL["sink_roundtrip"] = with_("pf") + "select * from pf"

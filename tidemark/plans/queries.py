@@ -335,7 +335,7 @@ def q_one_hot(spark, d):
 @query("binary_encode")
 def q_binary_encode(spark, d):
     s = B.stores(spark, d)
-    s = EN.binary_map(s, "city", "GERMANY", "FRANCE", out="city_code")
+    s = EN.binary_map(s, "city", "NATION_3", "NATION_13", out="city_code")
     return EN.binary_map(s, "channel", "ecommerce", out="channel_code")
 
 
@@ -514,3 +514,86 @@ def q_report_table(spark, d):
         F.lit("Monthly").alias("frequency"),
         F.coalesce("promo_depth", F.lit(0.0)).alias("promo_depth"),
         F.coalesce("marketing_spend", F.lit(0.0)).alias("marketing_spend"))
+
+
+# ---------------------------------------------------------------- profiling & hygiene
+from tidemark.operators import profile as PR  # noqa: E402
+from tidemark.plans.flagship import flagship  # noqa: E402
+from tidemark.sources import io as IO  # noqa: E402
+from tidemark.sources.tables import read_table  # noqa: E402
+
+FEATURE_COLS = ["target", "ppu", "Lag12_y", "MA6_y", "STD6_y", "EMA6_y"]
+
+
+@query("profile")
+def q_profile(spark, d):
+    return PR.profile(flagship(spark, d))
+
+
+@query("value_counts")
+def q_value_counts(spark, d):
+    return PR.value_counts(B.stores(spark, d),
+                           ["channel", "store_format", "city", "is_ecom_fullfillment_loc"])
+
+
+@query("corr_pairs")
+def q_corr_pairs(spark, d):
+    return rnd(PR.corr_pairs(flagship(spark, d), FEATURE_COLS), ["corr"])
+
+
+@query("dup_report")
+def q_dup_report(spark, d):
+    li = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber"])
+    return PR.duplicates(li.select(F.col("l_orderkey").alias("tran_seq_no"),
+                                   F.col("l_linenumber").alias("line")))
+
+
+@query("dedup_first")
+def q_dedup_first(spark, d):
+    return PR.keep_first(_rel(spark, d), ["locationId", "eff_from"],
+                         ["itemId", "eff_to", "amountOfDiscount"])
+
+
+# ---------------------------------------------------------------- scans & sinks
+SCAN_BRANDS = ("Brand#1", "Brand#2", "Brand#3")
+SCAN_COUNTRIES = ("NATION_3", "NATION_13", "NATION_8")
+
+
+@query("scan_sales")
+def q_scan_sales(spark, d):
+    return B.sales(spark, d, brands=SCAN_BRANDS, countries=SCAN_COUNTRIES,
+                   start="1997-01-01", end="1998-12-31")
+
+
+def _active_ids(spark, d):
+    return RU.active_keys(panel(spark, d))
+
+
+@query("scan_promos")
+def q_scan_promos(spark, d):
+    p = IO.overlapping(B.promotions(spark, d), "1998-01-01", "1998-03-31")
+    return IO.in_ids(p, _active_ids(spark, d), "locationId", "key")
+
+
+@query("scan_stores")
+def q_scan_stores(spark, d):
+    return IO.in_ids(B.stores(spark, d), _active_ids(spark, d), "store", "key")
+
+
+@query("scan_marketing")
+def q_scan_marketing(spark, d):
+    m = B.marketing(spark, d, start="1998-01-01").filter(F.col("brand") == "BUILDING")
+    return IO.filter_between(m, "date", end="1998-12-31")
+
+
+@query("sink_roundtrip")
+def q_sink_roundtrip(spark, d):
+    f = IV.promo_features(_rel(spark, d)).select(*PROMO_FEATURES)
+    tagged = f.withColumns({"target": F.lit("units"), "brand": F.lit("all"),
+                            "cutoff_month": F.lit(CUTOFF_MONTH[:7]),
+                            "train_end": F.lit(TRAIN_END)})
+    path = IO.write_partitioned(tagged, IO.shared_dir(spark, "sink_roundtrip"),
+                                ["target", "brand", "cutoff_month", "train_end"])
+    back = spark.read.parquet(path).filter((F.col("target") == "units")
+                                           & (F.col("cutoff_month") == CUTOFF_MONTH[:7]))
+    return back.select(*PROMO_FEATURES)
