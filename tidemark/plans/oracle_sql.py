@@ -6,7 +6,7 @@ driver's views. ``with_(...)`` prepends the binding CTEs a query needs.
 
 from __future__ import annotations
 
-from tidemark.plans.params import HORIZON_MONTHS, TRAIN_END
+from tidemark.plans.params import HORIZON_MONTHS, TRAIN_END  # noqa: F401
 
 A6 = repr(2.0 / 7.0)            # EMA alpha for span 6
 B6 = repr(1.0 - 2.0 / 7.0)
@@ -396,8 +396,8 @@ from mm left join (select date_trunc('month', date)::date as month, brand, regio
 SQL["campaign_region"] = with_("mkt") + "select date, brand, campaign_name, region from mkt"
 SQL["marketing_monthly"] = with_("mm") + "select * from mm"
 SQL["marketing_pivot"] = with_("mp") + "select * from mp"
-SQL["sply_marketing"] = with_("mp") + f""",
-base as (select * from mp where month <= date '{CUTOFF_MONTH}'),
+CTES["sply_m"] = (f"""
+with base as (select * from mp where month <= date '{CUTOFF_MONTH}'),
 gen as (select * exclude (l, k) replace ((month + to_months((12 * k)::int))::date as month)
         from (select *, unnest(generate_series(1,
                  (datediff('month', month, date '{HORIZON_END}') // 12)::int)) as k
@@ -406,7 +406,8 @@ gen as (select * exclude (l, k) replace ((month + to_months((12 * k)::int))::dat
                 and datediff('month', month, date '{HORIZON_END}') >= 12))
 select *, true as is_actual from base
 union all by name
-select *, false as is_actual from gen"""
+select *, false as is_actual from gen""", ("mp",))
+SQL["sply_marketing"] = with_("sply_m") + "select * from sply_m"
 
 # ---------------------------------------------------------------- stores & encoders
 CTES["stores"] = ("""
@@ -673,3 +674,90 @@ SQL["scan_marketing"] = with_("mkt") + """
 select * exclude (region)
 from mkt where brand = 'BUILDING' and date between date '1998-01-01' and date '1998-12-31'"""
 SQL["sink_roundtrip"] = with_("pf") + "select * from pf"
+
+# ---------------------------------------------------------------- grids, series, feature store
+H = HORIZON_MONTHS
+SQL["horizon_dates"] = with_("panel") + f"""
+select h::int as h, (m + to_months(h::int))::date as date, last_day((m + to_months(h::int))::date)
+       as month_end
+from (select max(date) as m from panel), range(1, {H + 1}) t(h)"""
+SQL["future_grid"] = with_("active_ids") + f"""
+select key, (l + to_months(h::int))::date as date
+from active_ids, (select max(date) as l from panel), range(1, {H + 1}) t(h)"""
+SQL["align_start"] = with_("ap", "pf", "mkf") + """
+select * from ap
+where date >= greatest((select min(date) from ap), (select min(date) from pf),
+                       (select min(date_trunc('month', date))::date from mkf))"""
+CTES["ms"] = ("""
+select year(m)::int as year, monthname(m) as month, format('{:,}', n) || chr(160) as tourists
+from (select date_trunc('month', o_orderdate)::date as m, count(*) as n from orders group by 1)""",
+              ())
+CTES["cms"] = ("""
+select make_date(year, mn, 1) as date, year, mn as month,
+       try_cast(replace(replace(tourists, ',', ''), chr(160), '') as bigint) as tourists
+from (select *, list_position(['Jan', 'Feb', 'Mar', 'Apr', 'May', 'Jun', 'Jul', 'Aug', 'Sep',
+                               'Oct', 'Nov', 'Dec'], substr(month, 1, 3))::int as mn from ms)""",
+               ("ms",))
+SQL["clean_month_series"] = with_("cms") + "select * from cms"
+SQL["sply_series"] = with_("cms") + """,
+s as (select date, tourists from cms),
+t as (select max(date) as l, (max(date) + interval 17 month)::date as te from s),
+gen as (select (date + to_months((12 * k)::int))::date as date, tourists
+        from (select s.*, t.*, unnest(generate_series(1, (datediff('month', date, te) // 12)::int))
+                as k from s, t
+              where date > l - interval 12 month and datediff('month', date, te) >= 12))
+select date, tourists, year(date)::int as year, month(date)::int as month
+from (select * from s union all select * from gen)"""
+SQL["slug"] = with_("mkt") + """
+select brand, replace(lower(brand || ' ' || campaign_name), ' ', '_') as slug from mkt"""
+_FMTS = ["%m-%d-%Y", "%Y-%m-%d", "%m/%d/%Y", "%Y/%m/%d", "%d-%m-%Y", "%Y/%m/%d %H:%M:%S",
+         "%m-%d-%Y %H:%M:%S", "%m-%d-%Y %I:%M %p", "%d-%b-%Y", "%Y%m%d"]
+SQL["detect_date_format"] = with_("panel") + """,
+s as (select key, strftime(date, '%-m-%-d-%Y') as date_str from panel),
+f as (select """ + ", ".join(
+    f"count_if(date_str is not null and try_strptime(date_str, '{f}') is null) as f{i}"
+    for i, f in enumerate(_FMTS)) + """ from s),
+c as (select case """ + " ".join(f"when f{i} = 0 then {i}" for i in range(len(_FMTS))) + """
+             end as ch from f)
+select key, date_str,
+  case ch """ + " ".join(f"when {i} then try_strptime(date_str, '{f}')::date"
+                         for i, f in enumerate(_FMTS)) + """ end as parsed_date,
+  case ch """ + " ".join(f"when {i} then '{f}'" for i, f in enumerate(_FMTS)) + """
+  end as date_format_used
+from s, c"""
+SQL["train_test_split"] = with_("ap") + f"""
+select *, (date > date '{TRAIN_END}')::int as Pred_Flag from ap"""
+SQL["recency_weight"] = with_("ap") + f"""
+select *, round_even(exp(-0.05::double * datediff('month', date_trunc('month', date),
+                                                    date_trunc('month', date '{TRAIN_END}'))), 6)
+          as weight
+from ap where date <= date '{TRAIN_END}'"""
+CTES["cm"] = (f"""
+select *, day(last_day(date))::int as count_of_days, {_SEASON}::int as uae_seasons
+from (select date_trunc('month', date)::date as date,
+        sum(ramadan_period)::bigint as ramadan_period,
+        sum(public_holidays)::bigint as public_holidays,
+        sum(is_high_sales_intent_flag)::bigint as is_high_sales_intent_flag,
+        sum(shopping_event_code)::bigint as shopping_event_code,
+        sum(fashion_week_season)::bigint as fashion_week_season
+      from cal_a group by 1)""", ("cal_a",))
+_SC = [f"total_cost_usd_{s}" for s in _SRC]
+SQL["feature_store"] = with_("flag", "cm", "sply_m", "sb", "sply_p") + f""",
+fut as (select key, (l + to_months(h::int))::date as date
+        from (select distinct key from flag), (select max(date) as l from flag), range(1, {H + 1}) t(h)),
+r as (select * from flag union all by name select * from fut),
+spend as (select month as date, """ + ", ".join(f'sum("{c}")::double as "{c}"' for c in _SC) + """
+          from sply_m group by 1),
+sbk as (select * exclude (store, city), store as key from sb),
+pk as (select * exclude (locationId), locationId as key from sply_p)
+select r.*, cm.* exclude (date), """ + ", ".join(f'coalesce(spend."{c}", 0.0) as "{c}"' for c in _SC) + \
+    """, sbk.* exclude (key),
+  coalesce(pk.distinct_discount_levels, 0) as distinct_discount_levels,
+  coalesce(pk.avg_discount, 0) as avg_discount, coalesce(pk.max_discount, 0) as max_discount,
+  coalesce(pk.min_discount, 0) as min_discount,
+  coalesce(pk.avg_promo_duration, 0) as avg_promo_duration,
+  coalesce(pk.percentage_products_on_promo, 0) as percentage_products_on_promo,
+  coalesce(pk.promo_days_in_month, 0) as promo_days_in_month,""" + f"""
+  (r.date > date '{TRAIN_END}')::int as Pred_Flag
+from r left join cm using (date) left join spend using (date) left join sbk using (key)
+       left join pk using (key, date)"""

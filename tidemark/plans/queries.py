@@ -597,3 +597,105 @@ def q_sink_roundtrip(spark, d):
     back = spark.read.parquet(path).filter((F.col("target") == "units")
                                            & (F.col("cutoff_month") == CUTOFF_MONTH[:7]))
     return back.select(*PROMO_FEATURES)
+
+
+# ---------------------------------------------------------------- grids, series, feature store
+from tidemark.operators import feature_store as FS  # noqa: E402
+from tidemark.operators import series as SE  # noqa: E402
+from tidemark.plans.params import HORIZON_MONTHS  # noqa: E402
+
+
+def _last_month(spark, d):
+    return panel(spark, d).select(F.max("date")).scalar()
+
+
+@query("horizon_dates")
+def q_horizon_dates(spark, d):
+    p = panel(spark, d)
+    return (p.agg(F.max("date").alias("origin"))
+            .select(F.explode(F.sequence(F.lit(1), F.lit(HORIZON_MONTHS))).alias("h"), "origin")
+            .select("h", F.add_months("origin", F.col("h")).alias("date"))
+            .withColumn("month_end", F.last_day("date")))
+
+
+@query("future_grid")
+def q_future_grid(spark, d):
+    return EX.future_grid(_active_ids(spark, d), _last_month(spark, d), HORIZON_MONTHS)
+
+
+def _marketing_by_month(spark, d):
+    return _mkt(spark, d).select(F.trunc("date", "MM").alias("date"))
+
+
+@query("align_start")
+def q_align_start(spark, d):
+    promo_start = IV.promo_features(_rel(spark, d)).select(F.min("date")).scalar()
+    mkt_start = _marketing_by_month(spark, d).select(F.min("date")).scalar()
+    tp = target_panel(spark, d)
+    return EX.align_start(tp, [tp.select(F.min("date")).scalar(), promo_start, mkt_start])
+
+
+@query("clean_month_series")
+def q_clean_month_series(spark, d):
+    return SE.clean_month_series(B.month_series(spark, d))
+
+
+@query("sply_series")
+def q_sply_series(spark, d):
+    s = SE.clean_month_series(B.month_series(spark, d)).select("date", "tourists")
+    last = s.select(F.max("date")).scalar()
+    out = EX.sply_extend_grouped(s, [], F.add_months(last, 17))
+    return out.withColumns({"year": F.year("date"), "month": F.month("date")})
+
+
+@query("slug")
+def q_slug(spark, d):
+    from tidemark.functions.dates import slug
+    return (B.marketing(spark, d).select("brand", "campaign_name")
+            .select("brand", slug(F.concat_ws(" ", "brand", "campaign_name")).alias("slug")))
+
+
+@query("detect_date_format")
+def q_detect_date_format(spark, d):
+    s = panel(spark, d).select("key", F.date_format("date", "M-d-yyyy").alias("date_str"))
+    return SE.detect_date_format(s, "date_str")
+
+
+@query("train_test_split")
+def q_train_test_split(spark, d):
+    return FS.split_flag(target_panel(spark, d), TRAIN_END)
+
+
+@query("recency_weight")
+def q_recency_weight(spark, d):
+    tr = target_panel(spark, d).filter(F.col("date") <= F.lit(TRAIN_END).cast("date"))
+    return rnd(FS.recency_weight(tr, TRAIN_END), ["weight"], 6)
+
+
+MKT_SRC_COLS = [f"total_cost_usd_{s}" for s in SOURCES]
+PROMO_FILL = [c for c in PROMO_FEATURES if c not in ("locationId", "date")]
+
+
+def feature_store(spark, d):
+    """Panel + future rows + calendar + marketing + stores + promotions (#20-31, #75, #141)."""
+    hist = flagship(spark, d)
+    last = hist.select(F.max("date")).scalar()
+    rows = FS.add_future_rows(hist, hist, last, HORIZON_MONTHS)
+    cal = CA.calendar_monthly(_cal(spark, d, "A"), "A")
+    m = EX.truncate_at(MK.monthly_with_sources(_mkt(spark, d), SOURCES), CUTOFF_MONTH, "month")
+    m = EX.sply_extend(m, ["brand", "region"], HORIZON_END, "month")
+    spend = (m.groupBy(F.col("month").alias("date"))
+             .agg(*[F.sum(c).cast("double").alias(c) for c in MKT_SRC_COLS]))
+    stores = _stores_binned(spark, d).withColumnRenamed("store", "key").drop("city")
+    promo = _sply_promo(spark, d).withColumnRenamed("locationId", "key")
+    out = FS.left_join_by(rows, cal, ["date"])
+    out = FS.left_join_by(out, spend, ["date"], {c: 0.0 for c in MKT_SRC_COLS})
+    out = FS.left_join_by(out, stores, ["key"])
+    out = FS.left_join_by(out, promo, ["key", "date"],
+                          {c: 0 for c in PROMO_FILL})
+    return FS.split_flag(out, TRAIN_END)
+
+
+@query("feature_store")
+def q_feature_store(spark, d):
+    return feature_store(spark, d)
