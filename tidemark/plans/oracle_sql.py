@@ -240,7 +240,7 @@ select date, fashion_week_season, riyadh_fashion_week, jeddah_fashion_week,
 _SEASON = ("case when month(date) in (12, 1, 2) then 1 when month(date) in (3, 4, 5) then 2 "
            "when month(date) in (6, 7, 8, 9) then 3 when month(date) in (10, 11) then 4 end")
 SQL["calendar_monthly"] = with_("cal_a") + f"""
-select *, day(last_day(date)) as count_of_days, {_SEASON} as uae_seasons
+select *, day(last_day(date))::int as count_of_days, {_SEASON} as uae_seasons
 from (select date_trunc('month', date)::date as date,
         sum(ramadan_period)::bigint as ramadan_period,
         sum(public_holidays)::bigint as public_holidays,
@@ -252,7 +252,7 @@ SQL["calendar_monthly_b"] = with_("cal_b") + """
 select date_trunc('month', date)::date as date, sum(ramadan_period)::bigint as ramadan_days,
   sum(public_holidays)::bigint as public_holiday_days,
   sum(greatest(fashion_week_season, luxury_season))::bigint as fashion_luxury_days,
-  day(last_day(date_trunc('month', date)::date)) as count_of_days
+  day(last_day(date_trunc('month', date)::date))::int as count_of_days
 from cal_b group by 1"""
 SQL["season_code"] = with_("ap") + f"select key, date, {_SEASON} as uae_seasons from ap"
 SQL["peak_calendar"] = with_("peak") + "select * from peak"
@@ -278,9 +278,9 @@ select j.*, case when j.date in (select d::date from near) then 1 else 0 end as
 from j"""
 _TP = "2 * pi()"
 SQL["date_features"] = with_("ap") + f"""
-select *, month(date) as month, quarter(date) as quarter, year(date) as year,
+select *, month(date)::int as month, quarter(date)::int as quarter, year(date)::int as year,
   (day(date) = 1)::int as is_month_start, (date = last_day(date))::int as is_month_end,
-  day(last_day(date)) as days_in_month,
+  day(last_day(date))::int as days_in_month,
   round_even(sin({_TP} * month(date) / 12), 6) + 0.0 as fourier_year_sin,
   round_even(cos({_TP} * month(date) / 12), 6) + 0.0 as fourier_year_cos,
   round_even(sin({_TP} * (quarter(date) - 1) / 4), 6) + 0.0 as quarter_sin,
@@ -291,7 +291,7 @@ from ap"""
 from tidemark.plans.params import CUTOFF_MONTH, HORIZON_END  # noqa: E402
 
 CTES["rel"] = ("""
-select *, datediff('day', eff_from, eff_to) + 1 as promo_length
+select *, (datediff('day', eff_from, eff_to) + 1)::int as promo_length
 from (select l_suppkey::varchar as locationId, l_partkey as itemId,
         case l_returnflag when 'R' then 'RELATIVE' when 'A' then 'ABSOLUTE' else 'NONE' end
           as strategy,
@@ -353,7 +353,7 @@ select locationId, date, distinct_discount_levels, round_even(avg_discount, 4) a
 SQL["promo_features"] = with_("pf") + "select * from pf"
 SQL["sply_promo"] = with_("sply_p") + "select * from sply_p"
 SQL["available_months"] = with_("sply_p") + """
-select locationId, count(distinct date) as n_months,
+select locationId, count(distinct date)::int as n_months,
        array_to_string(list_sort(list_distinct(list(strftime(date, '%Y-%m')))), ',')
          as available_months
 from sply_p group by 1"""
@@ -630,7 +630,7 @@ _FLAG_COLS = ["key", "business_type", "date", "target", "ppu", "Lag12_y", "MA6_y
 SQL["profile"] = with_("flag") + " union all ".join(f"""
 select (select count(*) from flag) as rows, (select min(date) from flag) as min_date,
        (select max(date) from flag) as max_date, '{c}' as column_name,
-       (select count_if({c} is null) from flag) as nulls, {len(_FLAG_COLS)} as columns"""
+       (select count_if({c} is null) from flag)::bigint as nulls, {len(_FLAG_COLS)} as columns"""
                                                     for c in _FLAG_COLS)
 SQL["value_counts"] = with_("stores") + " union all ".join(f"""
 select '{c}' as column_name, {c}::varchar as value, count(*) as count from stores group by 2"""
