@@ -761,3 +761,38 @@ select r.*, cm.* exclude (date), """ + ", ".join(f'coalesce(spend."{c}", 0.0) as
   (r.date > date '{TRAIN_END}')::int as Pred_Flag
 from r left join cm using (date) left join spend using (date) left join sbk using (key)
        left join pk using (key, date)"""
+
+# ---------------------------------------------------------------- recursion
+_TMEAN = f"(select avg(target::double) from ap where date <= date '{TRAIN_END}')"
+
+
+def _nf(h: str) -> dict[str, str]:
+    """Next-month features of history list ``h`` (DuckDB list functions)."""
+    n = f"len({h})"
+    last = f"{h}[greatest({n} - 5, 1):{n}]"
+    return {
+        "Lag12_y": f"(case when {n} >= 12 then {h}[{n} - 11] else {_TMEAN} end)",
+        "MA6_y": f"list_avg({last})",
+        "STD6_y": f"list_stddev_samp({last})",
+        "EMA6_y": f"list_reduce({h}, lambda acc, v: acc * {B6} + v * {A6})",
+    }
+
+
+CTES["hist"] = ("""
+select key, list(target::double order by date) as h, max(date) as last_date from ap group by key""",
+                ("ap",))
+SQL["recursive_features"] = with_("hist") + "select key, (last_date + interval 1 month)::date as date, " + \
+    ", ".join(f"round_even({v}, 4) as {k}" for k, v in _nf("h").items()) + " from hist"
+_NF = _nf("h")
+SQL["recursive_forecast_naive"] = with_("hist") + f""",
+r as (
+  with recursive rr(key, step, last_date, h) as (
+    select key, 0, last_date, h from hist
+    union all
+    select key, step + 1, last_date,
+           list_append(h, 0.5 * {_NF['Lag12_y']} + 0.5 * {_NF['MA6_y']})
+    from rr where step < {H})
+  select * from rr where step = {H})
+select key, (last_date + to_months(i::int))::date as date,
+       round_even(h[len(h) - {H} + i], 4) as forecast
+from r, range(1, {H + 1}) t(i)"""

@@ -699,3 +699,37 @@ def feature_store(spark, d):
 @query("feature_store")
 def q_feature_store(spark, d):
     return feature_store(spark, d)
+
+
+# ---------------------------------------------------------------- recursion
+from tidemark.operators import recursive as RC  # noqa: E402
+
+
+def _train_mean(tp):
+    return tp.filter(F.col("date") <= F.lit(TRAIN_END).cast("date")).select(
+        F.avg(F.col("target").cast("double"))).scalar()
+
+
+@query("recursive_features")
+def q_recursive_features(spark, d):
+    tp = target_panel(spark, d)
+    st = RC.history(tp)
+    feats = RC.next_features(F.col("h"), _train_mean(tp))
+    out = st.select("key", F.add_months("last_date", 1).alias("date"),
+                    *[v.alias(k) for k, v in feats.items()])
+    return rnd(out, list(feats))
+
+
+def naive_score(mean_fill):
+    def score(h):
+        f = RC.next_features(h, mean_fill)
+        return 0.5 * f["Lag12_y"] + 0.5 * f["MA6_y"]
+    return score
+
+
+@query("recursive_forecast_naive")
+def q_recursive_forecast_naive(spark, d):
+    tp = target_panel(spark, d)
+    out = RC.recursive_forecast_expr(tp, HORIZON_MONTHS, naive_score(F.col("_mean")),
+                                     constants={"_mean": _train_mean(tp)})
+    return rnd(out, ["forecast"])
