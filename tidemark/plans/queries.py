@@ -733,3 +733,79 @@ def q_recursive_forecast_naive(spark, d):
     out = RC.recursive_forecast_expr(tp, HORIZON_MONTHS, naive_score(F.col("_mean")),
                                      constants={"_mean": _train_mean(tp)})
     return rnd(out, ["forecast"])
+
+
+# ---------------------------------------------------------------- modelling (rows-only checks)
+from tidemark.operators import ml as ML  # noqa: E402
+
+
+def _ml_frames(spark, d):
+    # Materialise the feature table once (reliable checkpoint in the shared
+    # folder): tree learners and CV scan it many times.
+    f = ML.with_model_features(flagship(spark, d)).checkpoint(eager=True)
+    cut = F.lit(TRAIN_END).cast("date")
+    return f.filter(F.col("date") <= cut), f.filter(F.col("date") > cut)
+
+
+def _holdout_predictions(spark, d, name):
+    train, test = _ml_frames(spark, d)
+    model = ML.fit(name, train)
+    return model.transform(test).select("key", "date", "target", "prediction")
+
+
+@query("train_rf")
+def q_train_rf(spark, d):
+    return _holdout_predictions(spark, d, "random_forest")
+
+
+@query("train_gbt")
+def q_train_gbt(spark, d):
+    return _holdout_predictions(spark, d, "xgboost")
+
+
+@query("train_gbt_fine")
+def q_train_gbt_fine(spark, d):
+    return _holdout_predictions(spark, d, "lgbm")
+
+
+@query("tune_model")
+def q_tune_model(spark, d):
+    train, _ = _ml_frames(spark, d)
+    cv, maps = ML.random_search("random_forest", train, draws=10, folds=3)
+    rows = [(i, ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)),
+             float(r)) for i, (m, r) in enumerate(zip(maps, cv.avgMetrics))]
+    return spark.createDataFrame(rows, "draw int, params string, cv_rmse double")
+
+
+@query("train_all")
+def q_train_all(spark, d):
+    train, test = _ml_frames(spark, d)
+    rows = []
+    for name in EV.MODELS:
+        model = ML.fit(name, train)
+        path = ML.save(model, IO.shared_dir(spark, f"models/{name}"))
+        rows.append((name, path, ML.rmse(model, test)))
+    return spark.createDataFrame(rows, "model string, path string, holdout_rmse double")
+
+
+@query("feature_importance")
+def q_feature_importance(spark, d):
+    train, _ = _ml_frames(spark, d)
+    return ML.importances(spark, ML.fit("xgboost", train))
+
+
+@query("recursive_forecast")
+def q_recursive_forecast(spark, d):
+    """Every model forecasts H months ahead for all stores; wide table (#125-126)."""
+    tp = target_panel(spark, d)
+    train, _ = _ml_frames(spark, d)
+    hist = tp.filter(F.col("date") <= F.lit(TRAIN_END).cast("date"))
+    mean = _train_mean(tp)
+    wide = None
+    for name in EV.MODELS:
+        model = ML.fit(name, train)
+        fc = RC.recursive_forecast_model(hist, HORIZON_MONTHS, model, ML.FEATURES, mean)
+        fc = fc.withColumnRenamed("forecast", f"forecast_{name}")
+        wide = fc if wide is None else wide.join(fc, ["key", "date"])
+    actual = tp.select("key", "date", F.col("target").cast("double").alias("target"))
+    return wide.join(actual, ["key", "date"], "left")
