@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import rollup as RU
 from tidemark.operators import windows as WN
-from tidemark.plans.common import panel, rnd, target_panel
+from tidemark.plans.common import compute_panel, panel, rnd, target_panel
 from tidemark.plans.params import LAGS, TRAIN_END, WINDOWS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +29,7 @@ def query(name: str):
 # ---------------------------------------------------------------- panel
 @query("monthly_rollup")
 def q_monthly_rollup(spark, d):
-    return panel(spark, d)
+    return compute_panel(spark, d)
 
 
 @query("active_stores")
@@ -212,7 +212,7 @@ PROMO_FEATURES = ["locationId", "date", "distinct_discount_levels", "avg_discoun
 
 
 def _rel(spark, d):
-    return IV.relative_only(B.promotions(spark, d))
+    return IV.relative_only(B.promotions(spark, d, strategies=["RELATIVE"]))
 
 
 @query("promo_length")

@@ -87,11 +87,27 @@ def sales(spark: SparkSession, sf_dir: str, brands: Sequence[str] | None = None,
     return df.drop("s_suppkey")
 
 
-def promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Logical ``promotions`` (A3): closed intervals [eff_from, eff_to]."""
+# Promotion strategy encoded by the line's return flag.
+STRATEGY_BY_FLAG = {"R": "RELATIVE", "A": "ABSOLUTE"}
+
+
+def promotions(spark: SparkSession, sf_dir: str,
+               strategies: Sequence[str] | None = None) -> DataFrame:
+    """Logical ``promotions`` (A3): closed intervals [eff_from, eff_to].
+
+    ``strategies`` is pushed to the Parquet scan as a predicate on the raw
+    flag column (a filter on the derived ``strategy`` would fold into a CASE
+    expression that the scan cannot evaluate).
+    """
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_suppkey", "l_partkey", "l_returnflag", "l_discount",
                      "l_shipdate", "l_quantity"])
+    if strategies is not None:
+        flags = [f for f, name in STRATEGY_BY_FLAG.items() if name in strategies]
+        cond = F.col("l_returnflag").isin(flags) if flags else F.lit(False)
+        if "NONE" in strategies:
+            cond = cond | ~F.col("l_returnflag").isin(list(STRATEGY_BY_FLAG))
+        li = li.filter(cond)
     eff_from = F.to_date("l_shipdate")
     return li.select(
         F.col("l_suppkey").cast("string").alias("locationId"),
