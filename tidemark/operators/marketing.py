@@ -28,13 +28,14 @@ def filter_pairs(df: DataFrame, pairs: DataFrame) -> DataFrame:
     return df.join(F.broadcast(pairs), ["brand", "region"], "left_semi")
 
 
-def monthly_metrics(df: DataFrame) -> DataFrame:
-    """Monthly sums, means of row KPIs (``*_l``) and KPIs from sums (#45, #47, S18)."""
-    g = df.groupBy(F.trunc("date", "MM").alias("month"), "brand", "region").agg(
-        F.sum("total_cost_usd").cast("decimal(38,2)").alias("total_cost_usd"),
-        F.sum("impressions").alias("impressions"),
-        F.sum("clicks").alias("clicks"),
-        F.avg("ctr").alias("ctr_l"), F.avg("cpm").alias("cpm_l"), F.avg("cpc").alias("cpc_l"))
+def _metric_aggs():
+    return [F.sum("total_cost_usd").cast("decimal(38,2)").alias("total_cost_usd"),
+            F.sum("impressions").alias("impressions"),
+            F.sum("clicks").alias("clicks"),
+            F.avg("ctr").alias("ctr_l"), F.avg("cpm").alias("cpm_l"), F.avg("cpc").alias("cpc_l")]
+
+
+def _kpis(g: DataFrame) -> DataFrame:
     return g.withColumns({
         "CPM": sdiv("total_cost_usd", "impressions") * 1000,
         "CPC": sdiv("total_cost_usd", "clicks"),
@@ -42,13 +43,30 @@ def monthly_metrics(df: DataFrame) -> DataFrame:
     })
 
 
+def _source_aggs(sources: Sequence[str], prefix: str):
+    return [F.coalesce(F.sum(F.when(F.col("source") == s, F.col("total_cost_usd"))),
+                       F.lit(0)).cast("decimal(38,2)").alias(prefix + s) for s in sources]
+
+
+def monthly_metrics(df: DataFrame) -> DataFrame:
+    """Monthly sums, means of row KPIs (``*_l``) and KPIs from sums (#45, #47, S18)."""
+    g = df.groupBy(F.trunc("date", "MM").alias("month"), "brand", "region").agg(*_metric_aggs())
+    return _kpis(g)
+
+
 def cost_by_source(df: DataFrame, sources: Sequence[str], prefix: str = "total_cost_usd_") -> DataFrame:
-    """Pivot summed cost by source with explicit values (no extra distinct job), 0 fill (#46)."""
-    p = (df.groupBy(F.trunc("date", "MM").alias("month"), "brand", "region")
-         .pivot("source", list(sources)).agg(F.sum("total_cost_usd").cast("decimal(38,2)")))
-    p = p.fillna(0, subset=list(sources))
-    return p.withColumnsRenamed({s: prefix + s for s in sources})
+    """Pivot of summed cost by source, explicit values, 0 fill (#46).
+
+    Written as one conditional sum per value (what ``pivot`` with explicit
+    values computes), so it can share the pass with other aggregates.
+    """
+    return (df.groupBy(F.trunc("date", "MM").alias("month"), "brand", "region")
+            .agg(*_source_aggs(sources, prefix)))
 
 
-def monthly_with_sources(df: DataFrame, sources: Sequence[str]) -> DataFrame:
-    return monthly_metrics(df).join(cost_by_source(df, sources), ["month", "brand", "region"], "left")
+def monthly_with_sources(df: DataFrame, sources: Sequence[str],
+                         prefix: str = "total_cost_usd_") -> DataFrame:
+    """Monthly metrics and the source pivot in a single aggregate pass."""
+    g = (df.groupBy(F.trunc("date", "MM").alias("month"), "brand", "region")
+         .agg(*_metric_aggs(), *_source_aggs(sources, prefix)))
+    return _kpis(g)
