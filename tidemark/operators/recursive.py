@@ -107,5 +107,6 @@ def recursive_forecast_model(df: DataFrame, steps: int, model, feature_cols: Seq
         st = scored.select(key, "last_date", "_n0", "_mean",
                            F.concat("h", F.array(F.col(prediction_col).cast("double"))).alias("h"))
         if checkpoint_every and i % checkpoint_every == 0 and i < steps:
-            st = st.checkpoint(eager=True)
+            from tidemark.session import checkpoint
+            st = checkpoint(st)
     return forecasts_from(st, steps, key)

@@ -39,9 +39,8 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     memo_key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     df = _PANELS.get(memo_key)
     if df is None:
-        from tidemark.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(spark)
-        df = compute_panel(spark, sf_dir).repartition("key").checkpoint(eager=True)
+        from tidemark.session import checkpoint
+        df = checkpoint(compute_panel(spark, sf_dir).repartition("key"))
         _PANELS[memo_key] = df
     return df
 

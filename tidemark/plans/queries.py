@@ -742,7 +742,8 @@ from tidemark.operators import ml as ML  # noqa: E402
 def _ml_frames(spark, d):
     # Materialise the feature table once (reliable checkpoint in the shared
     # folder): tree learners and CV scan it many times.
-    f = ML.with_model_features(flagship(spark, d)).checkpoint(eager=True)
+    from tidemark.session import checkpoint
+    f = checkpoint(ML.with_model_features(flagship(spark, d)))
     cut = F.lit(TRAIN_END).cast("date")
     return f.filter(F.col("date") <= cut), f.filter(F.col("date") > cut)
 
