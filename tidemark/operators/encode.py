@@ -14,19 +14,28 @@ from pyspark.sql import functions as F
 from tidemark.functions.safe import sdiv
 
 
-def quartile_cuts(df: DataFrame, col: str, approx: bool = False,
+EXACT_QUANTILE_MAX_ROWS = 5_000_000
+
+
+def quartile_cuts(df: DataFrame, col: str, approx: bool | None = None,
                   accuracy: int = 1_000_000) -> Column:
     """Scalar subquery: array of the 25/50/75 % linear-interpolated quantiles.
 
-    ``approx`` switches to the mergeable sketch for dims too large for the
-    exact aggregate's single buffer.
+    The exact aggregate keeps every distinct value in one buffer, so it is
+    used only when the input is checked to hold at most
+    ``EXACT_QUANTILE_MAX_ROWS`` rows (a ``limit``-bounded count); beyond
+    that the mergeable sketch ``percentile_approx`` (rank error 1/accuracy)
+    takes over. ``approx`` forces either path.
     """
+    if approx is None:
+        approx = df.limit(EXACT_QUANTILE_MAX_ROWS + 1).count() > EXACT_QUANTILE_MAX_ROWS
     probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     agg = (F.percentile_approx(col, probs, accuracy) if approx else F.percentile(col, probs))
     return df.select(agg).scalar()
 
 
-def quartile_bin(df: DataFrame, col: str, out: str | None = None, approx: bool = False) -> DataFrame:
+def quartile_bin(df: DataFrame, col: str, out: str | None = None,
+                 approx: bool | None = None) -> DataFrame:
     """Labels 1..4 with right-closed intervals, lowest included (pandas ``qcut``, S14).
 
     Duplicate edges collapse instead of raising.

@@ -21,9 +21,14 @@ FEATURES = ("Lag12_y", "MA6_y", "STD6_y", "EMA6_y", "month", "quarter")
 SEED = 42
 
 
-def estimator(name: str, label: str = "target"):
-    """Fixed presets: random forest, depth-wise boosting, fine leaf-style boosting (#117-119)."""
+def estimator(name: str, label: str = "target", weight_col: str | None = None):
+    """Fixed presets: random forest, depth-wise boosting, fine leaf-style boosting (#117-119).
+
+    ``weight_col`` feeds per-row sample weights (e.g. recency weights, #128).
+    """
     common = dict(featuresCol="features", labelCol=label, predictionCol="prediction", seed=SEED)
+    if weight_col:
+        common["weightCol"] = weight_col
     if name == "random_forest":
         return RandomForestRegressor(numTrees=40, maxDepth=8, **common)
     if name == "xgboost":
@@ -83,8 +88,9 @@ def random_search(name: str, train: DataFrame, draws: int = 10, folds: int = 3,
     return model, sampled
 
 
-def fit(name: str, train: DataFrame, features: Sequence[str] = FEATURES) -> PipelineModel:
-    return pipeline(estimator(name), features).fit(train)
+def fit(name: str, train: DataFrame, features: Sequence[str] = FEATURES,
+        weight_col: str | None = None) -> PipelineModel:
+    return pipeline(estimator(name, weight_col=weight_col), features).fit(train)
 
 
 def rmse(model: PipelineModel, df: DataFrame) -> float:

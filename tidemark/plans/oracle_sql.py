@@ -796,3 +796,27 @@ r as (
 select key, (last_date + to_months(i::int))::date as date,
        round_even(h[len(h) - {H} + i], 4) as forecast
 from r, range(1, {H + 1}) t(i)"""
+
+CTES["dv"] = ("""
+select key, year_month as date,
+       case when d2 > 0 then 'increasing' when d2 < 0 then 'decreasing' else 'fluctuating' end
+         as deriv_2_trend_flag
+from (select key, year_month, coalesce(round_even((r1 - lag(r1) over w) / nullif(lag(r1) over w, 0)
+                                                  * 100, 2), 0) as d2
+      from (select key, year_month,
+                   round_even((lag(t, 1) over w - lag(t, 2) over w) / nullif(lag(t, 2) over w, 0)
+                              * 100, 2) as r1
+            from (select key, date_trunc('month', date)::date as year_month, sum(target)::double as t
+                  from ap group by 1, 2)
+            window w as (partition by key order by year_month))
+      window w as (partition by key order by year_month))""", ("ap",))
+SQL["trend_label_encode"] = with_("ap", "dv") + f""",
+rows as (select ap.*, dv.deriv_2_trend_flag from ap left join dv using (key, date)),
+te as (select deriv_2_trend_flag,
+              case when n = 1 then p else p * (1 - sg) + m * sg end as deriv_2_trend_flag_encode
+       from (select deriv_2_trend_flag, count(target) as n, avg(target::double) as m,
+                    1.0 / (1.0 + exp(-(count(target) - 20) / 10.0)) as sg,
+                    (select avg(target::double) from rows where date <= date '{TRAIN_END}') as p
+             from rows where date <= date '{TRAIN_END}' group by 1))
+select rows.*, round_even(te.deriv_2_trend_flag_encode, 4) as deriv_2_trend_flag_encode
+from rows left join te using (deriv_2_trend_flag)"""

@@ -582,8 +582,7 @@ def q_scan_stores(spark, d):
 
 @query("scan_marketing")
 def q_scan_marketing(spark, d):
-    m = B.marketing(spark, d, start="1998-01-01").filter(F.col("brand") == "BUILDING")
-    return IO.filter_between(m, "date", end="1998-12-31")
+    return B.marketing(spark, d, start="1998-01-01", end="1998-12-31", brand="BUILDING")
 
 
 @query("sink_roundtrip")
@@ -810,3 +809,23 @@ def q_recursive_forecast(spark, d):
         wide = fc if wide is None else wide.join(fc, ["key", "date"])
     actual = tp.select("key", "date", F.col("target").cast("double").alias("target"))
     return wide.join(actual, ["key", "date"], "left")
+
+
+@query("trend_label_encode")
+def q_trend_label_encode(spark, d):
+    """Trend label encoded on train rows, saved as a mapping, applied by join (#111, #115)."""
+    tp = target_panel(spark, d)
+    dv = WN.derivatives(tp).select("key", F.col("year_month").alias("date"), "deriv_2_trend_flag")
+    rows = tp.join(dv, ["key", "date"], "left")
+    train = rows.filter(F.col("date") <= F.lit(TRAIN_END).cast("date"))
+    mapping = EN.target_encoding_table(train, "deriv_2_trend_flag")
+    return rnd(EN.apply_mapping(rows, mapping, "deriv_2_trend_flag"),
+               ["deriv_2_trend_flag_encode"])
+
+
+@query("train_recency_weighted")
+def q_train_recency_weighted(spark, d):
+    """Random forest fit with recency sample weights (#128) — hold-out predictions."""
+    train, test = _ml_frames(spark, d)
+    model = ML.fit("random_forest", FS.recency_weight(train, TRAIN_END), weight_col="weight")
+    return model.transform(test).select("key", "date", "target", "prediction")

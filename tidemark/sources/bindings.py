@@ -136,17 +136,29 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("store_format"))
 
 
-def marketing(spark: SparkSession, sf_dir: str, start: str | None = None) -> DataFrame:
-    """Logical ``marketing`` (A5), campaign-day grain, with null-safe row KPIs."""
+def marketing(spark: SparkSession, sf_dir: str, start: str | None = None,
+              end: str | None = None, brand: str | None = None,
+              limit: int | None = None) -> DataFrame:
+    """Logical ``marketing`` (A5), campaign-day grain, with null-safe row KPIs (#4).
+
+    ``start``/``end`` are pushed to the orders scan, ``brand`` to the
+    customer scan; ``limit`` (optional, as in the reference's query builder)
+    caps the rows returned in a deterministic (date, campaign) order.
+    """
     o = read_table(spark, sf_dir, "orders",
                    ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"])
     if start is not None:
         o = o.filter(F.col("o_orderdate") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        o = o.filter(F.col("o_orderdate") < F.date_add(F.lit(end).cast("date"), 1)
+                     .cast("timestamp_ntz"))
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
+    if brand is not None:
+        c = c.filter(F.col("c_mktsegment") == brand)
     df = (o.join(c, o.o_custkey == c.c_custkey)
           .join(geography(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")))
     cost = F.col("o_totalprice").cast("decimal(18,2)")
-    return df.select(
+    out = df.select(
         F.to_date("o_orderdate").alias("date"),
         F.col("c_mktsegment").alias("brand"),
         F.concat(F.lower("r_name"), F.lit("_"), F.col("o_orderkey").cast("string"))
@@ -162,6 +174,9 @@ def marketing(spark: SparkSession, sf_dir: str, start: str | None = None) -> Dat
         "cpc": F.try_divide(F.col("total_cost_usd").cast("double"),
                             F.col("clicks").cast("double")),
     })
+    if limit is not None:
+        out = out.orderBy("date", "campaign_name").limit(limit)
+    return out
 
 
 def month_series(spark: SparkSession, sf_dir: str) -> DataFrame:
