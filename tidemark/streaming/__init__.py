@@ -1,0 +1,8 @@
+"""Streaming surface.
+
+The reference pipeline is batch-only: it has no streams, watermarks, event-time
+windows or late-data handling (its only match for "stream" is the word
+"downstream"). Nothing is added here on purpose; every operator in
+``tidemark.operators`` is a plain DataFrame function, so a caller that needs
+incremental refresh can apply it inside ``writeStream.foreachBatch``.
+"""
