@@ -31,18 +31,26 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every downstream feature step reads the panel (as the reference reads its
     pre-processed Parquet), usually several times per query (main plan plus
-    scalar subqueries). It is hash-partitioned by ``key`` and written with a
-    reliable ``checkpoint()`` into the cluster's checkpoint folder: lineage is
-    cut, a lost executor costs a re-read instead of a re-aggregation, and the
-    per-key windows downstream inherit the partitioning (no further shuffle).
+    scalar subqueries). It is written once as a table bucketed by ``key``
+    into the cluster's shared checkpoint folder: lineage is cut, a lost
+    executor costs a re-read instead of a re-aggregation, and the scan
+    reports ``HashPartitioning(key, n)`` so per-key windows and key joins
+    downstream run without another shuffle. One writer per bucket (the
+    preceding ``repartition(n, key)``) keeps one file per bucket.
     """
     memo_key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    df = _PANELS.get(memo_key)
-    if df is None:
-        from tidemark.session import checkpoint
-        df = checkpoint(compute_panel(spark, sf_dir).repartition("key"))
-        _PANELS[memo_key] = df
-    return df
+    name = _PANELS.get(memo_key)
+    if name is None or not spark.catalog.tableExists(name):
+        import uuid
+
+        from tidemark.sources.io import shared_dir
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        name = f"tidemark_panel_{uuid.uuid4().hex[:12]}"
+        (compute_panel(spark, sf_dir).repartition(n, "key").write
+         .option("path", shared_dir(spark, "panel")).bucketBy(n, "key").sortBy("key", "date")
+         .saveAsTable(name))
+        _PANELS[memo_key] = name
+    return spark.table(name)
 
 
 def target_panel(spark: SparkSession, sf_dir: str, target: str = "units") -> DataFrame:
