@@ -110,3 +110,12 @@ def test_expression_recursion_equals_python_loop(spark):
             h.append(0.5 * lag + 0.5 * ma)
             d = (last + pd.DateOffset(months=i)).date()
             assert got[(k, d)] == pytest.approx(h[-1])
+
+
+def test_permute_column_is_a_permutation(spark):
+    from tidemark.operators.ml import permute_column
+    df = spark.range(1000).withColumn("v", F.col("id") * 3)
+    out = permute_column(df, "v", buckets=16)
+    assert sorted(r["v"] for r in out.collect()) == sorted(r["v"] for r in df.collect())
+    moved = out.join(df.withColumnRenamed("v", "v0"), "id").filter("v != v0").count()
+    assert moved > 900

@@ -17,6 +17,11 @@ from tidemark.functions.safe import sdiv
 EXACT_QUANTILE_MAX_ROWS = 5_000_000
 
 
+def needs_sketch(df: DataFrame, max_rows: int = EXACT_QUANTILE_MAX_ROWS) -> bool:
+    """Size check: more than ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() > max_rows
+
+
 def quartile_cuts(df: DataFrame, col: str, approx: bool | None = None,
                   accuracy: int = 1_000_000) -> Column:
     """Scalar subquery: array of the 25/50/75 % linear-interpolated quantiles.
@@ -28,7 +33,7 @@ def quartile_cuts(df: DataFrame, col: str, approx: bool | None = None,
     takes over. ``approx`` forces either path.
     """
     if approx is None:
-        approx = df.limit(EXACT_QUANTILE_MAX_ROWS + 1).count() > EXACT_QUANTILE_MAX_ROWS
+        approx = needs_sketch(df)
     probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     agg = (F.percentile_approx(col, probs, accuracy) if approx else F.percentile(col, probs))
     return df.select(agg).scalar()

@@ -14,7 +14,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 FEATURES = ("Lag12_y", "MA6_y", "STD6_y", "EMA6_y", "month", "quarter")
@@ -112,3 +112,30 @@ def importances(spark: SparkSession, model: PipelineModel,
     rows = [(f, float(imp[i]) + float(imp[n + i])) for i, f in enumerate(feats)]
     df = spark.createDataFrame(rows, "feature string, importance double")
     return df.orderBy(F.desc("importance"), "feature")
+
+
+def permute_column(df: DataFrame, col: str, seed: int = SEED, buckets: int = 1024) -> DataFrame:
+    """Replace ``col`` by a random derangement of its values, without a global sort.
+
+    Rows are hashed into ``buckets`` random groups and ordered randomly
+    inside each; every row takes the value of its successor (the last takes
+    the first). Group windows are balanced (about rows / buckets each), so
+    no task ever sorts the whole table.
+    """
+    b = F.pmod(F.xxhash64(F.rand(seed)), F.lit(buckets))
+    w = Window.partitionBy("_pb").orderBy("_po")
+    wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    shuffled = df.withColumns({"_pb": b, "_po": F.rand(seed + 1)})
+    nxt = F.coalesce(F.lead(col, 1).over(w), F.first(col).over(wall))
+    return shuffled.withColumn(col, nxt).drop("_pb", "_po")
+
+
+def permutation_importance(spark: SparkSession, model: PipelineModel, df: DataFrame,
+                           features: Sequence[str] = FEATURES, seed: int = SEED) -> DataFrame:
+    """RMSE increase when one feature is permuted, one scoring job per feature (#127)."""
+    ev = RegressionEvaluator(labelCol="target", metricName="rmse")
+    base = ev.evaluate(model.transform(df))
+    rows = [(f, ev.evaluate(model.transform(permute_column(df, f, seed))) - base)
+            for f in features]
+    return (spark.createDataFrame(rows, "feature string, rmse_increase double")
+            .orderBy(F.desc("rmse_increase"), "feature"))

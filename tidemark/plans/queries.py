@@ -300,8 +300,9 @@ from tidemark.operators import encode as EN  # noqa: E402
 
 def _stores_binned(spark, d):
     s = B.stores(spark, d).fillna(0.0, subset=["selling_square_ft"])
-    s = EN.quartile_bin(s, "total_square_ft")
-    return EN.quartile_bin(s, "selling_square_ft")
+    big = EN.needs_sketch(s)
+    s = EN.quartile_bin(s, "total_square_ft", approx=big)
+    return EN.quartile_bin(s, "selling_square_ft", approx=big)
 
 
 @query("quartile_bins")
@@ -678,8 +679,10 @@ PROMO_FILL = [c for c in PROMO_FEATURES if c not in ("locationId", "date")]
 def feature_store(spark, d):
     """Panel + future rows + calendar + marketing + stores + promotions (#20-31, #75, #141)."""
     hist = flagship(spark, d)
-    last = hist.select(F.max("date")).scalar()
-    rows = FS.add_future_rows(hist, hist, last, HORIZON_MONTHS)
+    # Keys and last month come from the (bucketed) panel, not from the
+    # feature plan, so the window features are computed once.
+    tp = target_panel(spark, d)
+    rows = FS.add_future_rows(hist, tp, tp.select(F.max("date")).scalar(), HORIZON_MONTHS)
     cal = CA.calendar_monthly(_cal(spark, d, "A"), "A")
     m = EX.truncate_at(MK.monthly_with_sources(_mkt(spark, d), SOURCES), CUTOFF_MONTH, "month")
     m = EX.sply_extend(m, ["brand", "region"], HORIZON_END, "month")
@@ -829,3 +832,10 @@ def q_train_recency_weighted(spark, d):
     train, test = _ml_frames(spark, d)
     model = ML.fit("random_forest", FS.recency_weight(train, TRAIN_END), weight_col="weight")
     return model.transform(test).select("key", "date", "target", "prediction")
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, d):
+    """Hold-out RMSE increase per permuted feature for the depth-wise booster (#127)."""
+    train, test = _ml_frames(spark, d)
+    return ML.permutation_importance(spark, ML.fit("xgboost", train), test)
