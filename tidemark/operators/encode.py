@@ -102,6 +102,11 @@ def binary_map(df: DataFrame, col: str, one: str, zero: str | None = None,
     return df.withColumn(out or col, expr.cast("int"))
 
 
-def apply_mapping(df: DataFrame, mapping: DataFrame, col: str) -> DataFrame:
-    """Join a small saved (category → code) mapping (#115); unseen → NULL."""
-    return df.join(F.broadcast(mapping), col, "left")
+def apply_mapping(df: DataFrame, mapping: DataFrame, col: str,
+                  max_broadcast_rows: int = 100_000) -> DataFrame:
+    """Join a saved (category → code) mapping (#115); unseen → NULL.
+
+    The mapping is broadcast only when its checked size is under the bound.
+    """
+    from tidemark.session import broadcast_if_small
+    return df.join(broadcast_if_small(mapping, max_broadcast_rows), col, "left")
