@@ -22,28 +22,36 @@ def truncate_at(df: DataFrame, cutoff: str | Column, date_col: str = "date") ->
     return df.filter(F.col(date_col) <= c)
 
 
+def _replicate(src: DataFrame, t: Column, date_col: str, actual_flag: str | None) -> DataFrame:
+    """Each row explodes k = 0..K; k = 0 is the row itself, k ≥ 1 its copies at +12k months.
+
+    K is 0 outside the last 12 months of the group, so a single generate
+    replaces "source ∪ copies" (no union, the input plan is computed once).
+    """
+    in_tail = F.col(date_col) > F.add_months("_L", -12)
+    reps = F.when(in_tail, F.greatest(
+        F.floor(F.months_between(t, F.col(date_col)) / 12).cast("int"), F.lit(0))).otherwise(0)
+    out = (src.withColumn("_k", F.explode(F.sequence(F.lit(0), reps)))
+           .withColumn(date_col, F.add_months(date_col, F.col("_k") * 12)))
+    if actual_flag:
+        out = out.withColumn(actual_flag, (F.col("_k") == 0).cast("int"))
+    return out.drop("_k", "_L")
+
+
 def sply_extend(df: DataFrame, keys: Sequence[str], horizon_end: str | Column,
                 date_col: str = "date", actual_flag: str | None = None) -> DataFrame:
     """Extend each key group to ``horizon_end`` with same-month-last-year values.
 
     Gaps in the last 12 months stay gaps. ``actual_flag`` (if given) names an
-    int column set to 1 on source rows and 0 on generated ones.
+    int column set to 1 on source rows and 0 on generated ones. The group's
+    last month comes from a window over the group (groups here are monthly
+    series, bounded by their number of months).
     """
     t = F.lit(horizon_end).cast("date") if isinstance(horizon_end, str) else horizon_end
     keys = list(keys)
     last = F.max(date_col).over(Window.partitionBy(*keys)) if keys else \
         F.max(date_col).over(Window.partitionBy())
-    src = df.withColumn("_L", last)
-    reps = F.floor(F.months_between(t, F.col(date_col)) / 12).cast("int")
-    tail = src.filter(F.col(date_col) > F.add_months("_L", -12)).withColumn("_K", reps)
-    gen = (tail.filter(F.col("_K") >= 1)
-           .withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_K"))))
-           .withColumn(date_col, F.add_months(date_col, F.col("_k") * 12))
-           .drop("_k", "_K"))
-    if actual_flag:
-        src = src.withColumn(actual_flag, F.lit(1))
-        gen = gen.withColumn(actual_flag, F.lit(0))
-    return src.unionByName(gen).drop("_L")
+    return _replicate(df.withColumn("_L", last), t, date_col, actual_flag)
 
 
 def sply_extend_grouped(df: DataFrame, keys: Sequence[str], horizon_end: str | Column,
@@ -51,7 +59,8 @@ def sply_extend_grouped(df: DataFrame, keys: Sequence[str], horizon_end: str | C
     """Same as :func:`sply_extend` with L from a partial aggregate joined back.
 
     Preferred when a group can be huge (a window would put the whole group in
-    one task); the aggregate output is one row per group.
+    one task); the aggregate output is one row per group, and with no keys L
+    is a scalar subquery.
     """
     keys = list(keys)
     t = F.lit(horizon_end).cast("date") if isinstance(horizon_end, str) else horizon_end
@@ -59,15 +68,7 @@ def sply_extend_grouped(df: DataFrame, keys: Sequence[str], horizon_end: str | C
         src = df.join(df.groupBy(*keys).agg(F.max(date_col).alias("_L")), keys, "left")
     else:
         src = df.withColumn("_L", df.select(F.max(date_col)).scalar())
-    reps = F.floor(F.months_between(t, F.col(date_col)) / 12).cast("int")
-    gen = (src.filter((F.col(date_col) > F.add_months("_L", -12)) & (reps >= 1))
-           .withColumn("_k", F.explode(F.sequence(F.lit(1), reps)))
-           .withColumn(date_col, F.add_months(date_col, F.col("_k") * 12)).drop("_k"))
-    base = src
-    if actual_flag:
-        base = base.withColumn(actual_flag, F.lit(1))
-        gen = gen.withColumn(actual_flag, F.lit(0))
-    return base.unionByName(gen).drop("_L")
+    return _replicate(src, t, date_col, actual_flag)
 
 
 def horizon_months(origin: Column, months: int) -> Column:
