@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import evaluate as EV
 from tidemark.operators import ml as ML
 from tidemark.operators import recursive as RC
+from tidemark.plans import fragments as FR
 from tidemark.plans import queries as Q
 from tidemark.plans.params import CUTOFF_MONTH, HORIZON_MONTHS, TRAIN_END
 from tidemark.sources.io import write_partitioned
@@ -37,13 +38,13 @@ def feature_build(spark: SparkSession, sf_dir: str, out: str, target: str = "uni
                   brand: str = "all") -> dict[str, str]:
     """Entry point A: every feature table of the feature-engineering stage."""
     tables = {
-        "panel": Q.panel(spark, sf_dir),
-        "temporal": Q.flagship(spark, sf_dir),
-        "derivatives": Q.WN.derivatives(Q.target_panel(spark, sf_dir)),
-        "calendar": Q.CA.calendar_monthly(Q._cal(spark, sf_dir, "A"), "A"),
-        "stores": Q._stores_binned(spark, sf_dir),
+        "panel": FR.panel(spark, sf_dir),
+        "temporal": FR.flagship(spark, sf_dir),
+        "derivatives": FR.WN.derivatives(FR.target_panel(spark, sf_dir)),
+        "calendar": FR.CA.calendar_monthly(FR.cal(spark, sf_dir, "A"), "A"),
+        "stores": FR.stores_binned(spark, sf_dir),
         "marketing": Q.q_sply_marketing(spark, sf_dir),
-        "promotions": Q._sply_promo(spark, sf_dir),
+        "promotions": FR.sply_promo(spark, sf_dir),
     }
     return {n: _write(df, out, n, target, brand) for n, df in tables.items()}
 
@@ -51,16 +52,16 @@ def feature_build(spark: SparkSession, sf_dir: str, out: str, target: str = "uni
 def master_table(spark: SparkSession, sf_dir: str, out: str, target: str = "units",
                  brand: str = "all") -> str:
     """Entry point B: the assembled feature store."""
-    return _write(Q.feature_store(spark, sf_dir), out, "master_table", target, brand)
+    return _write(FR.feature_store(spark, sf_dir), out, "master_table", target, brand)
 
 
 def train_forecast(spark: SparkSession, sf_dir: str, out: str, target: str = "units",
                    brand: str = "all") -> dict[str, str]:
     """Entry point C: fit, recurse, select champions, report (models saved under ``out``)."""
-    train, _ = Q._ml_frames(spark, sf_dir)
-    tp = Q.target_panel(spark, sf_dir)
+    train, _ = FR.ml_frames(spark, sf_dir)
+    tp = FR.target_panel(spark, sf_dir)
     hist = tp.filter(F.col("date") <= F.lit(TRAIN_END).cast("date"))
-    mean = Q._train_mean(tp)
+    mean = FR.train_mean(tp)
     wide = None
     for name in EV.MODELS:
         model = ML.fit(name, train)

@@ -9,11 +9,34 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from tidemark.functions.dates import key_month_label, last_friday_of_november, season_code, slug
+from tidemark.operators import calendar as CA
+from tidemark.operators import encode as EN
+from tidemark.operators import evaluate as EV
+from tidemark.operators import extend as EX
+from tidemark.operators import feature_store as FS
+from tidemark.operators import intervals as IV
+from tidemark.operators import marketing as MK
+from tidemark.operators import ml as ML
+from tidemark.operators import profile as PR
+from tidemark.operators import recursive as RC
 from tidemark.operators import rollup as RU
+from tidemark.operators import series as SE
 from tidemark.operators import windows as WN
 from tidemark.plans.common import compute_panel, panel, rnd, target_panel
-from tidemark.plans.params import LAGS, TRAIN_END, WINDOWS
+from tidemark.plans.flagship import flagship
+from tidemark.plans.fragments import (FC_COLS, MKT_SRC_COLS, PROMO_FEATURES, PROMO_FILL,  # noqa: F401
+                                      active_ids, applied, cal, feature_store, features_for_stub,
+                                      forecasts, last_month, marketing_by_month, mkt, ml_frames,
+                                      model_frames, panel_stores, peak, rel, scored, spine,
+                                      sply_promo, stores_binned, train_mean)
+from tidemark.plans.params import (BRAND_REGION_PAIRS, CUTOFF_MONTH, HORIZON_END,  # noqa: F401
+                                   HORIZON_MONTHS, LAGS, REGIONS, SOURCES, TRAIN_END, WINDOWS)
+from tidemark.sources import bindings as B
+from tidemark.sources import io as IO
+from tidemark.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,33 +101,20 @@ def q_derivatives(spark, d):
 
 
 # ---------------------------------------------------------------- calendar
-from tidemark.operators import calendar as CA  # noqa: E402
-from tidemark.sources import bindings as B  # noqa: E402
-
-
-def _spine(spark, d):
-    return CA.spine_of(B.sales_lines(spark, d))
-
-
-def _cal(spark, d, variant="A"):
-    return CA.holiday_calendar(_spine(spark, d), B.event_ranges(spark), B.event_days(spark),
-                               variant)
-
-
 @query("calendar_daily")
 def q_calendar_daily(spark, d):
-    return _cal(spark, d, "A")
+    return cal(spark, d, "A")
 
 
 @query("holiday_flags")
 def q_holiday_flags(spark, d):
-    return _cal(spark, d, "A").select("date", "national_holiday_flag", "is_eid_fitr",
+    return cal(spark, d, "A").select("date", "national_holiday_flag", "is_eid_fitr",
                                       "is_eid_adha", "public_holidays")
 
 
 @query("ramadan_flags")
 def q_ramadan_flags(spark, d):
-    ev = CA.with_event_flags(_spine(spark, d), B.event_ranges(spark), B.event_days(spark))
+    ev = CA.with_event_flags(spine(spark, d), B.event_ranges(spark), B.event_days(spark))
     from pyspark.sql import functions as F
     return ev.select("date", F.col("is_range").alias("is_ramadan"),
                      F.col("pre_range").alias("pre_ramadan"),
@@ -114,12 +124,12 @@ def q_ramadan_flags(spark, d):
 
 @query("eid_flags")
 def q_eid_flags(spark, d):
-    return _cal(spark, d, "A").select("date", "is_eid_fitr", "is_eid_adha", "pre_eid_shopping")
+    return cal(spark, d, "A").select("date", "is_eid_fitr", "is_eid_adha", "pre_eid_shopping")
 
 
 @query("shopping_events")
 def q_shopping_events(spark, d):
-    return _cal(spark, d, "A").select(
+    return cal(spark, d, "A").select(
         "date", "dubai_shopping_festival", "dubai_summer_surprises", "end_of_season_sales",
         "year_end_sales", "black_friday_week", "is_high_sales_intent_flag", "shopping_event_code")
 
@@ -128,7 +138,7 @@ def q_shopping_events(spark, d):
 def q_black_friday(spark, d):
     from tidemark.functions.dates import last_friday_of_november
     from pyspark.sql import functions as F
-    return (_spine(spark, d).withColumn("black_friday_week",
+    return (spine(spark, d).withColumn("black_friday_week",
                                         CA.D.black_friday_week("date"))
             .filter("black_friday_week = 1")
             .select("date", last_friday_of_november(F.year("date")).alias("black_friday")))
@@ -136,7 +146,7 @@ def q_black_friday(spark, d):
 
 @query("luxury_season")
 def q_luxury_season(spark, d):
-    return _cal(spark, d, "B").select(
+    return cal(spark, d, "B").select(
         "date", "fashion_week_season", "riyadh_fashion_week", "jeddah_fashion_week",
         "luxury_ramadan_eid_season", "saudi_national_day_season", "luxury_season",
         "is_high_sales_intent_flag", "shopping_event_code", "public_holidays")
@@ -144,12 +154,12 @@ def q_luxury_season(spark, d):
 
 @query("calendar_monthly")
 def q_calendar_monthly(spark, d):
-    return CA.calendar_monthly(_cal(spark, d, "A"), "A")
+    return CA.calendar_monthly(cal(spark, d, "A"), "A")
 
 
 @query("calendar_monthly_b")
 def q_calendar_monthly_b(spark, d):
-    return CA.calendar_monthly(_cal(spark, d, "B"), "B")
+    return CA.calendar_monthly(cal(spark, d, "B"), "B")
 
 
 @query("season_code")
@@ -160,23 +170,19 @@ def q_season_code(spark, d):
                                          .alias("uae_seasons"))
 
 
-def _peak(spark, d):
-    return CA.peak_calendar(_spine(spark, d), B.event_ranges(spark), B.event_days(spark))
-
-
 @query("peak_calendar")
 def q_peak_calendar(spark, d):
-    return _peak(spark, d)
+    return peak(spark, d)
 
 
 @query("peak_ratio")
 def q_peak_ratio(spark, d):
-    return rnd(CA.peak_ratio(_peak(spark, d)), ["ksa_shopping_peak_ratio"])
+    return rnd(CA.peak_ratio(peak(spark, d)), ["ksa_shopping_peak_ratio"])
 
 
 @query("peak_calendar_join")
 def q_peak_calendar_join(spark, d):
-    return rnd(CA.join_peak_calendar(target_panel(spark, d), _peak(spark, d)),
+    return rnd(CA.join_peak_calendar(target_panel(spark, d), peak(spark, d)),
                ["ksa_shopping_peak_ratio"])
 
 
@@ -187,7 +193,7 @@ def q_holiday_count(spark, d):
 
 @query("pre_post_event_flag")
 def q_pre_post_event_flag(spark, d):
-    p = CA.join_peak_calendar(target_panel(spark, d), _peak(spark, d)).drop(
+    p = CA.join_peak_calendar(target_panel(spark, d), peak(spark, d)).drop(
         "ksa_shopping_peak_ratio")
     months = p.filter("festive_peak_flag = 1").select("date").distinct() \
               .withColumn("flag", __import__("pyspark.sql.functions", fromlist=["lit"]).lit(1))
@@ -200,59 +206,39 @@ def q_date_features(spark, d):
 
 
 # ---------------------------------------------------------------- promotions
-from pyspark.sql import functions as F  # noqa: E402
-
-from tidemark.operators import extend as EX  # noqa: E402
-from tidemark.operators import intervals as IV  # noqa: E402
-from tidemark.plans.params import CUTOFF_MONTH, HORIZON_END  # noqa: E402
-
-PROMO_FEATURES = ["locationId", "date", "distinct_discount_levels", "avg_discount", "max_discount",
-                  "min_discount", "avg_promo_duration", "percentage_products_on_promo",
-                  "promo_days_in_month"]
-
-
-def _rel(spark, d):
-    return IV.relative_only(B.promotions(spark, d, strategies=["RELATIVE"]))
-
-
 @query("promo_length")
 def q_promo_length(spark, d):
-    return rnd(IV.with_length(_rel(spark, d)), ["discount_efficiency"])
+    return rnd(IV.with_length(rel(spark, d)), ["discount_efficiency"])
 
 
 @query("promo_span")
 def q_promo_span(spark, d):
-    return IV.promo_span(_rel(spark, d))
+    return IV.promo_span(rel(spark, d))
 
 
 @query("promo_days")
 def q_promo_days(spark, d):
-    return IV.promo_days(_rel(spark, d))
+    return IV.promo_days(rel(spark, d))
 
 
 @query("promo_monthly")
 def q_promo_monthly(spark, d):
-    return rnd(IV.promo_monthly(_rel(spark, d)), ["avg_discount", "avg_promo_duration"])
+    return rnd(IV.promo_monthly(rel(spark, d)), ["avg_discount", "avg_promo_duration"])
 
 
 @query("promo_features")
 def q_promo_features(spark, d):
-    return IV.promo_features(_rel(spark, d)).select(*PROMO_FEATURES)
-
-
-def _sply_promo(spark, d):
-    f = EX.truncate_at(IV.promo_features(_rel(spark, d)).select(*PROMO_FEATURES), CUTOFF_MONTH)
-    return EX.sply_extend(f, ["locationId"], HORIZON_END)
+    return IV.promo_features(rel(spark, d)).select(*PROMO_FEATURES)
 
 
 @query("sply_promo")
 def q_sply_promo(spark, d):
-    return _sply_promo(spark, d)
+    return sply_promo(spark, d)
 
 
 @query("available_months")
 def q_available_months(spark, d):
-    am = IV.available_months(_sply_promo(spark, d))
+    am = IV.available_months(sply_promo(spark, d))
     return am.select("locationId", F.size("available_months").alias("n_months"),
                      F.array_join(F.transform("available_months",
                                               lambda x: F.date_format(x, "yyyy-MM")), ",")
@@ -260,17 +246,9 @@ def q_available_months(spark, d):
 
 
 # ---------------------------------------------------------------- marketing
-from tidemark.operators import marketing as MK  # noqa: E402
-from tidemark.plans.params import BRAND_REGION_PAIRS, REGIONS, SOURCES  # noqa: E402
-
 MKT_DOUBLES = ["ctr_l", "cpm_l", "cpc_l", "CPM", "CPC", "CTR"]
 
 
-def _mkt(spark, d):
-    m = MK.campaign_region(B.marketing(spark, d), REGIONS)
-    return MK.filter_pairs(m, MK.pairs_table(spark, BRAND_REGION_PAIRS))
-
-
 @query("campaign_region")
 def q_campaign_region(spark, d):
     return MK.campaign_region(B.marketing(spark, d), REGIONS).select(
@@ -279,52 +257,37 @@ def q_campaign_region(spark, d):
 
 @query("marketing_monthly")
 def q_marketing_monthly(spark, d):
-    return rnd(MK.monthly_metrics(_mkt(spark, d)), MKT_DOUBLES)
+    return rnd(MK.monthly_metrics(mkt(spark, d)), MKT_DOUBLES)
 
 
 @query("marketing_pivot")
 def q_marketing_pivot(spark, d):
-    return rnd(MK.monthly_with_sources(_mkt(spark, d), SOURCES), MKT_DOUBLES)
+    return rnd(MK.monthly_with_sources(mkt(spark, d), SOURCES), MKT_DOUBLES)
 
 
 @query("sply_marketing")
 def q_sply_marketing(spark, d):
-    m = EX.truncate_at(MK.monthly_with_sources(_mkt(spark, d), SOURCES), CUTOFF_MONTH, "month")
+    m = EX.truncate_at(MK.monthly_with_sources(mkt(spark, d), SOURCES), CUTOFF_MONTH, "month")
     out = EX.sply_extend(m, ["brand", "region"], HORIZON_END, "month", actual_flag="is_actual")
     return rnd(out.withColumn("is_actual", F.col("is_actual") == 1), MKT_DOUBLES)
 
 
 # ---------------------------------------------------------------- stores & encoders
-from tidemark.operators import encode as EN  # noqa: E402
-
-
-def _stores_binned(spark, d):
-    s = B.stores(spark, d).fillna(0.0, subset=["selling_square_ft"])
-    big = EN.needs_sketch(s)
-    s = EN.quartile_bin(s, "total_square_ft", approx=big)
-    return EN.quartile_bin(s, "selling_square_ft", approx=big)
-
-
 @query("quartile_bins")
 def q_quartile_bins(spark, d):
-    return _stores_binned(spark, d)
-
-
-def _panel_stores(spark, d):
-    s = B.stores(spark, d).select(F.col("store").alias("key"), "channel", "store_format", "city")
-    return target_panel(spark, d).join(s, "key", "left")
+    return stores_binned(spark, d)
 
 
 @query("target_encode")
 def q_target_encode(spark, d):
-    df = EN.target_encode(_panel_stores(spark, d), ["channel", "store_format", "key"],
+    df = EN.target_encode(panel_stores(spark, d), ["channel", "store_format", "key"],
                           F.col("date") <= F.lit(TRAIN_END).cast("date"))
     return rnd(df, ["channel_encode", "store_format_encode", "key_encode"])
 
 
 @query("target_share_encode")
 def q_target_share_encode(spark, d):
-    df = EN.target_share_encode(_panel_stores(spark, d), ["channel", "store_format", "key"])
+    df = EN.target_share_encode(panel_stores(spark, d), ["channel", "store_format", "key"])
     return rnd(df, ["channel_target_pct", "store_format_target_pct", "key_target_pct"], 6)
 
 
@@ -341,55 +304,18 @@ def q_binary_encode(spark, d):
 
 
 # ---------------------------------------------------------------- evaluation
-from tidemark.operators import evaluate as EV  # noqa: E402
-
-FC_COLS = ["forecast_xgboost", "forecast_lgbm", "forecast_random_forest"]
-
-
-def _features_for_stub(spark, d):
-    p = target_panel(spark, d)
-    f = WN.moving_stats(WN.lag_features(p, (12,), train_end=TRAIN_END), (6,), ema=False)
-    return p, f.filter(F.col("date") > F.add_months(p.select(F.max("date")).scalar(), -12))
-
-
-def _model_frames(spark, d):
-    """Per-model forecast frames (stub scorers on the last 12 months) and actuals."""
-    p, f = _features_for_stub(spark, d)
-    ma, lag = F.col("MA6_y"), F.col("Lag12_y")
-    models = {
-        "xgboost": f.select("key", "date", F.bround(ma, 0).alias("forecast_xgboost")),
-        "lgbm": f.select("key", "date", F.bround(lag, 0).alias("forecast_lgbm")),
-        "random_forest": f.select("key", "date",
-                                  F.bround((ma + lag) / 2, 0).alias("forecast_random_forest")),
-    }
-    actuals = p.select("key", "date", F.col("target").cast("double").alias("target"))
-    return models, actuals
-
-
-def _forecasts(spark, d):
-    """Wide table (#33, #34, #126): inner join of model frames, left join of actuals."""
-    models, actuals = _model_frames(spark, d)
-    wide = models["xgboost"].join(models["lgbm"], ["key", "date"]).join(
-        models["random_forest"], ["key", "date"])
-    return wide.join(actuals, ["key", "date"], "left")
-
-
-def _scored(spark, d):
-    return EV.scored(EV.row_ape(_forecasts(spark, d)))
-
-
 APE_COLS = [f"{m}_row_mape" for m in EV.MODELS]
 
 
 @query("forecast_wide")
 def q_forecast_wide(spark, d):
-    return _forecasts(spark, d)
+    return forecasts(spark, d)
 
 
 @query("forecast_long")
 def q_forecast_long(spark, d):
     from tidemark.functions.dates import key_month_label
-    models, _ = _model_frames(spark, d)
+    models, _ = model_frames(spark, d)
     parts = [df.select("key", "date", F.lit(m).alias("model"),
                        F.col(f"forecast_{m}").alias("forecast")) for m, df in models.items()]
     out = parts[0]
@@ -400,23 +326,23 @@ def q_forecast_long(spark, d):
 
 @query("row_mape")
 def q_row_mape(spark, d):
-    return rnd(EV.row_ape(_forecasts(spark, d)), APE_COLS)
+    return rnd(EV.row_ape(forecasts(spark, d)), APE_COLS)
 
 
 @query("forecast_clean")
 def q_forecast_clean(spark, d):
-    return rnd(_scored(spark, d), APE_COLS)
+    return rnd(scored(spark, d), APE_COLS)
 
 
 @query("metrics")
 def q_metrics(spark, d):
-    return rnd(EV.metrics(_scored(spark, d)),
+    return rnd(EV.metrics(scored(spark, d)),
                ["mape", "wmape", "mae", "rmse", "std_actual", "r2", "rmse_over_std"])
 
 
 @query("champion_row")
 def q_champion_row(spark, d):
-    return rnd(EV.champion_row(_scored(spark, d)), APE_COLS + ["best_row_mape"])
+    return rnd(EV.champion_row(scored(spark, d)), APE_COLS + ["best_row_mape"])
 
 
 STORE_DBL = ["xgboost_mape", "lgbm_mape", "random_forest_mape", "best_mape"]
@@ -424,45 +350,40 @@ STORE_DBL = ["xgboost_mape", "lgbm_mape", "random_forest_mape", "best_mape"]
 
 @query("champion_store")
 def q_champion_store(spark, d):
-    return rnd(EV.champion_store(_scored(spark, d)), STORE_DBL)
+    return rnd(EV.champion_store(scored(spark, d)), STORE_DBL)
 
 
 @query("champion_store4")
 def q_champion_store4(spark, d):
-    return rnd(EV.champion_store(_scored(spark, d), with_row_champion=True),
+    return rnd(EV.champion_store(scored(spark, d), with_row_champion=True),
                STORE_DBL + ["best_forecast_monthly_mape"])
 
 
 @query("champion_filtered")
 def q_champion_filtered(spark, d):
-    s = _scored(spark, d).filter(F.month("date").isin(5, 6, 7))
+    s = scored(spark, d).filter(F.month("date").isin(5, 6, 7))
     return rnd(EV.champion_store(s), STORE_DBL)
 
 
-def _applied(spark, d):
-    s = _scored(spark, d)
-    return EV.apply_store_champion(s, EV.champion_store(s))
-
-
 @query("champion_applied")
 def q_champion_applied(spark, d):
-    return rnd(_applied(spark, d), APE_COLS + ["mape_best_model"])
+    return rnd(applied(spark, d), APE_COLS + ["mape_best_model"])
 
 
 @query("mape_by_month")
 def q_mape_by_month(spark, d):
-    return rnd(EV.mape_by_month(_applied(spark, d)), ["mape"])
+    return rnd(EV.mape_by_month(applied(spark, d)), ["mape"])
 
 
 @query("mape_overall")
 def q_mape_overall(spark, d):
-    out = EV.mape_overall(EV.champion_store(_scored(spark, d)))
+    out = EV.mape_overall(EV.champion_store(scored(spark, d)))
     return rnd(out, out.columns)
 
 
 @query("champion_compare")
 def q_champion_compare(spark, d):
-    s = _scored(spark, d)
+    s = scored(spark, d)
     rw = EV.champion_row(s).agg(F.avg("best_row_mape").alias("row_wise_mape"))
     champs = EV.champion_store(s)
     sw = EV.apply_store_champion(s, champs).agg(F.avg("mape_best_model").alias("store_wise_mape"))
@@ -474,12 +395,12 @@ def q_champion_compare(spark, d):
 
 @query("model_wins")
 def q_model_wins(spark, d):
-    return EV.model_wins(EV.champion_row(_scored(spark, d)), "best_model_monthly")
+    return EV.model_wins(EV.champion_row(scored(spark, d)), "best_model_monthly")
 
 
 @query("model_summary")
 def q_model_summary(spark, d):
-    champs = EV.champion_store(_scored(spark, d))
+    champs = EV.champion_store(scored(spark, d))
     brands = B.stores(spark, d).select(F.col("store").alias("key"),
                                        F.col("store_format").alias("brand"))
     return rnd(EV.model_summary(champs.join(brands, "key", "left"), ["brand"]), ["avg_mape"])
@@ -487,7 +408,7 @@ def q_model_summary(spark, d):
 
 @query("worst_stores")
 def q_worst_stores(spark, d):
-    champs = EV.champion_store(_scored(spark, d))
+    champs = EV.champion_store(scored(spark, d))
     return rnd(champs.orderBy(F.desc("best_mape"), "key").limit(10)
                .select("key", "target", "best_model_store", "best_mape"), ["best_mape"])
 
@@ -496,15 +417,15 @@ def q_worst_stores(spark, d):
 def q_exclude_keys(spark, d):
     excluded = B.stores(spark, d).filter(F.col("channel") == "ecommerce").select(
         F.col("store").alias("key"))
-    return _forecasts(spark, d).join(excluded, "key", "left_anti")
+    return forecasts(spark, d).join(excluded, "key", "left_anti")
 
 
 @query("report_table")
 def q_report_table(spark, d):
-    s = EV.row_ape(_forecasts(spark, d), ["xgboost"])
-    promo = IV.promo_features(_rel(spark, d)).select(
+    s = EV.row_ape(forecasts(spark, d), ["xgboost"])
+    promo = IV.promo_features(rel(spark, d)).select(
         F.col("locationId").alias("key"), "date", F.col("avg_discount").alias("promo_depth"))
-    spend = (_mkt(spark, d).groupBy(F.trunc("date", "MM").alias("date"))
+    spend = (mkt(spark, d).groupBy(F.trunc("date", "MM").alias("date"))
              .agg(F.sum("total_cost_usd").cast("double").alias("marketing_spend")))
     t = (s.join(promo, ["key", "date"], "left").join(spend, "date", "left"))
     return t.select(
@@ -518,11 +439,6 @@ def q_report_table(spark, d):
 
 
 # ---------------------------------------------------------------- profiling & hygiene
-from tidemark.operators import profile as PR  # noqa: E402
-from tidemark.plans.flagship import flagship  # noqa: E402
-from tidemark.sources import io as IO  # noqa: E402
-from tidemark.sources.tables import read_table  # noqa: E402
-
 FEATURE_COLS = ["target", "ppu", "Lag12_y", "MA6_y", "STD6_y", "EMA6_y"]
 
 
@@ -551,7 +467,7 @@ def q_dup_report(spark, d):
 
 @query("dedup_first")
 def q_dedup_first(spark, d):
-    return PR.keep_first(_rel(spark, d), ["locationId", "eff_from"],
+    return PR.keep_first(rel(spark, d), ["locationId", "eff_from"],
                          ["itemId", "eff_to", "amountOfDiscount"])
 
 
@@ -566,19 +482,15 @@ def q_scan_sales(spark, d):
                    start="1997-01-01", end="1998-12-31")
 
 
-def _active_ids(spark, d):
-    return RU.active_keys(panel(spark, d))
-
-
 @query("scan_promos")
 def q_scan_promos(spark, d):
     p = IO.overlapping(B.promotions(spark, d), "1998-01-01", "1998-03-31")
-    return IO.in_ids(p, _active_ids(spark, d), "locationId", "key")
+    return IO.in_ids(p, active_ids(spark, d), "locationId", "key")
 
 
 @query("scan_stores")
 def q_scan_stores(spark, d):
-    return IO.in_ids(B.stores(spark, d), _active_ids(spark, d), "store", "key")
+    return IO.in_ids(B.stores(spark, d), active_ids(spark, d), "store", "key")
 
 
 @query("scan_marketing")
@@ -588,7 +500,7 @@ def q_scan_marketing(spark, d):
 
 @query("sink_roundtrip")
 def q_sink_roundtrip(spark, d):
-    f = IV.promo_features(_rel(spark, d)).select(*PROMO_FEATURES)
+    f = IV.promo_features(rel(spark, d)).select(*PROMO_FEATURES)
     tagged = f.withColumns({"target": F.lit("units"), "brand": F.lit("all"),
                             "cutoff_month": F.lit(CUTOFF_MONTH[:7]),
                             "train_end": F.lit(TRAIN_END)})
@@ -600,15 +512,6 @@ def q_sink_roundtrip(spark, d):
 
 
 # ---------------------------------------------------------------- grids, series, feature store
-from tidemark.operators import feature_store as FS  # noqa: E402
-from tidemark.operators import series as SE  # noqa: E402
-from tidemark.plans.params import HORIZON_MONTHS  # noqa: E402
-
-
-def _last_month(spark, d):
-    return panel(spark, d).select(F.max("date")).scalar()
-
-
 @query("horizon_dates")
 def q_horizon_dates(spark, d):
     p = panel(spark, d)
@@ -620,17 +523,13 @@ def q_horizon_dates(spark, d):
 
 @query("future_grid")
 def q_future_grid(spark, d):
-    return EX.future_grid(_active_ids(spark, d), _last_month(spark, d), HORIZON_MONTHS)
-
-
-def _marketing_by_month(spark, d):
-    return _mkt(spark, d).select(F.trunc("date", "MM").alias("date"))
+    return EX.future_grid(active_ids(spark, d), last_month(spark, d), HORIZON_MONTHS)
 
 
 @query("align_start")
 def q_align_start(spark, d):
-    promo_start = IV.promo_features(_rel(spark, d)).select(F.min("date")).scalar()
-    mkt_start = _marketing_by_month(spark, d).select(F.min("date")).scalar()
+    promo_start = IV.promo_features(rel(spark, d)).select(F.min("date")).scalar()
+    mkt_start = marketing_by_month(spark, d).select(F.min("date")).scalar()
     tp = target_panel(spark, d)
     return EX.align_start(tp, [tp.select(F.min("date")).scalar(), promo_start, mkt_start])
 
@@ -672,51 +571,17 @@ def q_recency_weight(spark, d):
     return rnd(FS.recency_weight(tr, TRAIN_END), ["weight"], 6)
 
 
-MKT_SRC_COLS = [f"total_cost_usd_{s}" for s in SOURCES]
-PROMO_FILL = [c for c in PROMO_FEATURES if c not in ("locationId", "date")]
-
-
-def feature_store(spark, d):
-    """Panel + future rows + calendar + marketing + stores + promotions (#20-31, #75, #141)."""
-    hist = flagship(spark, d)
-    # Keys and last month come from the (bucketed) panel, not from the
-    # feature plan, so the window features are computed once.
-    tp = target_panel(spark, d)
-    rows = FS.add_future_rows(hist, tp, tp.select(F.max("date")).scalar(), HORIZON_MONTHS)
-    cal = CA.calendar_monthly(_cal(spark, d, "A"), "A")
-    m = EX.truncate_at(MK.monthly_with_sources(_mkt(spark, d), SOURCES), CUTOFF_MONTH, "month")
-    m = EX.sply_extend(m, ["brand", "region"], HORIZON_END, "month")
-    spend = (m.groupBy(F.col("month").alias("date"))
-             .agg(*[F.sum(c).cast("double").alias(c) for c in MKT_SRC_COLS]))
-    stores = _stores_binned(spark, d).withColumnRenamed("store", "key").drop("city")
-    promo = _sply_promo(spark, d).withColumnRenamed("locationId", "key")
-    out = FS.left_join_by(rows, cal, ["date"])
-    out = FS.left_join_by(out, spend, ["date"], {c: 0.0 for c in MKT_SRC_COLS})
-    out = FS.left_join_by(out, stores, ["key"])
-    out = FS.left_join_by(out, promo, ["key", "date"],
-                          {c: 0 for c in PROMO_FILL})
-    return FS.split_flag(out, TRAIN_END)
-
-
 @query("feature_store")
 def q_feature_store(spark, d):
     return feature_store(spark, d)
 
 
 # ---------------------------------------------------------------- recursion
-from tidemark.operators import recursive as RC  # noqa: E402
-
-
-def _train_mean(tp):
-    return tp.filter(F.col("date") <= F.lit(TRAIN_END).cast("date")).select(
-        F.avg(F.col("target").cast("double"))).scalar()
-
-
 @query("recursive_features")
 def q_recursive_features(spark, d):
     tp = target_panel(spark, d)
     st = RC.history(tp)
-    feats = RC.next_features(F.col("h"), _train_mean(tp))
+    feats = RC.next_features(F.col("h"), train_mean(tp))
     out = st.select("key", F.add_months("last_date", 1).alias("date"),
                     *[v.alias(k) for k, v in feats.items()])
     return rnd(out, list(feats))
@@ -733,25 +598,13 @@ def naive_score(mean_fill):
 def q_recursive_forecast_naive(spark, d):
     tp = target_panel(spark, d)
     out = RC.recursive_forecast_expr(tp, HORIZON_MONTHS, naive_score(F.col("_mean")),
-                                     constants={"_mean": _train_mean(tp)})
+                                     constants={"_mean": train_mean(tp)})
     return rnd(out, ["forecast"])
 
 
 # ---------------------------------------------------------------- modelling (rows-only checks)
-from tidemark.operators import ml as ML  # noqa: E402
-
-
-def _ml_frames(spark, d):
-    # Materialise the feature table once (reliable checkpoint in the shared
-    # folder): tree learners and CV scan it many times.
-    from tidemark.session import checkpoint
-    f = checkpoint(ML.with_model_features(flagship(spark, d)))
-    cut = F.lit(TRAIN_END).cast("date")
-    return f.filter(F.col("date") <= cut), f.filter(F.col("date") > cut)
-
-
 def _holdout_predictions(spark, d, name):
-    train, test = _ml_frames(spark, d)
+    train, test = ml_frames(spark, d)
     model = ML.fit(name, train)
     return model.transform(test).select("key", "date", "target", "prediction")
 
@@ -773,7 +626,7 @@ def q_train_gbt_fine(spark, d):
 
 @query("tune_model")
 def q_tune_model(spark, d):
-    train, _ = _ml_frames(spark, d)
+    train, _ = ml_frames(spark, d)
     cv, maps = ML.random_search("random_forest", train, draws=10, folds=3)
     rows = [(i, ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)),
              float(r)) for i, (m, r) in enumerate(zip(maps, cv.avgMetrics))]
@@ -782,7 +635,7 @@ def q_tune_model(spark, d):
 
 @query("train_all")
 def q_train_all(spark, d):
-    train, test = _ml_frames(spark, d)
+    train, test = ml_frames(spark, d)
     rows = []
     for name in EV.MODELS:
         model = ML.fit(name, train)
@@ -793,7 +646,7 @@ def q_train_all(spark, d):
 
 @query("feature_importance")
 def q_feature_importance(spark, d):
-    train, _ = _ml_frames(spark, d)
+    train, _ = ml_frames(spark, d)
     return ML.importances(spark, ML.fit("xgboost", train))
 
 
@@ -801,9 +654,9 @@ def q_feature_importance(spark, d):
 def q_recursive_forecast(spark, d):
     """Every model forecasts H months ahead for all stores; wide table (#125-126)."""
     tp = target_panel(spark, d)
-    train, _ = _ml_frames(spark, d)
+    train, _ = ml_frames(spark, d)
     hist = tp.filter(F.col("date") <= F.lit(TRAIN_END).cast("date"))
-    mean = _train_mean(tp)
+    mean = train_mean(tp)
     wide = None
     for name in EV.MODELS:
         model = ML.fit(name, train)
@@ -829,7 +682,7 @@ def q_trend_label_encode(spark, d):
 @query("train_recency_weighted")
 def q_train_recency_weighted(spark, d):
     """Random forest fit with recency sample weights (#128) — hold-out predictions."""
-    train, test = _ml_frames(spark, d)
+    train, test = ml_frames(spark, d)
     model = ML.fit("random_forest", FS.recency_weight(train, TRAIN_END), weight_col="weight")
     return model.transform(test).select("key", "date", "target", "prediction")
 
@@ -837,5 +690,5 @@ def q_train_recency_weighted(spark, d):
 @query("permutation_importance")
 def q_permutation_importance(spark, d):
     """Hold-out RMSE increase per permuted feature for the depth-wise booster (#127)."""
-    train, test = _ml_frames(spark, d)
+    train, test = ml_frames(spark, d)
     return ML.permutation_importance(spark, ML.fit("xgboost", train), test)
