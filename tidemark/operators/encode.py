@@ -69,21 +69,26 @@ def target_encoding_table(train: DataFrame, col: str, target: str = "target",
 def target_encode(df: DataFrame, cols: Sequence[str], train_filter: Column,
                   target: str = "target", **kw) -> DataFrame:
     """Fit on rows matching ``train_filter``; apply to all rows (#111)."""
+    from tidemark.session import broadcast_if_small
     train = df.filter(train_filter)
     out = df
     for c in cols:
-        out = out.join(target_encoding_table(train, c, target, **kw), c, "left")
+        # A low-cardinality category joined by shuffle would put all rows of
+        # one value in one task; the table has one row per category, so it is
+        # broadcast whenever its checked size allows.
+        out = out.join(broadcast_if_small(target_encoding_table(train, c, target, **kw)), c, "left")
     return out
 
 
 def target_share_encode(df: DataFrame, cols: Sequence[str], target: str = "target") -> DataFrame:
     """Category's share of the total target, ``{col}_target_pct`` (#112)."""
+    from tidemark.session import broadcast_if_small
     total = df.select(F.sum(target).cast("bigint")).scalar()
     out = df
     for c in cols:
         share = (df.filter(F.col(target).isNotNull()).groupBy(c)
                  .agg(sdiv(F.sum(target), total).alias(f"{c}_target_pct")))
-        out = out.join(share, c, "left")
+        out = out.join(broadcast_if_small(share), c, "left")
     return out
 
 

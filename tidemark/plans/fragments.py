@@ -135,8 +135,11 @@ def feature_store(spark, d):
              .agg(*[F.sum(c).cast("double").alias(c) for c in MKT_SRC_COLS]))
     stores = stores_binned(spark, d).withColumnRenamed("store", "key").drop("city")
     promo = sply_promo(spark, d).withColumnRenamed("locationId", "key")
-    out = FS.left_join_by(rows, cal_m, ["date"])
-    out = FS.left_join_by(out, spend, ["date"], {c: 0.0 for c in MKT_SRC_COLS})
+    # Month-keyed tables (one row per month of the span/horizon: a proven
+    # bound) are broadcast; a shuffle join on ``date`` would send all stores
+    # of a month to one task.
+    out = FS.left_join_by(rows, F.broadcast(cal_m), ["date"])
+    out = FS.left_join_by(out, F.broadcast(spend), ["date"], {c: 0.0 for c in MKT_SRC_COLS})
     out = FS.left_join_by(out, stores, ["key"])
     out = FS.left_join_by(out, promo, ["key", "date"],
                           {c: 0 for c in PROMO_FILL})

@@ -427,7 +427,8 @@ def q_report_table(spark, d):
         F.col("locationId").alias("key"), "date", F.col("avg_discount").alias("promo_depth"))
     spend = (mkt(spark, d).groupBy(F.trunc("date", "MM").alias("date"))
              .agg(F.sum("total_cost_usd").cast("double").alias("marketing_spend")))
-    t = (s.join(promo, ["key", "date"], "left").join(spend, "date", "left"))
+    # ``spend`` has one row per month (bounded): broadcast, never a date-keyed shuffle.
+    t = s.join(promo, ["key", "date"], "left").join(F.broadcast(spend), "date", "left")
     return t.select(
         "date", F.col("key").cast("bigint").alias("store"), F.lit("ALL").alias("brand"),
         F.col("target").cast("bigint").alias("actual_units"),
