@@ -19,3 +19,13 @@ def test_pipeline_end_to_end(spark):
     assert {"best_model_store", "best_mape", "target_value"} <= set(champs.columns)
     mt = spark.read.parquet(f"{out}/master_table")
     assert mt.filter(F.col("cutoff_month").isNotNull()).count() > 0
+    inf = P.inference(spark, SF_SMALL, out, months=3)
+    rep = spark.read.parquet(inf["report"])
+    stores = _active_store_count(spark)
+    assert rep.count() == 3 * stores
+    assert rep.filter(F.col("forecasted_units").isNull()).count() == 0
+
+
+def _active_store_count(spark):
+    from tidemark.plans.fragments import target_panel
+    return target_panel(spark, SF_SMALL).select("key").distinct().count()

@@ -3,6 +3,7 @@
 * :func:`feature_build`   — panel, temporal, calendar, store, marketing and promo features
 * :func:`master_table`    — the assembled feature store
 * :func:`train_forecast`  — fit every model, forecast recursively, pick champions, report
+* :func:`inference`       — load saved models, forecast from the latest actuals, report
 
 Outputs are Parquet under ``out/<table>/target=…/brand=…/cutoff_month=…/train_end=…``
 (the reference's folder layout as partition columns, so later reads prune).
@@ -82,3 +83,38 @@ def train_forecast(spark: SparkSession, sf_dir: str, out: str, target: str = "un
         "champion_mix": _write(applied, out, "champion_mix", target, brand),
         "metrics": _write(EV.metrics(scored), out, "metrics", target, brand),
     }
+
+
+def inference(spark: SparkSession, sf_dir: str, out: str, months: int = HORIZON_MONTHS,
+              target: str = "units", brand: str = "all") -> dict[str, str]:
+    """Batch inference: load saved models, forecast from the latest actuals, report.
+
+    Models come from ``out/models/<name>`` (written by :func:`train_forecast`);
+    the store → champion mapping from ``out/champions``. Forecasts start after
+    the last month of the panel.
+    """
+    from pyspark.ml import PipelineModel
+
+    tp = FR.target_panel(spark, sf_dir)
+    mean = FR.train_mean(tp)
+    wide = None
+    for name in EV.MODELS:
+        model = PipelineModel.load(f"{out.rstrip('/')}/models/{name}")
+        fc = RC.recursive_forecast_model(tp, months, model, ML.FEATURES, mean)
+        fc = fc.withColumnRenamed("forecast", f"forecast_{name}")
+        wide = fc if wide is None else wide.join(fc, ["key", "date"])
+    champs = (spark.read.parquet(f"{out.rstrip('/')}/champions")
+              .filter((F.col("target") == target) & (F.col("brand") == brand))
+              .select("key", "best_model_store"))
+    pick = F.lit(None).cast("double")
+    for m in reversed(EV.MODELS):
+        pick = F.when(F.col("best_model_store") == m, F.col(f"forecast_{m}")).otherwise(pick)
+    report = (wide.join(champs, "key", "left")
+              .select("date", F.col("key").cast("bigint").alias("store"),
+                      F.lit(brand).alias("brand_name"),
+                      F.coalesce("best_model_store", F.lit(EV.MODELS[0])).alias("model"),
+                      F.bround(F.coalesce(pick, F.col(f"forecast_{EV.MODELS[0]}")), 0)
+                      .cast("bigint").alias("forecasted_units"),
+                      F.lit("Monthly").alias("frequency")))
+    return {"future_forecasts": _write(wide, out, "future_forecasts", target, brand),
+            "report": _write(report, out, "report", target, brand)}
