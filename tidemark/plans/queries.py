@@ -115,7 +115,6 @@ def q_holiday_flags(spark, d):
 @query("ramadan_flags")
 def q_ramadan_flags(spark, d):
     ev = CA.with_event_flags(spine(spark, d), B.event_ranges(spark), B.event_days(spark))
-    from pyspark.sql import functions as F
     return ev.select("date", F.col("is_range").alias("is_ramadan"),
                      F.col("pre_range").alias("pre_ramadan"),
                      F.col("post_range").alias("post_ramadan"),
@@ -136,8 +135,6 @@ def q_shopping_events(spark, d):
 
 @query("black_friday")
 def q_black_friday(spark, d):
-    from tidemark.functions.dates import last_friday_of_november
-    from pyspark.sql import functions as F
     return (spine(spark, d).withColumn("black_friday_week",
                                         CA.D.black_friday_week("date"))
             .filter("black_friday_week = 1")
@@ -164,8 +161,6 @@ def q_calendar_monthly_b(spark, d):
 
 @query("season_code")
 def q_season_code(spark, d):
-    from tidemark.functions.dates import season_code
-    from pyspark.sql import functions as F
     return target_panel(spark, d).select("key", "date", season_code(F.month("date"))
                                          .alias("uae_seasons"))
 
@@ -196,7 +191,7 @@ def q_pre_post_event_flag(spark, d):
     p = CA.join_peak_calendar(target_panel(spark, d), peak(spark, d)).drop(
         "ksa_shopping_peak_ratio")
     months = p.filter("festive_peak_flag = 1").select("date").distinct() \
-              .withColumn("flag", __import__("pyspark.sql.functions", fromlist=["lit"]).lit(1))
+              .withColumn("flag", F.lit(1))
     return CA.pre_post_event_flag(p, months, "flag", out_col="pre_post_rm_flg")
 
 
@@ -314,7 +309,6 @@ def q_forecast_wide(spark, d):
 
 @query("forecast_long")
 def q_forecast_long(spark, d):
-    from tidemark.functions.dates import key_month_label
     models, _ = model_frames(spark, d)
     parts = [df.select("key", "date", F.lit(m).alias("model"),
                        F.col(f"forecast_{m}").alias("forecast")) for m, df in models.items()]
@@ -550,7 +544,6 @@ def q_sply_series(spark, d):
 
 @query("slug")
 def q_slug(spark, d):
-    from tidemark.functions.dates import slug
     return (B.marketing(spark, d).select("brand", "campaign_name")
             .select("brand", slug(F.concat_ws(" ", "brand", "campaign_name")).alias("slug")))
 
