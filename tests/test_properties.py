@@ -119,3 +119,18 @@ def test_permute_column_is_a_permutation(spark):
     assert sorted(r["v"] for r in out.collect()) == sorted(r["v"] for r in df.collect())
     moved = out.join(df.withColumnRenamed("v", "v0"), "id").filter("v != v0").count()
     assert moved > 900
+
+
+@SETTINGS
+@given(st.integers(1, 30), st.sets(st.integers(0, 29), max_size=8), st.integers(1, 30))
+def test_sply_closed_form_matches_loop_random(spark, n, gaps, horizon_months):
+    from tests.test_semantics import sply_loop
+    from tidemark.operators.extend import sply_extend
+    months = {(pd.Timestamp("2021-01-01") + pd.DateOffset(months=i)).date(): float(i)
+              for i in range(n) if i not in gaps or i == n - 1}
+    last = max(months)
+    horizon = (pd.Timestamp(last) + pd.DateOffset(months=horizon_months)).date()
+    df = spark.createDataFrame([("g", d, v) for d, v in months.items()],
+                               "g string, date date, v double")
+    got = {r["date"]: r["v"] for r in sply_extend(df, ["g"], horizon.isoformat()).collect()}
+    assert got == sply_loop(months, horizon)
