@@ -158,3 +158,34 @@ def ml_frames(spark, d):
     f = checkpoint(ML.with_model_features(flagship(spark, d)))
     cut = F.lit(TRAIN_END).cast("date")
     return f.filter(F.col("date") <= cut), f.filter(F.col("date") > cut)
+
+
+MASTER_ENCODED = ("channel", "store_format", "key", "festive_peak_flag", "deriv_2_trend_flag")
+
+
+def tourism(spark, d):
+    """Cleaned monthly series extended 17 months by same-month-last-year (#84, #106)."""
+    from tidemark.operators import series as SE
+    s = SE.clean_month_series(B.month_series(spark, d)).select("date", "tourists")
+    return EX.sply_extend_grouped(s, [], F.add_months(s.select(F.max("date")).scalar(), 17))
+
+
+def master_table(spark, d):
+    """Feature store + calendar peaks, derivatives, date parts, encoders, tourism (FS stage)."""
+    out = CA.join_peak_calendar(feature_store(spark, d), peak(spark, d))
+    dv = WN.derivatives(target_panel(spark, d)).withColumnRenamed("year_month", "date")
+    out = out.join(dv, ["key", "date"], "left")
+    out = CA.holiday_count(CA.date_features(out), B.holidays(spark))
+    # The encoder stage reads this frame about a dozen times (statistics,
+    # priors, size checks, flags, the final rows): materialise it once in the
+    # shared checkpoint folder instead of re-deriving the feature store.
+    from tidemark.session import checkpoint
+    out = checkpoint(out)
+    train = (F.col("date") <= F.lit(TRAIN_END).cast("date")) & F.col("target").isNotNull()
+    out = EN.target_encode(out, list(MASTER_ENCODED), train)
+    out = EN.one_hot(out, "channel", ["ecommerce", "retail"])
+    flagged = (out.filter(F.col("festive_peak_flag") == 1).select("date").distinct()
+               .withColumn("_flag", F.lit(1)))
+    out = CA.pre_post_event_flag(out, flagged, "_flag", out_col="pre_post_rm_flg")
+    # One row per month (bounded): broadcast.
+    return out.join(F.broadcast(tourism(spark, d)), "date", "left")

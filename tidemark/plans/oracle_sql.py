@@ -820,3 +820,59 @@ te as (select deriv_2_trend_flag,
              from rows where date <= date '{TRAIN_END}' group by 1))
 select rows.*, round_even(te.deriv_2_trend_flag_encode, 4) as deriv_2_trend_flag_encode
 from rows left join te using (deriv_2_trend_flag)"""
+
+# ---------------------------------------------------------------- master table
+def _body(sql: str, prefix: str) -> str:
+    """Turn '<with prefix>, a as (...) select ...' into 'with a as (...) select ...'."""
+    assert sql.startswith(prefix)
+    rest = sql[len(prefix):].lstrip()
+    return "with " + rest.lstrip(",").lstrip() if rest.startswith(",") else rest
+
+
+CTES["dvf"] = (_body(SQL["derivatives"], with_("ap")), ("ap",))
+CTES["fsq"] = (_body(SQL["feature_store"], with_("flag", "cm", "sply_m", "sb", "sply_p")),
+               ("flag", "cm", "sply_m", "sb", "sply_p"))
+CTES["tour"] = (_body(SQL["sply_series"], with_("cms")).replace(
+    "select date, tourists, year(date)::int as year, month(date)::int as month",
+    "select date, tourists"), ("cms",))
+
+
+def _te_m(col: str) -> str:
+    return f"""
+te_{col} as (select {col}, case when n = 1 then p else p * (1 - sg) + m * sg end as {col}_encode
+  from (select {col}, count(target) as n, avg(target::double) as m,
+               1.0 / (1.0 + exp(-(count(target) - 20) / 10.0)) as sg,
+               (select avg(target::double) from m2
+                where date <= date '{TRAIN_END}' and target is not null) as p
+        from m2 where date <= date '{TRAIN_END}' and target is not null group by 1))"""
+
+
+_MENC = ["channel", "store_format", "key", "festive_peak_flag", "deriv_2_trend_flag"]
+SQL["master_table"] = with_("fsq", "pr", "peak", "dvf", "hol", "tour") + f""",
+m1 as (select fsq.*, pr.ksa_shopping_peak_ratio, peak.festive_peak_flag
+       from fsq left join pr on date_trunc('month', fsq.date) = pr.date
+                left join peak on fsq.date = peak.date),
+m2 as (select m1.*, dvf.* exclude (key, year_month),
+         month(m1.date)::int as month, quarter(m1.date)::int as quarter, year(m1.date)::int as year,
+         (day(m1.date) = 1)::int as is_month_start, (m1.date = last_day(m1.date))::int as is_month_end,
+         day(last_day(m1.date))::int as days_in_month,
+         round_even(sin({_TP} * month(m1.date) / 12), 6) + 0.0 as fourier_year_sin,
+         round_even(cos({_TP} * month(m1.date) / 12), 6) + 0.0 as fourier_year_cos,
+         round_even(sin({_TP} * (quarter(m1.date) - 1) / 4), 6) + 0.0 as quarter_sin,
+         round_even(cos({_TP} * (quarter(m1.date) - 1) / 4), 6) + 0.0 as quarter_cos,
+         coalesce(hc.n, 0) as holiday_count
+       from m1 left join dvf on m1.key = dvf.key and m1.date = dvf.year_month
+               left join (select year(date) as y, month(date) as mo, count(*)::int as n
+                          from hol group by 1, 2) hc
+                 on year(m1.date) = hc.y and month(m1.date) = hc.mo),""" + ",".join(
+    _te_m(c) for c in _MENC) + """,
+m3 as (select m2.* exclude (channel), (m2.channel = 'retail')::int as channel_retail, """ + \
+    ", ".join(f"round_even(te_{c}.{c}_encode, 4) as {c}_encode" for c in _MENC) + """
+       from m2 """ + " ".join(f"left join te_{c} using ({c})" for c in _MENC) + """),
+near as (select distinct d from (
+           select date - interval 1 month as d from m3 where festive_peak_flag = 1
+           union all select date + interval 1 month from m3 where festive_peak_flag = 1))
+select m3.* replace (round_even(ksa_shopping_peak_ratio, 4) as ksa_shopping_peak_ratio),
+       case when m3.date in (select d::date from near) then 1 else 0 end as pre_post_rm_flg,
+       tour.tourists
+from m3 left join tour using (date)"""

@@ -686,3 +686,10 @@ def q_permutation_importance(spark, d):
     """Hold-out RMSE increase per permuted feature for the depth-wise booster (#127)."""
     train, test = ml_frames(spark, d)
     return ML.permutation_importance(spark, ML.fit("xgboost", train), test)
+
+
+@query("master_table")
+def q_master_table(spark, d):
+    from tidemark.plans.fragments import MASTER_ENCODED, master_table
+    return rnd(master_table(spark, d), [f"{c}_encode" for c in MASTER_ENCODED]
+               + ["ksa_shopping_peak_ratio"])
