@@ -53,7 +53,7 @@ def feature_build(spark: SparkSession, sf_dir: str, out: str, target: str = "uni
 def master_table(spark: SparkSession, sf_dir: str, out: str, target: str = "units",
                  brand: str = "all") -> str:
     """Entry point B: the assembled feature store."""
-    return _write(FR.feature_store(spark, sf_dir), out, "master_table", target, brand)
+    return _write(FR.master_table(spark, sf_dir), out, "master_table", target, brand)
 
 
 def train_forecast(spark: SparkSession, sf_dir: str, out: str, target: str = "units",
