@@ -54,9 +54,13 @@ def quartile_bin(df: DataFrame, col: str, out: str | None = None,
 
 def target_encoding_table(train: DataFrame, col: str, target: str = "target",
                           min_samples_leaf: int = 20, smoothing: float = 10.0,
-                          single_to_prior: bool = True) -> DataFrame:
-    """Smoothed mean per category (S15): prior·(1−s) + mean·s, s = sigmoid((n−leaf)/smoothing)."""
-    prior = train.select(F.avg(F.col(target).cast("double"))).scalar()
+                          single_to_prior: bool = True, prior: Column | None = None) -> DataFrame:
+    """Smoothed mean per category (S15): prior·(1−s) + mean·s, s = sigmoid((n−leaf)/smoothing).
+
+    ``prior`` defaults to the mean target of ``train`` (a scalar subquery).
+    """
+    if prior is None:
+        prior = train.select(F.avg(F.col(target).cast("double"))).scalar()
     stats = train.groupBy(col).agg(F.count(target).alias("_n"),
                                    F.avg(F.col(target).cast("double")).alias("_mean"))
     s = 1.0 / (1.0 + F.exp(-(F.col("_n") - min_samples_leaf) / smoothing))
@@ -71,6 +75,7 @@ def target_encode(df: DataFrame, cols: Sequence[str], train_filter: Column,
     """Fit on rows matching ``train_filter``; apply to all rows (#111)."""
     from tidemark.session import broadcast_if_small
     train = df.filter(train_filter)
+    kw.setdefault("prior", train.select(F.avg(F.col(target).cast("double"))).scalar())
     out = df
     for c in cols:
         # A low-cardinality category joined by shuffle would put all rows of
