@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import key_month_label  # noqa: F401
 from tidemark.operators import calendar as CA
 from tidemark.operators import encode as EN
 from tidemark.operators import evaluate as EV

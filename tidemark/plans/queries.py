@@ -27,13 +27,12 @@ from tidemark.operators import series as SE
 from tidemark.operators import windows as WN
 from tidemark.plans.common import compute_panel, panel, rnd, target_panel
 from tidemark.plans.flagship import flagship
-from tidemark.plans.fragments import (FC_COLS, MKT_SRC_COLS, PROMO_FEATURES, PROMO_FILL,  # noqa: F401
-                                      active_ids, applied, cal, feature_store, features_for_stub,
+from tidemark.plans.fragments import (PROMO_FEATURES, active_ids, applied, cal, feature_store,
                                       forecasts, last_month, marketing_by_month, mkt, ml_frames,
                                       model_frames, panel_stores, peak, rel, scored, spine,
                                       sply_promo, stores_binned, train_mean)
-from tidemark.plans.params import (BRAND_REGION_PAIRS, CUTOFF_MONTH, HORIZON_END,  # noqa: F401
-                                   HORIZON_MONTHS, LAGS, REGIONS, SOURCES, TRAIN_END, WINDOWS)
+from tidemark.plans.params import (CUTOFF_MONTH, HORIZON_END, HORIZON_MONTHS, LAGS, REGIONS,
+                                   SOURCES, TRAIN_END, WINDOWS)
 from tidemark.sources import bindings as B
 from tidemark.sources import io as IO
 from tidemark.sources.tables import read_table
