@@ -47,10 +47,11 @@ def sply_extend(df: DataFrame, keys: Sequence[str], horizon_end: str | Column,
     last month comes from a window over the group (groups here are monthly
     series, bounded by their number of months).
     """
-    t = F.lit(horizon_end).cast("date") if isinstance(horizon_end, str) else horizon_end
     keys = list(keys)
-    last = F.max(date_col).over(Window.partitionBy(*keys)) if keys else \
-        F.max(date_col).over(Window.partitionBy())
+    if not keys:  # never a global window: the last month is a scalar subquery
+        return sply_extend_grouped(df, keys, horizon_end, date_col, actual_flag)
+    t = F.lit(horizon_end).cast("date") if isinstance(horizon_end, str) else horizon_end
+    last = F.max(date_col).over(Window.partitionBy(*keys))
     return _replicate(df.withColumn("_L", last), t, date_col, actual_flag)
 
 

@@ -73,7 +73,13 @@ def ema_fold(values: Column, span: int) -> Column:
 
 
 def ema_expr(target: str, span: int, w) -> Column:
-    """EMA of the values strictly before the current row (history frame)."""
+    """EMA of the values strictly before the current row (history frame).
+
+    The frame grows with the row, so a key with n months costs O(n²) element
+    steps; n is the number of months per key (tens to a few hundred), and the
+    fold is exactly the reference's recurrence (no power-series rewrite whose
+    rounding would differ).
+    """
     hist = F.collect_list(F.col(target)).over(w.rowsBetween(Window.unboundedPreceding, -1))
     return ema_fold(hist, span)
 
