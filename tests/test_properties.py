@@ -134,3 +134,22 @@ def test_sply_closed_form_matches_loop_random(spark, n, gaps, horizon_months):
                                "g string, date date, v double")
     got = {r["date"]: r["v"] for r in sply_extend(df, ["g"], horizon.isoformat()).collect()}
     assert got == sply_loop(months, horizon)
+
+
+def test_as_of_variants_do_not_look_ahead(spark):
+    base = [5, 3, 8, 1, 9, 2, 7, 4, 6, 0, 3, 5, 8, 2, 9, 4, 6, 1, 7, 3, 5, 8, 2, 6, 4, 9]
+    k = 18
+    changed = base[:k] + [999] + base[k + 1:]
+
+    def feats(vals):
+        df = panel(spark, {"a": vals})
+        a = WN.seasonal_means(WN.rate_of_sale(df, as_of=True), as_of=True).orderBy("date").collect()
+        d = WN.derivatives(df, as_of=True).orderBy("year_month").collect()
+        return a, d
+
+    (a1, d1), (a2, d2) = feats(base), feats(changed)
+    for i in range(k + 1):
+        for c in ("rate_of_sale", "target_seasonal_monthly", "target_seasonal_quarterly"):
+            assert a1[i][c] == a2[i][c], (i, c)
+        for c in ("monthly_max_qty", "monthly_min_qty"):
+            assert d1[i][c] == d2[i][c], (i, c)

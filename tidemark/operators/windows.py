@@ -110,38 +110,52 @@ def seasonality_index(df: DataFrame, date_col: str = "date", target: str = "targ
 
 
 def seasonal_means(df: DataFrame, key: str = "key", date_col: str = "date",
-                   target: str = "target") -> DataFrame:
+                   target: str = "target", as_of: bool = False) -> DataFrame:
     """``{target}_seasonal_monthly`` / ``_quarterly`` (#66).
 
-    Mean over the same (calendar month, key) resp. (quarter, key) group with
-    the group's last row left out; broadcast to every row of the group.
+    Parity (default): mean over the same (calendar month, key) resp.
+    (quarter, key) group with the group's last row left out, broadcast to
+    every row of the group — it looks ahead, as the reference does.
+    ``as_of=True``: mean of the group's rows strictly before the current row.
     """
     out = df
+    t = F.col(target).cast("double")
     for name, part in (("monthly", F.month(date_col)), ("quarterly", F.quarter(date_col))):
         w = Window.partitionBy(F.col(key), part)
-        t = F.col(target).cast("double")
-        last = F.max_by(t, F.col(date_col)).over(w)
-        s, n = F.sum(t).over(w), F.count(t).over(w)
-        out = out.withColumn(f"{target}_seasonal_{name}", sdiv(s - last, n - 1))
+        if as_of:
+            val = F.avg(t).over(w.orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1))
+        else:
+            last = F.max_by(t, F.col(date_col)).over(w)
+            val = sdiv(F.sum(t).over(w) - last, F.count(t).over(w) - 1)
+        out = out.withColumn(f"{target}_seasonal_{name}", val)
     return out
 
 
 def rate_of_sale(df: DataFrame, key: str = "key", date_col: str = "date",
-                 target: str = "target") -> DataFrame:
-    """Average previous-month target per (key, year) (#50), joined back by (key, year)."""
+                 target: str = "target", as_of: bool = False) -> DataFrame:
+    """Average previous-month target per (key, year) (#50), joined back by (key, year).
+
+    Parity (default) uses the whole year, later months included;
+    ``as_of=True`` uses only the year's rows up to the current one (whose
+    previous-month value is already known).
+    """
     prev = F.lag(F.col(target).cast("double"), 1).over(_w(key, date_col))
     shifted = df.withColumn("_prev", prev).withColumn("_year", F.year(date_col))
     w = Window.partitionBy(key, "_year")
+    if as_of:
+        w = w.orderBy(date_col).rowsBetween(Window.unboundedPreceding, 0)
     months = F.count(F.when(F.col("_prev").isNotNull(), F.col(date_col))).over(w)
     return (shifted.withColumn("rate_of_sale", sdiv(F.sum("_prev").over(w), months))
             .drop("_prev", "_year"))
 
 
 def derivatives(df: DataFrame, key: str = "key", date_col: str = "date",
-                target: str = "target") -> DataFrame:
+                target: str = "target", as_of: bool = False) -> DataFrame:
     """Monthly %-change features, change-of-change, spike/trend flags, extremes (#52, #67-68, #109).
 
-    Returns one row per (key, month) with ``year_month`` as DATE.
+    Returns one row per (key, month) with ``year_month`` as DATE. The
+    extremes span the key's whole history (parity) or, with ``as_of=True``,
+    the months up to the current one.
     """
     monthly = (df.groupBy(key, F.trunc(date_col, "MM").alias("year_month"))
                .agg(F.sum(target).cast("double").alias("_t")))
@@ -155,7 +169,8 @@ def derivatives(df: DataFrame, key: str = "key", date_col: str = "date",
     })
     step2 = step1.withColumn("deriv_2_pct", pct_change("deriv_1_pct",
                                                        F.lag("deriv_1_pct", 1).over(w)))
-    wk = Window.partitionBy(key)
+    wk = (Window.partitionBy(key).orderBy("year_month")
+          .rowsBetween(Window.unboundedPreceding, 0) if as_of else Window.partitionBy(key))
     out = step2.withColumns({
         **{c: F.coalesce(F.col(c), F.lit(0.0))
            for c in ("deriv_1_pct", "deriv_2_pct", "deriv_3_pct", "deriv_6_pct")},
