@@ -153,3 +153,19 @@ def test_as_of_variants_do_not_look_ahead(spark):
             assert a1[i][c] == a2[i][c], (i, c)
         for c in ("monthly_max_qty", "monthly_min_qty"):
             assert d1[i][c] == d2[i][c], (i, c)
+
+
+def test_seasonality_as_of_matches_brute_force_and_has_no_look_ahead(spark):
+    vals = {"a": [5, 3, 8, 1, 9, 2, 7, 4, 6, 0, 3, 5, 8, 2, 9, 4],
+            "b": [1, 4, 2, 8, 5, 7, 1, 4, 2, 8, 5, 7, 3, 3]}
+    df = panel(spark, vals)
+    got = {(r["key"], r["date"]): r["Seasonality_Index"]
+           for r in WN.seasonality_index_as_of(df).collect()}
+    pdf = df.toPandas()
+    pdf["date"] = pd.to_datetime(pdf["date"])
+    for (k, d), v in got.items():
+        before = pdf[pdf["date"] < pd.Timestamp(d)]
+        means = before.groupby(before["date"].dt.month)["target"].mean()
+        m = pd.Timestamp(d).month
+        exp = round(means[m] / means.mean(), 2) if m in means.index and means.mean() else 1.0
+        assert v == pytest.approx(exp), (k, d)

@@ -84,6 +84,33 @@ def ema_expr(target: str, span: int, w) -> Column:
     return ema_fold(hist, span)
 
 
+def seasonality_index_as_of(df: DataFrame, date_col: str = "date",
+                            target: str = "target") -> DataFrame:
+    """Leak-free seasonality index: only rows dated strictly before the current date.
+
+    Per date D and calendar month m: mean target of month m over dates < D,
+    divided by the mean of those 12 means, rounded 2, default 1.0. Daily/monthly
+    totals are expanded to (D, m) rows by a generate (12 per date, no join),
+    running sums per m give the "before D" means, and the result (one row per
+    date, bounded by the number of dates) is broadcast back.
+    """
+    per_date = df.groupBy(F.col(date_col).alias("_d")).agg(
+        F.sum(F.col(target).cast("double")).alias("_s"), F.count(target).alias("_n"))
+    grid = per_date.select("_d", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("_m"), "_s", "_n")
+    own = F.month("_d") == F.col("_m")
+    grid = grid.withColumns({"_s": F.when(own, F.col("_s")).otherwise(0.0),
+                             "_n": F.when(own, F.col("_n")).otherwise(0)})
+    before = Window.partitionBy("_m").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    means = grid.withColumn("_a", sdiv(F.sum("_s").over(before), F.sum("_n").over(before)))
+    norm = means.withColumn("_mean", F.avg("_a").over(Window.partitionBy("_d")))
+    idx = (norm.filter(F.month("_d") == F.col("_m"))
+           .select("_d", F.coalesce(r(sdiv("_a", "_mean"), 2), F.lit(1.0))
+                   .alias("Seasonality_Index")))
+    return (df.join(F.broadcast(idx), F.col(date_col) == F.col("_d"), "left")
+            .withColumn("Seasonality_Index", F.coalesce("Seasonality_Index", F.lit(1.0)))
+            .drop("_d"))
+
+
 def seasonality_index(df: DataFrame, date_col: str = "date", target: str = "target",
                       key: str = "key") -> DataFrame:
     """Global monthly seasonality index (#65, S7).
