@@ -169,3 +169,28 @@ def test_seasonality_as_of_matches_brute_force_and_has_no_look_ahead(spark):
         m = pd.Timestamp(d).month
         exp = round(means[m] / means.mean(), 2) if m in means.index and means.mean() else 1.0
         assert v == pytest.approx(exp), (k, d)
+
+
+def test_bounded_state_loop_equals_expression_recursion(spark):
+    vals = {"a": [10, 12, 9, 14, 11, 13, 15, 10, 12, 16, 11, 14, 13, 17, 12],
+            "b": [3, 4, 5], "c": [7]}
+    df = panel(spark, vals)
+    mean = F.lit(7.5)
+
+    def expr_score(h):
+        f = RC.next_features(h, F.col("_mean"))
+        return 0.5 * f["Lag12_y"] + 0.5 * f["MA6_y"] + 0.1 * f["EMA6_y"]
+
+    a = RC.recursive_forecast_expr(df, 6, expr_score, constants={"_mean": mean})
+
+    def df_score(x):
+        return x.withColumn("prediction",
+                            0.5 * F.col("Lag12_y") + 0.5 * F.col("MA6_y") + 0.1 * F.col("EMA6_y"))
+
+    b = RC.recursive_forecast_scorer(df, 6, df_score, ["Lag12_y", "MA6_y", "EMA6_y"], mean,
+                                     checkpoint_every=2)
+    ga = {(r["key"], r["date"]): r["forecast"] for r in a.collect()}
+    gb = {(r["key"], r["date"]): r["forecast"] for r in b.collect()}
+    assert ga.keys() == gb.keys() and len(ga) == 18
+    for k in ga:
+        assert gb[k] == pytest.approx(ga[k], rel=1e-12)

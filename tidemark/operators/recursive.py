@@ -9,7 +9,8 @@ history, so a step never re-reads or re-shuffles the panel.
   ``aggregate(sequence(1, H), history, step)`` higher-order expression: no
   driver loop and no plan growth with H.
 * Spark ML models run a driver loop of H narrow steps (assemble → transform →
-  append); lineage is cut with reliable ``checkpoint()`` into the cluster's
+  append) over a *bounded* state per key (last 12 values, count, running
+  EMA); lineage is cut with reliable ``checkpoint()`` into the cluster's
   checkpoint folder every few steps.
 """
 
@@ -87,26 +88,76 @@ def recursive_forecast_expr(df: DataFrame, steps: int, score: Callable[[Column],
     return forecasts_from(st, steps, key)
 
 
-def recursive_forecast_model(df: DataFrame, steps: int, model, feature_cols: Sequence[str],
-                             mean_fill: Column, key: str = "key", date_col: str = "date",
-                             target: str = "target", prediction_col: str = "prediction",
-                             checkpoint_every: int = 4) -> DataFrame:
-    """Recursion with a fitted Spark ML ``PipelineModel`` (assembler inside).
+def compact_state(df: DataFrame, key: str = "key", date_col: str = "date",
+                  target: str = "target", keep: int = 12, span: int = 6) -> DataFrame:
+    """Bounded recursion state per key: last ``keep`` values, count, running EMA.
+
+    Everything the step features need (Lag12 = 12 back, MA/STD over 6, EMA over
+    the whole history through its O(1) update), so the state per key stays a
+    few numbers however long the history is.
+    """
+    st = history(df, key, date_col, target)
+    n = F.size("h")
+    return st.select(key, "last_date", n.alias("_n"),
+                     F.slice("h", F.greatest(n - keep + 1, F.lit(1)), F.least(n, F.lit(keep)))
+                     .alias("tail"),
+                     ema_fold(F.col("h"), span).alias("_ema"),
+                     F.array().cast("array<double>").alias("preds"))
+
+
+def state_features(tail: Column, n: Column, ema: Column, mean_fill: Column, lag: int = 12,
+                   window: int = 6, span: int = 6) -> dict[str, Column]:
+    """:func:`next_features` computed from the bounded state (same values)."""
+    k = F.size(tail)
+    lagv = F.when(n >= lag, F.get(tail, k - lag)).otherwise(mean_fill)
+    w = F.least(k, F.lit(window))
+    last = F.slice(tail, F.greatest(k - window + 1, F.lit(1)), w)
+    ma = _mean(last)
+    ss = F.aggregate(last, F.lit(0.0), lambda a, x: a + (x - ma) * (x - ma))
+    std = F.when(w >= 2, F.sqrt(ss / (w - 1)))
+    return {f"Lag{lag}_y": lagv.cast("double"), f"MA{window}_y": ma, f"STD{window}_y": std,
+            f"EMA{span}_y": ema}
+
+
+def recursive_forecast_scorer(df: DataFrame, steps: int,
+                              score: Callable[[DataFrame], DataFrame],
+                              feature_cols: Sequence[str], mean_fill: Column,
+                              key: str = "key", date_col: str = "date", target: str = "target",
+                              prediction_col: str = "prediction", checkpoint_every: int = 4,
+                              keep: int = 12, span: int = 6) -> DataFrame:
+    """H narrow steps over bounded per-key state; ``score`` adds ``prediction_col``.
 
     Covariates known in advance (month, quarter) come from the step's date;
-    target-derived ones from :func:`next_features`.
+    target-derived ones from :func:`state_features`. Lineage is cut with a
+    reliable checkpoint every ``checkpoint_every`` steps.
     """
-    st = history(df, key, date_col, target).withColumn("_n0", F.size("h"))
-    st = st.withColumn("_mean", mean_fill)
+    alpha = 2.0 / (span + 1.0)
+    st = compact_state(df, key, date_col, target, keep, span).withColumn("_mean", mean_fill)
     for i in range(1, steps + 1):
-        d = F.add_months("last_date", F.size("h") - F.col("_n0") + 1)
-        feats = next_features(F.col("h"), F.col("_mean"))
+        d = F.add_months("last_date", i)
+        feats = state_features(F.col("tail"), F.col("_n"), F.col("_ema"), F.col("_mean"),
+                               span=span)
         feats.update({"month": F.month(d), "quarter": F.quarter(d)})
-        step_in = st.withColumns({c: feats[c] for c in feature_cols})
-        scored = model.transform(step_in)
-        st = scored.select(key, "last_date", "_n0", "_mean",
-                           F.concat("h", F.array(F.col(prediction_col).cast("double"))).alias("h"))
+        scored = score(st.withColumns({c: feats[c] for c in feature_cols}))
+        p = F.col(prediction_col).cast("double")
+        nxt = F.concat("tail", F.array(p))
+        st = scored.select(
+            key, "last_date", "_mean", (F.col("_n") + 1).alias("_n"),
+            F.slice(nxt, F.greatest(F.size(nxt) - keep + 1, F.lit(1)),
+                    F.least(F.size(nxt), F.lit(keep))).alias("tail"),
+            (F.col("_ema") * (1.0 - alpha) + p * alpha).alias("_ema"),
+            F.concat("preds", F.array(p)).alias("preds"))
         if checkpoint_every and i % checkpoint_every == 0 and i < steps:
             from tidemark.session import checkpoint
             st = checkpoint(st)
-    return forecasts_from(st, steps, key)
+    return (st.select(key, "last_date", F.posexplode("preds").alias("_i", "forecast"))
+            .select(key, F.add_months("last_date", F.col("_i") + 1).alias("date"), "forecast"))
+
+
+def recursive_forecast_model(df: DataFrame, steps: int, model, feature_cols: Sequence[str],
+                             mean_fill: Column, key: str = "key", date_col: str = "date",
+                             target: str = "target", prediction_col: str = "prediction",
+                             checkpoint_every: int = 4) -> DataFrame:
+    """Recursion with a fitted Spark ML ``PipelineModel`` (assembler inside)."""
+    return recursive_forecast_scorer(df, steps, model.transform, feature_cols, mean_fill, key,
+                                     date_col, target, prediction_col, checkpoint_every)
