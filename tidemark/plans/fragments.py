@@ -32,17 +32,23 @@ MKT_SRC_COLS = [f"total_cost_usd_{s}" for s in SOURCES]
 PROMO_FILL = [c for c in PROMO_FEATURES if c not in ("locationId", "date")]
 
 
-def spine(spark, d):
-    return CA.spine_of(B.sales_lines(spark, d))
+def spine(spark, d, horizon: bool = False):
+    """Day spine over the sales span; with ``horizon`` extended to the forecast horizon end."""
+    lines = B.sales_lines(spark, d)
+    if not horizon:
+        return CA.spine_of(lines)
+    bounds = lines.agg(F.min("date").alias("start"), F.max("date").alias("_max"))
+    return CA.day_spine(bounds.select(
+        "start", F.last_day(F.add_months("_max", HORIZON_MONTHS)).alias("end")))
 
 
-def cal(spark, d, variant="A"):
-    return CA.holiday_calendar(spine(spark, d), B.event_ranges(spark), B.event_days(spark),
-                               variant)
+def cal(spark, d, variant="A", horizon: bool = False):
+    return CA.holiday_calendar(spine(spark, d, horizon), B.event_ranges(spark),
+                               B.event_days(spark), variant)
 
 
-def peak(spark, d):
-    return CA.peak_calendar(spine(spark, d), B.event_ranges(spark), B.event_days(spark))
+def peak(spark, d, horizon: bool = False):
+    return CA.peak_calendar(spine(spark, d, horizon), B.event_ranges(spark), B.event_days(spark))
 
 
 def rel(spark, d):
@@ -127,7 +133,8 @@ def feature_store(spark, d):
     # feature plan, so the window features are computed once.
     tp = target_panel(spark, d)
     rows = FS.add_future_rows(hist, tp, tp.select(F.max("date")).scalar(), HORIZON_MONTHS)
-    cal_m = CA.calendar_monthly(cal(spark, d, "A"), "A")
+    # Future rows need calendar features too: the spine runs to the horizon end.
+    cal_m = CA.calendar_monthly(cal(spark, d, "A", horizon=True), "A")
     m = EX.truncate_at(MK.monthly_with_sources(mkt(spark, d), SOURCES), CUTOFF_MONTH, "month")
     m = EX.sply_extend(m, ["brand", "region"], HORIZON_END, "month")
     spend = (m.groupBy(F.col("month").alias("date"))
@@ -171,7 +178,7 @@ def tourism(spark, d):
 
 def master_table(spark, d):
     """Feature store + calendar peaks, derivatives, date parts, encoders, tourism (FS stage)."""
-    out = CA.join_peak_calendar(feature_store(spark, d), peak(spark, d))
+    out = CA.join_peak_calendar(feature_store(spark, d), peak(spark, d, horizon=True))
     dv = WN.derivatives(target_panel(spark, d)).withColumnRenamed("year_month", "date")
     out = out.join(dv, ["key", "date"], "left")
     out = CA.holiday_count(CA.date_features(out), B.holidays(spark))

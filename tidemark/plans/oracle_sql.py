@@ -6,6 +6,8 @@ driver's views. ``with_(...)`` prepends the binding CTEs a query needs.
 
 from __future__ import annotations
 
+import re
+
 from tidemark.plans.params import HORIZON_MONTHS, TRAIN_END  # noqa: F401
 
 A6 = repr(2.0 / 7.0)            # EMA alpha for span 6
@@ -741,8 +743,29 @@ from (select date_trunc('month', date)::date as date,
         sum(shopping_event_code)::bigint as shopping_event_code,
         sum(fashion_week_season)::bigint as fashion_week_season
       from cal_a group by 1)""", ("cal_a",))
+# ---------------------------------------------------------------- horizon calendars
+CTES["spine_h"] = (f"""
+select unnest(generate_series(min(l_shipdate)::date,
+                              last_day((max(l_shipdate)::date + interval {HORIZON_MONTHS} month)::date),
+                              interval 1 day))::date as date from lineitem""", ())
+
+
+def _horizon_copy(name: str, deps: tuple[str, ...]) -> None:
+    body, old = CTES[name]
+    for dep in ("spine", "evf", "cal_a", "peak"):
+        body = re.sub(rf"\bfrom {dep}\b", f"from {dep}_h", body)
+    CTES[name + "_h"] = (body, deps)
+
+
+_horizon_copy("evf", ("spine_h", "rng", "feast"))
+_horizon_copy("cal_a", ("evf_h",))
+_horizon_copy("peak", ("evf_h",))
+_horizon_copy("pr", ("peak_h",))
+_horizon_copy("cm", ("cal_a_h",))
+
+
 _SC = [f"total_cost_usd_{s}" for s in _SRC]
-SQL["feature_store"] = with_("flag", "cm", "sply_m", "sb", "sply_p") + f""",
+SQL["feature_store"] = with_("flag", "cm_h", "sply_m", "sb", "sply_p") + f""",
 fut as (select key, (l + to_months(h::int))::date as date
         from (select distinct key from flag), (select max(date) as l from flag), range(1, {H + 1}) t(h)),
 r as (select * from flag union all by name select * from fut),
@@ -750,7 +773,7 @@ spend as (select month as date, """ + ", ".join(f'sum("{c}")::double as "{c}"' f
           from sply_m group by 1),
 sbk as (select * exclude (store, city), store as key from sb),
 pk as (select * exclude (locationId), locationId as key from sply_p)
-select r.*, cm.* exclude (date), """ + ", ".join(f'coalesce(spend."{c}", 0.0) as "{c}"' for c in _SC) + \
+select r.*, cm_h.* exclude (date), """ + ", ".join(f'coalesce(spend."{c}", 0.0) as "{c}"' for c in _SC) + \
     """, sbk.* exclude (key),
   coalesce(pk.distinct_discount_levels, 0) as distinct_discount_levels,
   coalesce(pk.avg_discount, 0) as avg_discount, coalesce(pk.max_discount, 0) as max_discount,
@@ -759,7 +782,7 @@ select r.*, cm.* exclude (date), """ + ", ".join(f'coalesce(spend."{c}", 0.0) as
   coalesce(pk.percentage_products_on_promo, 0) as percentage_products_on_promo,
   coalesce(pk.promo_days_in_month, 0) as promo_days_in_month,""" + f"""
   (r.date > date '{TRAIN_END}')::int as Pred_Flag
-from r left join cm using (date) left join spend using (date) left join sbk using (key)
+from r left join cm_h using (date) left join spend using (date) left join sbk using (key)
        left join pk using (key, date)"""
 
 # ---------------------------------------------------------------- recursion
@@ -830,8 +853,8 @@ def _body(sql: str, prefix: str) -> str:
 
 
 CTES["dvf"] = (_body(SQL["derivatives"], with_("ap")), ("ap",))
-CTES["fsq"] = (_body(SQL["feature_store"], with_("flag", "cm", "sply_m", "sb", "sply_p")),
-               ("flag", "cm", "sply_m", "sb", "sply_p"))
+CTES["fsq"] = (_body(SQL["feature_store"], with_("flag", "cm_h", "sply_m", "sb", "sply_p")),
+               ("flag", "cm_h", "sply_m", "sb", "sply_p"))
 CTES["tour"] = (_body(SQL["sply_series"], with_("cms")).replace(
     "select date, tourists, year(date)::int as year, month(date)::int as month",
     "select date, tourists"), ("cms",))
@@ -848,10 +871,10 @@ te_{col} as (select {col}, case when n = 1 then p else p * (1 - sg) + m * sg end
 
 
 _MENC = ["channel", "store_format", "key", "festive_peak_flag", "deriv_2_trend_flag"]
-SQL["master_table"] = with_("fsq", "pr", "peak", "dvf", "hol", "tour") + f""",
-m1 as (select fsq.*, pr.ksa_shopping_peak_ratio, peak.festive_peak_flag
-       from fsq left join pr on date_trunc('month', fsq.date) = pr.date
-                left join peak on fsq.date = peak.date),
+SQL["master_table"] = with_("fsq", "pr_h", "peak_h", "dvf", "hol", "tour") + f""",
+m1 as (select fsq.*, pr_h.ksa_shopping_peak_ratio, peak_h.festive_peak_flag
+       from fsq left join pr_h on date_trunc('month', fsq.date) = pr_h.date
+                left join peak_h on fsq.date = peak_h.date),
 m2 as (select m1.*, dvf.* exclude (key, year_month),
          month(m1.date)::int as month, quarter(m1.date)::int as quarter, year(m1.date)::int as year,
          (day(m1.date) = 1)::int as is_month_start, (m1.date = last_day(m1.date))::int as is_month_end,
