@@ -16,6 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows a Python worker holds at a time; operators cut long texts further.
 ROWS_PER_BATCH = 256
+BYTES_PER_BATCH = 16 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -23,6 +24,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     apply_core_conf(spark)
     ensure_checkpoint_dir(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
     return spark
 
 
@@ -57,3 +59,20 @@ def fresh_name(base: str, taken: list[str]) -> str:
     while name.lower() in low:
         name += "_"
     return name
+
+
+def word_hashes(text: Column, lower: bool = True) -> Column:
+    """The words' 64-bit hashes in order (empty for null and blank texts)."""
+    t = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " "))
+    t = F.lower(t) if lower else t
+    return F.when(t == "", F.array().cast("array<bigint>")).otherwise(
+        F.transform(F.split(t, " "), lambda w: F.xxhash64(w)))
+
+
+def list_parts(column) -> tuple:
+    """An Arrow list column as numpy: flat values and offsets (null lists are empty)."""
+    import numpy as np
+
+    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    return values, np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)

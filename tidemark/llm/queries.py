@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (chat_format, exact_dedup, license_scan, source_mix)
+from tidemark.llm import chat_format, exact_dedup, icws_dedup, license_scan, source_mix
 from tidemark.llm.common import load
 
 
@@ -35,9 +35,14 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op9_icws_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return icws_dedup.near_classes(load(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_license_scan": op5_license_scan,
     "op7_source_mix": op7_source_mix,
+    "op9_icws_dedup": op9_icws_dedup,
 }
