@@ -7,13 +7,12 @@ mean load, so that it fades to plain counts as it fills); the table is the only
 broadcast.  Damping keeps large groups of copies, whose shared shingles are common, from
 falling apart.
 
-Steps: sample every text (64 samples, 16 bands of 4: two texts of similarity 0.8 meet
-with probability 0.9998); collapse equal texts; compare every member of a band bucket
-with the bucket's first text by exact weighted Jaccard; join what is 0.8 or more into
-classes.  Weighted Jaccard distance is a metric, so a pair (u, v) that met in a bucket
-but not with its first text f can only be near if |d(f, u) - d(f, v)| <= 0.2: those pairs
-of different classes are compared too, all others are out for certain.  So every pair
-that meets is decided without listing the pairs of a bucket.
+Steps: sample every text (150 samples, 25 bands of 6: two texts of similarity 0.8 meet
+with probability 0.9995); collapse equal texts; compare every member of a band bucket
+with the bucket's pivot by exact weighted Jaccard and join what is 0.8 or more into
+classes.  In buckets that then hold several classes, whoever is not in the pivot's class
+is compared with all members, in blocks of fixed size.  So every pair that meets and is
+not in one class is decided, and no list of pairs is made.
 """
 
 from __future__ import annotations
@@ -26,7 +25,9 @@ from tidemark.llm.common import SPACE, fresh_name, list_parts, text_of, word_has
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 16, 4
+BANDS, ROWS = 25, 6
+#: Texts on each side of a block comparison.
+BLOCK = 128
 #: Counters of the document-frequency table (fixed: it bounds the broadcast to 4 MB).
 DF_BITS = 20
 DF_BLOCK = 1 << 12
@@ -267,6 +268,139 @@ def classes(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("row"), F.col("v").alias("label"))
 
 
+def joined(sampled: DataFrame, groups: DataFrame, base: DataFrame, idf: np.ndarray,
+           threshold: float) -> DataFrame:
+    """(row, label) of the distinct texts that are near another."""
+    bands = (sampled.join(groups.select(F.col("t").alias("row")), "row", "left_semi")
+             .select("row", F.posexplode("bands").alias("band", "hash")))
+    buckets = (bands.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n"))
+               .where("n > 1"))
+    met = written(bands.join(buckets, ["band", "hash"]), "near-met")
+    # The text that meets the most others is a bucket's pivot: of a group of edited
+    # copies, the one they were edited from.
+    score = met.groupBy("row").agg(F.sum("n").alias("score"))
+    texts = written(base.select("row", "text").join(score, "row"), "near-met-texts")
+    met = written(met.select("band", "hash", "row").join(score, "row"), "near-met")
+    rank = F.struct(F.col("score"), (-F.col("row")).alias("back"))
+    pivot = written(met.groupBy("band", "hash").agg((-F.max(rank)["back"]).alias("f")),
+                    "near-pivots")
+    pairs = (met.join(pivot, ["band", "hash"]).where("row <> f")
+             .select(F.col("row").alias("u"), F.col("f").alias("v")).distinct())
+    star = written(compared(pairs, texts, idf).where(F.col("sim") >= threshold), "near-star")
+    label = classes(star)
+    # The rest: in buckets of several classes, whoever is not in the pivot's class
+    # against all members, in blocks.
+    members = _labelled(met.select("band", "hash", "row"), label)
+    main = _labelled(pivot.select("band", "hash", F.col("f").alias("row")), label).select(
+        "band", "hash", F.col("label").alias("main"))
+    members = written(members.join(main, ["band", "hash"]).withColumn(
+        "odd", F.col("label") != F.col("main")).drop("main"), "near-members")
+    sizes = members.groupBy("band", "hash").agg(
+        F.ceil(F.count_if("odd") / BLOCK).alias("odd_blocks"),
+        F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).where("odd_blocks > 0")
+    sized = members.join(sizes, ["band", "hash"])
+    own = F.xxhash64("row")
+    block = lambda n: F.pmod(own, F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                           F.col(n) - 1))
+    side = ["band", "hash", "row", "label"]
+    jobs = (sized.where("odd").select(*side, block("odd_blocks").alias("i"),
+                                      every("blocks").alias("j"), F.lit(True).alias("left"))
+            .unionByName(sized.select(*side, every("odd_blocks").alias("i"),
+                                      block("blocks").alias("j"), F.lit(False).alias("left"))))
+    more = written(_in_blocks(jobs.join(texts, "row"), idf, threshold).distinct(),
+                   "near-rest")
+    return _relabelled(label, more) if more.limit(1).count() else label
+
+
+def _in_blocks(jobs: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+    """Classes with near members in a block pair: (u, v), one pair of rows for each two.
+
+    A block pair (band, hash, i, j) has about 2 * BLOCK texts, whatever its bucket's size.
+    """
+    shared = jobs.sparkSession.sparkContext.broadcast(idf)
+    key = ["band", "hash", "i", "j"]
+    rows = jobs.select(*key, "left", "row", "label", word_hashes(F.col("text")).alias("words"))
+
+    def near(group):
+        left = [x for x in group if x[0]]
+        right = [x for x in group if not x[0]]
+        sims = block_similarity([x[3] for x in left], [x[3] for x in right])
+        found = {}
+        for a, b in zip(*np.nonzero(sims >= threshold)):
+            if left[a][2] != right[b][2]:
+                found.setdefault((left[a][2], right[b][2]), (left[a][1], right[b][1]))
+        return found.values()
+
+    def run(batches):
+        import pyarrow as pa
+
+        now, group = None, []
+        for b in batches:
+            words, offsets = list_parts(b.column("words"))
+            keys = list(zip(*(b.column(k).to_pylist() for k in key)))
+            cols = list(zip(*(b.column(k).to_pylist() for k in ("left", "row", "label"))))
+            out = []
+            for i, (k, c) in enumerate(zip(keys, cols)):
+                if k != now:
+                    out += near(group)
+                    now, group = k, []
+                group.append((*c, _weights(words[offsets[i]:offsets[i + 1]], shared.value)))
+            yield _pair_batch(out, pa)
+        yield _pair_batch(near(group), pa)
+
+    # A fixed number of tasks: the work grows with the comparisons, not with the bytes.
+    tasks = int(jobs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.repartition(tasks, *key).sortWithinPartitions(*key)
+            .mapInArrow(run, "u bigint, v bigint"))
+
+
+def _pair_batch(pairs, pa):
+    pairs = list(pairs)
+    return pa.RecordBatch.from_pydict({"u": pa.array([p[0] for p in pairs], pa.int64()),
+                                       "v": pa.array([p[1] for p in pairs], pa.int64())})
+
+
+def block_similarity(left: list, right: list) -> np.ndarray:
+    """Weighted Jaccard of all texts of two blocks, each given by its sorted weights."""
+    low = np.zeros((len(left), len(right)))
+    if low.size == 0:
+        return low
+    if low.size <= 64:
+        return np.array([[_jaccard(a, b) for b in right] for a in left])
+
+    def flat(side):
+        s = np.concatenate([x[0] for x in side])
+        d = np.repeat(np.arange(len(side)), [len(x[0]) for x in side])
+        w = np.concatenate([x[1] for x in side])
+        o = np.argsort(s, kind="stable")
+        return s[o], d[o], w[o]
+
+    (s1, d1, w1), (s2, d2, w2) = flat(left), flat(right)
+    both = np.intersect1d(s1, s2)
+    a0, a1 = np.searchsorted(s1, both), np.searchsorted(s1, both, "right")
+    b0, b1 = np.searchsorted(s2, both), np.searchsorted(s2, both, "right")
+    for p, q, x, y in zip(a0, a1, b0, b1):
+        low[d1[p:q, None], d2[None, x:y]] += np.minimum(w1[p:q, None], w2[None, x:y])
+    high = (np.array([x[1].sum() for x in left])[:, None]
+            + np.array([x[1].sum() for x in right])[None, :] - low)
+    return low / np.where(high > 0, high, 1)
+
+
+def _labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows with their class; a row that is near none is its own."""
+    return rows.join(label.withColumnRenamed("label", "of"), "row", "left").withColumn(
+        "label", F.coalesce("of", "row")).drop("of")
+
+
+def _relabelled(label: DataFrame | None, edges: DataFrame) -> DataFrame:
+    edges = edges.select("u", "v")
+    if label is not None:
+        edges = edges.unionByName(label.select(F.col("row").alias("u"),
+                                               F.col("label").alias("v")))
+    return classes(edges)
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  threshold: float = THRESHOLD, carry: bool = False) -> DataFrame:
     """Every row with its class: ``id_col``, class_id, kept; with ``carry`` all columns.
@@ -290,38 +424,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "words", word_hashes(F.col("text"))).drop("text").transform(
         lambda t: sample(t, idf)), "near-bands")
     groups = written(base.groupBy("same").agg(F.min("row").alias("t")), "near-texts")
-    bands = (sampled.join(groups.select(F.col("t").alias("row")), "row", "left_semi")
-             .select("row", F.posexplode("bands").alias("band", "hash")))
-    firsts = (bands.groupBy("band", "hash").agg(F.min("row").alias("f"),
-                                                F.count(F.lit(1)).alias("n"))
-              .where("n > 1").drop("n"))
-    # What met: every text in a bucket of two or more, with the bucket's first text.
-    met = written(bands.join(firsts, ["band", "hash"]), "near-met")
-    star = written(compared(met.where("row <> f").select(F.col("row").alias("u"),
-                                                         F.col("f").alias("v")).distinct(),
-                            base, idf), "near-star")
-    label = classes(star.where(F.col("sim") >= threshold).select("u", "v"))
-    # The rest: pairs of a bucket in different classes that the metric does not rule out.
-    sims = star.select(F.col("u").alias("row"), F.col("v").alias("f"), "sim")
-    seen = (met.join(sims, ["row", "f"], "left").join(label, "row", "left")
-            .select("band", "hash", "row", F.coalesce("sim", F.lit(1.0)).alias("sim"),
-                    F.coalesce("label", "row").alias("label")))
-    odd = seen.where(F.col("sim") < threshold).select(
-        "band", "hash", F.col("row").alias("u"), F.col("sim").alias("u_sim"),
-        F.col("label").alias("u_label"))
-    other = seen.where(F.col("sim") < 1.0).select(
-        "band", "hash", F.col("row").alias("v"), F.col("sim").alias("v_sim"),
-        F.col("label").alias("v_label"))
-    rest = (odd.join(other, ["band", "hash"])
-            .where((F.col("u_label") != F.col("v_label"))
-                   & (F.abs(F.col("u_sim") - F.col("v_sim")) <= 1 - threshold + 1e-9)
-                   & ((F.col("v_sim") >= threshold) | (F.col("u") > F.col("v"))))
-            .select("u", "v").distinct()
-            .join(star.select("u", "v"), ["u", "v"], "left_anti"))
-    more = written(compared(rest, base, idf).where(F.col("sim") >= threshold), "near-rest")
-    if more.limit(1).count():
-        label = classes(star.where(F.col("sim") >= threshold).select("u", "v")
-                        .unionByName(more.select("u", "v")))
+    label = written(joined(sampled, groups, base, idf, threshold), "near-label")
     # Rows -> texts -> classes; written, so that the last join can be split where one
     # text holds a large share of the rows.
     of_text = written(
