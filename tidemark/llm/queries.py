@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, exact_dedup, icws_dedup, license_scan, source_mix
+from tidemark.llm import (chat_format, exact_dedup, icws_dedup, license_scan, piece_codec,
+                          source_mix)
 from tidemark.llm.common import load
 
 
@@ -39,10 +40,20 @@ def op9_icws_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return icws_dedup.near_classes(load(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    v = piece_codec.Vocabulary.load(piece_codec.default_path(spark))
+    both = piece_codec.decode(piece_codec.encode(docs, v), v)
+    return both.select(
+        "doc_id", F.size("piece_ids").cast("bigint").alias("n_pieces"), "piece_ids",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_license_scan": op5_license_scan,
     "op7_source_mix": op7_source_mix,
     "op9_icws_dedup": op9_icws_dedup,
+    "op10_piece_codec": op10_piece_codec,
 }
