@@ -22,18 +22,20 @@ at all borders follow, and each chunk is traced back on its own between its two
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tidemark.llm.common import fresh_name, text_of, written
+from tidemark.llm.common import fresh_name, list_parts, text_of, written
 
 #: Characters of a chunk; longer texts are split.
 CHUNK = 1 << 15
 SPACE = "▁"
 NONE = np.int64(-(1 << 60))
+LOW = -(1 << 30)  # no piece
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*|^[^{SPACE}]+")
 #: Stands for a literal lower block while a text is encoded; no valid text holds it.
 _LITERAL = "\ud800"
@@ -55,6 +57,14 @@ class Vocabulary:
         self.longest = max(len(pieces[i]) for i in usable)
         self.unknown = int(whole.min()) - 10
         self.cut = not any(SPACE in pieces[i].lstrip(SPACE) for i in usable)
+        shown = [p.replace(SPACE, " ") for p in pieces]
+        for i in control:
+            shown[i] = ""
+        for b, i in byte_ids.items():
+            shown[i] = chr(b) if b < 128 else ""
+        self.shown = np.array(shown, object)
+        self.high = np.zeros(len(pieces), bool)  # bytes of characters of several bytes
+        self.high[[i for b, i in byte_ids.items() if b >= 128]] = True
         nodes, keys, ids = {"": 0}, {}, {}
         for i, s in zip(usable, whole):
             for k in range(1, len(pieces[i]) + 1):
@@ -89,7 +99,7 @@ class Vocabulary:
         pieces that end before position p.
         """
         n, longest = len(codes), self.longest
-        score = np.full((n + 1, longest), NONE, np.int64)
+        score = np.full((n + 1, longest), LOW, np.int32)
         piece = np.full((n + 1, longest), -1, np.int32)
         at, node = np.arange(n), np.zeros(n, np.int64)
         for k in range(longest):
@@ -121,8 +131,8 @@ def _spelled(v: Vocabulary, code: int) -> list[int]:
     return [int(v.bytes[b]) for b in ch.encode()]
 
 
-def words_best(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Best score and pieces of each distinct word, all words a position at a time."""
+def _solved(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Best score and pieces of each word, all words a position at a time."""
     order = sorted(range(len(words)), key=lambda i: -len(words[i]))
     lengths = np.array([len(words[i]) for i in order], np.int64)
     codes = _codes("".join(words[i] for i in order))
@@ -171,15 +181,47 @@ def words_best(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, list[np.nda
     return totals, ids
 
 
+#: Words whose solutions a worker keeps (it starts anew when they are that many).
+REMEMBERED = 1 << 17
+_known: dict = {}
+
+
+def words_best(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Best score and pieces of each distinct word; earlier batches' words are looked up."""
+    if _known.get(None) is not v or len(_known) > REMEMBERED:
+        _known.clear()
+        _known[None] = v
+    got = [_known.get(w) for w in words]
+    new = [i for i, x in enumerate(got) if x is None]
+    totals, ids = _solved(v, [words[i] for i in new])
+    for i, t, x in zip(new, totals.tolist(), ids):
+        got[i] = (t, x)
+        if len(words[i]) <= 32:
+            _known[words[i]] = got[i]
+    return np.array([x[0] for x in got], np.int64), [x[1] for x in got]
+
+
+def _strung(ids: list[np.ndarray], numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of a sequence of words given by number, and each word's length."""
+    flat = np.concatenate([*ids, np.zeros(0, np.int32)])
+    size = np.fromiter(map(len, ids), np.int64, len(ids))
+    start = np.cumsum(size) - size
+    n = size[numbers]
+    at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[numbers], n)
+    return flat[at], n
+
+
 def encode_batch(v: Vocabulary, texts: list[str]) -> list[np.ndarray]:
     """Piece ids of each text; an empty text has none."""
     lists = [(_UNIT.findall(m) if v.cut else [m]) if t else []
              for t in texts for m in [SPACE + marked(t)]]
     seen: dict[str, int] = {}
-    numbers = [[seen.setdefault(w, len(seen)) for w in ws] for ws in lists]
+    numbers = np.array([seen.setdefault(w, len(seen)) for ws in lists for w in ws], np.int64)
     _, ids = words_best(v, list(seen))
-    return [np.concatenate([ids[k] for k in ks]) if ks else np.zeros(0, np.int32)
-            for ks in numbers]
+    flat, n = _strung(ids, numbers)
+    ends = np.cumsum([len(ws) for ws in lists])
+    cuts = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], ends]).astype(np.int64)]
+    return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def _paths(v: Vocabulary, codes: np.ndarray, starts: list[int], last: int):
@@ -193,8 +235,7 @@ def _paths(v: Vocabulary, codes: np.ndarray, starts: list[int], last: int):
     back = np.arange(longest)
     for p in range(1, n + 1):
         ok = (p - (longest - back) < last) & (p - (longest - back) >= 0)
-        total = best[:, p:p + longest] + np.where(ok, score[p], NONE)
-        total = np.maximum(total, NONE)
+        total = np.where(ok & (score[p] > LOW), best[:, p:p + longest] + score[p], NONE)
         c = np.argmax(total, axis=1)
         value = total[np.arange(len(starts)), c]
         better = value > best[:, p + longest]
@@ -224,7 +265,8 @@ def transfer(v: Vocabulary, chunk: str, core: int) -> np.ndarray:
         out[:size, :len(chunk) - core + 1] = best[:, core:]
         return np.maximum(out, NONE)
     head, _, _ = _paths(v, _codes(chunk[:first]), list(range(min(size, first + 1))), first)
-    middle, _ = words_best(v, _UNIT.findall(chunk[first:final]))
+    count = Counter(_UNIT.findall(chunk[first:final]))
+    middle = words_best(v, list(count))[0] * np.array(list(count.values()), np.int64)
     tail, _, _ = _paths(v, _codes(chunk[final:]), [0], core - final)
     out[:len(head), :len(chunk) - core + 1] = (head[:, first, None] + int(middle.sum())
                                                + tail[:1, core - final:])
@@ -278,26 +320,21 @@ def traced(v: Vocabulary, chunk: str, core: int, entry: int, leave: int) -> np.n
 
 def encode_units(v: Vocabulary, units: list[str]) -> np.ndarray:
     seen: dict[str, int] = {}
-    numbers = [seen.setdefault(w, len(seen)) for w in units]
+    numbers = np.array([seen.setdefault(w, len(seen)) for w in units], np.int64)
     _, ids = words_best(v, list(seen))
-    return np.concatenate([ids[k] for k in numbers]) if numbers else np.zeros(0, np.int32)
-
-
-def decode_one(v: Vocabulary, ids: list[int]) -> str:
-    parts, raw = [], bytearray()
-    for i in ids:
-        b = v.byte_of.get(i)
-        if b is not None:
-            raw.append(b)
-            continue
-        if raw:
-            parts.append(raw.decode("utf-8", "replace"))
-            raw = bytearray()
-        if i not in v.control:
-            parts.append(v.pieces[i].replace(SPACE, " "))
-    if raw:
-        parts.append(raw.decode("utf-8", "replace"))
-    text = "".join(parts)
+    return _strung(ids, numbers)[0]
+
+
+def decode_one(v: Vocabulary, ids) -> str:
+    ids = np.asarray(ids, np.int64)
+    high = v.high[ids]
+    parts = v.shown[ids]
+    if high.any():
+        # A run of high bytes is decoded together, at its first byte.
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], high.view(np.int8), [0]])))
+        for a, b in zip(edge[::2], edge[1::2]):
+            parts[a] = bytes(v.byte_of[int(i)] for i in ids[a:b]).decode("utf-8", "replace")
+    text = "".join(parts.tolist())
     return text[1:] if text.startswith(" ") else text
 
 
@@ -324,8 +361,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text",
 
         v = shared.value
         for b in batches:
-            for at in range(0, b.num_rows, 64):
-                part = b.slice(at, 64)
+            for at in range(0, b.num_rows, 128):
+                part = b.slice(at, 128)
                 ids = encode_batch(v, part.column("_text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], _list_column(ids, pa)], [*part.schema.names[:-1], out])
@@ -400,7 +437,8 @@ def decode(ids: DataFrame, vocabulary: Vocabulary, ids_col: str = "piece_ids",
         import pyarrow as pa
 
         for b in batches:
-            texts = [decode_one(shared.value, x or []) for x in b.column(ids_col).to_pylist()]
+            flat, at = list_parts(b.column(ids_col))
+            texts = [decode_one(shared.value, flat[x:y]) for x, y in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
                                              [*b.schema.names, out])
 
