@@ -6,8 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (chat_format, exact_dedup, icws_dedup, license_scan, piece_codec,
-                          source_mix)
-from tidemark.llm.common import load
+                          quality_mil, source_mix, toxicity)
+from tidemark.llm.common import id_fold, load
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    net = toxicity.fit(docs, load(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return _judged(toxicity.score(docs, net), 0.5)
+
+
+def _judged(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select("doc_id", (id_fold() == 0).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +47,12 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op8_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality_mil.fit(docs, load(spark, sf_dir, "labels", "doc_id", "quality"))
+    return _judged(quality_mil.score(docs, model), 0.3)
+
+
 def op9_icws_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return icws_dedup.near_classes(load(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -50,10 +67,12 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_chat_format": op2_chat_format,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_license_scan": op5_license_scan,
     "op7_source_mix": op7_source_mix,
+    "op8_quality_mil": op8_quality_mil,
     "op9_icws_dedup": op9_icws_dedup,
     "op10_piece_codec": op10_piece_codec,
 }
