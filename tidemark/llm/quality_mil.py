@@ -20,9 +20,9 @@ from tidemark.llm.text_arrays import (Adam, blanks, codes_of, hashes, letters, p
 
 PASSAGE = 40
 #: Training texts of label 1 and 0 at most, and passages of one (evenly spaced).
-GOOD_TEXTS, POOR_TEXTS, TRAIN_PASSAGES = 3000, 3000, 64
+GOOD_TEXTS, POOR_TEXTS, TRAIN_PASSAGES = 1500, 1500, 64
 WORD_ROWS, WORD_DIM, ENCODED, ATTEND = 4096, 8, 16, 8
-EPOCHS, BATCH, RATE = 12, 64, 0.01
+EPOCHS, BATCH, RATE = 8, 64, 0.01
 COUNTS = 11
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (chat_format, exact_dedup, icws_dedup, license_scan, piece_codec,
-                          quality_mil, source_mix, toxicity)
+from tidemark.llm import (chat_format, cover_search, exact_dedup, icws_dedup, license_scan, lm_mix,
+                          piece_codec, quality_mil, source_mix, toxicity)
 from tidemark.llm.common import id_fold, load
 
 
@@ -31,6 +31,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.formatted(turns.unionByName(extra)))
 
 
+def op3_lm_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_mix.score(load(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents", "doc_id", "text")
     return exact_dedup.DigestIndex(spark).dedupe(docs)
@@ -40,6 +44,10 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(load(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_cover_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_search.search(load(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents", "doc_id", "text", "source")
     return source_mix.mix(docs).select(
@@ -69,8 +77,10 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_format": op2_chat_format,
+    "op3_lm_mix": op3_lm_mix,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_license_scan": op5_license_scan,
+    "op6_cover_search": op6_cover_search,
     "op7_source_mix": op7_source_mix,
     "op8_quality_mil": op8_quality_mil,
     "op9_icws_dedup": op9_icws_dedup,

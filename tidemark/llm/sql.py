@@ -115,9 +115,26 @@ select doc_id, size, source_size, target, size * copies as taken
 from ({mixed_sql('documents')})
 """
 
+OP6 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) as v
+  from embeddings
+  where embedding is not null and vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id,
+    list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT as score
+  from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)),
+r as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank
+  from s)
+select query_id, rank::INTEGER as rank, vec_id, score from r where rank <= 5
+"""
+
 SQL = {
     "op2_chat_format": OP2,
     "op4_exact_dedup": OP4,
     "op5_license_scan": op5_sql(),
+    "op6_cover_search": OP6,
     "op7_source_mix": OP7,
 }
