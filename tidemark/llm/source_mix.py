@@ -55,7 +55,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_REPEATS)
                  F.sum("w").over(after).alias("w_left"))
     s = s.withColumn("level", F.col("left") / F.col("w_left"))
     s = s.withColumn("level", F.min(F.when(F.col("cap") >= F.col("w") * F.col("level"),
-                                           F.struct("cap", "level"))).over(everything))
+                                           F.struct((F.col("cap") / F.col("w")).alias("at"),
+                                                    "level"))).over(everything))
     return s.select("source", "source_size",
                     F.least("cap", F.col("w") * F.col("level.level")).alias("target"))
 

@@ -105,7 +105,7 @@ def mixed_sql(docs: str) -> str:
                           rows between current row and unbounded following) as w_rest
       from w),
     l as (select *, rest / w_rest as level from c),
-    m as (select arg_min(level, cap) as level from l where cap >= w * level)
+    m as (select arg_min(level, cap / w) as level from l where cap >= w * level)
     select l.source, l.source_size, least(l.cap, l.w * m.level) as target from l, m) t
   on z.source is not distinct from t.source"""
 
