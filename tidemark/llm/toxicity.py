@@ -21,7 +21,7 @@ from tidemark.llm.text_arrays import Adam, codes_of, hashes, letters, platt, run
 
 WINDOW, STRIDE = 48, 24
 #: Training texts of label 1 and 0 at most.
-TOXIC_TEXTS, OTHER_TEXTS = 1500, 3000
+TOXIC_TEXTS, OTHER_TEXTS = 1200, 2400
 #: Windows of a training text at most, evenly spaced; words with a vector of their own.
 TRAIN_WINDOWS, VOCABULARY = 32, 20_000
 WORD_DIM, CHAR_DIM, CHAR_ROWS, HIDDEN, ATTEND = 12, 8, 4096, 8, 12
@@ -38,6 +38,27 @@ def words_of(texts: list[str]):
     return codes, first, last, hashes(codes, first, last), doc
 
 
+def gathered(texts: list[str], at_once: int = 128):
+    """Hash and text number of every word, and the distinct words by hash, a few texts at
+    a time: what a training sample needs of its texts, without an array per character."""
+    hs, docs, seen = [], [], {}
+    for k in range(0, len(texts), at_once):
+        codes, first, last, h, doc = words_of(texts[k:k + at_once])
+        own, at = np.unique(h, return_index=True)
+        flat = codes.tobytes()
+        for w, a, b in zip(own.tolist(), first[at].tolist(), last[at].tolist()):
+            if w not in seen:
+                seen[w] = flat[4 * a:4 * b]
+        hs.append(h)
+        docs.append((doc + k).astype(np.int32))
+    h = np.concatenate([*hs, np.zeros(0, np.uint64)])
+    doc = np.concatenate([*docs, np.zeros(0, np.int32)])
+    distinct = np.array(sorted(seen), np.uint64)
+    size = np.array([len(seen[w]) // 4 for w in distinct.tolist()], np.int64)
+    codes = np.frombuffer(b"".join(seen[w] for w in distinct.tolist()), "<u4")
+    return h, doc, distinct, codes, np.cumsum(size) - size, np.cumsum(size)
+
+
 def trigrams(codes, first, last) -> tuple[np.ndarray, np.ndarray]:
     """Rows of the trigram table for each word (with marked ends), and where words begin."""
     n = last - first
@@ -51,7 +72,7 @@ def trigrams(codes, first, last) -> tuple[np.ndarray, np.ndarray]:
                      ).astype(np.uint64)
     h = (left * np.uint64(0x9E3779B97F4A7C15) ^ c) * np.uint64(0xBF58476D1CE4E5B9) ^ right
     h = h * np.uint64(0x94D049BB133111EB)
-    return (h >> np.uint64(52)).astype(np.int64), begin
+    return (h >> np.uint64(52)).astype(np.int32), begin
 
 
 def windows(doc: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +111,8 @@ class Network:
 
     def embedded(self, rows, tri, begin, n_tri):
         """Input vectors of distinct words."""
-        chars = np.add.reduceat(self.p["chars"][tri], begin, axis=0) / n_tri[:, None] \
+        chars = np.stack([np.add.reduceat(self.p["chars"][tri, k], begin) / n_tri
+                          for k in range(CHAR_DIM)], 1) \
             if len(begin) else np.zeros((0, CHAR_DIM), np.float32)
         return np.concatenate([self.p["words"][rows], chars], axis=1).astype(np.float32)
 
@@ -197,8 +219,8 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
     """Fit on texts; a text is as toxic as its worst window, so only that one of a toxic
     text is taught (all of them at first), and the worst and a random one of the others."""
     y = np.array(labels, np.float32)
-    codes, first, last, h, doc = words_of(texts)
-    distinct, at, inverse = np.unique(h, return_index=True, return_inverse=True)
+    h, doc, distinct, codes, first, last = gathered(texts)
+    inverse = np.searchsorted(distinct, h).astype(np.int32)
     pairs = np.unique(doc.astype(np.int64) * max(len(distinct), 1) + inverse)
     d, w = pairs // max(len(distinct), 1), pairs % max(len(distinct), 1)
     df = np.bincount(w, minlength=len(distinct))
@@ -212,7 +234,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
         net.scale = (0.0, float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))))
         return net
     rows = net.rows(distinct)
-    tri, begin, n_tri = net._spelling(codes, first, last, at)
+    tri, begin, n_tri = net._spelling(codes, first, last, slice(None))
     start, owner = windows(doc, len(texts))
     k = np.arange(len(owner)) - np.searchsorted(owner, owner)
     size = np.bincount(owner, minlength=len(texts))[owner]
