@@ -114,18 +114,24 @@ def importances(spark: SparkSession, model: PipelineModel,
     return df.orderBy(F.desc("importance"), "feature")
 
 
-def permute_column(df: DataFrame, col: str, seed: int = SEED, buckets: int = 1024) -> DataFrame:
-    """Replace ``col`` by a random derangement of its values, without a global sort.
-
-    Rows are hashed into ``buckets`` random groups and ordered randomly
-    inside each; every row takes the value of its successor (the last takes
-    the first). Group windows are balanced (about rows / buckets each), so
-    no task ever sorts the whole table.
+def permute_column(df: DataFrame, col: str, seed: int = SEED, buckets: int | None = None,
+                   rows_per_group: int = 4096,
+                   by: Sequence[str] = ("key", "date")) -> DataFrame:
+    """Replace ``col`` by a derangement of its values, without a global sort.
+
+    Rows are hashed by ``by`` into ``buckets`` groups (default: as many as give about
+    ``rows_per_group`` rows each) and ordered by another hash inside each; every row takes the value of its successor (the last takes the
+    first). The order depends on the rows alone, so reruns agree.
     """
-    b = F.pmod(F.xxhash64(F.rand(seed)), F.lit(buckets))
-    w = Window.partitionBy("_pb").orderBy("_po")
+    groups = F.lit(buckets) if buckets else F.greatest(df.select(
+        F.ceil(F.count(F.lit(1)) / rows_per_group).alias("n")).scalar(), F.lit(1))
+    by = [c for c in by if c in df.columns] or list(df.columns)
+    salt = [F.lit(f"{seed}|{col}"), *[F.col(c).cast("string") for c in by]]
+    shuffled = df.withColumns({
+        "_pb": F.pmod(F.xxhash64(F.lit("group"), *salt), groups),
+        "_po": F.xxhash64(F.lit("order"), *salt)})
+    w = Window.partitionBy("_pb").orderBy("_po", *by)
     wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    shuffled = df.withColumns({"_pb": b, "_po": F.rand(seed + 1)})
     nxt = F.coalesce(F.lead(col, 1).over(w), F.first(col).over(wall))
     return shuffled.withColumn(col, nxt).drop("_pb", "_po")
 

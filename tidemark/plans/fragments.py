@@ -80,11 +80,11 @@ def panel_stores(spark, d):
 def features_for_stub(spark, d):
     p = target_panel(spark, d)
     f = WN.moving_stats(WN.lag_features(p, (12,), train_end=TRAIN_END), (6,), ema=False)
-    return p, f.filter(F.col("date") > F.add_months(p.select(F.max("date")).scalar(), -12))
+    return p, f.filter(F.col("date") > F.lit(TRAIN_END).cast("date"))
 
 
 def model_frames(spark, d):
-    """Per-model forecast frames (stub scorers on the last 12 months) and actuals."""
+    """Per-model forecast frames (stub scorers on all hold-out months) and actuals."""
     p, f = features_for_stub(spark, d)
     ma, lag = F.col("MA6_y"), F.col("Lag12_y")
     models = {

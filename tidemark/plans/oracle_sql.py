@@ -485,7 +485,7 @@ from (select key, date, target,
                  (select avg(target) from ap where date <= date '{TRAIN_END}')) as lag12,
         coalesce(avg(target) over (w rows between 6 preceding and 1 preceding), 0) as ma6
       from ap window w as (partition by key order by date))
-where date > (select max(date) from ap) - interval 12 month""", ("ap",))
+where date > date '{TRAIN_END}'""", ("ap",))
 CTES["ra"] = ("""
 select *, abs(target - forecast_xgboost) / nullif(target, 0) * 100 as xgboost_row_mape,
           abs(target - forecast_lgbm) / nullif(target, 0) * 100 as lgbm_row_mape,
@@ -675,7 +675,9 @@ select * from stores where store in (select key from active_ids)"""
 SQL["scan_marketing"] = with_("mkt") + """
 select * exclude (region)
 from mkt where brand = 'BUILDING' and date between date '1998-01-01' and date '1998-12-31'"""
-SQL["sink_roundtrip"] = with_("pf") + "select * from pf"
+SQL["sink_roundtrip"] = with_("pf") + f"""
+select v.brand, v.train_end, pf.* from pf, (values ('all', '{TRAIN_END}'),
+  ('other', '{TRAIN_END}'), ('all', '1999-12-31')) v(brand, train_end)"""
 
 # ---------------------------------------------------------------- grids, series, feature store
 H = HORIZON_MONTHS

@@ -104,7 +104,9 @@ def inference(spark: SparkSession, sf_dir: str, out: str, months: int = HORIZON_
         fc = fc.withColumnRenamed("forecast", f"forecast_{name}")
         wide = fc if wide is None else wide.join(fc, ["key", "date"])
     champs = (spark.read.parquet(f"{out.rstrip('/')}/champions")
-              .filter((F.col("target") == target) & (F.col("brand") == brand))
+              .filter((F.col("target") == target) & (F.col("brand") == brand)
+                      & (F.col("cutoff_month") == CUTOFF_MONTH[:7])
+                      & (F.col("train_end") == TRAIN_END))
               .select("key", "best_model_store"))
     pick = F.lit(None).cast("double")
     for m in reversed(EV.MODELS):

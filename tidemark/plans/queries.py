@@ -495,14 +495,17 @@ def q_scan_marketing(spark, d):
 @query("sink_roundtrip")
 def q_sink_roundtrip(spark, d):
     f = IV.promo_features(rel(spark, d)).select(*PROMO_FEATURES)
-    tagged = f.withColumns({"target": F.lit("units"), "brand": F.lit("all"),
-                            "cutoff_month": F.lit(CUTOFF_MONTH[:7]),
-                            "train_end": F.lit(TRAIN_END)})
-    path = IO.write_partitioned(tagged, IO.shared_dir(spark, "sink_roundtrip"),
-                                ["target", "brand", "cutoff_month", "train_end"])
+    path = IO.shared_dir(spark, "sink_roundtrip")
+    # One write per combination: a later one must leave the earlier ones alone.
+    for brand, end in (("all", TRAIN_END), ("other", TRAIN_END), ("all", "1999-12-31")):
+        IO.write_partitioned(f.withColumns({
+            "target": F.lit("units"), "brand": F.lit(brand),
+            "cutoff_month": F.lit(CUTOFF_MONTH[:7]), "train_end": F.lit(end)}),
+            path, ["target", "brand", "cutoff_month", "train_end"])
     back = spark.read.parquet(path).filter((F.col("target") == "units")
                                            & (F.col("cutoff_month") == CUTOFF_MONTH[:7]))
-    return back.select(*PROMO_FEATURES)
+    return back.select("brand", F.col("train_end").cast("string").alias("train_end"),
+                       *PROMO_FEATURES)
 
 
 # ---------------------------------------------------------------- grids, series, feature store

@@ -43,8 +43,12 @@ def in_ids(df: DataFrame, ids: DataFrame, col: str, ids_col: str | None = None)
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
                       mode: str = "overwrite") -> str:
-    """Parquet under ``col=value/`` folders so later reads prune partitions (#6)."""
-    df.write.mode(mode).partitionBy(*partition_cols).parquet(path)
+    """Parquet under ``col=value/`` folders so later reads prune partitions (#6).
+
+    Overwriting replaces only the partitions that ``df`` has; siblings stay.
+    """
+    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_cols).parquet(path))
     return path
 
 
