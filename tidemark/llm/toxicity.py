@@ -257,7 +257,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
         other = shuffled[np.unique(owner[shuffled], return_index=True)[1]]
         other = other[(y[owner[other]] == 0) | (epoch == 0)]
         chosen = np.concatenate([worst, other])
-        chosen = np.concatenate([chosen] * max(1, 3000 // max(len(chosen), 1)))
+        chosen = np.concatenate([chosen] * max(1, 6000 // max(len(chosen), 1)))
         chosen = g.permutation(chosen)
         share = y[owner[chosen]].mean()
         adam.rate = RATE * (1 - epoch / EPOCHS) + 1e-3
