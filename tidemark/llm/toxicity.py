@@ -226,7 +226,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
     df = np.bincount(w, minlength=len(distinct))
     pos = np.bincount(w, y[d] if len(d) else None, minlength=len(distinct))
     order = np.argsort(-df, kind="stable")[:VOCABULARY]
-    chosen = np.sort(order[df[order] >= 2])
+    chosen = np.sort(order[df[order] >= 5])
     rate = (pos[chosen] + 0.5) / (df[chosen] - pos[chosen] + 0.5) \
         * (len(y) - y.sum() + 1) / (y.sum() + 1)
     net = Network(distinct[chosen], np.clip(np.log(rate), -3, 3).astype(np.float32), seed)
