@@ -8,48 +8,62 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.safe import sdiv
 
 
-EXACT_QUANTILE_MAX_ROWS = 5_000_000
+#: Bins that exact quantiles are searched in (bounds the global step to one row per bin).
+QUANTILE_BINS = 256
 
 
-def needs_sketch(df: DataFrame, max_rows: int = EXACT_QUANTILE_MAX_ROWS) -> bool:
-    """Size check: more than ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() > max_rows
+def quartile_cuts(df: DataFrame, col: str, probs: Sequence[float] = (0.25, 0.5, 0.75)) -> Column:
+    """Scalar subquery: array of the linear-interpolated quantiles, exact at every size.
 
-
-def quartile_cuts(df: DataFrame, col: str, approx: bool | None = None,
-                  accuracy: int = 1_000_000) -> Column:
-    """Scalar subquery: array of the 25/50/75 % linear-interpolated quantiles.
-
-    The exact aggregate keeps every distinct value in one buffer, so it is
-    used only when the input is checked to hold at most
-    ``EXACT_QUANTILE_MAX_ROWS`` rows (a ``limit``-bounded count); beyond
-    that the mergeable sketch ``percentile_approx`` (rank error 1/accuracy)
-    takes over. ``approx`` forces either path.
+    A sketch only deals the values into about equal bins; counts per bin place
+    each wanted rank in its bin, and running counts over the bin's distinct
+    values find it.  No task sees more than one bin's distinct values.
     """
-    if approx is None:
-        approx = needs_sketch(df)
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    agg = (F.percentile_approx(col, probs, accuracy) if approx else F.percentile(col, probs))
-    return df.select(agg).scalar()
+    x = (df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull()))
+    # One subquery for the count and the bins' edges.
+    stats = x.select(F.struct(F.count("x").alias("n"), F.percentile_approx("x", F.array(
+        *[F.lit(k / QUANTILE_BINS) for k in range(1, QUANTILE_BINS)]), 10_000).alias("e"))).scalar()
+    values = (x.groupBy("x").agg(F.count("x").alias("n")).withColumn("s", stats)
+              .select("x", "n", F.col("s.n").alias("total"),
+                      F.size(F.filter("s.e", lambda e: e < F.col("x"))).alias("bin")))
+    bins = values.groupBy("bin").agg(F.sum("n").alias("m"))
+    before = bins.select("bin", (F.sum("m").over(Window.orderBy("bin")) - F.col("m")).alias("b"))
+    upto = F.col("b") + F.sum("n").over(Window.partitionBy("bin").orderBy("x"))
+    placed = (values.join(F.broadcast(before), "bin")
+              .select("x", "n", "total", upto.alias("upto")))
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when((F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto")),
+                            F.col("x")))
+
+    where = [(F.col("total") - 1) * F.lit(p) for p in probs]
+    marks = placed.agg(F.max("total").alias("total"), *[
+        at(f(w)).alias(f"{side}{k}") for k, w in enumerate(where)
+        for f, side in ((F.floor, "lo"), (F.ceil, "hi"))])
+    return marks.select(F.array(*[
+        F.when(F.floor(w) == F.ceil(w), F.col(f"lo{k}")).otherwise(
+            (F.ceil(w) - w) * F.col(f"lo{k}") + (w - F.floor(w)) * F.col(f"hi{k}"))
+        for k, w in enumerate(where)])).scalar()
 
 
 def quartile_bin(df: DataFrame, col: str, out: str | None = None,
-                 approx: bool | None = None) -> DataFrame:
+                 of: DataFrame | None = None) -> DataFrame:
     """Labels 1..4 with right-closed intervals, lowest included (pandas ``qcut``, S14).
 
-    Duplicate edges collapse instead of raising.
+    Duplicate edges collapse instead of raising.  The cuts are those of ``of``
+    (``df`` itself by default; pass the plain frame when binning several columns).
     """
-    cuts = quartile_cuts(df, col, approx)
-    x = F.col(col)
-    label = (F.when(x.isNull(), F.lit(None)).when(x <= F.get(cuts, 0), 1)
-             .when(x <= F.get(cuts, 1), 2).when(x <= F.get(cuts, 2), 3).otherwise(4))
-    return df.withColumn(out or f"{col}_cat", label.cast("int"))
+    x, cut = F.col(col), lambda k: F.get("_cuts", F.lit(k))
+    label = (F.when(x.isNull(), F.lit(None)).when(x <= cut(0), 1).when(x <= cut(1), 2)
+             .when(x <= cut(2), 3).otherwise(4))
+    return (df.withColumn("_cuts", quartile_cuts(df if of is None else of, col))
+            .withColumn(out or f"{col}_cat", label.cast("int")).drop("_cuts"))
 
 
 def target_encoding_table(train: DataFrame, col: str, target: str = "target",
@@ -70,30 +84,39 @@ def target_encoding_table(train: DataFrame, col: str, target: str = "target",
     return stats.select(col, enc.alias(f"{col}_encode"))
 
 
+def _hinted(table: DataFrame, small: bool) -> DataFrame:
+    """Broadcast hint for categories whose domain is bounded by definition; no counting.
+
+    A shuffle join would send all rows of such a value to one task.  The rest
+    (store keys) is left to the planner: it joins on the panel's partitioning.
+    """
+    return F.broadcast(table) if small else table
+
+
 def target_encode(df: DataFrame, cols: Sequence[str], train_filter: Column,
-                  target: str = "target", **kw) -> DataFrame:
-    """Fit on rows matching ``train_filter``; apply to all rows (#111)."""
-    from tidemark.session import broadcast_if_small
+                  target: str = "target", small: Sequence[str] = (), **kw) -> DataFrame:
+    """Fit on rows matching ``train_filter``; apply to all rows (#111).
+
+    ``small`` names the columns with a fixed, small domain (channel, format, flags).
+    """
     train = df.filter(train_filter)
     kw.setdefault("prior", train.select(F.avg(F.col(target).cast("double"))).scalar())
     out = df
     for c in cols:
-        # A low-cardinality category joined by shuffle would put all rows of
-        # one value in one task; the table has one row per category, so it is
-        # broadcast whenever its checked size allows.
-        out = out.join(broadcast_if_small(target_encoding_table(train, c, target, **kw)), c, "left")
+        out = out.join(_hinted(target_encoding_table(train, c, target, **kw), c in small), c,
+                       "left")
     return out
 
 
-def target_share_encode(df: DataFrame, cols: Sequence[str], target: str = "target") -> DataFrame:
-    """Category's share of the total target, ``{col}_target_pct`` (#112)."""
-    from tidemark.session import broadcast_if_small
+def target_share_encode(df: DataFrame, cols: Sequence[str], target: str = "target",
+                        small: Sequence[str] = ()) -> DataFrame:
+    """Category's share of the total target, ``{col}_target_pct`` (#112); ``small`` as above."""
     total = df.select(F.sum(target).cast("bigint")).scalar()
     out = df
     for c in cols:
         share = (df.filter(F.col(target).isNotNull()).groupBy(c)
                  .agg(sdiv(F.sum(target), total).alias(f"{c}_target_pct")))
-        out = out.join(broadcast_if_small(share), c, "left")
+        out = out.join(_hinted(share, c in small), c, "left")
     return out
 
 
@@ -112,11 +135,9 @@ def binary_map(df: DataFrame, col: str, one: str, zero: str | None = None,
     return df.withColumn(out or col, expr.cast("int"))
 
 
-def apply_mapping(df: DataFrame, mapping: DataFrame, col: str,
-                  max_broadcast_rows: int = 100_000) -> DataFrame:
+def apply_mapping(df: DataFrame, mapping: DataFrame, col: str, small: bool = False) -> DataFrame:
     """Join a saved (category → code) mapping (#115); unseen → NULL.
 
-    The mapping is broadcast only when its checked size is under the bound.
+    ``small``: the category's domain is fixed and small, so the mapping is broadcast.
     """
-    from tidemark.session import broadcast_if_small
-    return df.join(broadcast_if_small(mapping, max_broadcast_rows), col, "left")
+    return df.join(_hinted(mapping, small), col, "left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.rollup import keep_active, monthly_rollup
 from tidemark.sources.bindings import sales_lines, store_geo
+from tidemark.sources.tables import table_path
 
 PANEL_COLS = ["key", "business_type", "date", "num_transactions", "sales_amount", "units", "ppu"]
 
@@ -24,10 +25,25 @@ def compute_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PANELS: dict = {}
+PANEL_INPUTS = ("lineitem", "supplier", "nation", "region")
+
+
+def inputs_stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Latest change and total size of each of the panel's inputs, from the file system."""
+    conf, path_of = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    out = []
+    for name in PANEL_INPUTS:
+        path = path_of(table_path(sf_dir, name))
+        fs = path.getFileSystem(conf)
+        files = [f for f in fs.listStatus(path) if f.isFile()]
+        out.append((fs.getFileStatus(path).getModificationTime(),
+                    *(sum(f.getLen() for f in files),
+                      max((f.getModificationTime() for f in files), default=0))))
+    return tuple(out)
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The monthly panel, materialised once per application and input folder.
+    """The monthly panel, materialised once per application and state of the input folder.
 
     Every downstream feature step reads the panel (as the reference reads its
     pre-processed Parquet), usually several times per query (main plan plus
@@ -39,7 +55,12 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     preceding ``repartition(n, key)``) keeps one file per bucket.
     """
     memo_key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    name = _PANELS.get(memo_key)
+    stamp = inputs_stamp(spark, sf_dir)
+    name, built_from = _PANELS.get(memo_key, (None, None))
+    if name is not None and built_from != stamp:
+        # The inputs changed: the old panel is stale.
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        name = None
     if name is None or not spark.catalog.tableExists(name):
         import uuid
 
@@ -49,7 +70,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         (compute_panel(spark, sf_dir).repartition(n, "key").write
          .option("path", shared_dir(spark, "panel")).bucketBy(n, "key").sortBy("key", "date")
          .saveAsTable(name))
-        _PANELS[memo_key] = name
+        _PANELS[memo_key] = (name, stamp)
     return spark.table(name)
 
 

@@ -16,8 +16,8 @@ from tidemark.operators import rollup as RU
 from tidemark.operators import windows as WN
 from tidemark.plans.common import panel, target_panel
 from tidemark.plans.flagship import flagship
-from tidemark.plans.params import (BRAND_REGION_PAIRS, CUTOFF_MONTH, HORIZON_END, HORIZON_MONTHS,
-                                   REGIONS, SOURCES, TRAIN_END)
+from tidemark.plans.params import (BRAND_REGION_PAIRS, HORIZON_MONTHS, REGIONS, SOURCES,
+                                   TRAIN_END)
 from tidemark.sources import bindings as B
 
 PROMO_FEATURES = ["locationId", "date", "distinct_discount_levels", "avg_discount", "max_discount",
@@ -42,13 +42,20 @@ def spine(spark, d, horizon: bool = False):
         "start", F.last_day(F.add_months("_max", HORIZON_MONTHS)).alias("end")))
 
 
+def event_years(spark, d):
+    """Years that events are listed for: all of the panel and of the forecast horizon."""
+    return B.event_years(panel(spark, d), HORIZON_MONTHS)
+
+
 def cal(spark, d, variant="A", horizon: bool = False):
-    return CA.holiday_calendar(spine(spark, d, horizon), B.event_ranges(spark),
-                               B.event_days(spark), variant)
+    years = event_years(spark, d)
+    return CA.holiday_calendar(spine(spark, d, horizon), B.event_ranges(years),
+                               B.event_days(years), variant)
 
 
 def peak(spark, d, horizon: bool = False):
-    return CA.peak_calendar(spine(spark, d, horizon), B.event_ranges(spark), B.event_days(spark))
+    years = event_years(spark, d)
+    return CA.peak_calendar(spine(spark, d, horizon), B.event_ranges(years), B.event_days(years))
 
 
 def rel(spark, d):
@@ -56,8 +63,9 @@ def rel(spark, d):
 
 
 def sply_promo(spark, d):
-    f = EX.truncate_at(IV.promo_features(rel(spark, d)).select(*PROMO_FEATURES), CUTOFF_MONTH)
-    return EX.sply_extend(f, ["locationId"], HORIZON_END)
+    f = EX.truncate_at(IV.promo_features(rel(spark, d)).select(*PROMO_FEATURES),
+                       last_month(spark, d))
+    return EX.sply_extend(f, ["locationId"], horizon_end(spark, d))
 
 
 def mkt(spark, d):
@@ -67,9 +75,7 @@ def mkt(spark, d):
 
 def stores_binned(spark, d):
     s = B.stores(spark, d).fillna(0.0, subset=["selling_square_ft"])
-    big = EN.needs_sketch(s)
-    s = EN.quartile_bin(s, "total_square_ft", approx=big)
-    return EN.quartile_bin(s, "selling_square_ft", approx=big)
+    return EN.quartile_bin(EN.quartile_bin(s, "total_square_ft"), "selling_square_ft", of=s)
 
 
 def panel_stores(spark, d):
@@ -122,6 +128,19 @@ def last_month(spark, d):
     return panel(spark, d).select(F.max("date")).scalar()
 
 
+def horizon_end(spark, d):
+    """Last month of the forecast horizon."""
+    return F.add_months(last_month(spark, d), HORIZON_MONTHS)
+
+
+def sply_spend(spark, d, actual_flag=None):
+    """Monthly spend up to the panel's last month, extended to the horizon's end."""
+    m = EX.truncate_at(MK.monthly_with_sources(mkt(spark, d), SOURCES), last_month(spark, d),
+                       "month")
+    return EX.sply_extend(m, ["brand", "region"], horizon_end(spark, d), "month",
+                          actual_flag=actual_flag)
+
+
 def marketing_by_month(spark, d):
     return mkt(spark, d).select(F.trunc("date", "MM").alias("date"))
 
@@ -135,9 +154,7 @@ def feature_store(spark, d):
     rows = FS.add_future_rows(hist, tp, tp.select(F.max("date")).scalar(), HORIZON_MONTHS)
     # Future rows need calendar features too: the spine runs to the horizon end.
     cal_m = CA.calendar_monthly(cal(spark, d, "A", horizon=True), "A")
-    m = EX.truncate_at(MK.monthly_with_sources(mkt(spark, d), SOURCES), CUTOFF_MONTH, "month")
-    m = EX.sply_extend(m, ["brand", "region"], HORIZON_END, "month")
-    spend = (m.groupBy(F.col("month").alias("date"))
+    spend = (sply_spend(spark, d).groupBy(F.col("month").alias("date"))
              .agg(*[F.sum(c).cast("double").alias(c) for c in MKT_SRC_COLS]))
     stores = stores_binned(spark, d).withColumnRenamed("store", "key").drop("city")
     promo = sply_promo(spark, d).withColumnRenamed("locationId", "key")
@@ -167,6 +184,8 @@ def ml_frames(spark, d):
 
 
 MASTER_ENCODED = ("channel", "store_format", "key", "festive_peak_flag", "deriv_2_trend_flag")
+# Those whose domain is fixed: 2 channels, 4 formats at most, a 0/1 flag, 3 trend labels.
+MASTER_SMALL = ("channel", "store_format", "festive_peak_flag", "deriv_2_trend_flag")
 
 
 def tourism(spark, d):
@@ -181,14 +200,14 @@ def master_table(spark, d):
     out = CA.join_peak_calendar(feature_store(spark, d), peak(spark, d, horizon=True))
     dv = WN.derivatives(target_panel(spark, d)).withColumnRenamed("year_month", "date")
     out = out.join(dv, ["key", "date"], "left")
-    out = CA.holiday_count(CA.date_features(out), B.holidays(spark))
+    out = CA.holiday_count(CA.date_features(out), B.holidays(event_years(spark, d)))
     # The encoder stage reads this frame about a dozen times (statistics,
     # priors, size checks, flags, the final rows): materialise it once in the
     # shared checkpoint folder instead of re-deriving the feature store.
     from tidemark.session import checkpoint
     out = checkpoint(out)
     train = (F.col("date") <= F.lit(TRAIN_END).cast("date")) & F.col("target").isNotNull()
-    out = EN.target_encode(out, list(MASTER_ENCODED), train)
+    out = EN.target_encode(out, list(MASTER_ENCODED), train, small=MASTER_SMALL)
     out = EN.one_hot(out, "channel", ["ecommerce", "retail"])
     flagged = (out.filter(F.col("festive_peak_flag") == 1).select("date").distinct()
                .withColumn("_flag", F.lit(1)))

@@ -138,10 +138,14 @@ from f"""
 CTES["spine"] = ("""
 select unnest(generate_series(min(l_shipdate)::date, max(l_shipdate)::date, interval 1 day))::date
        as date from lineitem""", ())
+CTES["yrs"] = (f"""
+select unnest(generate_series(year(min(l_shipdate)::date) - 1,
+                              year(max(l_shipdate)::date + interval {HORIZON_MONTHS} month) + 1))
+       as y from lineitem""", ())
 CTES["rng"] = ("""
 select make_date(y::int, 6, 1) - (11 * (y - 1995))::int as s,
        make_date(y::int, 6, 1) - (11 * (y - 1995))::int + 29 as e
-from range(1995, 2003) t(y)""", ())
+from yrs""", ("yrs",))
 CTES["feast"] = ("""
 select unnest(generate_series(e + 1, e + 3, interval 1 day))::date as fd, 'feast' as ev from rng
 union all
@@ -214,9 +218,9 @@ from peak group by 1""", ("peak",))
 CTES["hol"] = ("""
 select fd as date from feast
 union
-select make_date(y::int, 2, 22) from range(1995, 2003) t(y)
+select make_date(y::int, 2, 22) from yrs
 union
-select make_date(y::int, 9, 23) from range(1995, 2003) t(y)""", ("feast",))
+select make_date(y::int, 9, 23) from yrs""", ("feast", "yrs"))
 
 SQL["calendar_daily"] = with_("cal_a") + "select * from cal_a"
 SQL["holiday_flags"] = with_("cal_a") + """
@@ -290,7 +294,9 @@ select *, month(date)::int as month, quarter(date)::int as quarter, year(date)::
 from ap"""
 
 # ---------------------------------------------------------------- promotions
-from tidemark.plans.params import CUTOFF_MONTH, HORIZON_END  # noqa: E402
+_CUT = "(select date_trunc('month', max(l_shipdate)::date)::date from lineitem)"
+_END = (f"(select (date_trunc('month', max(l_shipdate)::date) + interval {HORIZON_MONTHS} month)::date "
+        "from lineitem)")
 
 CTES["rel"] = ("""
 select *, (datediff('day', eff_from, eff_to) + 1)::int as promo_length
@@ -331,14 +337,14 @@ from pmon left join pd using (locationId, date)""", ("pmon", "pd"))
 _PF_COLS = ("locationId, date, distinct_discount_levels, avg_discount, max_discount, min_discount, "
             "avg_promo_duration, percentage_products_on_promo, promo_days_in_month")
 CTES["sply_p"] = (f"""
-select {_PF_COLS} from pf where date <= date '{CUTOFF_MONTH}'
+select {_PF_COLS} from pf where date <= {_CUT}
 union all
 select {_PF_COLS.replace('date,', "(date + to_months((12 * k)::int))::date as date,", 1)}
-from (select *, unnest(generate_series(1, (datediff('month', date, date '{HORIZON_END}') // 12)::int))
+from (select *, unnest(generate_series(1, (datediff('month', date, {_END}) // 12)::int))
         as k
       from (select *, max(date) over (partition by locationId) as l
-            from pf where date <= date '{CUTOFF_MONTH}')
-      where date > l - interval 12 month and datediff('month', date, date '{HORIZON_END}') >= 12)""",
+            from pf where date <= {_CUT})
+      where date > l - interval 12 month and datediff('month', date, {_END}) >= 12)""",
                     ("pf",))
 
 SQL["promo_length"] = with_("rel") + """
@@ -399,13 +405,13 @@ SQL["campaign_region"] = with_("mkt") + "select date, brand, campaign_name, regi
 SQL["marketing_monthly"] = with_("mm") + "select * from mm"
 SQL["marketing_pivot"] = with_("mp") + "select * from mp"
 CTES["sply_m"] = (f"""
-with base as (select * from mp where month <= date '{CUTOFF_MONTH}'),
+with base as (select * from mp where month <= {_CUT}),
 gen as (select * exclude (l, k) replace ((month + to_months((12 * k)::int))::date as month)
         from (select *, unnest(generate_series(1,
-                 (datediff('month', month, date '{HORIZON_END}') // 12)::int)) as k
+                 (datediff('month', month, {_END}) // 12)::int)) as k
               from (select *, max(month) over (partition by brand, region) as l from base)
               where month > l - interval 12 month
-                and datediff('month', month, date '{HORIZON_END}') >= 12))
+                and datediff('month', month, {_END}) >= 12))
 select *, true as is_actual from base
 union all by name
 select *, false as is_actual from gen""", ("mp",))

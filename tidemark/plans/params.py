@@ -7,9 +7,8 @@ HORIZON_MONTHS = 15
 LAGS = (12,)
 WINDOWS = (6,)
 ROUND = 4          # places for computed doubles in query outputs (hash-stable)
-# Promotion / marketing cutoff month and the extension horizon (cutoff + 15 months).
-CUTOFF_MONTH = "2001-06-01"
-HORIZON_END = "2002-09-01"
+# Partition label of the sink's round trip (cutoff and horizon themselves come from the panel).
+CUTOFF_LABEL = "2001-11"
 # Region codes searched in campaign names, the (brand, region)
 # pairs kept for marketing features, and the pivot values of ``source``.
 REGIONS = ("ASIA", "EUROPE")

@@ -20,18 +20,23 @@ from tidemark.operators import ml as ML
 from tidemark.operators import recursive as RC
 from tidemark.plans import fragments as FR
 from tidemark.plans import queries as Q
-from tidemark.plans.params import CUTOFF_MONTH, HORIZON_MONTHS, TRAIN_END
+from tidemark.plans.params import HORIZON_MONTHS, TRAIN_END
 from tidemark.sources.io import write_partitioned
 
 LAYOUT = ("target", "brand", "cutoff_month", "train_end")
 
 
-def _write(df: DataFrame, out: str, name: str, target: str, brand: str) -> str:
+def _cutoff(spark: SparkSession, sf_dir: str) -> str:
+    """The panel's last month, ``yyyy-MM`` (one row to the driver)."""
+    return FR.panel(spark, sf_dir).select(F.date_format(F.max("date"), "yyyy-MM")).first()[0]
+
+
+def _write(df: DataFrame, out: str, name: str, target: str, brand: str, cutoff: str) -> str:
     """Write ``df`` under the layout; data columns named like a layout column get ``_value``."""
     clash = {c: f"{c}_value" for c in LAYOUT if c in df.columns}
     tagged = df.withColumnsRenamed(clash).withColumns({
         "target": F.lit(target), "brand": F.lit(brand),
-        "cutoff_month": F.lit(CUTOFF_MONTH[:7]), "train_end": F.lit(TRAIN_END)})
+        "cutoff_month": F.lit(cutoff), "train_end": F.lit(TRAIN_END)})
     return write_partitioned(tagged, f"{out.rstrip('/')}/{name}", list(LAYOUT))
 
 
@@ -47,13 +52,15 @@ def feature_build(spark: SparkSession, sf_dir: str, out: str, target: str = "uni
         "marketing": Q.q_sply_marketing(spark, sf_dir),
         "promotions": FR.sply_promo(spark, sf_dir),
     }
-    return {n: _write(df, out, n, target, brand) for n, df in tables.items()}
+    cutoff = _cutoff(spark, sf_dir)
+    return {n: _write(df, out, n, target, brand, cutoff) for n, df in tables.items()}
 
 
 def master_table(spark: SparkSession, sf_dir: str, out: str, target: str = "units",
                  brand: str = "all") -> str:
     """Entry point B: the assembled feature store."""
-    return _write(FR.master_table(spark, sf_dir), out, "master_table", target, brand)
+    return _write(FR.master_table(spark, sf_dir), out, "master_table", target, brand,
+                  _cutoff(spark, sf_dir))
 
 
 def train_forecast(spark: SparkSession, sf_dir: str, out: str, target: str = "units",
@@ -77,11 +84,12 @@ def train_forecast(spark: SparkSession, sf_dir: str, out: str, target: str = "un
     scored = EV.scored(EV.row_ape(forecasts))
     champions = EV.champion_store(scored)
     applied = EV.apply_store_champion(scored, champions)
+    cutoff = _cutoff(spark, sf_dir)
     return {
-        "forecasts": _write(forecasts, out, "forecasts", target, brand),
-        "champions": _write(champions, out, "champions", target, brand),
-        "champion_mix": _write(applied, out, "champion_mix", target, brand),
-        "metrics": _write(EV.metrics(scored), out, "metrics", target, brand),
+        "forecasts": _write(forecasts, out, "forecasts", target, brand, cutoff),
+        "champions": _write(champions, out, "champions", target, brand, cutoff),
+        "champion_mix": _write(applied, out, "champion_mix", target, brand, cutoff),
+        "metrics": _write(EV.metrics(scored), out, "metrics", target, brand, cutoff),
     }
 
 
@@ -103,9 +111,10 @@ def inference(spark: SparkSession, sf_dir: str, out: str, months: int = HORIZON_
         fc = RC.recursive_forecast_model(tp, months, model, ML.FEATURES, mean)
         fc = fc.withColumnRenamed("forecast", f"forecast_{name}")
         wide = fc if wide is None else wide.join(fc, ["key", "date"])
+    cutoff = _cutoff(spark, sf_dir)
     champs = (spark.read.parquet(f"{out.rstrip('/')}/champions")
               .filter((F.col("target") == target) & (F.col("brand") == brand)
-                      & (F.col("cutoff_month") == CUTOFF_MONTH[:7])
+                      & (F.col("cutoff_month") == cutoff)
                       & (F.col("train_end") == TRAIN_END))
               .select("key", "best_model_store"))
     pick = F.lit(None).cast("double")
@@ -118,5 +127,5 @@ def inference(spark: SparkSession, sf_dir: str, out: str, months: int = HORIZON_
                       F.bround(F.coalesce(pick, F.col(f"forecast_{EV.MODELS[0]}")), 0)
                       .cast("bigint").alias("forecasted_units"),
                       F.lit("Monthly").alias("frequency")))
-    return {"future_forecasts": _write(wide, out, "future_forecasts", target, brand),
-            "report": _write(report, out, "report", target, brand)}
+    return {"future_forecasts": _write(wide, out, "future_forecasts", target, brand, cutoff),
+            "report": _write(report, out, "report", target, brand, cutoff)}

@@ -27,12 +27,12 @@ from tidemark.operators import series as SE
 from tidemark.operators import windows as WN
 from tidemark.plans.common import compute_panel, panel, rnd, target_panel
 from tidemark.plans.flagship import flagship
-from tidemark.plans.fragments import (PROMO_FEATURES, active_ids, applied, cal, feature_store,
+from tidemark.plans.fragments import (PROMO_FEATURES, active_ids, applied, cal, event_years, feature_store,
                                       forecasts, last_month, marketing_by_month, mkt, ml_frames,
                                       model_frames, panel_stores, peak, rel, scored, spine,
-                                      sply_promo, stores_binned, train_mean)
-from tidemark.plans.params import (CUTOFF_MONTH, HORIZON_END, HORIZON_MONTHS, LAGS, REGIONS,
-                                   SOURCES, TRAIN_END, WINDOWS)
+                                      sply_promo, sply_spend, stores_binned, train_mean)
+from tidemark.plans.params import (CUTOFF_LABEL, HORIZON_MONTHS, LAGS, REGIONS, SOURCES,
+                                   TRAIN_END, WINDOWS)
 from tidemark.sources import bindings as B
 from tidemark.sources import io as IO
 from tidemark.sources.tables import read_table
@@ -113,7 +113,8 @@ def q_holiday_flags(spark, d):
 
 @query("ramadan_flags")
 def q_ramadan_flags(spark, d):
-    ev = CA.with_event_flags(spine(spark, d), B.event_ranges(spark), B.event_days(spark))
+    years = event_years(spark, d)
+    ev = CA.with_event_flags(spine(spark, d), B.event_ranges(years), B.event_days(years))
     return ev.select("date", F.col("is_range").alias("is_ramadan"),
                      F.col("pre_range").alias("pre_ramadan"),
                      F.col("post_range").alias("post_ramadan"),
@@ -182,7 +183,7 @@ def q_peak_calendar_join(spark, d):
 
 @query("holiday_count")
 def q_holiday_count(spark, d):
-    return CA.holiday_count(target_panel(spark, d), B.holidays(spark))
+    return CA.holiday_count(target_panel(spark, d), B.holidays(event_years(spark, d)))
 
 
 @query("pre_post_event_flag")
@@ -261,8 +262,7 @@ def q_marketing_pivot(spark, d):
 
 @query("sply_marketing")
 def q_sply_marketing(spark, d):
-    m = EX.truncate_at(MK.monthly_with_sources(mkt(spark, d), SOURCES), CUTOFF_MONTH, "month")
-    out = EX.sply_extend(m, ["brand", "region"], HORIZON_END, "month", actual_flag="is_actual")
+    out = sply_spend(spark, d, actual_flag="is_actual")
     return rnd(out.withColumn("is_actual", F.col("is_actual") == 1), MKT_DOUBLES)
 
 
@@ -275,13 +275,15 @@ def q_quartile_bins(spark, d):
 @query("target_encode")
 def q_target_encode(spark, d):
     df = EN.target_encode(panel_stores(spark, d), ["channel", "store_format", "key"],
-                          F.col("date") <= F.lit(TRAIN_END).cast("date"))
+                          F.col("date") <= F.lit(TRAIN_END).cast("date"),
+                          small=("channel", "store_format"))
     return rnd(df, ["channel_encode", "store_format_encode", "key_encode"])
 
 
 @query("target_share_encode")
 def q_target_share_encode(spark, d):
-    df = EN.target_share_encode(panel_stores(spark, d), ["channel", "store_format", "key"])
+    df = EN.target_share_encode(panel_stores(spark, d), ["channel", "store_format", "key"],
+                                small=("channel", "store_format"))
     return rnd(df, ["channel_target_pct", "store_format_target_pct", "key_target_pct"], 6)
 
 
@@ -500,10 +502,10 @@ def q_sink_roundtrip(spark, d):
     for brand, end in (("all", TRAIN_END), ("other", TRAIN_END), ("all", "1999-12-31")):
         IO.write_partitioned(f.withColumns({
             "target": F.lit("units"), "brand": F.lit(brand),
-            "cutoff_month": F.lit(CUTOFF_MONTH[:7]), "train_end": F.lit(end)}),
+            "cutoff_month": F.lit(CUTOFF_LABEL), "train_end": F.lit(end)}),
             path, ["target", "brand", "cutoff_month", "train_end"])
     back = spark.read.parquet(path).filter((F.col("target") == "units")
-                                           & (F.col("cutoff_month") == CUTOFF_MONTH[:7]))
+                                           & (F.col("cutoff_month") == CUTOFF_LABEL))
     return back.select("brand", F.col("train_end").cast("string").alias("train_end"),
                        *PROMO_FEATURES)
 
@@ -671,7 +673,7 @@ def q_trend_label_encode(spark, d):
     rows = tp.join(dv, ["key", "date"], "left")
     train = rows.filter(F.col("date") <= F.lit(TRAIN_END).cast("date"))
     mapping = EN.target_encoding_table(train, "deriv_2_trend_flag")
-    return rnd(EN.apply_mapping(rows, mapping, "deriv_2_trend_flag"),
+    return rnd(EN.apply_mapping(rows, mapping, "deriv_2_trend_flag", small=True),
                ["deriv_2_trend_flag_encode"])
 
 

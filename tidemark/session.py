@@ -67,13 +67,3 @@ def checkpoint(df):
     """Reliable checkpoint into the cluster's checkpoint folder (never local)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df, max_rows: int = 100_000):
-    """Broadcast hint only after checking the row count (reads ≤ max_rows + 1 rows).
-
-    Above the bound the plain DataFrame is returned and the planner (AQE's
-    runtime statistics) picks the join strategy.
-    """
-    from pyspark.sql import functions as F
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

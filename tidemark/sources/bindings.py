@@ -194,10 +194,9 @@ def month_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The moving-festival calendar used with the driver data.
-# One 30-day range per year 1995-2002 starting at 1 June minus 11 days per
-# year since 1995; the three days after each range are feast days.
+# One 30-day range per year, starting at 1 June of 1995 and 11 days earlier
+# each year after; the three days after each range are feast days.
 EVENT_FIRST_YEAR = 1995
-EVENT_LAST_YEAR = 2002
 EVENT_RANGE_DAYS = 30
 EVENT_DRIFT_DAYS = 11
 FEAST_DAYS = 3
@@ -207,20 +206,24 @@ FEAST2_OFFSET_DAYS = 70
 NATIONAL_HOLIDAYS_MMDD = ("02-22", "09-23")
 
 
-def event_ranges(spark: SparkSession, first_year: int = EVENT_FIRST_YEAR,
-                 last_year: int = EVENT_LAST_YEAR) -> DataFrame:
+def event_years(months: DataFrame, horizon: int) -> DataFrame:
+    """``event_years(y)``: the years of ``months.date`` and ``horizon`` months on, one more each side."""
+    span = months.agg(F.min("date").alias("a"), F.max("date").alias("b"))
+    return span.select(F.explode(F.sequence(
+        F.year("a") - 1, F.year(F.add_months("b", horizon)) + 1)).alias("y"))
+
+
+def event_ranges(years: DataFrame) -> DataFrame:
     """``event_ranges(event, start, end)``: one festival range per year (tiny, bounded by years)."""
-    y = F.col("id").cast("int")
+    y = F.col("y")
     start = F.date_sub(F.make_date(y, F.lit(6), F.lit(1)), (y - EVENT_FIRST_YEAR) * EVENT_DRIFT_DAYS)
-    return (spark.range(first_year, last_year + 1)
-            .select(F.lit("festival").alias("event"), start.alias("start"),
-                    F.date_add(start, EVENT_RANGE_DAYS - 1).alias("end")))
+    return years.select(F.lit("festival").alias("event"), start.alias("start"),
+                        F.date_add(start, EVENT_RANGE_DAYS - 1).alias("end"))
 
 
-def event_days(spark: SparkSession, first_year: int = EVENT_FIRST_YEAR,
-               last_year: int = EVENT_LAST_YEAR) -> DataFrame:
+def event_days(years: DataFrame) -> DataFrame:
     """``event_days(event, date)``: ``feast`` right after each festival range, ``feast2`` later."""
-    rng = event_ranges(spark, first_year, last_year)
+    rng = event_ranges(years)
     first = rng.select(F.lit("feast").alias("event"),
                        F.explode(F.sequence(F.date_add("end", 1),
                                             F.date_add("end", FEAST_DAYS))).alias("date"))
@@ -231,12 +234,10 @@ def event_days(spark: SparkSession, first_year: int = EVENT_FIRST_YEAR,
     return first.unionByName(second)
 
 
-def holidays(spark: SparkSession, first_year: int = EVENT_FIRST_YEAR,
-             last_year: int = EVENT_LAST_YEAR) -> DataFrame:
+def holidays(years: DataFrame) -> DataFrame:
     """``holidays(date)``: feast days plus fixed-date national holidays."""
-    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("y"))
     fixed = years.select(F.explode(F.array(*[
         F.make_date("y", F.lit(int(md[:2])), F.lit(int(md[3:]))) for md in NATIONAL_HOLIDAYS_MMDD
     ])).alias("date"))
-    feasts = event_days(spark, first_year, last_year).select("date")
+    feasts = event_days(years).select("date")
     return feasts.unionByName(fixed).distinct()
