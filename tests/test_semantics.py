@@ -176,6 +176,28 @@ def test_quartile_bins(spark):
     assert col(EN.quartile_bin(df, "x"), "x_cat", "x") == [1, 1, 2, 2, 3, 4, 4]
 
 
+def test_quartile_cuts_are_exact_over_many_bins_and_ties(spark):
+    for x in ([float(i * 7919 % 5003) for i in range(5003)], [float(i % 3) for i in range(900)],
+              [4.0]):
+        df = spark.createDataFrame([(v,) for v in x] + [(None,)], "x double")
+        want = df.select(F.percentile("x", F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)])))
+        assert df.select(EN.quartile_cuts(df, "x")).first()[0] == want.first()[0]
+
+
+def test_panel_follows_changed_inputs(spark, tmp_path):
+    import shutil
+
+    from tidemark.plans.common import panel
+    for name in ("lineitem", "orders", "supplier", "nation", "region"):
+        shutil.copyfile(f"/root/testdata/sf0.001/{name}.parquet", tmp_path / f"{name}.parquet")
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").limit(1000).toPandas()
+    units = panel(spark, str(tmp_path)).agg(F.sum("units")).first()[0]
+    lines.to_parquet(tmp_path / "lineitem.parquet", coerce_timestamps="us")
+    spark.catalog.refreshByPath(str(tmp_path))
+    fewer = panel(spark, str(tmp_path)).agg(F.sum("units")).first()[0]
+    assert 0 < fewer < units
+
+
 def fc_rows(spark, rows):
     return spark.createDataFrame(rows, "key string, date date, forecast_xgboost double, "
                                  "forecast_lgbm double, forecast_random_forest double, "
