@@ -184,6 +184,43 @@ def test_lm_base_scores_and_probability(spark):
     assert lm_mix.score(spark.createDataFrame(rows, DOCS).limit(0)).count() == 0
 
 
+def test_lm_tables_hold_every_training_text(spark):
+    """Texts that teach the gate are counted like the others, to their last word."""
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    rows = []
+    for i in range(60):
+        own = word(24)
+        rows.append((i, " ".join([word(3) for _ in range(1100)] + [own] * 900), "k", "c"))
+    got = lm_mix.score(spark.createDataFrame(rows, DOCS)).collect()
+    bits = [r["bits_per_byte"] for r in got if not r["held_out"]]
+    assert max(bits) < 1.2 * min(bits)
+
+
+def test_lm_gate_learns_in_tasks(spark):
+    """The weights depend on all words and not on how tasks share them, and lower the loss."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcd") for _ in range(rng.randint(1, 6))) for _ in range(900)]
+    rows = [(w.encode(), n + 1) for n, w in enumerate(sorted(set(words)))]
+    df = spark.createDataFrame(rows, "w binary, n bigint")
+    code = lm_mix.Code(lm_mix.byte_counts(df))
+    models = [lm_mix.Model(code, *lm_mix.bit_tables(df.where("n % 2 = 0"), code))
+              for _ in range(2)]
+    start = models[0].weights.copy()
+    lm_mix.learn(df.where("n % 2 = 1").repartition(1), models[0])
+    lm_mix.learn(df.where("n % 2 = 1").repartition(7), models[1])
+    assert np.allclose(models[0].weights, models[1].weights, atol=1e-3)
+    rest = [r for r in rows if r[1] % 2]
+
+    def loss(weights):
+        bit, x, gate, cut = models[0].inputs(*lm_mix._joined_words([w for w, _ in rest]))
+        n = np.repeat([n for _, n in rest], np.diff(cut))
+        z = np.einsum("ij,ij->i", weights[gate], x)
+        return (n * (np.logaddexp(0, z) - bit * z)).sum()
+
+    assert loss(models[0].weights) < loss(start)
+
+
 def test_lm_bits_are_a_distribution():
     """The two values of a bit have probabilities that add up to one, whatever came before."""
     rng = np.random.default_rng(0)
