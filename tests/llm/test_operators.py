@@ -81,6 +81,40 @@ def test_license_rules(spark):
         assert all(re.search("|".join(license_scan.ANCHORS), t.lower()) for t in texts)
 
 
+def test_license_notices_keep_their_version(spark):
+    notice = ("This {} is free software{} you can redistribute it and/or modify\n"
+              "it under the terms of the GNU {} as published by\n"
+              "the Free Software Foundation{} either version {} of the License, or\n"
+              "(at your option) any later version.\n\n"
+              "This program is distributed in the hope that it will be useful,\n"
+              "but WITHOUT ANY WARRANTY; without even the implied warranty of\n"
+              "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.")
+    gpl, lesser = "General Public License", "Lesser General Public License"
+    texts = {1: notice.format("program", ":", gpl, ",", 3),
+             2: notice.format("program", ";", gpl, ";", 2),
+             3: notice.format("program", ":", "Affero " + gpl, ",", 3),
+             4: notice.format("library", ";", lesser, ";", "2.1"),
+             5: notice.format("program", ":", lesser, ",", 3),
+             6: notice.format("program", ":", gpl, ",", 7),
+             7: "This program is free software: do as you like.",
+             8: notice.format("program", ":", gpl, ",", 3).replace("\n\n", "\f").replace(
+                 "\n", " ")}
+    rows = [(i, t, "", "") for i, t in texts.items()]
+    got = {r["doc_id"]: r["licenses"] for r in
+           license_scan.scan(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {1: "GPL-3.0-or-later", 2: "GPL-2.0-or-later", 3: "AGPL-3.0-or-later",
+                   4: "LGPL-2.1-or-later", 5: "LGPL-3.0-or-later", 6: "", 7: "",
+                   8: "GPL-3.0-or-later"}
+
+
+def test_license_scan_of_other_sentences(spark):
+    rows = [(1, "Do what you want: nobody minds.", "", ""), (2, "Do what you want.", "", "")]
+    got = license_scan.scan(spark.createDataFrame(rows, DOCS),
+                            sentences={"free": ["Do what you want: nobody minds."]},
+                            rules=[("Free", ["free"])]).collect()
+    assert {r["doc_id"]: r["licenses"] for r in got} == {1: "Free", 2: ""}
+
+
 def _near_rows():
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
