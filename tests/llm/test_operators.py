@@ -302,6 +302,23 @@ def test_toxicity_learns_and_handles_edges(spark):
     assert toxicity.score(docs.limit(0), net).count() == 0
 
 
+def test_toxicity_sees_all_windows_of_long_texts():
+    """One bad passage anywhere in a long text teaches and calibrates."""
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(3))
+    texts, y = [], []
+    for i in range(300):
+        w = [word() for _ in range(3000)]
+        y.append(i % 2)
+        if y[-1]:
+            at = rng.randrange(2988)
+            w[at:at + 12] = [rng.choice(["zzmoron", "zzclown"]) for _ in range(12)]
+        texts.append(" ".join(w))
+    net = toxicity.train(texts[:225], y[:225])
+    right = (net.scores(texts) >= 0.5) == np.array(y)
+    assert right[:225].mean() > 0.97 and right[225:].mean() > 0.97
+
+
 def test_toxicity_gradients():
     """Back-propagation against finite differences."""
     net = toxicity.Network(np.array([1, 2, 3], np.uint64), np.zeros(3, np.float32))

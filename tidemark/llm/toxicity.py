@@ -3,9 +3,9 @@
 A word enters by a learned vector (words of the training texts) beside the mean of its
 character trigrams' vectors (any word).  A GRU runs over each window of words in both
 directions, attention pools its states, and a logistic unit scores the window.  All
-windows of WINDOW words, a new one every STRIDE, are scored; a text's score is its worst
-window's, calibrated on the training texts.  Trained in numpy on a bounded sample
-(TOXIC_TEXTS and OTHER_TEXTS at most); scoring runs in tasks over whole texts.
+windows of WINDOW words, a new one every STRIDE, are scored, of training texts too; a
+text's score is its worst window's, calibrated on the training texts.  Trained in numpy
+on a bounded sample (TOXIC_TEXTS and OTHER_TEXTS at most); scoring runs in tasks over whole texts.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ from tidemark.llm.text_arrays import Adam, codes_of, hashes, letters, platt, run
 WINDOW, STRIDE = 48, 24
 #: Training texts of label 1 and 0 at most.
 TOXIC_TEXTS, OTHER_TEXTS = 1200, 2400
-#: Windows of a training text at most, evenly spaced; words with a vector of their own.
-TRAIN_WINDOWS, VOCABULARY = 32, 20_000
+#: Words with a vector of their own.
+VOCABULARY = 20_000
 WORD_DIM, CHAR_DIM, CHAR_ROWS, HIDDEN, ATTEND = 12, 8, 4096, 8, 12
 EPOCHS, BATCH, RATE = 6, 128, 0.02
 #: Windows scored at a time.
@@ -236,11 +236,6 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
     rows = net.rows(distinct)
     tri, begin, n_tri = net._spelling(codes, first, last, slice(None))
     start, owner = windows(doc, len(texts))
-    k = np.arange(len(owner)) - np.searchsorted(owner, owner)
-    size = np.bincount(owner, minlength=len(texts))[owner]
-    few = np.maximum(size, TRAIN_WINDOWS) / TRAIN_WINDOWS
-    some = np.floor(k / few) != np.floor((k - 1) / few)
-    start, owner = start[some], owner[some]
     g = np.random.default_rng(seed)
     adam = Adam(net.p, RATE)
 
