@@ -58,3 +58,17 @@ def test_whole_history_features_look_ahead(spark):
 
     a, b = first_row(base), first_row(changed)
     assert a["target_seasonal_quarterly"] != b["target_seasonal_quarterly"]
+
+
+def test_presets_and_search_space_are_the_reference_s(spark):
+    forest, boost = ML.estimator("random_forest"), ML.estimator("xgboost")
+    assert (forest.getNumTrees(), forest.getMaxDepth()) == (50, 30)
+    assert (boost.getMaxIter(), boost.getMaxDepth(), boost.getStepSize()) == (500, 6, 0.05)
+    assert ML.estimator("lgbm").getMaxIter() == 100
+    assert ML.estimator("xgboost", maxIter=3).getMaxIter() == 3
+    for est, name, count, low, high in ((forest, "random_forest", "numTrees", 3, 15),
+                                        (boost, "xgboost", "maxIter", 3, 10)):
+        maps = ML.search_space(name, est)
+        counts = {m[est.getParam(count)] for m in maps}
+        depths = {m[est.maxDepth] for m in maps}
+        assert (min(counts), max(counts), min(depths), max(depths)) == (100, 300, low, high)

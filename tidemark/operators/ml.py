@@ -19,24 +19,27 @@ from pyspark.sql import functions as F
 
 FEATURES = ("Lag12_y", "MA6_y", "STD6_y", "EMA6_y", "month", "quarter")
 SEED = 42
+#: The reference's fixed presets.  Its forest has depth 200, of which Spark allows 30; its
+#: leaf-wise boosting has LightGBM's 100 rounds of four leaves, which are two levels here.
+PRESETS = {
+    "random_forest": dict(numTrees=50, maxDepth=30),
+    "xgboost": dict(maxIter=500, maxDepth=6, stepSize=0.05),
+    "lgbm": dict(maxIter=100, maxDepth=2, stepSize=0.05, subsamplingRate=0.8,
+                 featureSubsetStrategy="sqrt"),
+}
 
 
-def estimator(name: str, label: str = "target", weight_col: str | None = None):
+def estimator(name: str, label: str = "target", weight_col: str | None = None, **preset):
     """Fixed presets: random forest, depth-wise boosting, fine leaf-style boosting (#117-119).
 
-    ``weight_col`` feeds per-row sample weights (e.g. recency weights, #128).
+    ``weight_col`` feeds per-row sample weights (e.g. recency weights, #128); ``preset``
+    replaces values of the preset.
     """
     common = dict(featuresCol="features", labelCol=label, predictionCol="prediction", seed=SEED)
     if weight_col:
         common["weightCol"] = weight_col
-    if name == "random_forest":
-        return RandomForestRegressor(numTrees=40, maxDepth=8, **common)
-    if name == "xgboost":
-        return GBTRegressor(maxIter=30, maxDepth=5, stepSize=0.1, **common)
-    if name == "lgbm":
-        return GBTRegressor(maxIter=40, maxDepth=4, stepSize=0.05, subsamplingRate=0.8,
-                            featureSubsetStrategy="sqrt", **common)
-    raise ValueError(name)
+    kind = RandomForestRegressor if name == "random_forest" else GBTRegressor
+    return kind(**PRESETS[name] | preset, **common)
 
 
 def pipeline(est, features: Sequence[str] = FEATURES) -> Pipeline:
@@ -58,15 +61,21 @@ def with_model_features(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 def search_space(name: str, est) -> list:
-    """Parameter grid per model family (#120)."""
+    """Parameter grid per model family (#120): the reference's ranges, where Spark has the
+    parameter."""
     g = ParamGridBuilder()
     if name == "random_forest":
-        g = (g.addGrid(est.numTrees, [20, 40, 80]).addGrid(est.maxDepth, [4, 6, 8, 10])
-             .addGrid(est.minInstancesPerNode, [1, 2, 5])
-             .addGrid(est.featureSubsetStrategy, ["auto", "sqrt", "onethird"]))
+        g = (g.addGrid(est.numTrees, list(range(100, 301, 10)))
+             .addGrid(est.maxDepth, list(range(3, 16)))
+             .addGrid(est.minInstancesPerNode, list(range(1, 8)))
+             .addGrid(est.featureSubsetStrategy, ["all", "sqrt", "log2", "0.9", "0.85", "0.75"])
+             .addGrid(est.bootstrap, [True, False]))
     else:
-        g = (g.addGrid(est.maxIter, [20, 40]).addGrid(est.maxDepth, [3, 4, 5, 6])
-             .addGrid(est.stepSize, [0.05, 0.1, 0.2]).addGrid(est.subsamplingRate, [0.8, 1.0]))
+        g = (g.addGrid(est.maxIter, list(range(100, 301, 20)))
+             .addGrid(est.maxDepth, list(range(3, 11)))
+             .addGrid(est.stepSize, [0.3, 0.2, 0.1, 0.05])
+             .addGrid(est.subsamplingRate, [0.9, 0.8, 0.7])
+             .addGrid(est.featureSubsetStrategy, ["0.9", "0.8", "0.7"]))
     return g.build()
 
 
