@@ -45,6 +45,18 @@ def test_chat_digests(spark):
     assert chat_format.digests(chat_format.formatted(df.limit(0))).count() == 0
 
 
+def test_chat_digests_come_from_the_examples(spark, monkeypatch):
+    df = spark.createDataFrame([(1, 0, "user", "ask"), (1, 1, "assistant", "reply")],
+                               "conv_id bigint, turn bigint, role string, text string")
+    pieces, examples = chat_format.formatted(df), chat_format.examples
+    right = chat_format.digests(pieces).first()
+    monkeypatch.setattr(chat_format, "examples", lambda p: examples(p).withColumns(
+        {"loss_end": F.col("loss_end") - 1, "example_end": F.col("example_end") + 1}))
+    wrong = chat_format.digests(pieces).first()
+    assert wrong["loss_chars"] == right["loss_chars"] - 1
+    assert wrong["formatted_chars"] == right["formatted_chars"] + 1
+
+
 def test_exact_index_over_batches(spark):
     first = spark.createDataFrame([(5, "a  b", "k", "c"), (3, "a\tb", "k", "c"),
                                    (None, None, "k", "c"), (7, "", None, None),
