@@ -2,9 +2,10 @@
 
 Every vector becomes integers, floor(scale * x).  Queries and candidates are each spread
 over blocks by nearness to the corners of a top cover (a few vectors far apart), so that
-a block is a compact region, and cut to BLOCK rows.  A query block meets the candidate
-blocks in the order of their upper bounds; in a task both sides have a cover tree, and a
-pair of nodes is dropped when its bound is below the worst kth score of the query node.
+a block is a compact region, and cut to BLOCK rows.  A query block meets every candidate
+block of its dimension, in the order of their keys; no pair of blocks is bounded or
+skipped.  In a task both sides have a cover tree, and a pair of nodes is dropped when its
+bound is below the worst kth score that the query node has from this pair of blocks.
 
 For a node pair with points q, c and covering radii r_q, r_c no pair below it scores more
 than q.c + r_q |c| + r_c |q| + r_q r_c.
