@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (chat_format, cover_search, exact_dedup, icws_dedup, license_scan, lm_mix,
-                          piece_codec, quality_mil, source_mix, toxicity)
+                          piece_codec, quality_mil, source_mix, toxicity, turn_repair)
 from tidemark.llm.common import id_fold, load
 
 
@@ -74,6 +74,11 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = load(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return turn_repair.digests(turn_repair.damaged(turns), turns.select("conv_id"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_format": op2_chat_format,
@@ -85,4 +90,5 @@ QUERIES = {
     "op8_quality_mil": op8_quality_mil,
     "op9_icws_dedup": op9_icws_dedup,
     "op10_piece_codec": op10_piece_codec,
+    "op12_turn_repair": op12_turn_repair,
 }

@@ -131,10 +131,106 @@ r as (
 select query_id, rank::INTEGER as rank, vec_id, score from r where rank <= 5
 """
 
+
+
+def crc_table() -> list[int]:
+    """The table of crc32, from its polynomial."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [(x >> 1) ^ (0xEDB88320 if x & 1 else 0) for x in table]
+    return table
+
+
+def crc32_sql(text: str) -> str:
+    """crc32 of the UTF-8 bytes of ``text``, given a column crc_t with the table."""
+    return f"""xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(
+      range(octet_length(encode({text}))),
+      lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)),
+      lambda a, b: xor(a >> 8, crc_t[(xor(a, b) & 255) + 1])))"""
+
+
+#: States: 0 nothing written, 1 a system turn, 2 a user turn, 3 an assistant turn.
+OP12 = f"""
+with recursive raw as (
+  select c.*, {crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")}
+    % 20 as k
+  from conversations c, (select {crc_table()}::BIGINT[] as crc_t)),
+damaged as (
+  select conv_id, turn, case when k = 4 then 'user' else coalesce(role, ' ') end as role,
+    case when k = 1 then '' when k = 2 then regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g')
+      else coalesce(text, ' ') end as text,
+    unnest(range(case when k = 0 then 0 when k = 3 then 2 else 1 end)) as copy
+  from raw),
+placed as (
+  select *, coalesce(conv_id::VARCHAR, '') as c,
+    row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as pos,
+    regexp_replace(text, '[\x20\x09-\x0D]+$', '') as bare
+  from damaged),
+rows as (
+  select *, left(role, 1) as i,
+    lag(left(role, 1)) over (partition by c order by pos) as i0,
+    case when bare = '' then 'b'
+      when row_number() over (partition by c, role, text order by pos) > 1 then 'd'
+      when right(bare, 1) not in ('.', '!', '?') then 't' else '' end as fault
+  from placed),
+after(s, t, word) as (values (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+keep(s, i, t) as (values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+ins as (
+  select s, s as t, 0 as cost, '' as audit, '' as made from after
+  union all
+  select s, t, 5, 'I', chr(10) || word || ':' from after
+  union all
+  select x.s, y.t, 10, 'II', chr(10) || x.word || ':' || chr(10) || y.word || ':'
+  from after x join after y on x.t = y.s),
+ops as (
+  select s, null::VARCHAR as i, 'D' as edit, s as t, 2 as cost, null::VARCHAR as word from after
+  union all
+  select s, null, 'R', t, 1, word from after
+  union all
+  select s, i, 'K', t, 0, null from keep),
+v as (
+  select distinct c, 0::BIGINT as pos, 0 as state, 0::BIGINT as cost, '' as audit, '' as made
+  from rows
+  union all
+  select c, pos, state, cost, audit, made from (
+    select v.c, r.pos, o.t as state, v.audit || n.audit || o.edit as audit,
+      v.cost + n.cost + o.cost + case when r.fault = 't' and o.edit <> 'D' then 5 else 0 end
+        as cost,
+      v.made || n.made || case when o.edit = 'D' then '' else
+        chr(10) || coalesce(o.word, r.role) || ':' || r.text end as made,
+      row_number() over (partition by v.c, o.t order by
+        v.cost + n.cost + o.cost + case when r.fault = 't' and o.edit <> 'D' then 5 else 0 end,
+        v.audit || n.audit || o.edit) as best
+    from v join rows r on v.c = r.c and r.pos = v.pos + 1
+    join ins n on n.s = v.state
+    join ops o on o.s = n.t and (o.i is null or o.i = r.i)
+      and (o.edit = 'D' or r.fault not in ('b', 'd')))
+  where best = 1),
+ends as (
+  select v.c, v.cost + n.cost as cost, v.audit || n.audit as audit, v.made || n.made as made,
+    row_number() over (partition by v.c order by v.cost + n.cost, v.audit || n.audit) as best
+  from v join ins n on n.s = v.state
+  where n.t in (0, 3) and v.pos = (select max(pos) from rows r where r.c = v.c)),
+stats as (
+  select c, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (fault = 'b') as blank, count(*) filter (fault = 'd') as duplicate,
+    count(*) filter (fault = 't') as truncated,
+    count(*) filter (i0 is not null and i0 || i not in ('su', 'ua', 'au')) as illegal
+  from rows group by c)
+select o.conv_id, coalesce(gaps, 0)::BIGINT as gaps, coalesce(blank, 0)::BIGINT as blank,
+  coalesce(duplicate, 0)::BIGINT as duplicate, coalesce(truncated, 0)::BIGINT as truncated,
+  coalesce(illegal, 0)::BIGINT as illegal, coalesce(e.cost, 0)::BIGINT as cost,
+  coalesce(e.audit, '') as audit, sha256(coalesce(substr(e.made, 2), '')) as repaired_sha256
+from (select distinct conv_id, coalesce(conv_id::VARCHAR, '') as c from conversations) o
+left join stats s on s.c = o.c
+left join ends e on e.c = o.c and e.best = 1
+"""
+
 SQL = {
     "op2_chat_format": OP2,
     "op4_exact_dedup": OP4,
     "op5_license_scan": op5_sql(),
     "op6_cover_search": OP6,
     "op7_source_mix": OP7,
+    "op12_turn_repair": OP12,
 }
