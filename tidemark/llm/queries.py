@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (chat_format, cover_search, exact_dedup, icws_dedup, license_scan, lm_mix,
-                          piece_codec, quality_mil, source_mix, toxicity, turn_repair)
+                          piece_codec, quality_mil, source_mix, spelling_variants, toxicity,
+                          turn_repair)
 from tidemark.llm.common import id_fold, load
 
 
@@ -79,6 +80,11 @@ def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.digests(turn_repair.damaged(turns), turns.select("conv_id"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    return spelling_variants.variants(spelling_variants.vocabulary(docs, damage=97))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_format": op2_chat_format,
@@ -91,4 +97,5 @@ QUERIES = {
     "op9_icws_dedup": op9_icws_dedup,
     "op10_piece_codec": op10_piece_codec,
     "op12_turn_repair": op12_turn_repair,
+    "op13_spelling_variants": op13_spelling_variants,
 }

@@ -226,6 +226,48 @@ left join stats s on s.c = o.c
 left join ends e on e.c = o.c and e.best = 1
 """
 
+OP13 = f"""
+with recursive runs as (
+  select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+  from documents),
+hashed as (
+  select run, k, {crc32_sql("coalesce(doc_id::VARCHAR, '') || ':' || run")} as h
+  from (select doc_id, run, count(*) as k from runs group by all),
+    (select {crc_table()}::BIGINT[] as crc_t)),
+words as (
+  select case when h % 97 = 0
+      then left(run, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2)
+      else run end as word, sum(k)::BIGINT as n
+  from hashed group by 1 having length(word) >= 5 and sum(k) >= 3),
+cuts as (
+  select word, left(word, i) || substr(word, i + 2) as gone,
+    left(word, i) || '*' || substr(word, i + 2) as hole
+  from (select word, unnest(range(length(word)))::INTEGER as i from words)),
+pairs as (
+  select a.word, b.word as x from cuts a join words b on a.gone = b.word
+  union
+  select b.word, a.word from cuts a join words b on a.gone = b.word
+  union
+  select a.word, b.word from cuts a join cuts b on a.hole = b.hole and a.word <> b.word),
+near as (
+  select p.word, x, w.n, count(*) over (partition by p.word) as n_near,
+    row_number() over (partition by p.word order by w.n desc, x) as best
+  from pairs p join words w on w.word = p.x),
+formed as (
+  select w.word, w.n, coalesce(near.n_near, 0)::BIGINT as n_near,
+    case when near.n >= 2 * w.n then x end as form,
+    case when near.n >= 2 * w.n then near.n end as form_n
+  from words w left join near on near.word = w.word and best = 1),
+ways as (
+  select word, word as at from formed
+  union all
+  select ways.word, f.form from ways join formed f on f.word = ways.at where f.form is not null)
+select f.word, f.form, ways.at as root, f.n, f.n_near, f.form_n
+from formed f join ways using (word) join formed last on last.word = ways.at
+where last.form is null
+"""
+
 SQL = {
     "op2_chat_format": OP2,
     "op4_exact_dedup": OP4,
@@ -233,4 +275,5 @@ SQL = {
     "op6_cover_search": OP6,
     "op7_source_mix": OP7,
     "op12_turn_repair": OP12,
+    "op13_spelling_variants": OP13,
 }
