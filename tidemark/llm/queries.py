@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (chat_format, cover_search, exact_dedup, icws_dedup, license_scan, lm_mix,
-                          piece_codec, quality_mil, source_mix, spelling_variants, toxicity,
+                          ngram_join, piece_codec, quality_mil, source_mix, spelling_variants, toxicity,
                           turn_repair)
 from tidemark.llm.common import id_fold, load
 
@@ -75,6 +75,10 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked_components(load(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = load(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     return turn_repair.digests(turn_repair.damaged(turns), turns.select("conv_id"))
@@ -96,6 +100,7 @@ QUERIES = {
     "op8_quality_mil": op8_quality_mil,
     "op9_icws_dedup": op9_icws_dedup,
     "op10_piece_codec": op10_piece_codec,
+    "op11_ngram_join": op11_ngram_join,
     "op12_turn_repair": op12_turn_repair,
     "op13_spelling_variants": op13_spelling_variants,
 }

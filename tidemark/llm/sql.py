@@ -132,6 +132,32 @@ select query_id, rank::INTEGER as rank, vec_id, score from r where rank <= 5
 """
 
 
+OP11 = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') as w
+  from documents),
+sets as (
+  select doc_id, list_distinct(case when len(w) = 0 then []::VARCHAR[]
+    when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    end) as s
+  from d),
+shingles as (select doc_id, len(s) as n, unnest(s) as x from sets),
+links as (
+  select a.doc_id as u, b.doc_id as v
+  from shingles a join shingles b on a.x = b.x and a.doc_id <> b.doc_id
+    and 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  group by a.doc_id, b.doc_id, a.n, b.n
+  having 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach as (
+  select doc_id as u, doc_id as v from d
+  union
+  select r.u, l.v from reach r join links l on l.u = r.v)
+select s.doc_id, len(s.s)::BIGINT as n_shingles, min(r.v) as component_id
+from sets s join reach r on r.u = s.doc_id group by s.doc_id, len(s.s)
+"""
+
 
 def crc_table() -> list[int]:
     """The table of crc32, from its polynomial."""
@@ -274,6 +300,7 @@ SQL = {
     "op5_license_scan": op5_sql(),
     "op6_cover_search": OP6,
     "op7_source_mix": OP7,
+    "op11_ngram_join": OP11,
     "op12_turn_repair": OP12,
     "op13_spelling_variants": OP13,
 }
