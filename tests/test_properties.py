@@ -101,9 +101,10 @@ def test_expression_recursion_equals_python_loop(spark):
 
     out = RC.recursive_forecast_expr(df, 5, score, constants={"_mean": F.lit(mean)})
     got = {(r["key"], r["date"]): r["forecast"] for r in out.collect()}
+    # One origin for all keys, the panel's last month, however old a key's own last row is.
+    last = pd.Timestamp("2020-01-01") + pd.DateOffset(months=max(map(len, vals.values())) - 1)
     for k, h in vals.items():
         h = [float(x) for x in h]
-        last = (pd.Timestamp("2020-01-01") + pd.DateOffset(months=len(h) - 1))
         for i in range(1, 6):
             lag = h[-12] if len(h) >= 12 else mean
             ma = sum(h[-6:]) / len(h[-6:])

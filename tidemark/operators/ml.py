@@ -1,7 +1,7 @@
-"""Spark ML trainers, randomised search, persistence and importances (#116-123, #127).
+"""Spark ML trainers, randomised search and importances (#116-123, #127).
 
-Trees in Spark ML take no NULL/NaN, so every pipeline starts with missing
-indicators and mean imputation (the reference's boosters take NaN directly).
+Trees in Spark ML take no NULL/NaN, so every pipeline starts with missing indicators and
+mean imputation (the reference's boosters take NaN directly); ±infinity counts as missing.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,7 +25,7 @@ PRESETS = {
     "random_forest": dict(numTrees=50, maxDepth=30),
     "xgboost": dict(maxIter=500, maxDepth=6, stepSize=0.05),
     "lgbm": dict(maxIter=100, maxDepth=2, stepSize=0.05, subsamplingRate=0.8,
-                 featureSubsetStrategy="sqrt"),
+                 featureSubsetStrategy="0.9"),
 }
 
 
@@ -42,16 +42,38 @@ def estimator(name: str, label: str = "target", weight_col: str | None = None, *
     return kind(**PRESETS[name] | preset, **common)
 
 
-def pipeline(est, features: Sequence[str] = FEATURES) -> Pipeline:
-    """Missing indicators → mean imputation → assembler → estimator (#122)."""
-    feats = list(features)
-    ind = ", ".join(f"CAST({c} IS NULL OR isnan({c}) AS DOUBLE) AS {c}__missing" for c in feats)
-    indicators = SQLTransformer(statement=f"SELECT *, {ind} FROM __THIS__")
-    imputer = Imputer(inputCols=feats, outputCols=[f"{c}__imp" for c in feats], strategy="mean")
+def known(c: str) -> str:
+    """SQL: the column as a double, NULL where it is NaN or infinite."""
+    x = f"CAST(`{c}` AS DOUBLE)"
+    return f"CASE WHEN isnan({x}) OR abs({x}) = double('Infinity') THEN NULL ELSE {x} END"
+
+
+def column_facts(train: DataFrame, features: Sequence[str]) -> tuple[dict, set]:
+    """Mean of each feature and which are missing somewhere, in one pass over ``train``.
+
+    A feature without any known value has mean 0.
+    """
+    row = train.agg(*[x for c in features for x in (
+        F.avg(F.expr(known(c))).alias(f"m_{c}"),
+        F.count_if(F.expr(known(c)).isNull()).alias(f"n_{c}"))]).first()
+    return ({c: row[f"m_{c}"] or 0.0 for c in features},
+            {c for c in features if row[f"n_{c}"]})
+
+
+def pipeline(est, features: Sequence[str], means: dict, missing: Sequence[str]) -> Pipeline:
+    """Mean imputation, missing indicators → assembler → estimator (#122).
+
+    ``means`` and ``missing`` are :func:`column_facts` of the training rows: features that
+    are never missing there need no indicator.
+    """
+    filled = [f"COALESCE({known(c)}, {float(means[c])!r}D) AS `{c}__known`" for c in features]
+    lacking = [c for c in features if c in set(missing)]
+    flags = [f"CAST({known(c)} IS NULL AS DOUBLE) AS `{c}__missing`" for c in lacking]
+    prepared = SQLTransformer(statement=f"SELECT *, {', '.join(filled + flags)} FROM __THIS__")
     assembler = VectorAssembler(
-        inputCols=[f"{c}__imp" for c in feats] + [f"{c}__missing" for c in feats],
-        outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[indicators, imputer, assembler, est])
+        inputCols=[f"{c}__known" for c in features] + [f"{c}__missing" for c in lacking],
+        outputCol="features")
+    return Pipeline(stages=[prepared, assembler, est])
 
 
 def with_model_features(df: DataFrame, date_col: str = "date") -> DataFrame:
@@ -62,7 +84,7 @@ def with_model_features(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 def search_space(name: str, est) -> list:
     """Parameter grid per model family (#120): the reference's ranges, where Spark has the
-    parameter."""
+    parameter.  Fine boosting has 25 to 40 leaves there, which are 5 or 6 levels here."""
     g = ParamGridBuilder()
     if name == "random_forest":
         g = (g.addGrid(est.numTrees, list(range(100, 301, 10)))
@@ -70,12 +92,18 @@ def search_space(name: str, est) -> list:
              .addGrid(est.minInstancesPerNode, list(range(1, 8)))
              .addGrid(est.featureSubsetStrategy, ["all", "sqrt", "log2", "0.9", "0.85", "0.75"])
              .addGrid(est.bootstrap, [True, False]))
-    else:
+    elif name == "xgboost":
         g = (g.addGrid(est.maxIter, list(range(100, 301, 20)))
              .addGrid(est.maxDepth, list(range(3, 11)))
              .addGrid(est.stepSize, [0.3, 0.2, 0.1, 0.05])
+             .addGrid(est.minInfoGain, [0.0, 0.1, 0.01, 0.001])
              .addGrid(est.subsamplingRate, [0.9, 0.8, 0.7])
              .addGrid(est.featureSubsetStrategy, ["0.9", "0.8", "0.7"]))
+    else:
+        g = (g.addGrid(est.maxDepth, [5, 6])
+             .addGrid(est.stepSize, [0.01, 0.02, 0.05, 0.07])
+             .addGrid(est.featureSubsetStrategy, ["0.5", "0.7", "0.9"])
+             .addGrid(est.subsamplingRate, [0.7, 0.75, 0.8]))
     return g.build()
 
 
@@ -85,41 +113,62 @@ def fold_column(df: DataFrame, key: str = "key", folds: int = 3, out: str = "fol
 
 
 def random_search(name: str, train: DataFrame, draws: int = 10, folds: int = 3,
-                  parallelism: int = 4, features: Sequence[str] = FEATURES):
-    """Sample ``draws`` parameter maps (seed 42) and cross-validate them on RMSE (#121)."""
+                  parallelism: int = 4, features: Sequence[str] = FEATURES,
+                  space=search_space):
+    """Sample ``draws`` parameter maps (seed 42) and cross-validate them on RMSE (#121).
+
+    Returns the search, whose ``bestModel`` is the best draw fitted on all of ``train``,
+    and the draws.  ``space(name, estimator)`` lists the parameter maps to draw from.
+    """
     est = estimator(name)
-    maps = search_space(name, est)
+    maps = space(name, est)
     sampled = random.Random(SEED).sample(maps, min(draws, len(maps)))
-    cv = CrossValidator(estimator=pipeline(est, features), estimatorParamMaps=sampled,
+    cv = CrossValidator(estimator=pipeline(est, features, *column_facts(train, features)),
+                        estimatorParamMaps=sampled,
                         evaluator=RegressionEvaluator(labelCol="target", metricName="rmse"),
                         foldCol="fold", numFolds=folds, parallelism=parallelism, seed=SEED)
     model = cv.fit(fold_column(train, folds=folds))
     return model, sampled
 
 
+def search_rows(name: str, search, sampled: list) -> list[tuple]:
+    """(model, draw, params, mean RMSE over the folds, chosen) of a search."""
+    text = [", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name))
+            for m in sampled]
+    scores = [float(x) for x in search.avgMetrics]
+    return [(name, i, t, x, x == min(scores)) for i, (t, x) in enumerate(zip(text, scores))]
+
+
+def tuned(names: Sequence[str], train: DataFrame, draws: int = 10, folds: int = 3,
+          features: Sequence[str] = FEATURES, **kw) -> tuple[dict, list[tuple]]:
+    """Every candidate searched in its own space, and its best draw fitted again on all
+    training rows: {name: model}, rows of :func:`search_rows`."""
+    models, rows = {}, []
+    for name in names:
+        search, sampled = random_search(name, train, draws, folds, features=features, **kw)
+        models[name] = search.bestModel
+        rows += search_rows(name, search, sampled)
+    return models, rows
+
+
 def fit(name: str, train: DataFrame, features: Sequence[str] = FEATURES,
-        weight_col: str | None = None) -> PipelineModel:
-    return pipeline(estimator(name, weight_col=weight_col), features).fit(train)
+        weight_col: str | None = None, **preset) -> PipelineModel:
+    est = estimator(name, weight_col=weight_col, **preset)
+    return pipeline(est, features, *column_facts(train, features)).fit(train)
 
 
 def rmse(model: PipelineModel, df: DataFrame) -> float:
     return RegressionEvaluator(labelCol="target", metricName="rmse").evaluate(model.transform(df))
 
 
-def save(model: PipelineModel, path: str) -> str:
-    """Persist model + feature list (the assembler holds it) (#123)."""
-    model.write().overwrite().save(path)
-    return path
-
-
 def importances(spark: SparkSession, model: PipelineModel,
                 features: Sequence[str] = FEATURES) -> DataFrame:
     """Model feature importances, indicators folded into their feature, ranked (#127)."""
     imp = model.stages[-1].featureImportances.toArray().tolist()
-    feats = list(features)
-    n = len(feats)
-    rows = [(f, float(imp[i]) + float(imp[n + i])) for i, f in enumerate(feats)]
-    df = spark.createDataFrame(rows, "feature string, importance double")
+    total = dict.fromkeys(features, 0.0)
+    for name, x in zip(model.stages[-2].getInputCols(), imp):
+        total[name.rpartition("__")[0]] += float(x)
+    df = spark.createDataFrame(list(total.items()), "feature string, importance double")
     return df.orderBy(F.desc("importance"), "feature")
 
 

@@ -6,40 +6,64 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.rollup import keep_active, monthly_rollup
-from tidemark.sources.bindings import sales_lines, store_geo
+from tidemark.session import apply_core_conf
+from tidemark.sources.bindings import of_brand, sales_lines, store_geo
+from tidemark.sources.files import tree_stamp
 from tidemark.sources.tables import table_path
 
 PANEL_COLS = ["key", "business_type", "date", "num_transactions", "sales_amount", "units", "ppu"]
+#: Targets that a run may have, and the panel's column of each.
+TARGETS = {"units": "units", "sales": "sales_amount", "sales_amount": "sales_amount",
+           "transactions": "num_transactions", "num_transactions": "num_transactions"}
+ALL_BRANDS = "all"
+
+
+class Run(str):
+    """An input folder with the brand and target it is read for.
+
+    It is the folder's path, so it goes wherever a folder goes; the panel and all that
+    follows from it hold the run's brand and target.  A plain path means all brands, units.
+    """
+
+    def __new__(cls, folder: str, brand: str = ALL_BRANDS, target: str = "units"):
+        if target not in TARGETS:
+            raise ValueError(f"target {target!r} is none of {sorted(TARGETS)}")
+        run = super().__new__(cls, folder)
+        run.brand, run.target = brand, target
+        return run
+
+
+def brand_of(sf_dir: str) -> str:
+    return getattr(sf_dir, "brand", ALL_BRANDS)
+
+
+def target_of(sf_dir: str) -> str:
+    return getattr(sf_dir, "target", "units")
 
 
 def compute_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly store panel (A8), computed from the line-grain fact.
+    """Monthly store panel (A8), computed from the line-grain fact (of the run's brand).
 
     Eager aggregation: lines are rolled up by the numeric store id first and
     geography is joined to the (stores × months) result, because
     business_type is a function of the store. The big fact is shuffled once,
     after a map-side partial aggregate; the dim join sees only panel rows.
     """
-    rolled = monthly_rollup(sales_lines(spark, sf_dir), keys=["s_suppkey"])
+    lines = sales_lines(spark, sf_dir)
+    if brand_of(sf_dir) != ALL_BRANDS:
+        lines = of_brand(spark, sf_dir, lines, brand_of(sf_dir))
+    rolled = monthly_rollup(lines, keys=["s_suppkey"])
     return rolled.join(store_geo(spark, sf_dir), "s_suppkey").select(*PANEL_COLS)
 
 
 _PANELS: dict = {}
-PANEL_INPUTS = ("lineitem", "supplier", "nation", "region")
+PANEL_INPUTS = ("lineitem", "supplier", "nation", "region", "part")
 
 
-def inputs_stamp(spark: SparkSession, sf_dir: str) -> tuple:
-    """Latest change and total size of each of the panel's inputs, from the file system."""
-    conf, path_of = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
-    out = []
-    for name in PANEL_INPUTS:
-        path = path_of(table_path(sf_dir, name))
-        fs = path.getFileSystem(conf)
-        files = [f for f in fs.listStatus(path) if f.isFile()]
-        out.append((fs.getFileStatus(path).getModificationTime(),
-                    *(sum(f.getLen() for f in files),
-                      max((f.getModificationTime() for f in files), default=0))))
-    return tuple(out)
+def inputs_stamp(spark: SparkSession, sf_dir: str,
+                 tables: tuple[str, ...] = PANEL_INPUTS) -> tuple:
+    """Files, total size and latest change of each input, subfolders included."""
+    return tuple(tree_stamp(spark, table_path(sf_dir, name)) for name in tables)
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +78,8 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     downstream run without another shuffle. One writer per bucket (the
     preceding ``repartition(n, key)``) keeps one file per bucket.
     """
-    memo_key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    apply_core_conf(spark)
+    memo_key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), brand_of(sf_dir))
     stamp = inputs_stamp(spark, sf_dir)
     name, built_from = _PANELS.get(memo_key, (None, None))
     if name is not None and built_from != stamp:
@@ -74,10 +99,34 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
-def target_panel(spark: SparkSession, sf_dir: str, target: str = "units") -> DataFrame:
-    """Active stores' panel with ``target`` (default units) as a column."""
+def target_panel(spark: SparkSession, sf_dir: str, target: str | None = None) -> DataFrame:
+    """Active stores' panel with ``target`` (default: the run's) as a column."""
     p = keep_active(panel(spark, sf_dir))
-    return p.select("key", "business_type", "date", F.col(target).alias("target"), "ppu")
+    column = TARGETS[target_of(sf_dir) if target is None else target]
+    return p.select("key", "business_type", "date", F.col(column).alias("target"), "ppu")
+
+
+_STAGES: dict = {}
+
+
+def stage_table(spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...],
+                build) -> DataFrame:
+    """A stage's result, written once per application, run and state of its inputs.
+
+    As the reference's stages hand Parquet to each other: ``build()`` makes the DataFrame,
+    which goes to the shared folder; a change in any of ``tables`` makes it anew.
+    """
+    from tidemark.sources.io import shared_dir
+    memo_key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), brand_of(sf_dir),
+                target_of(sf_dir), name)
+    stamp = inputs_stamp(spark, sf_dir, tables)
+    path, built_from, schema = _STAGES.get(memo_key, (None, None, None))
+    if path is None or built_from != stamp:
+        df = build()
+        path, schema = shared_dir(spark, name), df.schema
+        df.write.parquet(path)
+        _STAGES[memo_key] = (path, stamp, schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def rnd(df: DataFrame, cols, places: int = 4) -> DataFrame:

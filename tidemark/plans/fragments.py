@@ -11,10 +11,10 @@ from tidemark.operators import extend as EX
 from tidemark.operators import feature_store as FS
 from tidemark.operators import intervals as IV
 from tidemark.operators import marketing as MK
-from tidemark.operators import ml as ML
+from tidemark.operators import recursive as RC
 from tidemark.operators import rollup as RU
 from tidemark.operators import windows as WN
-from tidemark.plans.common import panel, target_panel
+from tidemark.plans.common import panel, stage_table, target_panel
 from tidemark.plans.flagship import flagship
 from tidemark.plans.params import (BRAND_REGION_PAIRS, HORIZON_MONTHS, REGIONS, SOURCES,
                                    TRAIN_END)
@@ -25,6 +25,11 @@ PROMO_FEATURES = ["locationId", "date", "distinct_discount_levels", "avg_discoun
                   "promo_days_in_month"]
 
 
+def slug_name(column: str) -> str:
+    """A column's name without blanks."""
+    return column.replace(" ", "_")
+
+
 FC_COLS = ["forecast_xgboost", "forecast_lgbm", "forecast_random_forest"]
 
 
@@ -145,13 +150,17 @@ def marketing_by_month(spark, d):
     return mkt(spark, d).select(F.trunc("date", "MM").alias("date"))
 
 
-def feature_store(spark, d):
-    """Panel + future rows + calendar + marketing + stores + promotions (#20-31, #75, #141)."""
-    hist = flagship(spark, d)
-    # Keys and last month come from the (bucketed) panel, not from the
-    # feature plan, so the window features are computed once.
-    tp = target_panel(spark, d)
-    rows = FS.add_future_rows(hist, tp, tp.select(F.max("date")).scalar(), HORIZON_MONTHS)
+def common_start(spark, d, rows):
+    """Rows from the latest of the first months of sales, promotions and spend on (#141)."""
+    promo = rel(spark, d).select(F.trunc(F.min("eff_from"), "MM")).scalar()
+    spend = marketing_by_month(spark, d).select(F.min("date")).scalar()
+    return EX.align_start(rows, [target_panel(spark, d).select(F.min("date")).scalar(), promo,
+                                 spend])
+
+
+def with_covariates(spark, d, rows):
+    """Store-month rows with all that is known of the month: calendar, marketing, stores,
+    promotions (#20-31, #75)."""
     # Future rows need calendar features too: the spine runs to the horizon end.
     cal_m = CA.calendar_monthly(cal(spark, d, "A", horizon=True), "A")
     spend = (sply_spend(spark, d).groupBy(F.col("month").alias("date"))
@@ -169,20 +178,21 @@ def feature_store(spark, d):
     return FS.split_flag(out, TRAIN_END)
 
 
+def feature_store(spark, d):
+    """Panel + future rows + calendar + marketing + stores + promotions (#20-31, #75, #141)."""
+    hist = common_start(spark, d, flagship(spark, d))
+    # Keys and last month come from the (bucketed) panel, not from the
+    # feature plan, so the window features are computed once.
+    tp = target_panel(spark, d)
+    rows = FS.add_future_rows(hist, tp, tp.select(F.max("date")).scalar(), HORIZON_MONTHS)
+    return with_covariates(spark, d, rows)
+
+
 def train_mean(tp):
     return tp.filter(F.col("date") <= F.lit(TRAIN_END).cast("date")).select(
         F.avg(F.col("target").cast("double"))).scalar()
 
 
-def ml_frames(spark, d):
-    # Materialise the feature table once (reliable checkpoint in the shared
-    # folder): tree learners and CV scan it many times.
-    from tidemark.session import checkpoint
-    f = checkpoint(ML.with_model_features(flagship(spark, d)))
-    cut = F.lit(TRAIN_END).cast("date")
-    return f.filter(F.col("date") <= cut), f.filter(F.col("date") > cut)
-
-
 MASTER_ENCODED = ("channel", "store_format", "key", "festive_peak_flag", "deriv_2_trend_flag")
 # Those whose domain is fixed: 2 channels, 4 formats at most, a 0/1 flag, 3 trend labels.
 MASTER_SMALL = ("channel", "store_format", "festive_peak_flag", "deriv_2_trend_flag")
@@ -195,11 +205,22 @@ def tourism(spark, d):
     return EX.sply_extend_grouped(s, [], F.add_months(s.select(F.max("date")).scalar(), 17))
 
 
-def master_table(spark, d):
-    """Feature store + calendar peaks, derivatives, date parts, encoders, tourism (FS stage)."""
-    out = CA.join_peak_calendar(feature_store(spark, d), peak(spark, d, horizon=True))
+def whole_history(spark, d):
+    """Per key and month what the reference takes from the whole history (#50, #65-66)."""
+    tp = target_panel(spark, d)
+    out = WN.seasonal_means(WN.rate_of_sale(WN.seasonality_index(tp)))
+    return out.select("key", "date", *SEASONAL)
+
+
+SEASONAL = ("Seasonality_Index", "rate_of_sale", "target_seasonal_monthly",
+            "target_seasonal_quarterly")
+
+
+def with_encodings(spark, d, rows, seasonal):
+    """Calendar peaks, derivatives, date parts, encoders, tourism (FS stage) on store rows."""
+    out = CA.join_peak_calendar(rows, peak(spark, d, horizon=True))
     dv = WN.derivatives(target_panel(spark, d)).withColumnRenamed("year_month", "date")
-    out = out.join(dv, ["key", "date"], "left")
+    out = out.join(dv, ["key", "date"], "left").join(seasonal, ["key", "date"], "left")
     out = CA.holiday_count(CA.date_features(out), B.holidays(event_years(spark, d)))
     # The encoder stage reads this frame about a dozen times (statistics,
     # priors, size checks, flags, the final rows): materialise it once in the
@@ -214,3 +235,67 @@ def master_table(spark, d):
     out = CA.pre_post_event_flag(out, flagged, "_flag", out_col="pre_post_rm_flg")
     # One row per month (bounded): broadcast.
     return out.join(F.broadcast(tourism(spark, d)), "date", "left")
+
+
+def master_table(spark, d):
+    """Feature store + whole-history features, calendar peaks, derivatives, encoders, tourism."""
+    return with_encodings(spark, d, feature_store(spark, d), whole_history(spark, d))
+
+
+# What a model sees.  Known for any month in advance:
+COVARIATES = (
+    "ramadan_period", "public_holidays", "is_high_sales_intent_flag", "shopping_event_code",
+    "fashion_week_season", "count_of_days", "uae_seasons", *MKT_SRC_COLS,
+    "is_ecom_fullfillment_loc", "total_square_ft", "selling_square_ft", "total_square_ft_cat",
+    "selling_square_ft_cat", *PROMO_FILL, "ksa_shopping_peak_ratio", "is_month_start",
+    "is_month_end", "days_in_month", "fourier_year_sin", "fourier_year_cos", "quarter_sin",
+    "quarter_cos", "holiday_count", "channel_encode", "store_format_encode", "key_encode",
+    "festive_peak_flag_encode", "channel_retail", "pre_post_rm_flg", "tourists")
+# From the targets before it; computed again at every step of a recursion:
+FROM_TARGET = tuple(c for c in RC.STEP_FEATURES if c != "deriv_2_trend_flag") + (
+    "deriv_2_trend_flag_encode",)
+FEATURES = tuple(slug_name(c) for c in (*FROM_TARGET, *COVARIATES))
+MODEL_INPUTS = ("lineitem", "supplier", "nation", "region", "part", "orders", "customer")
+
+
+def model_table(spark, d):
+    """One row per active store and month to the horizon's end, with ``FEATURES`` (#116).
+
+    The master table's features, but those of the whole history only from earlier months
+    (``rate_of_sale``, the seasonality index), as a forecast step sees them.  After the
+    train end every store has every month, with a null target where it sold nothing or
+    the month is still to come, so that a recursion finds the covariates of all months.
+    Column names have no blanks.  Written once (see ``stage_table``).
+    """
+    def build():
+        tp = target_panel(spark, d)
+        last = tp.select(F.max("date")).scalar()
+        months = F.months_between(last, F.trunc(F.lit(TRAIN_END).cast("date"), "MM")).cast(
+            "int") + HORIZON_MONTHS
+        grid = EX.future_grid(tp.select("key").distinct(), F.lit(TRAIN_END).cast("date"), months)
+        hist = flagship(spark, d)
+        empty = grid.join(hist.select("key", "date"), ["key", "date"], "left_anti")
+        rows = with_covariates(spark, d, hist.unionByName(empty, allowMissingColumns=True))
+        seasonal = (WN.seasonality_index_as_of(WN.rate_of_sale(tp, as_of=True))
+                    .select("key", "date", "Seasonality_Index", "rate_of_sale"))
+        out = with_encodings(spark, d, rows, seasonal)
+        wanted = [c for c in out.columns if c in {*FROM_TARGET, *COVARIATES}]
+        return out.select("key", "date", F.col("target").cast("double").alias("target"),
+                          "deriv_2_trend_flag",
+                          *[F.col(f"`{c}`").cast("double").alias(slug_name(c)) for c in wanted])
+
+    return stage_table(spark, d, "model_table", MODEL_INPUTS, build)
+
+
+def ml_frames(spark, d):
+    """Train rows and hold-out rows of the model table that have a target."""
+    f = model_table(spark, d).filter(F.col("target").isNotNull())
+    cut = F.lit(TRAIN_END).cast("date")
+    return f.filter(F.col("date") <= cut), f.filter(F.col("date") > cut)
+
+
+def trend_mapping(spark, d):
+    """The trend labels and the codes that training gave them (#115)."""
+    return (model_table(spark, d).filter(F.col("deriv_2_trend_flag").isNotNull())
+            .groupBy("deriv_2_trend_flag")
+            .agg(F.max("deriv_2_trend_flag_encode").alias("deriv_2_trend_flag_encode")))

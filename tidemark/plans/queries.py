@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import key_month_label, last_friday_of_november, season_code, slug
@@ -25,16 +25,20 @@ from tidemark.operators import recursive as RC
 from tidemark.operators import rollup as RU
 from tidemark.operators import series as SE
 from tidemark.operators import windows as WN
-from tidemark.plans.common import compute_panel, panel, rnd, target_panel
+from tidemark.operators.contract import FeatureContract
+from tidemark.plans import models as M
+from tidemark.plans.common import compute_panel, panel, rnd, stage_table, target_panel
 from tidemark.plans.flagship import flagship
-from tidemark.plans.fragments import (PROMO_FEATURES, active_ids, applied, cal, event_years, feature_store,
-                                      forecasts, last_month, marketing_by_month, mkt, ml_frames,
-                                      model_frames, panel_stores, peak, rel, scored, spine,
-                                      sply_promo, sply_spend, stores_binned, train_mean)
+from tidemark.plans.fragments import (FEATURES, MODEL_INPUTS, PROMO_FEATURES, active_ids, applied,
+                                      cal, event_years, feature_store, forecasts, last_month,
+                                      marketing_by_month, mkt, ml_frames, model_frames,
+                                      panel_stores, peak, rel, scored, spine, sply_promo,
+                                      sply_spend, stores_binned, train_mean)
 from tidemark.plans.params import (CUTOFF_LABEL, HORIZON_MONTHS, LAGS, REGIONS, SOURCES,
                                    TRAIN_END, WINDOWS)
 from tidemark.sources import bindings as B
 from tidemark.sources import io as IO
+from tidemark.sources import registry
 from tidemark.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -577,102 +581,209 @@ def q_feature_store(spark, d):
 # ---------------------------------------------------------------- recursion
 @query("recursive_features")
 def q_recursive_features(spark, d):
-    tp = target_panel(spark, d)
-    st = RC.history(tp)
-    feats = RC.next_features(F.col("h"), train_mean(tp))
-    out = st.select("key", F.add_months("last_date", 1).alias("date"),
-                    *[v.alias(k) for k, v in feats.items()])
-    return rnd(out, list(feats))
-
+    """All step features of the month after the panel's last, for every store (#124).
 
-def naive_score(mean_fill):
-    def score(h):
-        f = RC.next_features(h, mean_fill)
-        return 0.5 * f["Lag12_y"] + 0.5 * f["MA6_y"]
-    return score
+    Seasonality over all stores, as the panel has it, and over the store's own rows.
+    """
+    tp = target_panel(spark, d)
+    origin = last_month(spark, d)
+    month = F.add_months("_origin", 1)
+    everyone = RC.GlobalSeason(tp, origin, "key", "date", "target")
+    st = RC.initial_state(tp, origin).withColumn("_mean", train_mean(tp))
+    feats = RC.step_features(month, F.col("_mean"), everyone.column())
+    feats["Seasonality_Index_key"] = RC.seasonality_of(F.col("_season"), F.month(month))
+    out = st.select("key", month.alias("date"), *[v.alias(k) for k, v in feats.items()])
+    return rnd(out, ["Lag12_y", "MA6_y", "STD6_y", "EMA6_y", "rate_of_sale"])
 
 
 @query("recursive_forecast_naive")
 def q_recursive_forecast_naive(spark, d):
+    """A fixed rule with one covariate (days on promotion), from the train end, for all
+    stores and the same months (#125)."""
     tp = target_panel(spark, d)
-    out = RC.recursive_forecast_expr(tp, HORIZON_MONTHS, naive_score(F.col("_mean")),
-                                     constants={"_mean": train_mean(tp)})
+    origin = F.trunc(F.lit(TRAIN_END).cast("date"), "MM")
+    promo = sply_promo(spark, d).select(F.col("locationId").alias("key"), "date",
+                                        "promo_days_in_month")
+    grid = EX.future_grid(tp.select("key").distinct(), origin, HORIZON_MONTHS)
+    known = FS.left_join_by(grid, promo, ["key", "date"], {"promo_days_in_month": 0})
+
+    def score(h, now):
+        f = RC.next_features(h, F.col("_mean"))
+        return (0.5 * f["Lag12_y"] + 0.5 * F.coalesce(f["MA6_y"], F.col("_mean"))
+                + 0.1 * now["promo_days_in_month"])
+
+    out = RC.recursive_forecast_expr(
+        tp, HORIZON_MONTHS, score, constants={"_mean": train_mean(tp)}, origin=origin,
+        covariates=RC.covariates_by_step(known, ["promo_days_in_month"], origin, HORIZON_MONTHS))
     return rnd(out, ["forecast"])
 
 
-# ---------------------------------------------------------------- modelling (rows-only checks)
-def _holdout_predictions(spark, d, name):
-    train, test = ml_frames(spark, d)
-    model = ML.fit(name, train)
-    return model.transform(test).select("key", "date", "target", "prediction")
+@query("feature_contract")
+def q_feature_contract(spark, d):
+    """A feature list enforced on rows that lack a column, have one too many and one as text
+    (#22)."""
+    good = flagship(spark, d)
+    contract = FeatureContract.of(good, ["EMA6_y", "Lag12_y", "STD6_y", "MA6_y", "ppu"],
+                                  fills={"STD6_y": -1.0})
+    bad = (good.drop("STD6_y").withColumn("extra", F.lit("x"))
+           .withColumn("Lag12_y", F.when(F.month("date") == 1, "n/a")
+                       .otherwise(F.col("Lag12_y").cast("decimal(18,4)").cast("string"))))
+    found = contract.problems(bad.drop("key", "date", "business_type", "target"))
+    return contract.enforce(bad, keep=["key", "date"]).withColumn(
+        "problems", F.lit("; ".join(f"{k}: {','.join(v)}" for k, v in sorted(found.items()))))
+
+
+# ---------------------------------------------------------------- modelling
+def _holdout(spark, d, name):
+    _, test = ml_frames(spark, d)
+    return M.predictions(M.published(spark, d, name), name, test)
+
+
+def _finite_rows(pred):
+    """What SQL can say of predictions: their rows, and that all are finite numbers."""
+    p = F.col("prediction")
+    return pred.select("key", "date", "target", (p.isNotNull() & ~F.isnan(p) & (
+        F.abs(p) < F.lit(float("inf")))).alias("finite"))
+
+
+def _within_training(spark, d, pred):
+    """A forest averages training targets: no prediction leaves their range."""
+    train, _ = ml_frames(spark, d)
+    low = train.select(F.min("target")).scalar()
+    high = train.select(F.max("target")).scalar()
+    return _finite_rows(pred.withColumn("prediction", F.when(
+        F.col("prediction").between(low - 1e-6, high + 1e-6), F.col("prediction"))))
 
 
 @query("train_rf")
 def q_train_rf(spark, d):
-    return _holdout_predictions(spark, d, "random_forest")
+    return _holdout(spark, d, "random_forest")
+
+
+@query("train_rf_facts")
+def q_train_rf_facts(spark, d):
+    return _within_training(spark, d, _holdout(spark, d, "random_forest"))
 
 
 @query("train_gbt")
 def q_train_gbt(spark, d):
-    return _holdout_predictions(spark, d, "xgboost")
+    return _holdout(spark, d, "xgboost")
+
+
+@query("train_gbt_facts")
+def q_train_gbt_facts(spark, d):
+    return _finite_rows(_holdout(spark, d, "xgboost"))
 
 
 @query("train_gbt_fine")
 def q_train_gbt_fine(spark, d):
-    return _holdout_predictions(spark, d, "lgbm")
+    return _holdout(spark, d, "lgbm")
+
+
+@query("train_gbt_fine_facts")
+def q_train_gbt_fine_facts(spark, d):
+    return _finite_rows(_holdout(spark, d, "lgbm"))
+
+
+_SEARCHES: dict = {}
+
+
+def _search(spark, d):
+    """The forest's search on the model table, made once per application and folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SEARCHES:
+        train, _ = ml_frames(spark, d)
+        _SEARCHES[key] = ML.tuned(["random_forest"], train, draws=10, folds=3,
+                                  features=FEATURES)[1]
+    return spark.createDataFrame(
+        _SEARCHES[key], "model string, draw int, params string, cv_rmse double, chosen boolean")
 
 
 @query("tune_model")
 def q_tune_model(spark, d):
-    train, _ = ml_frames(spark, d)
-    cv, maps = ML.random_search("random_forest", train, draws=10, folds=3)
-    rows = [(i, ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)),
-             float(r)) for i, (m, r) in enumerate(zip(maps, cv.avgMetrics))]
-    return spark.createDataFrame(rows, "draw int, params string, cv_rmse double")
+    return _search(spark, d).select("draw", "params", "cv_rmse")
+
+
+@query("tune_model_facts")
+def q_tune_model_facts(spark, d):
+    """Ten draws with different parameters and a positive error each; the best is chosen."""
+    rows = _search(spark, d)
+    return rows.groupBy("model").agg(
+        F.count(F.lit(1)).alias("draws"), F.countDistinct("params").alias("different"),
+        F.count_if(F.col("cv_rmse") > 0).alias("positive"),
+        F.count_if("chosen").alias("chosen"))
 
 
 @query("train_all")
 def q_train_all(spark, d):
-    train, test = ml_frames(spark, d)
+    _, test = ml_frames(spark, d)
     rows = []
     for name in EV.MODELS:
-        model = ML.fit(name, train)
-        path = ML.save(model, IO.shared_dir(spark, f"models/{name}"))
-        rows.append((name, path, ML.rmse(model, test)))
+        v = M.published(spark, d, name)
+        scored = M.predictions(v, name, test)
+        error = scored.select(F.sqrt(F.avg((F.col("target") - F.col("prediction")) ** 2)))
+        rows.append((name, f"{v.folder}/models/{name}", error.first()[0]))
     return spark.createDataFrame(rows, "model string, path string, holdout_rmse double")
 
 
+@query("train_all_facts")
+def q_train_all_facts(spark, d):
+    """Every candidate is saved, reloads with its feature list and predicts the hold-out."""
+    rows = [(r["model"], len(M.published(spark, d, r["model"]).contract(r["model"]).names),
+             r["holdout_rmse"] > 0) for r in q_train_all(spark, d).collect()]
+    return spark.createDataFrame(rows, "model string, features int, has_error boolean")
+
+
 @query("feature_importance")
 def q_feature_importance(spark, d):
-    train, _ = ml_frames(spark, d)
-    return ML.importances(spark, ML.fit("xgboost", train))
+    return ML.importances(spark, M.published(spark, d, "xgboost").model("xgboost"), FEATURES)
+
+
+@query("feature_importance_facts")
+def q_feature_importance_facts(spark, d):
+    """One row per feature; shares are not negative and add up to one."""
+    total = F.sum("importance").over(Window.partitionBy())
+    return q_feature_importance(spark, d).select(
+        "feature", (F.col("importance") >= 0).alias("not_negative"),
+        F.bround(total, 6).alias("total"))
+
+
+def _model_forecasts(spark, d):
+    versions = {n: M.published(spark, d, n) for n in EV.MODELS}
+
+    def build():
+        return M.wide_forecasts(spark, d, versions, M.train_origin())
+
+    return stage_table(spark, d, "model_forecasts", MODEL_INPUTS, build)
 
 
 @query("recursive_forecast")
 def q_recursive_forecast(spark, d):
     """Every model forecasts H months ahead for all stores; wide table (#125-126)."""
-    tp = target_panel(spark, d)
-    train, _ = ml_frames(spark, d)
-    hist = tp.filter(F.col("date") <= F.lit(TRAIN_END).cast("date"))
-    mean = train_mean(tp)
-    wide = None
-    for name in EV.MODELS:
-        model = ML.fit(name, train)
-        fc = RC.recursive_forecast_model(hist, HORIZON_MONTHS, model, ML.FEATURES, mean)
-        fc = fc.withColumnRenamed("forecast", f"forecast_{name}")
-        wide = fc if wide is None else wide.join(fc, ["key", "date"])
-    actual = tp.select("key", "date", F.col("target").cast("double").alias("target"))
-    return wide.join(actual, ["key", "date"], "left")
+    return _model_forecasts(spark, d)
+
+
+@query("recursive_forecast_facts")
+def q_recursive_forecast_facts(spark, d):
+    """Every active store has every month after the train end, from every model."""
+    ok = [F.col(f"forecast_{n}").isNotNull() & ~F.isnan(f"forecast_{n}") for n in EV.MODELS]
+    return _model_forecasts(spark, d).select(
+        "key", "date", "target", (ok[0] & ok[1] & ok[2]).alias("forecast_by_all"))
 
 
 @query("trend_label_encode")
 def q_trend_label_encode(spark, d):
-    """Trend label encoded on train rows, saved as a mapping, applied by join (#111, #115)."""
+    """Trend label encoded on train rows, saved as a mapping, applied from disk (#9, #111, #115)."""
     tp = target_panel(spark, d)
     dv = WN.derivatives(tp).select("key", F.col("year_month").alias("date"), "deriv_2_trend_flag")
     rows = tp.join(dv, ["key", "date"], "left")
     train = rows.filter(F.col("date") <= F.lit(TRAIN_END).cast("date"))
-    mapping = EN.target_encoding_table(train, "deriv_2_trend_flag")
+    root = IO.shared_dir(spark, "registry")
+    draft = registry.Draft(spark, M.scope_of(spark, d), root)
+    draft.mapping("trend", EN.target_encoding_table(train, "deriv_2_trend_flag"),
+                  "deriv_2_trend_flag", "deriv_2_trend_flag_encode")
+    draft.commit()
+    mapping = registry.latest(spark, root, M.scope_of(spark, d)).mapping("trend")
     return rnd(EN.apply_mapping(rows, mapping, "deriv_2_trend_flag", small=True),
                ["deriv_2_trend_flag_encode"])
 
@@ -680,20 +791,37 @@ def q_trend_label_encode(spark, d):
 @query("train_recency_weighted")
 def q_train_recency_weighted(spark, d):
     """Random forest fit with recency sample weights (#128) — hold-out predictions."""
-    train, test = ml_frames(spark, d)
-    model = ML.fit("random_forest", FS.recency_weight(train, TRAIN_END), weight_col="weight")
-    return model.transform(test).select("key", "date", "target", "prediction")
+    return _holdout(spark, d, "weighted_forest")
+
+
+@query("train_recency_weighted_facts")
+def q_train_recency_weighted_facts(spark, d):
+    return _within_training(spark, d, _holdout(spark, d, "weighted_forest"))
+
+
+def _permuted(spark, d):
+    def build():
+        _, test = ml_frames(spark, d)
+        return ML.permutation_importance(
+            spark, M.published(spark, d, "xgboost").model("xgboost"), test, FEATURES)
+
+    return stage_table(spark, d, "permutation_importance", MODEL_INPUTS, build)
 
 
 @query("permutation_importance")
 def q_permutation_importance(spark, d):
     """Hold-out RMSE increase per permuted feature for the depth-wise booster (#127)."""
-    train, test = ml_frames(spark, d)
-    return ML.permutation_importance(spark, ML.fit("xgboost", train), test)
+    return _permuted(spark, d).orderBy(F.desc("rmse_increase"), "feature")
+
+
+@query("permutation_importance_facts")
+def q_permutation_importance_facts(spark, d):
+    return _permuted(spark, d).select("feature", F.col("rmse_increase").isNotNull()
+                                      .alias("measured"))
 
 
 @query("master_table")
 def q_master_table(spark, d):
-    from tidemark.plans.fragments import MASTER_ENCODED, master_table
+    from tidemark.plans.fragments import MASTER_ENCODED, SEASONAL, master_table
     return rnd(master_table(spark, d), [f"{c}_encode" for c in MASTER_ENCODED]
-               + ["ksa_shopping_peak_ratio"])
+               + ["ksa_shopping_peak_ratio", *SEASONAL])

@@ -65,6 +65,13 @@ def sales_lines(spark: SparkSession, sf_dir: str, start: str | None = None,
         F.col("l_quantity").alias("quantity"))
 
 
+def of_brand(spark: SparkSession, sf_dir: str, lines: DataFrame, brand: str) -> DataFrame:
+    """Lines of one brand: the product table is filtered first and only its ids are joined."""
+    items = (read_table(spark, sf_dir, "part", ["p_partkey", "p_brand"])
+             .filter(F.col("p_brand") == brand).select(F.col("p_partkey").alias("item")))
+    return lines.join(items, "item", "left_semi")
+
+
 def sales(spark: SparkSession, sf_dir: str, brands: Sequence[str] | None = None,
           countries: Sequence[str] | None = None, start: str | None = None,
           end: str | None = None) -> DataFrame:
