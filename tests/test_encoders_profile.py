@@ -57,3 +57,28 @@ def test_value_counts_and_duplicates(spark):
     assert [(r["k"], r["v"], r["n"]) for r in dup] == [("a", 1, 2)]
     first = PR.keep_first(df.withColumn("o", F.lit(0)), ["k"], ["v"]).collect()
     assert sorted((r["k"], r["v"]) for r in first) == [("a", 1), ("b", 2)]
+
+
+def test_corr_matrix_is_pairwise_complete(spark):
+    import numpy as np
+    import pandas as pd
+
+    from tidemark.operators import profile as PR
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(400, 5)) * [1, 1e6, 1, 1, 1] + [0, 1e9, 0, 0, 0]
+    v[:, 2] = 0.5 * v[:, 0] + v[:, 2]
+    pdf = pd.DataFrame(v, columns=list("abcde"))
+    pdf.loc[rng.random(400) < 0.3, "a"] = np.nan
+    pdf.loc[rng.random(400) < 0.3, "c"] = np.nan
+    pdf["constant"] = 7.0
+    pdf["none"] = np.nan
+    pdf["a b"] = pdf["d"] * 2
+    rows = [tuple(None if x != x else float(x) for x in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` double" for c in pdf.columns))
+    want = pdf.corr()
+    got = PR.corr_matrix(df.repartition(7), pdf.columns).collect()
+    assert len(got) == 8 * 7 // 2
+    for r in got:
+        w = want.loc[r["feature_a"], r["feature_b"]]
+        assert (r["corr"] is None) if w != w else abs(r["corr"] - w) < 1e-9
+    assert all(r["corr"] is None for r in PR.corr_matrix(df.limit(0), ["a", "b"]).collect())

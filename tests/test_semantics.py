@@ -1,7 +1,9 @@
 """Hand-made goldens for the semantics notes (FIXTURES.md part C)."""
 
 import datetime as dt
+import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -227,3 +229,20 @@ def test_campaign_region(spark):
     df = spark.createDataFrame([("X_uae_y",), ("KSA-UAE",), ("none",), (None,)], "campaign_name string")
     got = [r["region"] for r in MK.campaign_region(df, ["UAE", "KSA"]).collect()]
     assert got == ["UAE", "KSA", None, None]
+
+
+def test_ema_prefixes_equal_the_fold_and_pandas(spark):
+    """Blocks make no difference; a first row has no history; other columns come through."""
+    rng = random.Random(8)
+    rows = []
+    for k, n in (("a", 1), ("b", 63), ("c", 64), ("d", 65), ("e", 400)):
+        d = pd.Timestamp("1990-01-01")
+        rows += [(k, (d + pd.DateOffset(months=i)).date(), rng.randint(0, 50), f"x{i}")
+                 for i in range(n)]
+    df = spark.createDataFrame(rows, "key string, date date, target int, `other col` string")
+    out = WN.ema_features(df, (3, 12)).toPandas().sort_values(["key", "date"])
+    assert list(out["other col"]) == [r[3] for r in rows]
+    for span in (3, 12):
+        for k, g in out.groupby("key"):
+            want = g["target"].astype(float).ewm(span=span, adjust=False).mean().shift(1)
+            assert np.allclose(g[f"EMA{span}_y"].astype(float), want, equal_nan=True)

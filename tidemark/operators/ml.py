@@ -48,30 +48,43 @@ def known(c: str) -> str:
     return f"CASE WHEN isnan({x}) OR abs({x}) = double('Infinity') THEN NULL ELSE {x} END"
 
 
-def column_facts(train: DataFrame, features: Sequence[str]) -> tuple[dict, set]:
-    """Mean of each feature and which are missing somewhere, in one pass over ``train``.
-
-    A feature without any known value has mean 0.
+def column_facts(train: DataFrame, features: Sequence[str]) -> tuple[dict, set, set, int]:
+    """Of each feature its mean, which are missing somewhere and which are constant, and the
+    number of rows, in one pass over ``train``.  A feature without a known value has mean 0.
     """
-    row = train.agg(*[x for c in features for x in (
-        F.avg(F.expr(known(c))).alias(f"m_{c}"),
-        F.count_if(F.expr(known(c)).isNull()).alias(f"n_{c}"))]).first()
+    x = {c: F.expr(known(c)) for c in features}
+    row = train.agg(F.count(F.lit(1)).alias("rows"), *[a for c in features for a in (
+        F.avg(x[c]).alias(f"m_{c}"), F.count(x[c]).alias(f"n_{c}"),
+        (F.min(x[c]) < F.max(x[c])).alias(f"d_{c}"))]).first()
     return ({c: row[f"m_{c}"] or 0.0 for c in features},
-            {c for c in features if row[f"n_{c}"]})
+            {c for c in features if row[f"n_{c}"] < row["rows"]},
+            {c for c in features if not row[f"d_{c}"]}, row["rows"])
+
+
+#: Rows of a training partition at least: a level of a tree costs a job, and every
+#: partition of it sends all bins of all nodes.
+ROWS_PER_PARTITION = 50_000
+
+
+def compact(train: DataFrame, rows: int) -> DataFrame:
+    """Small training sets in two partitions, larger ones as they come."""
+    return train.coalesce(max(2, -(-rows // ROWS_PER_PARTITION)))
 
 
-def pipeline(est, features: Sequence[str], means: dict, missing: Sequence[str]) -> Pipeline:
+def pipeline(est, features: Sequence[str], means: dict, missing: set,
+             constant: set = frozenset()) -> Pipeline:
     """Mean imputation, missing indicators → assembler → estimator (#122).
 
-    ``means`` and ``missing`` are :func:`column_facts` of the training rows: features that
-    are never missing there need no indicator.
+    The rest is :func:`column_facts` of the training rows: features that are never missing
+    there need no indicator, and no tree splits on constant ones.
     """
-    filled = [f"COALESCE({known(c)}, {float(means[c])!r}D) AS `{c}__known`" for c in features]
-    lacking = [c for c in features if c in set(missing)]
+    used = [c for c in features if c not in constant] or list(features)[:1]
+    filled = [f"COALESCE({known(c)}, {float(means[c])!r}D) AS `{c}__known`" for c in used]
+    lacking = [c for c in features if c in missing]
     flags = [f"CAST({known(c)} IS NULL AS DOUBLE) AS `{c}__missing`" for c in lacking]
     prepared = SQLTransformer(statement=f"SELECT *, {', '.join(filled + flags)} FROM __THIS__")
     assembler = VectorAssembler(
-        inputCols=[f"{c}__known" for c in features] + [f"{c}__missing" for c in lacking],
+        inputCols=[f"{c}__known" for c in used] + [f"{c}__missing" for c in lacking],
         outputCol="features")
     return Pipeline(stages=[prepared, assembler, est])
 
@@ -123,11 +136,12 @@ def random_search(name: str, train: DataFrame, draws: int = 10, folds: int = 3,
     est = estimator(name)
     maps = space(name, est)
     sampled = random.Random(SEED).sample(maps, min(draws, len(maps)))
-    cv = CrossValidator(estimator=pipeline(est, features, *column_facts(train, features)),
+    *facts, rows = column_facts(train, features)
+    cv = CrossValidator(estimator=pipeline(est, features, *facts),
                         estimatorParamMaps=sampled,
                         evaluator=RegressionEvaluator(labelCol="target", metricName="rmse"),
                         foldCol="fold", numFolds=folds, parallelism=parallelism, seed=SEED)
-    model = cv.fit(fold_column(train, folds=folds))
+    model = cv.fit(fold_column(compact(train, rows), folds=folds))
     return model, sampled
 
 
@@ -154,7 +168,8 @@ def tuned(names: Sequence[str], train: DataFrame, draws: int = 10, folds: int =
 def fit(name: str, train: DataFrame, features: Sequence[str] = FEATURES,
         weight_col: str | None = None, **preset) -> PipelineModel:
     est = estimator(name, weight_col=weight_col, **preset)
-    return pipeline(est, features, *column_facts(train, features)).fit(train)
+    *facts, rows = column_facts(train, features)
+    return pipeline(est, features, *facts).fit(compact(train, rows))
 
 
 def rmse(model: PipelineModel, df: DataFrame) -> float:

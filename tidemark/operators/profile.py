@@ -46,6 +46,56 @@ def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                  F.col(f"_c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)])))
 
 
+_MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+
+def corr_matrix(df: DataFrame, cols: Sequence[str], least_spread: float = 1e-9) -> DataFrame:
+    """Pearson correlation of every pair (a, b), a listed before b, of many columns (#60).
+
+    Pairwise complete, like pandas: a pair's moments cover the rows that have both.  Every
+    partition adds up the cross moments of all pairs as matrix products and gives one row
+    a pair; these are summed.  Columns are centred and scaled by their own mean and spread
+    first, so the sums stay small.  NULL where a pair has no spread.  NaN counts as missing.
+    """
+    cols = list(cols)
+    x = {c: F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double"))
+         for c in cols}
+    facts = df.agg(*[a for i, c in enumerate(cols) for a in (
+        F.avg(x[c]).alias(f"m{i}"), F.stddev_samp(x[c]).alias(f"s{i}"))]).first()
+    scaled = df.select(*[
+        ((x[c] - F.lit(facts[f"m{i}"] or 0.0)) / F.lit(facts[f"s{i}"] or 1.0)).alias(f"c{i}")
+        for i, c in enumerate(cols)])
+
+    def moments(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        p = len(cols)
+        total = np.zeros((6, p, p))
+        for b in batches:
+            v = np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(float)
+                                 for i in range(p)])
+            known = (~np.isnan(v)).astype(float)
+            v = np.where(known > 0, v, 0.0)
+            total += [known.T @ known, v.T @ known, known.T @ v, (v * v).T @ known,
+                      known.T @ (v * v), v.T @ v]
+        i, j = np.triu_indices(p, 1)
+        yield pa.RecordBatch.from_pydict(
+            {"a": pa.array(i, pa.int32()), "b": pa.array(j, pa.int32())}
+            | {m: pa.array(total[k][i, j], pa.float64()) for k, m in enumerate(_MOMENTS)})
+
+    kind = "a int, b int, " + ", ".join(f"{m} double" for m in _MOMENTS)
+    whole = scaled.mapInArrow(moments, kind).groupBy("a", "b").agg(
+        *[F.sum(m).alias(m) for m in _MOMENTS])
+    n, vx, vy = F.col("n"), *(F.col(f"s{z}{z}") - F.col(f"s{z}") ** 2 / F.col("n") for z in "xy")
+    spread = (n > 1) & (vx > least_spread * n) & (vy > least_spread * n)
+    names = F.array(*[F.lit(c) for c in cols])
+    return whole.select(
+        F.get(names, F.col("a")).alias("feature_a"), F.get(names, F.col("b")).alias("feature_b"),
+        F.when(spread, (F.col("sxy") - F.col("sx") * F.col("sy") / n) / F.sqrt(vx * vy))
+        .alias("corr"))
+
+
 def duplicates(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Value combinations that occur more than once, with their count (#70)."""
     cols = list(cols or df.columns)

@@ -56,12 +56,14 @@ def moving_stats(df: DataFrame, windows: Sequence[int] = (6,), key: str = "key",
         frame = w.rowsBetween(-n, -1)
         cols[f"MA{n}_y"] = F.avg(F.col(target).cast("double")).over(frame)
         cols[f"STD{n}_y"] = F.stddev_samp(F.col(target).cast("double")).over(frame)
-        if ema:
-            cols[f"EMA{n}_y"] = ema_expr(target, n, w)
+    names = [c for n in windows for c in (f"MA{n}_y", f"STD{n}_y", *([f"EMA{n}_y"] * ema))]
+    order = [*df.columns, *names]
     out = df.withColumns(cols)
+    if ema:
+        out = ema_features(out, windows, key, date_col, target)
     if fill_zero:
-        out = out.fillna(0.0, subset=list(cols))
-    return out
+        out = out.fillna(0.0, subset=names)
+    return out.select(*order)
 
 
 def ema_fold(values: Column, span: int) -> Column:
@@ -72,16 +74,52 @@ def ema_fold(values: Column, span: int) -> Column:
                        .otherwise(acc * (1.0 - a) + v.cast("double") * a))
 
 
-def ema_expr(target: str, span: int, w) -> Column:
-    """EMA of the values strictly before the current row (history frame).
+#: Values folded at a time; appending to a list copies it, so lists stay this short.
+EMA_BLOCK = 64
+
+
+def ema_prefixes(values: Column, span: int) -> Column:
+    """The averages after each value of an array of doubles, in one pass (same recurrence
+    as :func:`ema_fold`, so the same numbers)."""
+    a = 2.0 / (span + 1.0)
+
+    def state(e, out):
+        return F.struct(e.alias("e"), out.alias("out"))
+
+    def one(acc, v):
+        e = F.when(acc["e"].isNull(), v).otherwise(acc["e"] * (1.0 - a) + v * a)
+        return state(e, F.concat(acc["out"], F.array(e)))
 
-    The frame grows with the row, so a key with n months costs O(n²) element
-    steps; n is the number of months per key (tens to a few hundred), and the
-    fold is exactly the reference's recurrence (no power-series rewrite whose
-    rounding would differ).
+    def block(acc, part):
+        done = F.aggregate(part, state(acc["e"], F.array().cast("array<double>")), one)
+        return state(done["e"], F.concat(acc["out"], F.array(done["out"])))
+
+    count = F.ceil(F.size(values) / EMA_BLOCK).cast("int")
+    parts = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
+                        lambda i: F.slice(values, (i - 1) * EMA_BLOCK + 1, F.lit(EMA_BLOCK)))
+    start = state(F.lit(None).cast("double"), F.array().cast("array<array<double>>"))
+    return F.flatten(F.aggregate(parts, start, block)["out"])
+
+
+def ema_features(df: DataFrame, spans: Sequence[int], key: str = "key", date_col: str = "date",
+                 target: str = "target") -> DataFrame:
+    """``EMA{span}_y``: the average of a key's rows strictly before each row (#64).
+
+    A key's rows are collected once in order and folded once, all prefixes coming out
+    together, so a key with n months costs n steps.  NULL on a key's first row.
     """
-    hist = F.collect_list(F.col(target)).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return ema_fold(hist, span)
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in df.columns if c not in (*keys, date_col)]
+    rows = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(
+        F.col(date_col), *[F.col(f"`{c}`") for c in rest]))).alias("_rows"))
+    values = F.transform("_rows", lambda x: x[target].cast("double"))
+    none = F.array(F.lit(None).cast("double"))
+    # Zipped rather than looked up by place: a lambda would fold again for every row.
+    zipped = rows.select(*keys, F.explode(F.arrays_zip(
+        F.col("_rows").alias("r"), *[
+            F.concat(none, F.slice(ema_prefixes(values, n), F.lit(1), F.size("_rows") - 1))
+            .alias(f"e{n}") for n in spans])).alias("z"))
+    return zipped.select(*keys, "z.r.*", *[F.col(f"z.e{n}").alias(f"EMA{n}_y") for n in spans])
 
 
 def seasonality_index_as_of(df: DataFrame, date_col: str = "date",

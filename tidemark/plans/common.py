@@ -57,7 +57,7 @@ def compute_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PANELS: dict = {}
-PANEL_INPUTS = ("lineitem", "supplier", "nation", "region", "part")
+PANEL_INPUTS = ("lineitem", "supplier", "nation", "region")
 
 
 def inputs_stamp(spark: SparkSession, sf_dir: str,
@@ -80,7 +80,8 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     apply_core_conf(spark)
     memo_key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), brand_of(sf_dir))
-    stamp = inputs_stamp(spark, sf_dir)
+    needed = PANEL_INPUTS if brand_of(sf_dir) == ALL_BRANDS else (*PANEL_INPUTS, "part")
+    stamp = inputs_stamp(spark, sf_dir, needed)
     name, built_from = _PANELS.get(memo_key, (None, None))
     if name is not None and built_from != stamp:
         # The inputs changed: the old panel is stale.

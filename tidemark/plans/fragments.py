@@ -19,6 +19,8 @@ from tidemark.plans.flagship import flagship
 from tidemark.plans.params import (BRAND_REGION_PAIRS, HORIZON_MONTHS, REGIONS, SOURCES,
                                    TRAIN_END)
 from tidemark.sources import bindings as B
+from tidemark.sources.stats import date_span
+from tidemark.sources.tables import table_path
 
 PROMO_FEATURES = ["locationId", "date", "distinct_discount_levels", "avg_discount", "max_discount",
                   "min_discount", "avg_promo_duration", "percentage_products_on_promo",
@@ -38,13 +40,20 @@ PROMO_FILL = [c for c in PROMO_FEATURES if c not in ("locationId", "date")]
 
 
 def spine(spark, d, horizon: bool = False):
-    """Day spine over the sales span; with ``horizon`` extended to the forecast horizon end."""
-    lines = B.sales_lines(spark, d)
-    if not horizon:
-        return CA.spine_of(lines)
-    bounds = lines.agg(F.min("date").alias("start"), F.max("date").alias("_max"))
-    return CA.day_spine(bounds.select(
-        "start", F.last_day(F.add_months("_max", HORIZON_MONTHS)).alias("end")))
+    """Day spine over the sales span; with ``horizon`` extended to the forecast horizon end.
+
+    The span comes from the footers of the fact's files (#86), else from its rows.
+    """
+    span = date_span(spark, table_path(d, "lineitem"), "l_shipdate")
+    if span is None:
+        bounds = B.sales_lines(spark, d).agg(F.min("date").alias("start"),
+                                             F.max("date").alias("end"))
+    else:
+        bounds = spark.range(1).select(F.lit(span[0]).alias("start"), F.lit(span[1]).alias("end"))
+    if horizon:
+        bounds = bounds.select("start", F.last_day(F.add_months("end", HORIZON_MONTHS))
+                               .alias("end"))
+    return CA.day_spine(bounds)
 
 
 def event_years(spark, d):
@@ -251,6 +260,17 @@ COVARIATES = (
     "is_month_end", "days_in_month", "fourier_year_sin", "fourier_year_cos", "quarter_sin",
     "quarter_cos", "holiday_count", "channel_encode", "store_format_encode", "key_encode",
     "festive_peak_flag_encode", "channel_retail", "pre_post_rm_flg", "tourists")
+#: Groups of columns whose correlations are looked at together (#60).
+CORR_GROUPS = {
+    "seasonal": (*SEASONAL, *MKT_SRC_COLS),
+    "store": ("is_ecom_fullfillment_loc", "total_square_ft", "selling_square_ft",
+              "total_square_ft_cat", "selling_square_ft_cat"),
+    "history": ("rate_of_sale", "Lag12_y", "MA6_y", "STD6_y", "EMA6_y",
+                "target_seasonal_monthly", "target_seasonal_quarterly", "key_encode",
+                "store_format_encode", "channel_encode", "festive_peak_flag_encode"),
+}
+
+
 # From the targets before it; computed again at every step of a recursion:
 FROM_TARGET = tuple(c for c in RC.STEP_FEATURES if c != "deriv_2_trend_flag") + (
     "deriv_2_trend_flag_encode",)

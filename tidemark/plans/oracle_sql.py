@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import re
 
-from tidemark.plans.fragments import FEATURES
+from tidemark.plans.fragments import (CORR_GROUPS, COVARIATES, FEATURES, MKT_SRC_COLS, PROMO_FILL,
+                                      SEASONAL)
 from tidemark.plans.params import HORIZON_MONTHS, TRAIN_END  # noqa: F401
 
 A6 = repr(2.0 / 7.0)            # EMA alpha for span 6
@@ -649,6 +650,24 @@ SQL["corr_pairs"] = with_("flag") + " union all ".join(
     f"select '{a}' as feature_a, '{b}' as feature_b, "
     f"round_even(corr({a}::double, {b}::double), 4) as corr from flag"
     for i, a in enumerate(_FEAT) for b in _FEAT[i + 1:])
+SQL["csv_roundtrip"] = "select * from (" + SQL["forecast_wide"] + ")"
+SQL["truncate_and_load"] = with_("stores") + """
+select store, channel, store_format, 'during' as seen, true as empty_load_refused
+from stores where channel = 'retail'
+union all select store, channel, store_format, 'after', true from stores"""
+SQL["blanket_fill"] = with_("stores") + """
+select * replace (coalesce(total_square_ft, 0) as total_square_ft,
+                  coalesce(selling_square_ft, 0) as selling_square_ft) from stores"""
+SQL["promo_day_rows"] = with_("rel") + """
+select distinct locationId, unnest(generate_series(eff_from, eff_to, interval 1 day))::date as day
+from rel where eff_from <= eff_to"""
+SQL["brand_panel"] = f"""
+with p as (select l_suppkey::varchar as key, r_name as business_type,
+             date_trunc('month', l_shipdate)::date as date,
+             sum(trunc(l_extendedprice)::bigint)::bigint as target
+           from lineitem join {_GEO} on l_suppkey = s_suppkey
+           join part on l_partkey = p_partkey where p_brand = 'Brand#1' group by 1, 2, 3)
+select * from p where key in (select key from p where date = (select max(date) from p))"""
 SQL["dup_report"] = """
 select l_orderkey as tran_seq_no, l_linenumber as line, count(*) as n from lineitem
 group by 1, 2 having count(*) > 1"""
@@ -994,3 +1013,44 @@ select m3.* replace (round_even(ksa_shopping_peak_ratio, 4) as ksa_shopping_peak
        case when m3.date in (select d::date from near) then 1 else 0 end as pre_post_rm_flg,
        tour.tourists
 from m3 left join tour using (date)"""
+
+
+# ---------------------------------------------------------------- correlations of the master table
+_NOT_NUMBERS = {"key", "date", "business_type", "store_format", "deriv_2_trend_flag"}
+_MASTER_NUMBERS = ["target", "ppu", "Lag12_y", "MA6_y", "STD6_y", "EMA6_y", *COVARIATES,
+                   "festive_peak_flag", "Pred_Flag", "deriv_1_pct", "deriv_3_pct", "deriv_6_pct",
+                   "deriv_2_pct", "monthly_max_qty", "monthly_min_qty", "deriv_1_flag", *SEASONAL,
+                   "month", "quarter", "year", "deriv_2_trend_flag_encode"]
+
+
+def _pairs(cols) -> list[tuple[str, str]]:
+    return [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+
+
+def _corr_of(group: str, cols) -> str:
+    """One row a pair; which column comes first follows the master table's order."""
+    entries = ", ".join(
+        f"""{{'a': '{a}', 'b': '{b}', 'c': corr("{a}"::double, "{b}"::double)}}"""
+        for a, b in _pairs(cols))
+    return (f"select '{group}' as grp, x.a as a, x.b as b, x.c as c "
+            f"from (select unnest([{entries}]) as x from m)")
+
+
+_MASTER_ORDER = [
+    "festive_peak_flag", "target", "ppu", "Lag12_y", "MA6_y", "STD6_y", "EMA6_y",
+    "ramadan_period", "public_holidays", "is_high_sales_intent_flag", "shopping_event_code",
+    "fashion_week_season", "count_of_days", "uae_seasons", *MKT_SRC_COLS,
+    "is_ecom_fullfillment_loc", "total_square_ft", "selling_square_ft", "total_square_ft_cat",
+    "selling_square_ft_cat", *PROMO_FILL, "Pred_Flag", "ksa_shopping_peak_ratio", "deriv_1_pct",
+    "deriv_3_pct", "deriv_6_pct", "deriv_2_pct", "monthly_max_qty", "monthly_min_qty",
+    "deriv_1_flag", *SEASONAL, "month", "quarter", "year", "is_month_start", "is_month_end",
+    "days_in_month", "fourier_year_sin", "fourier_year_cos", "quarter_sin", "quarter_cos",
+    "holiday_count", *(f"{c}_encode" for c in _MENC), "channel_retail", "pre_post_rm_flg",
+    "tourists"]
+assert sorted(_MASTER_ORDER) == sorted(_MASTER_NUMBERS)
+SQL["corr_matrix"] = ("with m as materialized (" + SQL["master_table"] + "), c as ("
+                      + " union all ".join(_corr_of(g, cols) for g, cols in
+                                           {"all": _MASTER_ORDER, **CORR_GROUPS}.items())
+                      + """)
+select grp, a as feature_a, b as feature_b,
+  case when isfinite(c) then round_even(c, 3) + 0.0 end as corr from c""")

@@ -5,9 +5,12 @@
 * :func:`train_forecast`  — fit every model, forecast recursively, pick champions, report
 * :func:`inference`       — load saved models, forecast from the latest actuals, report
 
-Outputs are Parquet under ``out/<table>/target=…/brand=…/cutoff_month=…/train_end=…``
-(the reference's folder layout as partition columns, so later reads prune).
-``out`` must be a folder every executor can reach.
+A run has a target and a brand: the panel holds that brand's sales only, and the target is
+its units, sales amount or transactions.  Outputs are Parquet under
+``out/<table>/target=…/brand=…/cutoff_month=…/train_end=…`` (the reference's folder layout
+as partition columns, so later reads prune); models, mappings and feature lists are
+versions of the same scope in the registry ``out/registry``.  ``out`` must be a folder
+every executor can reach.
 """
 
 from __future__ import annotations
@@ -16,105 +19,92 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluate as EV
-from tidemark.operators import ml as ML
-from tidemark.operators import recursive as RC
 from tidemark.plans import fragments as FR
+from tidemark.plans import models as M
 from tidemark.plans import queries as Q
+from tidemark.plans.common import Run
 from tidemark.plans.params import HORIZON_MONTHS, TRAIN_END
-from tidemark.sources.io import write_partitioned
+from tidemark.sources import registry
+from tidemark.sources.io import write_checked
 
 LAYOUT = ("target", "brand", "cutoff_month", "train_end")
 
 
-def _cutoff(spark: SparkSession, sf_dir: str) -> str:
-    """The panel's last month, ``yyyy-MM`` (one row to the driver)."""
-    return FR.panel(spark, sf_dir).select(F.date_format(F.max("date"), "yyyy-MM")).first()[0]
+def _registry(out: str) -> str:
+    return f"{out.rstrip('/')}/registry"
 
 
-def _write(df: DataFrame, out: str, name: str, target: str, brand: str, cutoff: str) -> str:
-    """Write ``df`` under the layout; data columns named like a layout column get ``_value``."""
+def _write(df: DataFrame, out: str, name: str, scope: registry.Scope) -> str:
+    """Write ``df`` under the layout; data columns named like a layout column get ``_value``.
+
+    An empty result raises (#10): a run without rows is an error of its inputs.
+    """
     clash = {c: f"{c}_value" for c in LAYOUT if c in df.columns}
     tagged = df.withColumnsRenamed(clash).withColumns({
-        "target": F.lit(target), "brand": F.lit(brand),
-        "cutoff_month": F.lit(cutoff), "train_end": F.lit(TRAIN_END)})
-    return write_partitioned(tagged, f"{out.rstrip('/')}/{name}", list(LAYOUT))
+        c: F.lit(getattr(scope, c)) for c in LAYOUT})
+    return write_checked(tagged, f"{out.rstrip('/')}/{name}", list(LAYOUT), name)
 
 
 def feature_build(spark: SparkSession, sf_dir: str, out: str, target: str = "units",
                   brand: str = "all") -> dict[str, str]:
     """Entry point A: every feature table of the feature-engineering stage."""
+    run = Run(sf_dir, brand, target)
     tables = {
-        "panel": FR.panel(spark, sf_dir),
-        "temporal": FR.flagship(spark, sf_dir),
-        "derivatives": FR.WN.derivatives(FR.target_panel(spark, sf_dir)),
-        "calendar": FR.CA.calendar_monthly(FR.cal(spark, sf_dir, "A"), "A"),
-        "stores": FR.stores_binned(spark, sf_dir),
-        "marketing": Q.q_sply_marketing(spark, sf_dir),
-        "promotions": FR.sply_promo(spark, sf_dir),
+        "panel": FR.panel(spark, run),
+        "temporal": FR.flagship(spark, run),
+        "derivatives": FR.WN.derivatives(FR.target_panel(spark, run)),
+        "calendar": FR.CA.calendar_monthly(FR.cal(spark, run, "A"), "A"),
+        "stores": FR.stores_binned(spark, run),
+        "marketing": Q.q_sply_marketing(spark, run),
+        "promotions": FR.sply_promo(spark, run),
     }
-    cutoff = _cutoff(spark, sf_dir)
-    return {n: _write(df, out, n, target, brand, cutoff) for n, df in tables.items()}
+    scope = M.scope_of(spark, run)
+    return {n: _write(df, out, n, scope) for n, df in tables.items()}
 
 
 def master_table(spark: SparkSession, sf_dir: str, out: str, target: str = "units",
                  brand: str = "all") -> str:
     """Entry point B: the assembled feature store."""
-    return _write(FR.master_table(spark, sf_dir), out, "master_table", target, brand,
-                  _cutoff(spark, sf_dir))
+    run = Run(sf_dir, brand, target)
+    return _write(FR.master_table(spark, run), out, "master_table", M.scope_of(spark, run))
 
 
 def train_forecast(spark: SparkSession, sf_dir: str, out: str, target: str = "units",
-                   brand: str = "all") -> dict[str, str]:
-    """Entry point C: fit, recurse, select champions, report (models saved under ``out``)."""
-    train, _ = FR.ml_frames(spark, sf_dir)
-    tp = FR.target_panel(spark, sf_dir)
-    hist = tp.filter(F.col("date") <= F.lit(TRAIN_END).cast("date"))
-    mean = FR.train_mean(tp)
-    wide = None
-    for name in EV.MODELS:
-        model = ML.fit(name, train)
-        ML.save(model, f"{out.rstrip('/')}/models/{name}")
-        fc = RC.recursive_forecast_model(hist, HORIZON_MONTHS, model, ML.FEATURES, mean)
-        fc = fc.withColumnRenamed("forecast", f"forecast_{name}")
-        wide = fc if wide is None else wide.join(fc, ["key", "date"])
-    actual = tp.select("key", "date", F.col("target").cast("double").alias("target"))
-    forecasts = wide.join(actual, ["key", "date"], "left")
+                   brand: str = "all", tuning: dict | None = None,
+                   presets: dict | None = None) -> dict[str, str]:
+    """Entry point C: fit or tune every candidate on the master table's features, commit them
+    to the registry, recurse from the train end, select champions, report."""
+    run = Run(sf_dir, brand, target)
+    version = M.publish(spark, run, _registry(out), EV.MODELS, tuning, presets)
     from tidemark.session import checkpoint
-    forecasts = checkpoint(forecasts)
+    forecasts = checkpoint(M.wide_forecasts(spark, run, dict.fromkeys(EV.MODELS, version),
+                                            M.train_origin()))
     scored = EV.scored(EV.row_ape(forecasts))
     champions = EV.champion_store(scored)
     applied = EV.apply_store_champion(scored, champions)
-    cutoff = _cutoff(spark, sf_dir)
-    return {
-        "forecasts": _write(forecasts, out, "forecasts", target, brand, cutoff),
-        "champions": _write(champions, out, "champions", target, brand, cutoff),
-        "champion_mix": _write(applied, out, "champion_mix", target, brand, cutoff),
-        "metrics": _write(EV.metrics(scored), out, "metrics", target, brand, cutoff),
-    }
+    tables = {"forecasts": forecasts, "champions": champions, "champion_mix": applied,
+              "metrics": EV.metrics(scored)}
+    return {n: _write(df, out, n, version.scope) for n, df in tables.items()}
 
 
 def inference(spark: SparkSession, sf_dir: str, out: str, months: int = HORIZON_MONTHS,
               target: str = "units", brand: str = "all") -> dict[str, str]:
     """Batch inference: load saved models, forecast from the latest actuals, report.
 
-    Models come from ``out/models/<name>`` (written by :func:`train_forecast`);
-    the store → champion mapping from ``out/champions``. Forecasts start after
-    the last month of the panel.
+    Models, feature lists and the trend mapping are those of the registry's latest version
+    for this target, brand, cutoff and train end; the store → champion mapping comes from
+    ``out/champions``.  Forecasts start after the last month of the panel, for all stores.
     """
-    from pyspark.ml import PipelineModel
-
-    tp = FR.target_panel(spark, sf_dir)
-    mean = FR.train_mean(tp)
-    wide = None
-    for name in EV.MODELS:
-        model = PipelineModel.load(f"{out.rstrip('/')}/models/{name}")
-        fc = RC.recursive_forecast_model(tp, months, model, ML.FEATURES, mean)
-        fc = fc.withColumnRenamed("forecast", f"forecast_{name}")
-        wide = fc if wide is None else wide.join(fc, ["key", "date"])
-    cutoff = _cutoff(spark, sf_dir)
+    run = Run(sf_dir, brand, target)
+    scope = M.scope_of(spark, run)
+    version = registry.latest(spark, _registry(out), scope)
+    if version is None:
+        raise LookupError(f"no models for {scope} in {_registry(out)}")
+    wide = M.wide_forecasts(spark, run, dict.fromkeys(EV.MODELS, version),
+                            FR.last_month(spark, run), months).drop("target")
     champs = (spark.read.parquet(f"{out.rstrip('/')}/champions")
               .filter((F.col("target") == target) & (F.col("brand") == brand)
-                      & (F.col("cutoff_month") == cutoff)
+                      & (F.col("cutoff_month") == scope.cutoff_month)
                       & (F.col("train_end") == TRAIN_END))
               .select("key", "best_model_store"))
     pick = F.lit(None).cast("double")
@@ -127,5 +117,5 @@ def inference(spark: SparkSession, sf_dir: str, out: str, months: int = HORIZON_
                       F.bround(F.coalesce(pick, F.col(f"forecast_{EV.MODELS[0]}")), 0)
                       .cast("bigint").alias("forecasted_units"),
                       F.lit("Monthly").alias("frequency")))
-    return {"future_forecasts": _write(wide, out, "future_forecasts", target, brand, cutoff),
-            "report": _write(report, out, "report", target, brand, cutoff)}
+    return {"future_forecasts": _write(wide, out, "future_forecasts", scope),
+            "report": _write(report, out, "report", scope)}

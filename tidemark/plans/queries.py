@@ -6,6 +6,8 @@ driver tables (or data Spark derives from them).
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -27,15 +29,17 @@ from tidemark.operators import series as SE
 from tidemark.operators import windows as WN
 from tidemark.operators.contract import FeatureContract
 from tidemark.plans import models as M
-from tidemark.plans.common import compute_panel, panel, rnd, stage_table, target_panel
+from tidemark.plans.common import Run, compute_panel, panel, rnd, stage_table, target_panel
 from tidemark.plans.flagship import flagship
-from tidemark.plans.fragments import (FEATURES, MODEL_INPUTS, PROMO_FEATURES, active_ids, applied,
-                                      cal, event_years, feature_store, forecasts, last_month,
-                                      marketing_by_month, mkt, ml_frames, model_frames,
-                                      panel_stores, peak, rel, scored, spine, sply_promo,
-                                      sply_spend, stores_binned, train_mean)
+from tidemark.plans.fragments import (CORR_GROUPS, FEATURES, FROM_TARGET, MASTER_ENCODED,
+                                      MODEL_INPUTS, PROMO_FEATURES, SEASONAL, active_ids,
+                                      applied, cal, event_years, feature_store, forecasts,
+                                      last_month, marketing_by_month, master_table, mkt,
+                                      ml_frames, model_frames, panel_stores, peak, rel, scored,
+                                      spine, sply_promo, sply_spend, stores_binned, train_mean)
 from tidemark.plans.params import (CUTOFF_LABEL, HORIZON_MONTHS, LAGS, REGIONS, SOURCES,
                                    TRAIN_END, WINDOWS)
+from tidemark.session import apply_core_conf
 from tidemark.sources import bindings as B
 from tidemark.sources import io as IO
 from tidemark.sources import registry
@@ -46,9 +50,14 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(name: str):
+    """Register a query; it runs under the package's session settings (UTC, AQE)."""
     def deco(fn):
-        QUERIES[name] = fn
-        return fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, d: str) -> DataFrame:
+            return fn(apply_core_conf(spark), d)
+
+        QUERIES[name] = run
+        return run
     return deco
 
 
@@ -458,6 +467,19 @@ def q_corr_pairs(spark, d):
     return rnd(PR.corr_pairs(flagship(spark, d), FEATURE_COLS), ["corr"])
 
 
+@query("corr_matrix")
+def q_corr_matrix(spark, d):
+    """Correlations of the whole master table's numbers and of three groups of them (#60)."""
+    from tidemark.session import checkpoint
+    master = checkpoint(q_master_table(spark, d))
+    numbers = [c for c, t in master.dtypes if t in ("int", "bigint", "double")]
+    out = None
+    for name, cols in {"all": numbers, **CORR_GROUPS}.items():
+        pairs = PR.corr_matrix(master, cols).select(F.lit(name).alias("grp"), "*")
+        out = pairs if out is None else out.unionByName(pairs)
+    return rnd(out, ["corr"], 3).withColumn("corr", F.col("corr") + 0.0)  # no minus zero
+
+
 @query("dup_report")
 def q_dup_report(spark, d):
     li = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber"])
@@ -514,6 +536,53 @@ def q_sink_roundtrip(spark, d):
                        *PROMO_FEATURES)
 
 
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, d):
+    """Forecasts written as CSV and read back with their schema (#7)."""
+    fc = rnd(forecasts(spark, d), ["target", *(f"forecast_{m}" for m in EV.MODELS)])
+    path = IO.write_csv(fc, IO.shared_dir(spark, "csv"))
+    return IO.read_csv(spark, path, ",".join(f"{c} {t}" for c, t in fc.dtypes))
+
+
+@query("truncate_and_load")
+def q_truncate_and_load(spark, d):
+    """A table loaded twice, read during and after the second load; an empty third load
+    leaves it alone (#8, #10)."""
+    rows = B.stores(spark, d).select("store", "channel", "store_format")
+    name = f"tidemark_load_{uuid.uuid4().hex[:12]}"
+    IO.save_table(rows.filter(F.col("channel") == "retail"), name)
+    during = spark.table(name)
+    IO.save_table(rows, name)
+    try:
+        IO.save_table(rows.limit(0), name)
+    except IO.EmptyResult:
+        left_alone = True
+    else:
+        left_alone = False
+    return (during.withColumn("seen", F.lit("during"))
+            .unionByName(spark.table(name).withColumn("seen", F.lit("after")))
+            .withColumn("empty_load_refused", F.lit(left_alone)))
+
+
+@query("blanket_fill")
+def q_blanket_fill(spark, d):
+    """Every numeric column's NULL becomes 0 (#20)."""
+    return FS.blanket_fill(B.stores(spark, d))
+
+
+@query("promo_day_rows")
+def q_promo_day_rows(spark, d):
+    """One row per location and day on promotion (#79)."""
+    return IV.explode_days(rel(spark, d))
+
+
+@query("brand_panel")
+def q_brand_panel(spark, d):
+    """The panel of one brand's sales amounts, its own active stores (#24)."""
+    return target_panel(spark, Run(d, "Brand#1", "sales")).select("key", "business_type", "date",
+                                                                  "target")
+
+
 # ---------------------------------------------------------------- grids, series, feature store
 @query("horizon_dates")
 def q_horizon_dates(spark, d):
@@ -689,12 +758,12 @@ _SEARCHES: dict = {}
 
 
 def _search(spark, d):
-    """The forest's search on the model table, made once per application and folder."""
+    """The forest's search over the target-derived features, once per application and folder."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _SEARCHES:
         train, _ = ml_frames(spark, d)
         _SEARCHES[key] = ML.tuned(["random_forest"], train, draws=10, folds=3,
-                                  features=FEATURES)[1]
+                                  features=FROM_TARGET)[1]
     return spark.createDataFrame(
         _SEARCHES[key], "model string, draw int, params string, cv_rmse double, chosen boolean")
 
@@ -822,6 +891,5 @@ def q_permutation_importance_facts(spark, d):
 
 @query("master_table")
 def q_master_table(spark, d):
-    from tidemark.plans.fragments import MASTER_ENCODED, SEASONAL, master_table
     return rnd(master_table(spark, d), [f"{c}_encode" for c in MASTER_ENCODED]
                + ["ksa_shopping_peak_ratio", *SEASONAL])

@@ -47,7 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; create a local one only if none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder; we never
-    override it.  Only an unconfigured (test) session gets a fresh temp folder.
+    override it.  Only an unconfigured local session (as in tests) gets a fresh temp
+    folder: on a cluster other machines would not see it, so there the setting must be made.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()

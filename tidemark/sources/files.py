@@ -20,9 +20,12 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
 
 
 def tree_stamp(spark: SparkSession, path: str) -> tuple[int, int, int]:
-    """Number, total size and latest change of the files under ``path``, at any depth."""
+    """Number, total size and latest change of the files under ``path``, at any depth; zeros
+    where there is nothing."""
     fs, p = _fs(spark, path)
     n = size = changed = 0
+    if not fs.exists(p):
+        return n, size, changed
     files = fs.listFiles(p, True)
     while files.hasNext():
         f = files.next()
