@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACE, fresh_name, shared_path, written
+from tidemark.sources.files import names_in, read_json, write_json
 
 
 def normalised(text: Column) -> Column:
@@ -29,17 +30,31 @@ class DigestIndex:
     """Digests seen so far, each with the id of the row that was kept.
 
     ``path`` is the index's folder (shared storage); reopening the same path in another
-    session registers the files again.  ``buckets`` is fixed at creation.
+    session registers the files again.  ``buckets`` (by default as many as shuffle
+    partitions) and ``id_type`` are fixed at creation and kept beside the files: a later
+    opening takes them from there and raises if it names others.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 16,
-                 id_type: str = "bigint"):
-        self.spark, self.buckets = spark, buckets
+    def __init__(self, spark: SparkSession, path: str | None = None,
+                 buckets: int | None = None, id_type: str | None = None):
+        self.spark = spark
         self.path = path or shared_path(spark, "digest-index")
+        asked = {"buckets": buckets, "id_type": id_type}
+        facts = f"{self.path.rstrip('/')}/_index.json"
+        if "_index.json" in names_in(spark, self.path):
+            known = read_json(spark, facts)
+            other = {k: v for k, v in asked.items() if v is not None and v != known[k]}
+            if other:
+                raise ValueError(f"the index at {self.path} has {known}, not {other}")
+        else:
+            known = {"buckets": buckets or int(spark.conf.get("spark.sql.shuffle.partitions")),
+                     "id_type": id_type or "bigint"}
+            write_json(spark, facts, known)
+        self.buckets, id_type = known["buckets"], known["id_type"]
         self.table = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(
             f"CREATE TABLE {self.table} (digest STRING, keep_id {id_type}) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS "
             f"LOCATION '{self.path}'")
 
     def rows(self) -> DataFrame:
