@@ -77,16 +77,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sizes = (docs.select(F.col(source_col).alias("source"),
                          n_words(F.col(text_col)).alias("n"))
              .groupBy("source").agg(F.sum("n").alias("source_size")))
+    own = fresh_name("of_source", sized.columns)
     t = source_targets(sizes, weights, most).select(
-        F.col("source").alias("t_source"), F.col("source_size").alias("t_size"),
-        F.col("target").alias("t_target"))
-    joined = sized.join(t, F.col(source_col).eqNullSafe(F.col("t_source")))
-    rate = F.when(F.col("t_size") > 0, F.col("t_target") / F.col("t_size")).otherwise(0.0)
+        F.struct("source", "source_size", "target").alias(own))
+    size, target = F.col(f"{own}.source_size"), F.col(f"{own}.target")
+    joined = sized.join(t, F.col(f"`{source_col}`").eqNullSafe(F.col(f"{own}.source")))
+    rate = F.when(size > 0, target / size).otherwise(0.0)
     whole = F.floor(rate)
     copies = whole + F.when(chance(id_col, seed) < rate - whole, 1).otherwise(0)
     return joined.select(
-        *[F.col(f"`{c}`") for c in sized.columns], F.col("t_size").alias(names["source_size"]),
-        F.col("t_target").alias(names["target"]),
+        *[F.col(f"`{c}`") for c in sized.columns], size.alias(names["source_size"]),
+        target.alias(names["target"]),
         copies.cast("bigint").alias(names["copies"]))
 
 
