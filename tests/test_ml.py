@@ -72,3 +72,21 @@ def test_presets_and_search_space_are_the_reference_s(spark):
         counts = {m[est.getParam(count)] for m in maps}
         depths = {m[est.maxDepth] for m in maps}
         assert (min(counts), max(counts), min(depths), max(depths)) == (100, 300, low, high)
+
+
+def test_infinity_and_missing_are_imputed_and_flagged(spark):
+    inf = float("inf")
+    rows = [("a", float(i), x, 1.0, None) for i, x in
+            enumerate([1.0, inf, 3.0, None, float("nan"), -inf, 5.0, 7.0] * 5)]
+    df = spark.createDataFrame(rows, "key string, target double, x double, same double, none double")
+    means, missing, constant, n = ML.column_facts(df, ["x", "same", "none"])
+    assert means == {"x": 4.0, "same": 1.0, "none": 0.0} and n == 40
+    assert missing == {"x", "none"} and constant == {"same", "none"}
+    model = ML.fit("random_forest", df, ["x", "same", "none"], numTrees=2, maxDepth=2)
+    assert model.stages[-2].getInputCols() == ["x__known", "x__missing", "none__missing"]
+    out = model.transform(df.drop("target")).select("x", "x__known", "x__missing").collect()
+    for r in out:
+        odd = r["x"] is None or r["x"] != r["x"] or abs(r["x"]) == inf
+        assert (r["x__known"], r["x__missing"]) == ((4.0, 1.0) if odd else (r["x"], 0.0))
+    imp = ML.importances(spark, model, ["x", "same", "none"]).collect()
+    assert {r["feature"] for r in imp} == {"x", "same", "none"}

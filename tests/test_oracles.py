@@ -11,6 +11,23 @@ SF = os.environ.get("TIDEMARK_TEST_SF", "/root/testdata/sf0.001")
 NAMES = sorted(E.oracle_sql())
 
 
+@pytest.fixture(scope="module", autouse=True)
+def small_models():
+    """The facts of the model queries hold for any size; the reference's sizes take minutes."""
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    from tidemark.operators import ml as ML
+    patch = pytest.MonkeyPatch()
+    patch.setattr(ML, "PRESETS", {
+        "random_forest": dict(numTrees=5, maxDepth=5), "xgboost": dict(maxIter=4, maxDepth=3),
+        "lgbm": dict(maxIter=4, maxDepth=2)})
+    patch.setattr(ML, "search_space", lambda name, est: (
+        ParamGridBuilder().addGrid(est.maxDepth, [1, 2, 3, 4])
+        .addGrid(est.minInstancesPerNode, [1, 2, 3]).addGrid(est.numTrees, [2]).build()))
+    yield
+    patch.undo()
+
+
 @pytest.fixture(scope="module")
 def con():
     return duck(SF)

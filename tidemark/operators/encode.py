@@ -126,12 +126,21 @@ def one_hot(df: DataFrame, col: str, levels: Sequence[str], drop_first: bool = T
     return df.withColumns({f"{col}_{v}": (F.col(col) == v).cast("int") for v in lv}).drop(col)
 
 
-def binary_map(df: DataFrame, col: str, one: str, zero: str | None = None,
-               out: str | None = None) -> DataFrame:
-    """1 for ``one``, 0 for ``zero`` (or for anything else when ``zero`` is None), else NULL (#114)."""
-    x = F.col(col)
-    expr = (F.when(x == one, 1).when(x == zero, 0) if zero is not None
-            else F.when(x == one, 1).otherwise(0))
+def binary_map(df: DataFrame, col: str, one: str | Sequence[str],
+               zero: str | Sequence[str] | None = None, out: str | None = None,
+               fold: bool = False) -> DataFrame:
+    """1 for ``one``, 0 for ``zero`` (or for anything else when ``zero`` is None), else NULL (#114).
+
+    Either is a value or a set of values; ``fold`` compares without regard to case.  With
+    ``zero`` None a NULL is 0, as it is in none of the sets.
+    """
+    def among(values):
+        values = [values] if isinstance(values, str) else list(values)
+        x = F.lower(F.col(col)) if fold else F.col(col)
+        return x.isin([v.lower() for v in values] if fold else values)
+
+    expr = (F.when(among(one), 1).when(among(zero), 0) if zero is not None
+            else F.when(among(one), 1).otherwise(0))
     return df.withColumn(out or col, expr.cast("int"))
 
 

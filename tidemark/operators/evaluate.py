@@ -156,3 +156,9 @@ def model_summary(champions: DataFrame, group_cols: Sequence[str], key: str = "k
     """Distinct stores and mean best error per group and champion model (#57)."""
     return (champions.groupBy(*group_cols, "best_model_store")
             .agg(F.countDistinct(key).alias("stores"), F.avg("best_mape").alias("avg_mape")))
+
+
+def worst(champions: DataFrame, k: int = 10, by: str = "best_mape",
+          key: str = "key") -> DataFrame:
+    """The ``k`` keys with the largest error, ties by key (#73)."""
+    return champions.orderBy(F.desc(by), key).limit(k)

@@ -80,23 +80,43 @@ def promo_days(promos: DataFrame) -> DataFrame:
             .agg(F.bit_count(F.bit_or("_mask")).cast("int").alias("promo_days_in_month")))
 
 
+#: Words of 64 bits for the discount levels: 0 to 127 percent.
+LEVEL_WORDS = 2
+
+
+def _level_bits(word: int):
+    """The level's bit if it lies in this word; a level that no word has is an error."""
+    x = F.col(DISC)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (x - 64 * word).cast("int"))
+    return (F.when(x.between(64 * word, 64 * word + 63), bit)
+            .when((x < 0) | (x >= 64 * LEVEL_WORDS),
+                  F.raise_error(F.lit("discount is no percentage")).cast("bigint"))
+            .otherwise(F.lit(0).cast("bigint")))
+
+
 def promo_monthly(promos: DataFrame) -> DataFrame:
     """Monthly promo statistics and share of items on promo (#42, #43)."""
     p = with_length(promos)
     monthly = (explode_months(p).groupBy(LOC, "date").agg(
         F.countDistinct(ITEM).alias("_items"),
-        # Discount levels are few (integer percents): a bounded set per group
-        # keeps this a plain partial aggregate (a second countDistinct would
-        # make Spark Expand every exploded row three times).
-        F.size(F.collect_set(DISC)).cast("bigint").alias("distinct_discount_levels"),
+        # Discounts are integer percents: a bit each keeps this a hash aggregate on
+        # fixed-size buffers (a second countDistinct would make Spark Expand every
+        # exploded row three times, a collected set would fall back to sorting).
+        *[F.bit_or(_level_bits(k)).alias(f"_levels{k}") for k in range(LEVEL_WORDS)],
         F.avg(DISC).alias("avg_discount"),
         F.max(DISC).cast("double").alias("max_discount"),
         F.min(DISC).cast("double").alias("min_discount"),
         F.avg("promo_length").alias("avg_promo_duration")))
     total = p.groupBy(LOC).agg(F.countDistinct(ITEM).alias("_total"))
     return (monthly.join(total, LOC, "left")
-            .withColumn("percentage_products_on_promo", r(sdiv("_items", "_total") * 100, 2))
-            .drop("_items", "_total"))
+            .withColumns({
+                "percentage_products_on_promo": r(sdiv("_items", "_total") * 100, 2),
+                "distinct_discount_levels": sum(
+                    (F.bit_count(f"_levels{k}") for k in range(1, LEVEL_WORDS)),
+                    F.bit_count("_levels0")).cast("bigint")})
+            .drop("_items", "_total", *[f"_levels{k}" for k in range(LEVEL_WORDS)])
+            .select(LOC, "date", "distinct_discount_levels", "avg_discount", "max_discount",
+                    "min_discount", "avg_promo_duration", "percentage_products_on_promo"))
 
 
 def promo_features(promos: DataFrame) -> DataFrame:

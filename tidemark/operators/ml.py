@@ -127,14 +127,15 @@ def fold_column(df: DataFrame, key: str = "key", folds: int = 3, out: str = "fol
 
 def random_search(name: str, train: DataFrame, draws: int = 10, folds: int = 3,
                   parallelism: int = 4, features: Sequence[str] = FEATURES,
-                  space=search_space):
+                  space=None):
     """Sample ``draws`` parameter maps (seed 42) and cross-validate them on RMSE (#121).
 
     Returns the search, whose ``bestModel`` is the best draw fitted on all of ``train``,
-    and the draws.  ``space(name, estimator)`` lists the parameter maps to draw from.
+    and the draws.  ``space(name, estimator)`` lists the parameter maps to draw from
+    (default: :func:`search_space`).
     """
     est = estimator(name)
-    maps = space(name, est)
+    maps = (space or search_space)(name, est)
     sampled = random.Random(SEED).sample(maps, min(draws, len(maps)))
     *facts, rows = column_facts(train, features)
     cv = CrossValidator(estimator=pipeline(est, features, *facts),

@@ -484,6 +484,12 @@ select *,
        case when channel = 'ecommerce' then 1 else 0 end as channel_code
 from stores"""
 
+SQL["binary_encode_sets"] = with_("stores") + """
+select *, (lower(city) in ('nation_3', 'nation_13', 'nation_8'))::int as primary_city,
+  case when lower(store_format) in ('asia', 'europe') then 1
+       when lower(store_format) = 'africa' then 0 end as format_code
+from stores"""
+
 # ---------------------------------------------------------------- evaluation
 CTES["fc"] = (f"""
 select key, date, round_even(ma6, 0) as forecast_xgboost, round_even(lag12, 0) as forecast_lgbm,

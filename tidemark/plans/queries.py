@@ -312,6 +312,16 @@ def q_binary_encode(spark, d):
     return EN.binary_map(s, "channel", "ecommerce", out="channel_code")
 
 
+@query("binary_encode_sets")
+def q_binary_encode_sets(spark, d):
+    """Membership of a set, without regard to case (#114)."""
+    s = B.stores(spark, d)
+    s = EN.binary_map(s, "city", ["nation_3", "NATION_13", "Nation_8"], out="primary_city",
+                      fold=True)
+    return EN.binary_map(s, "store_format", ["asia", "europe"], ["AFRICA"], out="format_code",
+                         fold=True)
+
+
 # ---------------------------------------------------------------- evaluation
 APE_COLS = [f"{m}_row_mape" for m in EV.MODELS]
 
@@ -417,7 +427,7 @@ def q_model_summary(spark, d):
 @query("worst_stores")
 def q_worst_stores(spark, d):
     champs = EV.champion_store(scored(spark, d))
-    return rnd(champs.orderBy(F.desc("best_mape"), "key").limit(10)
+    return rnd(EV.worst(champs, 10)
                .select("key", "target", "best_model_store", "best_mape"), ["best_mape"])
 
 
