@@ -21,7 +21,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, fresh_name, list_parts, text_of, word_hashes, written
+from tidemark.llm.common import SPACE, fresh_name, text_of, written
+from tidemark.llm.text_arrays import blanks, codes_of, hashes, runs
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -49,6 +50,13 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def words_of(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of lower-cased texts in order (null is empty): values, offsets."""
+    codes, start = codes_of([(t or "").lower() for t in texts])
+    first, last = runs(~blanks(codes))
+    return hashes(codes, first, last).view(np.int64), np.searchsorted(first, start)
+
+
 def shingles(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of five words and the text of each; a shorter text is one run."""
     words = words.astype(np.int64).view(np.uint64)
@@ -82,18 +90,18 @@ def counter(s: np.ndarray) -> np.ndarray:
     return (s & np.uint64((1 << DF_BITS) - 1)).astype(np.int64)
 
 
-def _pieces(batches, column):
+def _pieces(batches):
     for b in batches:
         for at in range(0, b.num_rows, 256):
             part = b.slice(at, 256)
-            yield part, *list_parts(part.column(column))
+            yield part, *words_of(part.column("text").to_pylist())
 
 
 def _count_df(batches):
     import pyarrow as pa
 
     table = np.zeros(1 << DF_BITS, np.int64)
-    for _, words, offsets in _pieces(batches, "words"):
+    for _, words, offsets in _pieces(batches):
         s, _, _ = counted(*shingles(words, offsets))
         table += np.bincount(counter(s), minlength=len(table))
     yield pa.RecordBatch.from_pydict({
@@ -116,9 +124,9 @@ def _add_blocks(batches):
 
 
 def idf_table(texts: DataFrame) -> np.ndarray:
-    """Damped idf by counter, from every text; ``texts`` has words (their hashes)."""
+    """Damped idf by counter, from every row of ``texts``."""
     kind = "block int, counts binary"
-    blocks = (texts.select("words").mapInArrow(_count_df, kind)
+    blocks = (texts.select("text").mapInArrow(_count_df, kind)
               .repartition("block").mapInArrow(_add_blocks, kind).collect())
     df = np.zeros(1 << DF_BITS, np.float64)
     for b in blocks:
@@ -175,14 +183,14 @@ def bands_of(words: np.ndarray, offsets: np.ndarray, idf: np.ndarray, pools) ->
 
 
 def sample(texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(row, words) -> (row, bands); texts without words have no bands."""
+    """(row, text) -> (row, bands); texts without words have no bands."""
     shared = texts.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches):
         import pyarrow as pa
 
         pools = _pools()
-        for part, words, offsets in _pieces(batches, "words"):
+        for part, words, offsets in _pieces(batches):
             bands = bands_of(words, offsets, shared.value, pools).view(np.int64)
             some = (np.diff(offsets) > 0).tolist()
             yield pa.RecordBatch.from_pydict({
@@ -190,7 +198,7 @@ def sample(texts: DataFrame, idf: np.ndarray) -> DataFrame:
                 "bands": pa.array([b.tolist() if x else [] for b, x in zip(bands, some)],
                                   pa.list_(pa.int64()))})
 
-    return texts.select("row", "words").mapInArrow(run, "row bigint, bands array<bigint>")
+    return texts.select("row", "text").mapInArrow(run, "row bigint, bands array<bigint>")
 
 
 def similarity(a: np.ndarray, b: np.ndarray, idf: np.ndarray) -> float:
@@ -218,19 +226,19 @@ def compared(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
     body = texts.select("row", "text")
     both = (pairs.join(body.select(F.col("row").alias("u"), F.col("text").alias("u_text")), "u")
             .join(body.select(F.col("row").alias("v"), F.col("text").alias("v_text")), "v"))
-    both = both.select("u", "v", word_hashes(F.col("u_text")).alias("a"),
-                       word_hashes(F.col("v_text")).alias("b"))
+    both = both.select("u", "v", "u_text", "v_text")
 
     def run(batches):
         import pyarrow as pa
 
         last, known = None, None
         for p in batches:
-            (av, ao), (bv, bo) = list_parts(p.column("a")), list_parts(p.column("b"))
+            av, ao = words_of(p.column("u_text").to_pylist())
             sims = []
             for i, v in enumerate(p.column("v").to_pylist()):
                 if v != last:
-                    last, known = v, _weights(bv[bo[i]:bo[i + 1]], shared.value)
+                    text = p.column("v_text")[i].as_py()
+                    last, known = v, _weights(words_of([text])[0], shared.value)
                 sims.append(_jaccard(_weights(av[ao[i]:ao[i + 1]], shared.value), known))
             yield pa.RecordBatch.from_pydict({"u": p.column("u"), "v": p.column("v"),
                                               "sim": pa.array(sims, pa.float64())})
@@ -320,7 +328,7 @@ def _in_blocks(jobs: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
     """
     shared = jobs.sparkSession.sparkContext.broadcast(idf)
     key = ["band", "hash", "i", "j"]
-    rows = jobs.select(*key, "left", "row", "label", word_hashes(F.col("text")).alias("words"))
+    rows = jobs.select(*key, "left", "row", "label", "text")
 
     def near(group):
         left = [x for x in group if x[0]]
@@ -337,7 +345,7 @@ def _in_blocks(jobs: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
 
         now, group = None, []
         for b in batches:
-            words, offsets = list_parts(b.column("words"))
+            words, offsets = words_of(b.column("text").to_pylist())
             keys = list(zip(*(b.column(k).to_pylist() for k in key)))
             cols = list(zip(*(b.column(k).to_pylist() for k in ("left", "row", "label"))))
             out = []
@@ -418,12 +426,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.struct(*[F.col(c) for c in others], F.lit(0).alias("_")).alias("rest"),
         F.md5(norm.cast("binary")).alias("same"),
         F.monotonically_increasing_id().alias("row")), "near-base")
-    texts = base.select("row", word_hashes(F.col("text")).alias("words"))
-    idf = idf_table(texts)
-    sampled = written(base.select("row", "same", "text").withColumn(
-        "words", word_hashes(F.col("text"))).drop("text").transform(
-        lambda t: sample(t, idf)), "near-bands")
+    idf = idf_table(base)
     groups = written(base.groupBy("same").agg(F.min("row").alias("t")), "near-texts")
+    sampled = written(sample(base, idf), "near-bands")
     label = written(joined(sampled, groups, base, idf, threshold), "near-label")
     # Rows -> texts -> classes; written, so that the last join can be split where one
     # text holds a large share of the rows.
