@@ -158,12 +158,15 @@ def seasonality_index(df: DataFrame, date_col: str = "date", target: str = "targ
     Computed as (sum - last) / (n - 1) with a partial aggregate (12 groups),
     not a 12-partition window, so a hot month never lands in one task.
     """
-    m = F.month(date_col)
-    by_month = (df.groupBy(m.alias("_m"))
-                .agg(F.sum(F.col(target).cast("double")).alias("_s"),
-                     F.count(target).alias("_n"),
-                     F.max_by(F.col(target).cast("double"),
-                              F.struct(F.col(date_col), F.col(key))).alias("_last"))
+    m, t = F.month(date_col), F.col(target).cast("double")
+    # Hash aggregates on numbers and dates; the last row is looked for among the rows of
+    # its month's last date only (12 dates).
+    sums = df.groupBy(m.alias("_m")).agg(F.sum(t).alias("_s"), F.count(target).alias("_n"),
+                                         F.max(date_col).alias("_d"))
+    ends = F.broadcast(sums.select(F.col("_m").alias("_em"), F.col("_d").alias("_ed")))
+    last = (df.join(ends, (m == F.col("_em")) & (F.col(date_col) == F.col("_ed")))
+            .groupBy("_em").agg(F.max_by(t, F.col(key)).alias("_last")))
+    by_month = (sums.join(F.broadcast(last), F.col("_m") == F.col("_em"))
                 .select("_m", sdiv(F.col("_s") - F.col("_last"), F.col("_n") - 1).alias("_avg")))
     idx = by_month.select(
         "_m", F.coalesce(r(sdiv("_avg", F.avg("_avg").over(Window.partitionBy())), 2),

@@ -90,14 +90,13 @@ def forecast(spark: SparkSession, d: str, version: registry.Version, name: str,
     def score(x: DataFrame) -> DataFrame:
         return model.transform(contract.enforce(x, keep=state))
 
-    names = [c for c in contract.names if c not in FR.FROM_TARGET]
-    known = RC.covariates_by_step(table, [c for c in names if c in table.columns], origin,
-                                  months)
+    # A covariate that the table lacks is left to the contract, which fills it.
+    ahead = [c for c in contract.names if c not in FR.FROM_TARGET and c in table.columns]
     steps = [c for c in contract.names if c in FR.FROM_TARGET]
     return RC.recursive_forecast_scorer(
-        table, months, score, [*steps, *[c for c in names if c in table.columns]],
-        F.lit(version.note("train_mean")), origin=origin, keys=table, covariates=known,
-        covariate_cols=[c for c in names if c in table.columns],
+        table, months, score, [*steps, *ahead], F.lit(version.note("train_mean")),
+        origin=origin, keys=table, covariate_cols=ahead,
+        covariates=RC.covariates_by_step(table, ahead, origin, months),
         codes={TREND: version.codes(TREND)}, season="all")
 
 
