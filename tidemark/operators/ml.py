@@ -147,11 +147,13 @@ def random_search(name: str, train: DataFrame, draws: int = 10, folds: int = 3,
 
 
 def search_rows(name: str, search, sampled: list) -> list[tuple]:
-    """(model, draw, params, mean RMSE over the folds, chosen) of a search."""
+    """(model, draw, params, mean RMSE over the folds, chosen) of a search; of equally good
+    draws the first is chosen."""
     text = [", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name))
             for m in sampled]
     scores = [float(x) for x in search.avgMetrics]
-    return [(name, i, t, x, x == min(scores)) for i, (t, x) in enumerate(zip(text, scores))]
+    best = scores.index(min(scores))
+    return [(name, i, t, x, i == best) for i, (t, x) in enumerate(zip(text, scores))]
 
 
 def tuned(names: Sequence[str], train: DataFrame, draws: int = 10, folds: int = 3,
