@@ -28,11 +28,6 @@ def day_spine(bounds: DataFrame, start_col: str = "start", end_col: str = "end")
     return bounds.select(F.explode(F.sequence(F.col(start_col), F.col(end_col))).alias("date"))
 
 
-def spine_of(df: DataFrame, date_col: str = "date") -> DataFrame:
-    """Day spine over the [min, max] date span of ``df`` (one scalar aggregate)."""
-    return day_spine(df.agg(F.min(date_col).alias("start"), F.max(date_col).alias("end")))
-
-
 def event_day_flags(ranges: DataFrame, days: DataFrame) -> DataFrame:
     """Day-level flags from festival ranges and feast days.
 
@@ -94,6 +89,7 @@ def holiday_calendar(spine: DataFrame, ranges: DataFrame, days: DataFrame,
         "pre_eid_shopping": F.col("pre_feast"),
     }).withColumn("public_holidays",
                   F.greatest("is_eid_fitr", "is_eid_adha", "national_holiday_flag"))
+    # The months and days of shopping events and seasons.
     if variant == "A":
         ev = {
             "dubai_shopping_festival": ((m == 12) | ((m == 1) & (day <= 15))).cast("int"),
@@ -153,6 +149,7 @@ def peak_calendar(spine: DataFrame, ranges: DataFrame, days: DataFrame) -> DataF
     m, day = F.month(d), F.dayofmonth(d)
     cal = with_event_flags(spine, ranges, days)
     festive = F.greatest("is_range", "is_feast", "is_feast2")
+    # Peak months and date ranges.
     peak = (m.isin(1, 7, 12) | (festive == 1) | ((m == 9) & (day == 23))
             | ((m == 11) & day.between(20, 30)) | ((m == 2) & day.between(10, 16))
             | ((m == 3) & day.between(15, 25)))

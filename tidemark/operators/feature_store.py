@@ -1,4 +1,4 @@
-"""Feature-store assembly: future rows, joins by date/key, fills (#20-22, #29-31, #75, #116, #128)."""
+"""Feature-store assembly: future rows, joins by date/key, fills (#20-21, #29-31, #75, #116, #128)."""
 
 from __future__ import annotations
 
@@ -32,12 +32,6 @@ def blanket_fill(df: DataFrame, value=0) -> DataFrame:
     return df.fillna(value)
 
 
-def reindex(df: DataFrame, features: Sequence[str], default=0.0) -> DataFrame:
-    """Select an expected feature list; missing columns become ``default`` (#22)."""
-    have = set(df.columns)
-    return df.select(*[F.col(c) if c in have else F.lit(default).alias(c) for c in features])
-
-
 def split_flag(df: DataFrame, train_end: str, date_col: str = "date",
                out: str = "Pred_Flag") -> DataFrame:
     """1 for hold-out/future rows after ``train_end``, else 0 (#16, #116)."""
