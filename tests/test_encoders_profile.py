@@ -1,6 +1,7 @@
 """Hand-checked encoders, profile and series cleaning."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,3 +83,20 @@ def test_corr_matrix_is_pairwise_complete(spark):
         w = want.loc[r["feature_a"], r["feature_b"]]
         assert (r["corr"] is None) if w != w else abs(r["corr"] - w) < 1e-9
     assert all(r["corr"] is None for r in PR.corr_matrix(df.limit(0), ["a", "b"]).collect())
+
+
+def test_groups_of_correlations_share_one_pass(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = [(rng.random(), rng.random() if i % 5 else None, float(i), 3.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, `b c` double, d double, e double")
+    groups = {"all": ["a", "b c", "d", "e"], "back": ["d", "b c"], "one": ["a"]}
+    passes, whole = [], PR.corr_matrix
+    monkeypatch.setattr(PR, "corr_matrix", lambda *a: passes.append(a) or whole(*a))
+    got = {(r["grp"], r["feature_a"], r["feature_b"]): r["corr"]
+           for r in PR.corr_groups(df, groups).collect()}
+    assert len(passes) == 1
+    alone = {(g, r["feature_a"], r["feature_b"]): r["corr"]
+             for g, cols in groups.items() for r in whole(df, cols).collect()}
+    assert got.keys() == alone.keys() and len(got) == 7
+    for k, v in alone.items():
+        assert got[k] == (v if v is None else pytest.approx(v, abs=1e-12)), k

@@ -96,6 +96,22 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], least_spread: float = 1e-9)
         .alias("corr"))
 
 
+def corr_groups(df: DataFrame, groups: dict[str, Sequence[str]]) -> DataFrame:
+    """``corr_matrix`` of several lists of columns: grp, feature_a, feature_b, corr.
+
+    A pair's correlation doesn't depend on its group, so the columns of all groups go
+    through one matrix, and every group takes its pairs from it in its own order.
+    """
+    cols = list(dict.fromkeys(c for group in groups.values() for c in group))
+    at = {c: i for i, c in enumerate(cols)}
+    wanted = [(name, a, b, *sorted((a, b), key=at.get)) for name, group in groups.items()
+              for i, a in enumerate(group) for b in list(group)[i + 1:]]
+    taken = df.sparkSession.createDataFrame(
+        wanted, "grp string, a string, b string, feature_a string, feature_b string")
+    return (corr_matrix(df, cols).join(F.broadcast(taken), ["feature_a", "feature_b"])
+            .select("grp", F.col("a").alias("feature_a"), F.col("b").alias("feature_b"), "corr"))
+
+
 def duplicates(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Value combinations that occur more than once, with their count (#70)."""
     cols = list(cols or df.columns)

@@ -481,12 +481,11 @@ def q_corr_pairs(spark, d):
 def q_corr_matrix(spark, d):
     """Correlations of the whole master table's numbers and of three groups of them (#60)."""
     from tidemark.session import checkpoint
-    master = checkpoint(q_master_table(spark, d))
+    master = q_master_table(spark, d)
     numbers = [c for c, t in master.dtypes if t in ("int", "bigint", "double")]
-    out = None
-    for name, cols in {"all": numbers, **CORR_GROUPS}.items():
-        pairs = PR.corr_matrix(master, cols).select(F.lit(name).alias("grp"), "*")
-        out = pairs if out is None else out.unionByName(pairs)
+    groups = {"all": numbers, **CORR_GROUPS}
+    wanted = dict.fromkeys(c for cols in groups.values() for c in cols)
+    out = PR.corr_groups(checkpoint(master.select(*[F.col(f"`{c}`") for c in wanted])), groups)
     return rnd(out, ["corr"], 3).withColumn("corr", F.col("corr") + 0.0)  # no minus zero
 
 
