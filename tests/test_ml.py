@@ -90,3 +90,12 @@ def test_infinity_and_missing_are_imputed_and_flagged(spark):
         assert (r["x__known"], r["x__missing"]) == ((4.0, 1.0) if odd else (r["x"], 0.0))
     imp = ML.importances(spark, model, ["x", "same", "none"]).collect()
     assert {r["feature"] for r in imp} == {"x", "same", "none"}
+
+
+def test_forests_keep_the_nodes_of_their_rows(spark):
+    """Without it a level sends all trees to every task and walks each row from the root."""
+    f = features(seasonal_panel(spark, 4, 36))
+    quick, plain = ML.fit("random_forest", f), ML.fit("random_forest", f, cacheNodeIds=False)
+    assert quick.stages[-1].getCacheNodeIds() and not plain.stages[-1].getCacheNodeIds()
+    assert quick.stages[-1].toDebugString.split("\n", 1)[1] == \
+        plain.stages[-1].toDebugString.split("\n", 1)[1]
