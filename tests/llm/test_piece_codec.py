@@ -105,3 +105,25 @@ def test_tables(spark, vocabulary):
         assert r.decoded == (r.text or "")
         assert r.piece_ids_ == P.encode_batch(vocabulary, [r.text or ""])[0].tolist()
     assert P.encode(df.where(F.lit(False)), vocabulary).count() == 0
+
+
+def test_solutions_are_kept_in_flat_arrays(vocabulary, monkeypatch):
+    """Words keep their number, are solved once, and neither a full nor a half done memory is
+    used again."""
+    texts = ["the cat sat on the mat", "a ▁ literal\x00 日本 x", "", "the mat again " * 5]
+    first = P.encode_batch(vocabulary, texts)
+    known = P.solutions(vocabulary)
+    solved = known.solved
+    again = P.encode_batch(vocabulary, texts[::-1])[::-1]
+    assert P.solutions(vocabulary) is known and known.solved == solved
+    assert all(np.array_equal(a, b) for a, b in zip(first, again))
+    words = ["▁the", "▁mat", "▁the", "▁日本"]
+    totals, ids = P.words_best(vocabulary, words)
+    assert totals[0] == totals[2] and np.array_equal(ids[0], ids[2])
+    for w, x in zip(words, ids):
+        assert P.decode_one(vocabulary, x) == w[1:]
+    known.number["left by a task that failed"]
+    assert P.solutions(vocabulary) is not known
+    monkeypatch.setattr(P, "REMEMBERED", 3)
+    for t, ids in zip(texts, [P.encode_batch(vocabulary, [t])[0] for t in texts]):
+        assert P.decode_one(vocabulary, ids) == t

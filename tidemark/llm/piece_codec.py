@@ -22,7 +22,6 @@ at all borders follow, and each chunk is traced back on its own between its two
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -131,11 +130,13 @@ def _spelled(v: Vocabulary, code: int) -> list[int]:
     return [int(v.bytes[b]) for b in ch.encode()]
 
 
-def _solved(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Best score and pieces of each word, all words a position at a time."""
-    order = sorted(range(len(words)), key=lambda i: -len(words[i]))
-    lengths = np.array([len(words[i]) for i in order], np.int64)
-    codes = _codes("".join(words[i] for i in order))
+def _solved(v: Vocabulary, words: list[str]):
+    """Words by falling length: their order, best scores, numbers of pieces and all pieces
+    in a row.  All words are solved a position at a time."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(-lengths, kind="stable")
+    lengths = lengths[order]
+    codes = _codes("".join([words[i] for i in order.tolist()]))
     start = np.cumsum(lengths) - lengths
     score, piece = v.edges(codes, np.repeat(start + lengths, lengths))
     # Nodes of word w are start[w] + w + (0 .. length).
@@ -144,81 +145,123 @@ def _solved(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, list[np.ndarra
     took = np.zeros(len(best), np.int8)
     best[base + longest] = 0
     back = np.arange(longest)  # column c is the piece of length longest - c
-    for j in range(1, int(lengths[0]) + 1 if len(words) else 0):
-        live = int(np.searchsorted(-lengths, -j, "right"))
-        node = base[:live] + j
-        total = score[start[:live] + j] + np.where(
-            longest - back <= j, best[node[:, None] + back], NONE)
+    lives = np.searchsorted(-lengths, -np.arange(1, int(lengths[0]) + 1), "right").tolist()
+    for j, live in enumerate(lives, 1):
+        node, first = base[:live] + j, max(longest - j, 0)
+        total = best[node[:, None] + back[first:]]
+        total += score[start[:live] + j, first:]
         c = np.argmax(total, axis=1)
         best[node + longest] = total[np.arange(live), c]
-        took[node + longest] = longest - c
-    ends, owners, found = [], [], []
+        took[node + longest] = longest - first - c
+    # Back from each word's end; the pieces are put down where they end.
+    put = np.full(len(codes) + len(words), LOW, np.int32)
     at, owner = lengths.copy(), np.arange(len(words))
     while len(at):
         n = took[base[owner] + at + longest].astype(np.int64)
-        found.append(piece[start[owner] + at, longest - n])
-        ends.append(at)
-        owners.append(owner)
+        put[base[owner] + at] = piece[start[owner] + at, longest - n]
         at = at - n
         owner, at = owner[at > 0], at[at > 0]
-    ids: list = [None] * len(words)
-    if words:
-        o, e, f = np.concatenate(owners), np.concatenate(ends), np.concatenate(found)
-        k = np.lexsort((e, o))
-        o, e, f = o[k], e[k], f[k]
-        cut = np.searchsorted(o, np.arange(len(words) + 1))
-        rough = np.zeros(len(words), bool)
-        rough[o[f < 0]] = True
-        for w, i in enumerate(order):
-            own = f[cut[w]:cut[w + 1]]
-            if rough[w]:
-                own = np.array([x for q, p in zip(e[cut[w]:cut[w + 1]], own.tolist())
-                                for x in ([p] if p >= 0 else
-                                          _spelled(v, int(codes[start[w] + q - 1])))], np.int32)
-            ids[i] = own
-    totals = np.zeros(len(words), np.int64)
-    totals[order] = best[base + lengths + longest] if words else 0
-    return totals, ids
-
-
-#: Words whose solutions a worker keeps (it starts anew when they are that many).
-REMEMBERED = 1 << 17
-_known: dict = {}
+    ends = np.flatnonzero(put > LOW)
+    flat = put[ends]
+    owner = np.searchsorted(base, ends, "right") - 1
+    size = np.ones(len(flat), np.int64)
+    rough = np.flatnonzero(flat < 0)
+    if len(rough):
+        # Node ends[i] of word w is behind the character ends[i] - w - 1.
+        spelled = [_spelled(v, int(c)) for c in codes[ends[rough] - owner[rough] - 1]]
+        size[rough] = [len(x) for x in spelled]
+        to = np.cumsum(size) - size
+        flat = np.repeat(flat, size)
+        for i, x in zip(to[rough].tolist(), spelled):
+            flat[i:i + len(x)] = x
+    sizes = np.bincount(owner, size, minlength=len(words)).astype(np.int64)
+    return order, best[base + lengths + longest], sizes, flat
+
+
+#: Words, and eight times as many pieces, that a worker keeps (it starts anew beyond them).
+REMEMBERED = 1 << 18
+
+
+class _Numbers(dict):
+    """Words by number; one that is asked for the first time gets the next."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
+def _grown(a: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``a`` with ``more`` behind its first ``used`` entries; doubled when it is too short."""
+    if used + len(more) > len(a):
+        a = np.concatenate([a[:used], np.empty(used + 2 * len(more), a.dtype)])
+    a[used:used + len(more)] = more
+    return a
+
+
+class Solutions:
+    """Best scores and pieces of the words met so far, by number, in flat arrays."""
+
+    def __init__(self, v: Vocabulary):
+        self.v, self.number, self.solved, self.used = v, _Numbers(), 0, 0
+        self.totals, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.starts, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def usable(self, v: Vocabulary) -> bool:
+        """Not too large, and not left half done by a task that failed."""
+        return (self.v is v and self.solved == len(self.number) <= REMEMBERED
+                and self.used <= 8 * REMEMBERED)
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The number of each word; those not met before are solved together."""
+        got = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        new = self.number.new
+        if new:
+            order, totals, sizes, flat = _solved(self.v, new)
+            back = np.argsort(order)
+            starts = self.used + np.cumsum(sizes) - sizes
+            for name, x in (("totals", totals), ("sizes", sizes), ("starts", starts)):
+                setattr(self, name, _grown(getattr(self, name), self.solved, x[back]))
+            self.flat = _grown(self.flat, self.used, flat)
+            self.used += len(flat)
+            self.solved += len(new)
+            self.number.new = []
+        return got
+
+    def strung(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces of a sequence of words given by number, and each word's length."""
+        n = self.sizes[numbers]
+        at = np.arange(int(n.sum())) + np.repeat(self.starts[numbers] - (np.cumsum(n) - n), n)
+        return self.flat[at], n
+
+
+_kept: list[Solutions] = []
+
+
+def solutions(v: Vocabulary) -> Solutions:
+    """The worker's own, kept from batch to batch."""
+    if not _kept or not _kept[0].usable(v):
+        _kept[:] = [Solutions(v)]
+    return _kept[0]
 
 
 def words_best(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Best score and pieces of each distinct word; earlier batches' words are looked up."""
-    if _known.get(None) is not v or len(_known) > REMEMBERED:
-        _known.clear()
-        _known[None] = v
-    got = [_known.get(w) for w in words]
-    new = [i for i, x in enumerate(got) if x is None]
-    totals, ids = _solved(v, [words[i] for i in new])
-    for i, t, x in zip(new, totals.tolist(), ids):
-        got[i] = (t, x)
-        if len(words[i]) <= 32:
-            _known[words[i]] = got[i]
-    return np.array([x[0] for x in got], np.int64), [x[1] for x in got]
-
-
-def _strung(ids: list[np.ndarray], numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pieces of a sequence of words given by number, and each word's length."""
-    flat = np.concatenate([*ids, np.zeros(0, np.int32)])
-    size = np.fromiter(map(len, ids), np.int64, len(ids))
-    start = np.cumsum(size) - size
-    n = size[numbers]
-    at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[numbers], n)
-    return flat[at], n
+    """Best score and pieces of each word."""
+    known = solutions(v)
+    numbers = known.numbers(words)
+    flat, n = known.strung(numbers)
+    return known.totals[numbers], np.split(flat, np.cumsum(n)[:-1])
 
 
 def encode_batch(v: Vocabulary, texts: list[str]) -> list[np.ndarray]:
     """Piece ids of each text; an empty text has none."""
     lists = [(_UNIT.findall(m) if v.cut else [m]) if t else []
              for t in texts for m in [SPACE + marked(t)]]
-    seen: dict[str, int] = {}
-    numbers = np.array([seen.setdefault(w, len(seen)) for ws in lists for w in ws], np.int64)
-    _, ids = words_best(v, list(seen))
-    flat, n = _strung(ids, numbers)
+    known = solutions(v)
+    flat, n = known.strung(known.numbers([w for ws in lists for w in ws]))
     ends = np.cumsum([len(ws) for ws in lists])
     cuts = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], ends]).astype(np.int64)]
     return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
@@ -265,8 +308,9 @@ def transfer(v: Vocabulary, chunk: str, core: int) -> np.ndarray:
         out[:size, :len(chunk) - core + 1] = best[:, core:]
         return np.maximum(out, NONE)
     head, _, _ = _paths(v, _codes(chunk[:first]), list(range(min(size, first + 1))), first)
-    count = Counter(_UNIT.findall(chunk[first:final]))
-    middle = words_best(v, list(count))[0] * np.array(list(count.values()), np.int64)
+    known = solutions(v)
+    numbers = known.numbers(_UNIT.findall(chunk[first:final]))
+    middle = known.totals[numbers]
     tail, _, _ = _paths(v, _codes(chunk[final:]), [0], core - final)
     out[:len(head), :len(chunk) - core + 1] = (head[:, first, None] + int(middle.sum())
                                                + tail[:1, core - final:])
@@ -319,10 +363,8 @@ def traced(v: Vocabulary, chunk: str, core: int, entry: int, leave: int) -> np.n
 
 
 def encode_units(v: Vocabulary, units: list[str]) -> np.ndarray:
-    seen: dict[str, int] = {}
-    numbers = np.array([seen.setdefault(w, len(seen)) for w in units], np.int64)
-    _, ids = words_best(v, list(seen))
-    return _strung(ids, numbers)[0]
+    known = solutions(v)
+    return known.strung(known.numbers(units))[0]
 
 
 def decode_one(v: Vocabulary, ids) -> str:
