@@ -125,5 +125,7 @@ def test_solutions_are_kept_in_flat_arrays(vocabulary, monkeypatch):
     known.number["left by a task that failed"]
     assert P.solutions(vocabulary) is not known
     monkeypatch.setattr(P, "REMEMBERED", 3)
+    monkeypatch.setattr(P, "TOGETHER", 8)
     for t, ids in zip(texts, [P.encode_batch(vocabulary, [t])[0] for t in texts]):
         assert P.decode_one(vocabulary, ids) == t
+    assert all(np.array_equal(a, b) for a, b in zip(first, P.encode_batch(vocabulary, texts)))

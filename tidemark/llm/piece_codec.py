@@ -180,6 +180,8 @@ def _solved(v: Vocabulary, words: list[str]):
 
 #: Words, and eight times as many pieces, that a worker keeps (it starts anew beyond them).
 REMEMBERED = 1 << 18
+#: Characters of words that are solved together (their tables take 300 bytes each).
+TOGETHER = 1 << 17
 
 
 class _Numbers(dict):
@@ -218,17 +220,21 @@ class Solutions:
     def numbers(self, words: list[str]) -> np.ndarray:
         """The number of each word; those not met before are solved together."""
         got = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        new = self.number.new
-        if new:
-            order, totals, sizes, flat = _solved(self.v, new)
+        new, self.number.new = self.number.new, []
+        ends = np.cumsum(np.fromiter(map(len, new), np.int64, len(new)))
+        at = 0
+        while at < len(new):
+            upto = max(at + 1, int(np.searchsorted(
+                ends, (ends[at - 1] if at else 0) + TOGETHER, "right")))
+            order, totals, sizes, flat = _solved(self.v, new[at:upto])
             back = np.argsort(order)
             starts = self.used + np.cumsum(sizes) - sizes
             for name, x in (("totals", totals), ("sizes", sizes), ("starts", starts)):
                 setattr(self, name, _grown(getattr(self, name), self.solved, x[back]))
             self.flat = _grown(self.flat, self.used, flat)
             self.used += len(flat)
-            self.solved += len(new)
-            self.number.new = []
+            self.solved += upto - at
+            at = upto
         return got
 
     def strung(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
