@@ -367,3 +367,55 @@ def test_quality_learns_and_handles_edges(spark):
     assert np.mean(right) > 0.97
     assert {r["score"] for r in got if r["doc_id"] in (900, 901)} == {0.0}
     assert quality_mil.score(docs, quality_mil.fit(docs, labels.limit(0))).count() == 303
+
+
+def test_lm_contexts_reach_across_words(spark):
+    """A word is told by the word before it, to the end of a long text."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    follow = dict(zip(words, words[1:] + words[:1]))
+
+    def text(chained, n):
+        out = [rng.choice(words)]
+        while len(out) < n:
+            out.append(follow[out[-1]] if chained else rng.choice(words))
+        return " ".join(out)
+
+    rows = [(i, text(True, 300), "k", "c") for i in range(100)]
+    rows += [(1000 + i, text(i % 2 == 0, 300), "k", "c") for i in range(60)]
+    got = {r["doc_id"]: r for r in lm_mix.score(spark.createDataFrame(rows, DOCS)).collect()
+           if r["held_out"]}
+    mean = lambda ids: sum(got[i]["bits_per_byte"] for i in ids) / len(ids)
+    chained = [i for i in got if i < 1000 or i % 2 == 0]
+    loose = [i for i in got if i >= 1000 and i % 2]
+    assert mean(chained) < 0.5 * mean(loose)
+    assert all(got[i]["score"] > got[i]["base_score"] for i in chained)
+
+
+def test_lm_text_scores_alike_in_any_part(spark, monkeypatch):
+    """What a text has learned goes with it from one part to the next, and neighbours in a
+    batch leave its score as it is."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(rng.randint(1, 5)))
+    texts = [" ".join(word() for _ in range(n)).encode() for n in (1, 900, 3000, 0, 40)]
+    known = lm_mix.Words(texts[1:3])
+    keys, at, c = np.unique(known.hash, return_index=True, return_counts=True)
+    vocabulary = lm_mix.Vocabulary(keys[::2], c[::2], c[::2] // 5, int(c.sum()), 3)
+    r = np.random.default_rng(1)
+    speller = lm_mix.Model(lm_mix.Code(np.ones(257)),
+                           r.integers(-900, 900, lm_mix._BASE[-1]).astype(np.int16),
+                           r.integers(0, 4, lm_mix._BASE[-1]).astype(np.uint8))
+    model = lm_mix.TextModel(vocabulary, vocabulary.code.logits[1], r.integers(
+        -4000, 4000, lm_mix._WORD_BASE[-1]).astype(np.int16), speller)
+
+    def scores(part):
+        w = lm_mix.Words(part)
+        return model.log2(w, vocabulary.numbers(w.hash), len(part))
+
+    whole = scores(texts)
+    assert np.allclose(whole, np.concatenate([scores([t]) for t in texts]), rtol=1e-4)
+    # Longer texts end a step early at places of their own.
+    monkeypatch.setattr(lm_mix, "PART", 700)
+    cut = scores(texts)
+    assert np.allclose(whole, cut, rtol=2e-2)
+    assert np.allclose(cut, np.concatenate([scores([t]) for t in texts]), rtol=1e-4)
