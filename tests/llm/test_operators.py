@@ -419,3 +419,23 @@ def test_lm_text_scores_alike_in_any_part(spark, monkeypatch):
     cut = scores(texts)
     assert np.allclose(whole, cut, rtol=2e-2)
     assert np.allclose(cut, np.concatenate([scores([t]) for t in texts]), rtol=1e-4)
+
+
+def test_lm_groups_and_lanes_stay_small():
+    """A large batch is cut where a group is full, and a bit waits for its turn in nine bytes."""
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_pydict({"t": pa.array([b"x" * n] * k, pa.binary())})
+               for n, k in ((10, 95), (0, 0), (10, 7), (900, 1), (0, 3))]
+    groups = [[t for b in g for t in b.column("t").to_pylist()]
+              for g in lm_mix.grouped(batches, "t", 100)]
+    assert [len(g) for g in groups] == [10] * 10 + [3, 3]
+    assert [t for g in groups for t in g] == [t for b in batches for t in b["t"].to_pylist()]
+
+    words = lm_mix.Words([b"a b c " * 1000])
+    keys, at, c = np.unique(words.hash, return_index=True, return_counts=True)
+    vocabulary = lm_mix.Vocabulary(keys, c, 0 * c, int(c.sum()), 0)
+    model = lm_mix.TextModel(vocabulary, vocabulary.code.logits[1],
+                             np.zeros(lm_mix._WORD_BASE[-1], np.int16), None)
+    xs, bit, _, size = model.mixable(vocabulary.numbers(words.hash), words.before(), words.doc, 1)
+    assert sum(x.nbytes for x in [*xs, bit]) <= 9 * (size.sum() + lm_mix.STEP)

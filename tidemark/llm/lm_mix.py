@@ -321,8 +321,8 @@ def count_cells(total, xs, gate, bit, weight=1.0) -> None:
 def fitted(cells: DataFrame, start: np.ndarray) -> np.ndarray:
     """The gate's weights, by Newton steps on the sums of cells (k, x)."""
     total = np.zeros((GATES, BINS ** 3, 2))
-    for r in cells.groupBy("k").sum("x").collect():
-        total.reshape(-1)[r[0]] = r[1]
+    sums = cells.groupBy("k").agg(F.sum("x").alias("x")).toArrow()
+    total.reshape(-1)[sums.column("k").to_numpy()] = sums.column("x").to_numpy()
     mid = np.arange(BINS) - BINS / 2 + 0.5
     x = np.stack([*[a.ravel() for a in np.meshgrid(mid, mid, mid, indexing="ij")],
                   np.full(BINS ** 3, 0.3)], 1)
@@ -354,17 +354,24 @@ def cell_rows(total: np.ndarray):
 BIAS = np.float32(0.3)
 
 
-def looked_up(table, base, slots):
+def taken(table, base, slots) -> list:
+    """The slots' entries under each context."""
+    return [table[base[k]:base[k + 1]].take(at) for k, at in enumerate(slots)]
+
+
+def as_logits(v):
+    """Logits of a table's entries; trust, in the lowest two bits, adds less than 0.0015."""
+    x = v.astype(np.float32)
+    x *= np.float32(1 / 2048)
+    return x
+
+
+def looked_up(entries):
     """Logits under each context and the gate, which is their trust."""
-    xs, gate = [], np.int16(0)
-    for k, at in enumerate(slots):
-        v = table[base[k]:base[k + 1]].take(at)
+    gate = np.int16(0)
+    for k, v in enumerate(entries):
         gate = gate | (v & np.int16(3)) << np.int16(2 * k)
-        # Trust, in the lowest two bits, adds less than 0.0015.
-        x = v.astype(np.float32)
-        x *= np.float32(1 / 2048)
-        xs.append(x)
-    return xs, gate.astype(np.int64)
+    return [as_logits(v) for v in entries], gate.astype(np.int64)
 
 
 def gated(weights, xs, gate):
@@ -390,7 +397,7 @@ class Model:
         """Of distinct words: bits, the three logits, gate, and each word's first bit."""
         s, start, at = symbols(data, first, last)
         bit, slots, cut = slots_of(self.code, s, at)
-        xs, gate = looked_up(self.table, _BASE, slots)
+        xs, gate = looked_up(taken(self.table, _BASE, slots))
         return bit, xs, gate, cut[start]
 
     def inputs(self, data, first, last):
@@ -543,8 +550,8 @@ def word_tables(texts: DataFrame, words: Vocabulary) -> np.ndarray:
         def run(batches):
             v = shared.value
             table = np.zeros(2 * _WORD_BASE[-1], np.int32)
-            for b in batches:
-                w = Words(b.column("t").to_pylist())
+            for own in grouped(batches, "t", HASHED):
+                w = Words([t for b in own for t in b.column("t").to_pylist()])
                 number, before = v.numbers(w.hash), w.before()
                 for _, bit, slots in v.sliced(number, before):
                     for k, at in enumerate(slots):
@@ -576,26 +583,27 @@ class TextModel:
         self.weights[:, 1] = np.array([0, 0.2, 0.4, 0.6])[g & 3]
         self.weights[:, 2] = np.array([0, 0.2, 0.4, 0.6])[(g >> 2) & 3]
 
-    def inputs(self, node, slots):
+    def inputs(self, node, entries):
         """The three logits of bits and their gate."""
-        xs, gate = looked_up(self.table, _WORD_BASE, slots)
+        xs, gate = looked_up(entries)
         return [self.logit.take(node), *xs], gate
 
     def mixable(self, number, before, lane, lanes: int):
-        """Of words' bits in lanes: the gate's sum and the two contexts' logits, the bits,
+        """Of words' bits in lanes: the gate's sum and the two contexts' entries, the bits,
         the lanes' first entries and numbers of bits."""
         code = self.words.code
         start, n, put, begin, bits = laid_out(code.start[number], code.length[number], lane,
                                               lanes)
         before = [np.insert(c, put, 0) for c in before]
-        out = [np.empty(int(n.sum()), np.float32) for _ in range(3)]
+        out = [np.empty(int(n.sum()), t) for t in (np.float32, np.int16, np.int16)]
         y, to = np.empty(len(out[0]), np.uint8), 0
         for a in range(0, len(n), SLICE):
             z = slice(a, a + SLICE)
             node, bit, slots = self.words.slots(start[z], n[z], [c[z] for c in before])
-            xs, gate = self.inputs(node, slots)
+            entries = taken(self.table, _WORD_BASE, slots)
             own = slice(to, to + len(bit))
-            out[0][own], out[1][own], out[2][own] = gated(self.weights, xs, gate), xs[1], xs[2]
+            out[0][own] = gated(self.weights, *self.inputs(node, entries))
+            out[1][own], out[2][own] = entries
             y[own] = bit
             to = own.stop
         return out, y, begin, bits
@@ -648,11 +656,11 @@ def learn_words(texts: DataFrame, model: TextModel) -> None:
 
     def run(batches):
         m, total = shared.value, np.zeros(2 * GATES * BINS ** 3)
-        for b in batches:
-            w = Words(b.column("t").to_pylist())
+        for own in grouped(batches, "t", HASHED):
+            w = Words([t for b in own for t in b.column("t").to_pylist()])
             number, before = m.words.numbers(w.hash), w.before()
             for node, bit, slots in m.words.sliced(number, before):
-                count_cells(total, *m.inputs(node, slots), bit)
+                count_cells(total, *m.inputs(node, taken(m.table, _WORD_BASE, slots)), bit)
         yield cell_rows(total)
 
     model.weights = fitted(texts.select("t").mapInArrow(run, "k int, x double"), model.weights)
@@ -712,12 +720,13 @@ class Lanes:
     def run(self, xs, bit, begin, size) -> np.ndarray:
         """log2 of the probability of each lane's bits, mixed and refined as they come.
 
-        ``xs`` are the logits (the first is the gate's sum), a lane's from ``begin`` on, in
-        whole steps; the bits beyond ``size`` of them count for nothing.
+        ``xs`` are the logits (the first is the gate's sum) or a table's entries, a lane's
+        from ``begin`` on, in whole steps; the bits beyond ``size`` of them count for nothing.
         """
         f = np.float32
-        xs = [x.astype(f, copy=False).reshape(-1, STEP) for x in xs]
-        bit = bit.astype(f).reshape(-1, STEP)
+        # What stands for all steps stays as small as it came.
+        xs = [x.reshape(-1, STEP) for x in xs]
+        bit = bit.reshape(-1, STEP)
         order = np.argsort(-size, kind="stable")
         begin, size = begin[order] // STEP, size[order]
         w, table = self.w[:, order], self.table[order].ravel()
@@ -730,9 +739,10 @@ class Lanes:
         whole = np.searchsorted(-size, -(t + STEP), "right")
         for t, (k, full) in enumerate(zip(live.tolist(), whole.tolist())):
             at = begin[:k] + t
-            own = [x.take(at, 0) for x in xs]
+            own = [as_logits(x.take(at, 0)) if x.dtype == np.int16
+                   else x.take(at, 0).astype(f, copy=False) for x in xs]
             np.clip(own[0], -8, 8, out=own[0])
-            y = bit.take(at, 0)
+            y = bit.take(at, 0).astype(f)
             q = own[0] * w[0, :k]
             for j in range(1, len(own)):
                 q += own[j] * w[j, :k]
@@ -783,14 +793,19 @@ def mixed(dot, longest, bit, places, owner, length, n) -> np.ndarray:
 
 
 def grouped(batches, name: str, least: int):
-    """Batches in groups of at least so many bytes of a column, but for the last."""
+    """Rows in groups that end where a column's bytes reach so many, but for the last."""
+    import pyarrow.compute as pc
+
     group, size = [], 0
     for b in batches:
-        group.append(b)
-        size += b.column(name).nbytes
-        if size >= least:
-            yield group
-            group, size = [], 0
+        first = 0
+        for end, n in enumerate(pc.binary_length(b.column(name)).to_pylist(), 1):
+            size += n
+            if size >= least:
+                yield [*group, b.slice(first, end - first)]
+                group, size, first = [], 0, end
+        if first < b.num_rows:
+            group.append(b.slice(first))
     if group:
         yield group
 
@@ -849,13 +864,17 @@ def score(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame:
         return TextModel(words, words.code.logits[k], tables[k],
                          Model(code, *unpacked(spelling[k])))
 
-    full = model(1)
+    weights = None
     if tuned:
         rest = model(0)
         learn(other.where("t > 0").select("w", F.col("t").alias("n")), rest.speller)
         learn_words(train.where("tune"), rest)
-        full.weights, full.speller.weights = rest.weights, rest.speller.weights
+        weights = rest.weights, rest.speller.weights
         del rest
+    full = model(1)
+    if weights:
+        full.weights, full.speller.weights = weights
+    del spelling, tables
     shared = spark.sparkContext.broadcast(full)
 
     def run(batches):
@@ -865,10 +884,11 @@ def score(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame:
         gain = np.append(np.log10(m.words.counts + 0.5), 0)
         # Steps of the longest texts cost the same however many lanes go with them.
         for own in grouped(batches, "t", GROUP):
-            ids, held_out, texts = (pa.concat_arrays([b.column(c) for b in own])
-                                    for c in ("doc_id", "held_out", "t"))
+            ids, held_out = (pa.concat_arrays([b.column(c) for b in own])
+                             for c in ("doc_id", "held_out"))
             n = len(ids)
-            w = Words(texts.to_pylist())
+            w = Words([t for b in own for t in b.column("t").to_pylist()])
+            del own
             number = m.words.numbers(w.hash)
             bits = m.log2(w, number, n)
             hit = number < len(m.words.keys)
@@ -891,6 +911,8 @@ def score(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame:
                 "rest": pa.ListArray.from_arrays(
                     rest, binaries(w.data, w.first[rare], w.last[rare])),
                 "times": pa.ListArray.from_arrays(rest, pa.array(k, pa.int64()))})
+            # The next group comes in without this one beside it.
+            del w, number, bits, hit, rare, at, k, order, rest
 
     id_type = dict(docs.dtypes)["doc_id"]
     passed = written(
@@ -899,6 +921,7 @@ def score(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame:
                          "base double, score double, bits_per_byte double, rest array<binary>, "
                          "times array<bigint>")
         .withColumn("row", F.monotonically_increasing_id()), "lm-passed")
+    shared.destroy()
     # Words that are not among the commonest: their counts come by a join.
     rare = (passed.select("row", F.inline(F.arrays_zip(F.col("rest").alias("w"),
                                                        F.col("times").alias("k"))))
