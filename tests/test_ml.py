@@ -1,5 +1,6 @@
 """Modelling checks (survey §5 item 6) and documented look-ahead features (item 5)."""
 
+import threading
 import math
 
 import pandas as pd
@@ -99,3 +100,20 @@ def test_forests_keep_the_nodes_of_their_rows(spark):
     assert quick.stages[-1].getCacheNodeIds() and not plain.stages[-1].getCacheNodeIds()
     assert quick.stages[-1].toDebugString.split("\n", 1)[1] == \
         plain.stages[-1].toDebugString.split("\n", 1)[1]
+
+
+def test_fits_and_importances_run_side_by_side(spark):
+    """Jobs of several items are under way at once; results keep the items' order."""
+    both = threading.Barrier(2, timeout=60)
+
+    def count(n):
+        both.wait()
+        return spark.range(n).count()
+
+    assert ML.side_by_side(spark, count, [5, 3, 8, 2], parallelism=2) == [5, 3, 8, 2]
+    rows = [(f"k{i}", float(i % 7), float(i % 3), float(i % 7)) for i in range(60)]
+    df = spark.createDataFrame(rows, "key string, a double, b double, target double")
+    model = ML.fit("xgboost", df, ["a", "b"], maxIter=2, maxDepth=3)
+    alone, beside = (ML.permutation_importance(spark, model, df, ["a", "b"], parallelism=n)
+                     .collect() for n in (1, 3))
+    assert alone == beside and alone[0]["feature"] == "a"
