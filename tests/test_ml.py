@@ -1,7 +1,7 @@
 """Modelling checks (survey §5 item 6) and documented look-ahead features (item 5)."""
 
-import threading
 import math
+import threading
 
 import pandas as pd
 from pyspark.sql import functions as F
