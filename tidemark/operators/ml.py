@@ -15,11 +15,13 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.forest import DeepForestRegressor
+
 FEATURES = ("Lag12_y", "MA6_y", "STD6_y", "EMA6_y", "month", "quarter")
 SEED = 42
 #: The reference's fixed presets.  Its forest has depth 200, of which Spark allows 30; its
@@ -46,7 +48,7 @@ def estimator(name: str, label: str = "target", weight_col: str | None = None, *
     if weight_col:
         common["weightCol"] = weight_col
     if name == "random_forest":
-        return RandomForestRegressor(**DEEP | PRESETS[name] | preset, **common)
+        return DeepForestRegressor(**DEEP | PRESETS[name] | preset, **common)
     return GBTRegressor(**PRESETS[name] | preset, **common)
 
 
