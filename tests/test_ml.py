@@ -117,3 +117,19 @@ def test_fits_and_importances_run_side_by_side(spark):
     alone, beside = (ML.permutation_importance(spark, model, df, ["a", "b"], parallelism=n)
                      .collect() for n in (1, 3))
     assert alone == beside and alone[0]["feature"] == "a"
+
+
+def test_boosting_spreads_its_rows_over_the_cores(spark, monkeypatch):
+    """A level is a job: large training sets give every core a share of it."""
+    rows = spark.range(0, 400, 1, 2).select(
+        (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 3).cast("double").alias("b"),
+        (F.col("id") % 7 * 2).cast("double").alias("target"), F.lit("x").alias("other"))
+    assert ML.spread(rows, 400, ["a", "b", "target"]).rdd.getNumPartitions() == 2
+    before = ML.rmse(ML.fit("xgboost", rows, ["a", "b"], maxIter=3), rows)
+    monkeypatch.setattr(ML, "ROWS_OF_BOOSTING", (80, 1000))
+    wide = ML.spread(rows, 400, ["a", "b", "target"])
+    assert wide.rdd.getNumPartitions() == 5 and wide.columns == ["a", "b", "target"]
+    assert wide.count() == 400
+    assert math.isclose(ML.rmse(ML.fit("xgboost", rows, ["a", "b"], maxIter=3), rows), before)
+    monkeypatch.setattr(ML, "ROWS_OF_BOOSTING", (10_000, 20))
+    assert ML.spread(rows, 400, ["a", "b", "target"]).rdd.getNumPartitions() == 20
