@@ -51,9 +51,15 @@ def test_the_first_split_is_the_best_of_all(n):
 
 def test_cells_counted_and_sorted_agree():
     x, y, w, c = sample(200)
-    key = x.astype(np.int64) + np.arange(3) * 32
-    dense, sparse = (FO.cells(key, size, 3, w, w * y, c) for size in (96, 1 << 20))
-    assert all(np.allclose(a, b) for a, b in zip(dense, sparse))
+    of = np.arange(200) // 50
+    few, many = (FO.cells(rule(bins=n), of, x.T, w, w * y, c) for n in (32, 250))
+    assert len(few[0]) == len(many[0]) and all(np.allclose(a, b) for a, b in zip(few[1:], many[1:]))
+    assert (few[0] // 32 == many[0] // 250).all() and (few[0] % 32 == many[0] % 250).all()
+    one = (of == 2) & (x[:, 1] == 5)
+    at = few[0].tolist().index((2 * 3 + 1) * 32 + 5)
+    assert np.allclose([z[at] for z in few[1:]], [z[one].sum() for z in (w, w * y, c)])
+    plain = FO.cells(rule(), of, x.T, c, c * y, c)
+    assert np.array_equal(plain[1], plain[3])
 
 
 def test_trees_end_at_pure_nodes_depth_and_least_rows():
